@@ -124,3 +124,15 @@ def decayed_counts(actions: DataFrame, end: str, days: int,
     aggs = [F.sum(F.when(F.col("type") == k, F.col("wt")).otherwise(F.lit(0.0)))
             .alias(f"decay_action_{k}") for k in types]
     return rows.groupBy(*keys).agg(*aggs)
+
+
+def intent_score(actions: DataFrame, end: str, days: int,
+                 keys: Sequence[str] = ("user_id", "sku_id")) -> DataFrame:
+    """A model-free purchase-intent score per key in [0, 1).
+
+    score = 1 - exp(-sum of decay weights of the key's actions), rounded to
+    6 places so ties and thresholds do not depend on summation order.
+    """
+    rows = lookback(actions, end, days).withColumn("wt", decay_weight("time", end))
+    return rows.groupBy(*keys).agg(
+        F.round(F.lit(1.0) - F.exp(-F.sum("wt")), 6).alias("score"))

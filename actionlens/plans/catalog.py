@@ -125,3 +125,192 @@ def q_decayed_counts(spark, sf_dir):
     out = win.decayed_counts(fx.actions(spark, sf_dir), END, DECAY_DAYS)
     return out.select(*win.PAIR_KEYS, *[F.round(f"decay_action_{k}", 6).alias(f"decay_action_{k}")
                                         for k in P.TYPES])
+
+
+# --------------------------------------------------------------------------
+# Labels, buyers, semi / anti joins, selection
+# --------------------------------------------------------------------------
+
+from actionlens.functions import expr as X  # noqa: E402
+from actionlens.operators import dims, selection as sel  # noqa: E402
+from actionlens.operators.ranking import top1_per_key  # noqa: E402
+
+CAND_DAYS = 7
+SCORE_DAYS = 21
+# Fixture parameter: three user ids removed from the user dimension.
+BLOCKED_USERS = (3, 5, 8)
+
+
+@register("purchase_labels", S.with_views(["actions"], [], f"""
+    SELECT DISTINCT user_id, sku_id, 1 AS label FROM actions
+    WHERE type = 4 AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)}"""))
+def q_purchase_labels(spark, sf_dir):
+    return sel.purchase_labels(fx.actions(spark, sf_dir), P.LABEL_START, P.LABEL_END)
+
+
+BUYERS_SQL = (f"SELECT DISTINCT user_id FROM actions WHERE type = 4 AND cate = '{P.TARGET_CATE}' "
+              f"AND time >= {S.ts(P.HISTORY_START)} AND time < {S.ts(END)}")
+CAND_SQL = f"SELECT DISTINCT user_id, sku_id FROM actions WHERE {S.lookback_where(END, CAND_DAYS)}"
+
+
+def _buyers(spark, sf_dir):
+    return sel.past_buyers(fx.actions(spark, sf_dir), END, P.TARGET_CATE, P.HISTORY_START)
+
+
+def _candidates(spark, sf_dir):
+    return win.lookback(fx.actions(spark, sf_dir), END, CAND_DAYS).select("user_id", "sku_id").distinct()
+
+
+@register("past_buyers", S.with_views(["actions"], [], BUYERS_SQL))
+def q_past_buyers(spark, sf_dir):
+    return _buyers(spark, sf_dir)
+
+
+@register("drop_past_buyers", S.with_views(["actions"], [("b", BUYERS_SQL), ("c", CAND_SQL)], """
+    SELECT c.user_id, c.sku_id FROM c WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.user_id = c.user_id)"""))
+def q_drop_past_buyers(spark, sf_dir):
+    return sel.drop_past_buyers(_candidates(spark, sf_dir), _buyers(spark, sf_dir))
+
+
+@register("product_subset_semi", S.with_views(["actions", "products"], [("c", CAND_SQL)], """
+    SELECT c.user_id, c.sku_id FROM c WHERE EXISTS (SELECT 1 FROM products p WHERE p.sku_id = c.sku_id)"""))
+def q_product_subset_semi(spark, sf_dir):
+    return sel.in_product_subset(_candidates(spark, sf_dir), fx.products(spark, sf_dir))
+
+
+def _case_map(col: str, mapping) -> str:
+    return "CASE " + " ".join(f"WHEN {col} = '{k}' THEN {v}" for k, v in mapping.items()) + " END"
+
+
+USER_DIM_SQL_CTES = [
+    ("u", f"""SELECT user_id, CAST({_case_map('age', X.SEGMENT_AGE_CODES)} AS INTEGER) AS age, sex, user_lv_cd,
+                     CASE WHEN date_diff('day', {S.dt(P.REG_BASE_DATE)}, user_reg_tm) >= 0
+                          THEN date_diff('day', {S.dt(P.REG_BASE_DATE)}, user_reg_tm) END AS reg_days
+              FROM users WHERE user_id NOT IN ({', '.join(map(str, BLOCKED_USERS))})"""),
+    ("m", "SELECT age, avg(reg_days) AS reg_mean FROM u GROUP BY age"),
+    ("ud", """SELECT u.user_id, u.age, u.sex, u.user_lv_cd,
+                     CAST(trunc(coalesce(CAST(u.reg_days AS DOUBLE), m.reg_mean)) AS INTEGER) AS user_reg_tm
+              FROM u LEFT JOIN m ON u.age IS NOT DISTINCT FROM m.age"""),
+]
+USER_DIM_COLS = "user_id, age, sex, user_lv_cd, user_reg_tm, CAST(user_reg_tm AS DOUBLE) / CAST(user_lv_cd AS DOUBLE) AS user_lv_reg"
+
+
+def _user_dim(spark, sf_dir):
+    block = spark.createDataFrame([(u,) for u in BLOCKED_USERS], "user_id bigint")
+    return dims.user_dimension(fx.users(spark, sf_dir), P.REG_BASE_DATE, X.SEGMENT_AGE_CODES, block)
+
+
+@register("user_dimension", S.with_views(["users"], USER_DIM_SQL_CTES, f"SELECT {USER_DIM_COLS} FROM ud"))
+def q_user_dimension(spark, sf_dir):
+    return _user_dim(spark, sf_dir)
+
+
+@register("age_years", S.with_views(["users"], [], f"""
+    SELECT user_id, CAST({_case_map('age', X.SEGMENT_AGE_YEARS)} AS INTEGER) AS age_years FROM users"""))
+def q_age_years(spark, sf_dir):
+    return fx.users(spark, sf_dir).select("user_id", X.age_years("age", X.SEGMENT_AGE_YEARS).alias("age_years"))
+
+
+def _onehot_sql(col, values, prefix):
+    return [f"CAST(CASE WHEN {col} = {v} THEN 1 ELSE 0 END AS INTEGER) AS {prefix}_{str(v).replace('-', 'm')}"
+            for v in values]
+
+
+PRODUCT_ONEHOT_COLS = ", ".join(["sku_id", "cate", "brand"] + _onehot_sql("a1", dims.A1_VALUES, "a1")
+                                + _onehot_sql("a2", dims.A2_VALUES, "a2") + _onehot_sql("a3", dims.A3_VALUES, "a3"))
+
+
+@register("product_onehot", S.with_views(["products"], [], f"SELECT {PRODUCT_ONEHOT_COLS} FROM products"))
+def q_product_onehot(spark, sf_dir):
+    return dims.product_onehot(fx.products(spark, sf_dir))
+
+
+@register("product_clean", S.with_views(["products"], [], """
+    SELECT sku_id, CAST(CASE WHEN a1 = -1 THEN 0 ELSE a1 END AS INTEGER) AS a1,
+           CAST(CASE WHEN a2 = -1 THEN 0 ELSE a2 END AS INTEGER) AS a2,
+           CAST(CASE WHEN a3 = -1 THEN 0 ELSE a3 END AS INTEGER) AS a3, cate, brand
+    FROM products"""))
+def q_product_clean(spark, sf_dir):
+    return dims.product_clean(fx.products(spark, sf_dir))
+
+
+ASOF_SQL = f"""SELECT sku_id, dt, comment_num, has_bad, bad_rate FROM comments
+    WHERE dt < {S.dt(P.COMMENT_CUTOFF)}
+    QUALIFY row_number() OVER (PARTITION BY sku_id ORDER BY dt DESC) = 1"""
+
+
+@register("asof_comments", S.with_views(["comments"], [], ASOF_SQL))
+def q_asof_comments(spark, sf_dir):
+    return dims.asof_snapshot(fx.comments(spark, sf_dir), P.COMMENT_CUTOFF)
+
+
+@register("snapshot_range_comments", S.with_views(["comments"], [], f"""
+    SELECT * FROM comments WHERE dt < {S.dt(P.COMMENT_CUTOFF)}
+      AND dt >= (SELECT max(dt) FROM comments WHERE dt < {S.dt(P.COMMENT_CUTOFF)})"""))
+def q_snapshot_range_comments(spark, sf_dir):
+    return dims.snapshot_range(fx.comments(spark, sf_dir), P.COMMENT_CUTOFF)
+
+
+COMMENT_FEAT_COLS = ", ".join(["sku_id", "has_bad", "bad_rate"]
+                              + _onehot_sql("comment_num", dims.COMMENT_LEVELS, "comment_num"))
+
+
+@register("comment_onehot", S.with_views(["comments"], [("a", ASOF_SQL)], f"SELECT {COMMENT_FEAT_COLS} FROM a"))
+def q_comment_onehot(spark, sf_dir):
+    return dims.comment_features(fx.comments(spark, sf_dir), P.COMMENT_CUTOFF)
+
+
+SCORE_SQL = f"""SELECT user_id, sku_id,
+        round(1.0 - exp(-sum(exp(-CAST(date_sub('day', time, {S.ts(END)}) AS DOUBLE)))), 6) AS score
+    FROM actions WHERE {S.lookback_where(END, SCORE_DAYS)} GROUP BY user_id, sku_id"""
+
+
+def _scores(spark, sf_dir):
+    return win.intent_score(fx.actions(spark, sf_dir), END, SCORE_DAYS)
+
+
+@register("top1_per_user", S.with_views(["actions"], [("s", SCORE_SQL)], """
+    SELECT user_id, sku_id, score FROM s
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, sku_id ASC) = 1"""))
+def q_top1_per_user(spark, sf_dir):
+    return top1_per_key(_scores(spark, sf_dir), "user_id", "score", order="desc")
+
+
+@register("low1_per_user", S.with_views(["actions"], [("s", SCORE_SQL)], """
+    SELECT user_id, sku_id, score FROM s
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score ASC, sku_id ASC) = 1"""))
+def q_low1_per_user(spark, sf_dir):
+    return top1_per_key(_scores(spark, sf_dir), "user_id", "score", order="asc")
+
+
+SUBMISSION_SQL = f"""SELECT user_id, sku_id, score FROM (
+        SELECT user_id, sku_id, score FROM s
+        WHERE score >= {P.SCORE_THRESHOLD}
+          AND sku_id IN (SELECT sku_id FROM products)
+          AND user_id NOT IN (SELECT user_id FROM b)
+        QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, sku_id ASC) = 1)
+    ORDER BY score DESC, user_id ASC LIMIT {P.SUBMISSION_K}"""
+
+
+def _submission(spark, sf_dir):
+    return sel.submission(_scores(spark, sf_dir), fx.products(spark, sf_dir), _buyers(spark, sf_dir),
+                          threshold=P.SCORE_THRESHOLD, k=P.SUBMISSION_K)
+
+
+@register("submission_topk", S.with_views(["actions", "products"], [("s", SCORE_SQL), ("b", BUYERS_SQL)],
+                                          SUBMISSION_SQL))
+def q_submission_topk(spark, sf_dir):
+    return _submission(spark, sf_dir)
+
+
+PAIRS_SQL = f"SELECT DISTINCT user_id, sku_id FROM actions WHERE {S.lookback_where(END, max(P.PAIR_WINDOWS))}"
+
+
+@register("hash_split", S.with_views(["actions"], [("pr", PAIRS_SQL)], """
+    SELECT user_id, sku_id,
+           CAST(CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(sku_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 AS INTEGER) AS bucket,
+           CAST(CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(sku_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS INTEGER) AS is_test
+    FROM pr"""))
+def q_hash_split(spark, sf_dir):
+    pairs = win.lookback(fx.actions(spark, sf_dir), END, max(P.PAIR_WINDOWS)).select("user_id", "sku_id").distinct()
+    return sel.hash_split(pairs)
