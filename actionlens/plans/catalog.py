@@ -314,3 +314,142 @@ PAIRS_SQL = f"SELECT DISTINCT user_id, sku_id FROM actions WHERE {S.lookback_whe
 def q_hash_split(spark, sf_dir):
     pairs = win.lookback(fx.actions(spark, sf_dir), END, max(P.PAIR_WINDOWS)).select("user_id", "sku_id").distinct()
     return sel.hash_split(pairs)
+
+
+# --------------------------------------------------------------------------
+# Rollups, breadth, ranks
+# --------------------------------------------------------------------------
+
+from actionlens.operators import breadth as br, rollups as ru  # noqa: E402
+
+BLOCK_DAYS = 7
+BLOCK_ROWS_SQL = f"SELECT * FROM actions WHERE {S.lookback_where(END, BLOCK_DAYS)}"
+
+
+def _block_rows(spark, sf_dir):
+    return win.lookback(fx.actions(spark, sf_dir), END, BLOCK_DAYS)
+
+
+def _ratio_sel(prefix):
+    return ", ".join(f"{S.safe_ratio(f'{prefix}_action_4', f'{prefix}_action_{k}')} AS {prefix}_ratio_{k}"
+                     for k in P.NON_PURCHASE_TYPES)
+
+
+def _rollup_sql(key, prefix):
+    cnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"{prefix}_action_{k}"))
+    return S.with_views(["actions"], [("r", BLOCK_ROWS_SQL), ("g", f"SELECT {key}, {cnt} FROM r GROUP BY {key}")],
+                        f"SELECT *, {_ratio_sel(prefix)} FROM g")
+
+
+def _attr_rollup_sql(attr):
+    cnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"a_{k}"))
+    sums = ", ".join(f"CAST(sum(a_{k}) AS BIGINT) AS {attr}_action_{k}" for k in P.TYPES)
+    return S.with_views(["actions", "users"], [("r", BLOCK_ROWS_SQL), *USER_DIM_SQL_CTES,
+                        ("pu", f"SELECT user_id, {cnt} FROM r GROUP BY user_id"),
+                        ("g", f"SELECT ud.{attr}, {sums} FROM pu JOIN ud ON ud.user_id = pu.user_id "
+                              f"WHERE ud.{attr} IS NOT NULL GROUP BY ud.{attr}")],
+                        f"SELECT *, {_ratio_sel(attr)} FROM g")
+
+
+for _key, _prefix in (("cate", "cate"), ("brand", "brand"), ("user_id", "user"), ("sku_id", "sku")):
+    register(f"rollup_{_prefix}", _rollup_sql(_key, _prefix))(
+        lambda spark, sf_dir, _k=_key, _p=_prefix: ru.rollup(_block_rows(spark, sf_dir), _k, _p))
+
+for _attr, _name in (("age", "age"), ("sex", "sex"), ("user_lv_cd", "level")):
+    register(f"rollup_{_name}", _attr_rollup_sql(_attr))(
+        lambda spark, sf_dir, _a=_attr: ru.rollup_by_user_attr(_block_rows(spark, sf_dir), _user_dim(spark, sf_dir), _a))
+
+
+def _grouping_sets_sql():
+    cnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"a_{k}"))
+    sums = ", ".join(f"CAST(sum(a_{k}) AS BIGINT) AS action_{k}" for k in P.TYPES)
+    parts = [f"SELECT '{d}' AS dim, CAST({d} AS VARCHAR) AS key, {sums} FROM w GROUP BY {d}"
+             for d in ru.GROUPING_DIMS]
+    return S.with_views(["actions", "users"], [("r", BLOCK_ROWS_SQL), *USER_DIM_SQL_CTES,
+                        ("pr", f"SELECT user_id, sku_id, cate, brand, {cnt} FROM r GROUP BY user_id, sku_id, cate, brand"),
+                        ("w", "SELECT pr.*, ud.age, ud.sex, ud.user_lv_cd FROM pr LEFT JOIN ud ON ud.user_id = pr.user_id")],
+                        " UNION ALL ".join(parts))
+
+
+@register("rollup_grouping_sets", _grouping_sets_sql())
+def q_rollup_grouping_sets(spark, sf_dir):
+    return ru.rollup_long(_block_rows(spark, sf_dir), _user_dim(spark, sf_dir))
+
+
+@register("model_click_count", S.with_views(["actions"], [("r", BLOCK_ROWS_SQL)], """
+    SELECT user_id, sku_id, cate, brand, CAST(sum(CASE WHEN model_id > 0 THEN 1 ELSE 0 END) AS BIGINT) AS model_clicks
+    FROM r GROUP BY user_id, sku_id, cate, brand"""))
+def q_model_click_count(spark, sf_dir):
+    return ru.model_clicks(_block_rows(spark, sf_dir))
+
+
+for _attr in ("age", "sex"):
+    register(f"purchases_by_{_attr}", S.with_views(["actions", "users"], [("r", BLOCK_ROWS_SQL), *USER_DIM_SQL_CTES], f"""
+        SELECT ud.{_attr}, CAST(count(*) AS BIGINT) AS purchases FROM r JOIN ud ON ud.user_id = r.user_id
+        WHERE r.type = 4 AND ud.{_attr} IS NOT NULL GROUP BY ud.{_attr}"""))(
+        lambda spark, sf_dir, _a=_attr: ru.purchases_by_user_attr(_block_rows(spark, sf_dir), _user_dim(spark, sf_dir), _a))
+
+
+PAIR_TOTALS_SQL = "SELECT user_id, sku_id, cate, brand, count(*) AS sku_total FROM r GROUP BY user_id, sku_id, cate, brand"
+BREADTH_CTES = [("r", BLOCK_ROWS_SQL), ("pt", PAIR_TOTALS_SQL),
+                ("ub", "SELECT user_id, CAST(sum(sku_total) AS BIGINT) AS action_total, count(*) AS diff_sku FROM pt GROUP BY user_id")]
+
+
+def _pairs(spark, sf_dir):
+    return br.pair_totals(_block_rows(spark, sf_dir))
+
+
+@register("user_breadth", S.with_views(["actions"], BREADTH_CTES, "SELECT * FROM ub"))
+def q_user_breadth(spark, sf_dir):
+    return br.user_breadth(_pairs(spark, sf_dir))
+
+
+def _group_breadth_sql(attr):
+    extra_cte, extra_col, extra_join = [], "", ""
+    if attr == "brand":
+        extra_cte = [("uc", "SELECT user_id, count(DISTINCT cate) AS diff_cate FROM pt GROUP BY user_id")]
+        extra_col = ", CAST(uc.diff_cate AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS cate_brand_ratio"
+        extra_join = " JOIN uc ON uc.user_id = p.user_id"
+    return S.with_views(["actions"], BREADTH_CTES + extra_cte + [
+        ("per", f"SELECT user_id, {attr}, count(*) AS diff_{attr}_total FROM pt GROUP BY user_id, {attr}"),
+        ("u", f"SELECT user_id, count(*) AS diff_{attr} FROM per GROUP BY user_id")], f"""
+        SELECT p.user_id, p.{attr}, p.diff_{attr}_total, u.diff_{attr},
+               CAST(p.diff_{attr}_total AS DOUBLE) / CAST(u.diff_{attr} AS DOUBLE) AS diff_{attr}_ratio,
+               CAST(ub.diff_sku AS DOUBLE) / CAST(u.diff_{attr} AS DOUBLE) AS sku_{attr}_ratio{extra_col}
+        FROM per p JOIN u ON u.user_id = p.user_id JOIN ub ON ub.user_id = p.user_id{extra_join}""")
+
+
+for _attr in ("cate", "brand"):
+    register(f"{_attr}_breadth", _group_breadth_sql(_attr))(
+        lambda spark, sf_dir, _a=_attr: br.group_breadth(_pairs(spark, sf_dir), _a))
+
+
+@register("sku_rank_in_user", S.with_views(["actions"], BREADTH_CTES, """
+    SELECT pt.user_id, pt.sku_id, pt.cate, pt.brand, pt.sku_total,
+           CAST(row_number() OVER (PARTITION BY pt.user_id ORDER BY pt.sku_total DESC, pt.sku_id, pt.cate, pt.brand) - 1 AS INTEGER) AS sku_total_rank,
+           CAST(CASE WHEN row_number() OVER (PARTITION BY pt.user_id ORDER BY pt.sku_total DESC, pt.sku_id, pt.cate, pt.brand) = 1 THEN 1 ELSE 0 END AS INTEGER) AS sku_action_max,
+           CAST(pt.sku_total AS DOUBLE) / CAST(ub.action_total AS DOUBLE) AS sku_action_ratio
+    FROM pt JOIN ub ON ub.user_id = pt.user_id"""))
+def q_sku_rank_in_user(spark, sf_dir):
+    return br.sku_rank_in_user(_pairs(spark, sf_dir))
+
+
+HIST_ROWS_SQL = f"SELECT * FROM actions WHERE time < {S.ts(END)}"
+
+
+def _history(spark, sf_dir):
+    return fx.actions(spark, sf_dir).where(F.col("time") < X.ts_lit(END))
+
+
+@register("brand_popularity_rank", S.with_views(["actions"], [("r", HIST_ROWS_SQL)], """
+    SELECT brand, purchases, CAST(row_number() OVER (ORDER BY purchases, brand) - 1 AS INTEGER) AS brand_rank
+    FROM (SELECT brand, count(*) FILTER (WHERE type = 4) AS purchases FROM r GROUP BY brand)"""))
+def q_brand_popularity_rank(spark, sf_dir):
+    return br.brand_popularity_rank(_history(spark, sf_dir))
+
+
+@register("model_popularity_rank", S.with_views(["actions"], [("r", HIST_ROWS_SQL)], """
+    SELECT model_id, n, CAST(row_number() OVER (ORDER BY n, model_id) - 1 AS INTEGER) AS model_rank
+    FROM (SELECT coalesce(model_id, 0) AS model_id, count(*) AS n FROM r GROUP BY 1)"""))
+def q_model_popularity_rank(spark, sf_dir):
+    return br.model_popularity_rank(_history(spark, sf_dir))
