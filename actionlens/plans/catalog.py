@@ -453,3 +453,232 @@ def q_brand_popularity_rank(spark, sf_dir):
     FROM (SELECT coalesce(model_id, 0) AS model_id, count(*) AS n FROM r GROUP BY 1)"""))
 def q_model_popularity_rank(spark, sf_dir):
     return br.model_popularity_rank(_history(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------
+# Conversion curves
+# --------------------------------------------------------------------------
+
+from actionlens.operators import curves as cv  # noqa: E402
+
+
+def _pos_sql(cate):
+    extra = f" AND cate = '{cate}'" if cate else ""
+    return (f"SELECT DISTINCT user_id, sku_id FROM actions WHERE type = 4{extra} "
+            f"AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)} "
+            f"AND sku_id IN (SELECT sku_id FROM products)")
+
+
+CURVE_TYPES = ", ".join(f"({t})" for t in P.NON_PURCHASE_TYPES)
+CURVE_GRID = (f"SELECT CAST(n AS INTEGER) AS n_days, CAST(t AS INTEGER) AS type "
+              f"FROM range(1, {P.CURVE_DAYS + 1}) g(n), (VALUES {CURVE_TYPES}) v(t)")
+CURVE_ROWS = (f"SELECT user_id, sku_id, type, {S.off_expr(END)} AS off FROM actions "
+              f"WHERE {S.lookback_where(END, P.CURVE_DAYS)}")
+
+
+def _cum_sql(cate):
+    return S.with_views(["actions", "products"], [
+        ("pos", _pos_sql(cate)), ("r", CURVE_ROWS), ("grid", CURVE_GRID),
+        ("pm", f"SELECT user_id, sku_id, type, min(off) AS m FROM r WHERE type IN ({', '.join(map(str, P.NON_PURCHASE_TYPES))}) GROUP BY 1, 2, 3"),
+        ("c", """SELECT g.n_days, g.type, count(pm.user_id) AS pairs, count(pos.user_id) AS hits
+                 FROM grid g LEFT JOIN pm ON pm.type = g.type AND pm.m <= g.n_days
+                 LEFT JOIN pos ON pos.user_id = pm.user_id AND pos.sku_id = pm.sku_id
+                 GROUP BY g.n_days, g.type""")],
+        f"SELECT n_days, type, pairs, hits, {S.safe_ratio('hits', 'pairs')} AS rate FROM c")
+
+
+def _daily_sql(cate):
+    return S.with_views(["actions", "products"], [
+        ("pos", _pos_sql(cate)), ("r", CURVE_ROWS), ("grid", CURVE_GRID),
+        ("pd", "SELECT DISTINCT user_id, sku_id, type, off FROM r"),
+        ("c", """SELECT g.n_days, g.type, count(pd.user_id) AS pairs, count(pos.user_id) AS hits
+                 FROM grid g LEFT JOIN pd ON pd.type = g.type AND pd.off = g.n_days
+                 LEFT JOIN pos ON pos.user_id = pd.user_id AND pos.sku_id = pd.sku_id
+                 GROUP BY g.n_days, g.type""")],
+        f"SELECT n_days, type, pairs, hits, {S.safe_ratio('hits', 'pairs')} AS rate FROM c")
+
+
+def _curve_inputs(spark, sf_dir, cate):
+    a = fx.actions(spark, sf_dir)
+    return a, cv.positives(a, fx.products(spark, sf_dir), P.LABEL_START, P.LABEL_END, cate)
+
+
+for _suffix, _cate in (("", None), ("_target", P.TARGET_CATE)):
+    register(f"conversion_cumulative{_suffix}", _cum_sql(_cate))(
+        lambda spark, sf_dir, _c=_cate: cv.conversion_cumulative(*_curve_inputs(spark, sf_dir, _c), END, P.CURVE_DAYS))
+    register(f"conversion_daily{_suffix}", _daily_sql(_cate))(
+        lambda spark, sf_dir, _c=_cate: cv.conversion_daily(*_curve_inputs(spark, sf_dir, _c), END, P.CURVE_DAYS))
+
+
+@register("conversion_rows", S.with_views(["actions", "products"], [
+    ("pos", _pos_sql(None)), ("r", CURVE_ROWS),
+    ("d", """SELECT CAST(r.off AS INTEGER) AS n_days, count(*) AS day_rows, count(pos.user_id) AS day_hit_rows
+             FROM r LEFT JOIN pos ON pos.user_id = r.user_id AND pos.sku_id = r.sku_id GROUP BY 1"""),
+    ("g", f"SELECT CAST(n AS INTEGER) AS n_days FROM range(1, {P.CURVE_DAYS + 1}) t(n)")], """
+    SELECT g.n_days,
+           CAST(sum(coalesce(d.day_rows, 0)) OVER (ORDER BY g.n_days) AS BIGINT) AS window_rows,
+           CAST(sum(coalesce(d.day_hit_rows, 0)) OVER (ORDER BY g.n_days) AS BIGINT) AS window_hit_rows,
+           CAST(coalesce(d.day_rows, 0) AS BIGINT) AS day_rows,
+           CAST(coalesce(d.day_hit_rows, 0) AS BIGINT) AS day_hit_rows
+    FROM g LEFT JOIN d ON d.n_days = g.n_days"""))
+def q_conversion_rows(spark, sf_dir):
+    return cv.conversion_rows(*_curve_inputs(spark, sf_dir, None), END, P.CURVE_DAYS)
+
+
+# --------------------------------------------------------------------------
+# Profiles, feature tables, metrics
+# --------------------------------------------------------------------------
+
+from actionlens.operators import metrics as mt, profile as pf  # noqa: E402
+from actionlens.plans import features as ft  # noqa: E402
+
+DESCRIBE_COLS = ("comment_num", "bad_rate")
+
+
+@register("describe_value", S.with_views(["comments"], [], " UNION ALL ".join(f"""
+    SELECT '{c}' AS col_name, count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+           round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS q50,
+           round(quantile_cont(x, 0.75), 6) AS q75, round(max(x), 6) AS max
+    FROM (SELECT CAST({c} AS DOUBLE) AS x FROM comments)""" for c in DESCRIBE_COLS)))
+def q_describe_value(spark, sf_dir):
+    return pf.describe(fx.comments(spark, sf_dir), DESCRIBE_COLS).withColumnRenamed("column", "col_name")
+
+
+def _feature_set_ctes(end=END, pair_windows=P.PAIR_WINDOWS, acc_windows=P.ACC_WINDOWS):
+    longest = max(max(pair_windows), max(acc_windows))
+    d = (f"SELECT user_id, sku_id, cate, brand, type, {S.off_expr(end)} AS off FROM actions "
+         f"WHERE {S.lookback_where(end, longest)}")
+    pcols = S.window_count_cols(pair_windows, P.TYPES, lambda n, k: f"w{n}_action_{k}")
+    ctes = [("d", d), ("pair", f"SELECT user_id, sku_id, cate, brand, {', '.join(pcols)} FROM d "
+                               f"WHERE off <= {max(pair_windows)} GROUP BY user_id, sku_id, cate, brand")]
+    fill = []
+    for key, prefix in (("user_id", "user"), ("sku_id", "sku")):
+        cols = S.window_count_cols(acc_windows, P.TYPES, lambda n, k, p=prefix: f"{p}_w{n}_action_{k}")
+        outs = []
+        for n in acc_windows:
+            p = f"{prefix}_w{n}_action"
+            outs.append(f"{p}_4")
+            outs += [f"{S.safe_ratio(f'{p}_4', f'{p}_{k}')} AS {p}_ratio_{k}" for k in P.NON_PURCHASE_TYPES]
+        ctes.append((f"{prefix}_g", f"SELECT {key}, {', '.join(cols)} FROM d GROUP BY {key}"))
+        ctes.append((f"{prefix}_f", f"SELECT {key}, {', '.join(outs)} FROM {prefix}_g"))
+        for n in acc_windows:
+            p = f"{prefix}_w{n}_action"
+            fill.append((f"{prefix}_f", f"{p}_4", "0"))
+            fill += [(f"{prefix}_f", f"{p}_ratio_{k}", "0.0") for k in P.NON_PURCHASE_TYPES]
+    sel_cols = ", ".join(f"coalesce({t}.{c}, {z}) AS {c}" for t, c, z in fill)
+    ctes.append(("fs", f"""SELECT pair.*, {sel_cols} FROM pair
+                           LEFT JOIN user_f ON user_f.user_id = pair.user_id
+                           LEFT JOIN sku_f ON sku_f.sku_id = pair.sku_id"""))
+    return ctes
+
+
+@register("feature_set", S.with_views(["actions"], _feature_set_ctes(), "SELECT * FROM fs"))
+def q_feature_set(spark, sf_dir):
+    return ft.feature_set(fx.actions(spark, sf_dir), END)
+
+
+def _dimension_ctes():
+    return [*USER_DIM_SQL_CTES,
+            ("ud2", f"SELECT {USER_DIM_COLS} FROM ud"),
+            ("po", f"SELECT {PRODUCT_ONEHOT_COLS} FROM products"),
+            ("ca", ASOF_SQL),
+            ("cf", f"SELECT {COMMENT_FEAT_COLS} FROM ca")]
+
+
+def _dimension_select():
+    ucols = [("age", "0"), ("sex", "0"), ("user_lv_cd", "0"), ("user_reg_tm", "0"), ("user_lv_reg", "0.0")]
+    pcols = [(c.split(" AS ")[-1], "0") for c in PRODUCT_ONEHOT_COLS.split(", ")[3:]]
+    ccols = [("has_bad", "0"), ("bad_rate", "0.0")] + [(f"comment_num_{k}", "0") for k in dims.COMMENT_LEVELS]
+    parts = ([f"coalesce(ud2.{c}, {z}) AS {c}" for c, z in ucols]
+             + [f"coalesce(po.{c}, {z}) AS {c}" for c, z in pcols]
+             + [f"coalesce(cf.{c}, {z}) AS {c}" for c, z in ccols])
+    joins = """LEFT JOIN ud2 ON ud2.user_id = fs.user_id
+               LEFT JOIN po ON po.sku_id = fs.sku_id
+               LEFT JOIN cf ON cf.sku_id = fs.sku_id"""
+    return ", ".join(parts), joins
+
+
+def _train_sql():
+    cols, joins = _dimension_select()
+    lab = (f"SELECT DISTINCT user_id, sku_id, 1 AS label FROM actions WHERE type = 4 "
+           f"AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)}")
+    return S.with_views(["actions", "users", "products", "comments"],
+                        _feature_set_ctes() + _dimension_ctes() + [("lab", lab)], f"""
+        SELECT fs.*, {cols}, coalesce(lab.label, 0) AS label FROM fs {joins}
+        LEFT JOIN lab ON lab.user_id = fs.user_id AND lab.sku_id = fs.sku_id""")
+
+
+def _candidate_sql():
+    cols, joins = _dimension_select()
+    return S.with_views(["actions", "users", "products", "comments"],
+                        _feature_set_ctes() + _dimension_ctes(), f"""
+        SELECT fs.*, {cols} FROM fs {joins} WHERE fs.cate = '{P.TARGET_CATE}'""")
+
+
+def _dims(spark, sf_dir):
+    return _user_dim(spark, sf_dir), fx.products(spark, sf_dir), fx.comments(spark, sf_dir)
+
+
+def _train(spark, sf_dir, end=END, label_start=P.LABEL_START, label_end=P.LABEL_END):
+    return ft.train_set(fx.actions(spark, sf_dir), *_dims(spark, sf_dir), end, label_start, label_end,
+                        P.COMMENT_CUTOFF)
+
+
+@register("train_set", _train_sql())
+def q_train_set(spark, sf_dir):
+    return _train(spark, sf_dir)
+
+
+@register("candidate_set", _candidate_sql())
+def q_candidate_set(spark, sf_dir):
+    return ft.candidate_set(fx.actions(spark, sf_dir), *_dims(spark, sf_dir), END, P.COMMENT_CUTOFF)
+
+
+TRUTH_SQL = (f"SELECT DISTINCT user_id, sku_id FROM actions WHERE type = 4 "
+             f"AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)}")
+METRIC_CTES = [("s", SCORE_SQL), ("b", BUYERS_SQL), ("pred", SUBMISSION_SQL), ("truth", TRUTH_SQL)]
+
+
+def _metric_sql(counts: str, prec: str) -> str:
+    return S.with_views(["actions", "products"], METRIC_CTES + [("c", counts), ("pr", prec), ("f", """
+        SELECT *, CASE WHEN 5.0 * user_recall + 1.0 * user_precision = 0 THEN 0.0
+                       ELSE 6.0 * user_recall * user_precision / (5.0 * user_recall + 1.0 * user_precision) END AS f11,
+                  CASE WHEN 2.0 * pair_recall + 3.0 * pair_precision = 0 THEN 0.0
+                       ELSE 5.0 * pair_recall * pair_precision / (2.0 * pair_recall + 3.0 * pair_precision) END AS f12
+        FROM pr""")], """
+        SELECT * EXCLUDE (user_precision, user_recall, pair_precision, pair_recall, f11, f12),
+               round(user_precision, 9) AS user_precision, round(user_recall, 9) AS user_recall,
+               round(pair_precision, 9) AS pair_precision, round(pair_recall, 9) AS pair_recall,
+               round(f11, 9) AS f11, round(f12, 9) AS f12, round(0.4 * f11 + 0.6 * f12, 9) AS score
+        FROM f""")
+
+
+def _div_sql(a, b):
+    return f"CASE WHEN {b} = 0 THEN 0.0 ELSE CAST({a} AS DOUBLE) / CAST({b} AS DOUBLE) END"
+
+
+@register("score_metrics", _metric_sql("""
+    SELECT (SELECT count(*) FROM pred) AS pred_rows, (SELECT count(*) FROM truth) AS truth_rows,
+           (SELECT count(*) FROM pred JOIN truth ON truth.user_id = pred.user_id) AS user_hits,
+           (SELECT count(*) FROM pred JOIN truth ON truth.user_id = pred.user_id AND truth.sku_id = pred.sku_id) AS pair_hits""",
+    f"""SELECT *, {_div_sql('user_hits', 'pred_rows')} AS user_precision, {_div_sql('user_hits', 'truth_rows')} AS user_recall,
+               {_div_sql('pair_hits', 'pred_rows')} AS pair_precision, {_div_sql('pair_hits', 'truth_rows')} AS pair_recall
+        FROM c"""))
+def q_score_metrics(spark, sf_dir):
+    return mt.score_rows(_submission(spark, sf_dir), _truth(spark, sf_dir))
+
+
+@register("report_metrics", _metric_sql("""
+    SELECT (SELECT count(DISTINCT user_id) FROM pred) AS pred_users, (SELECT count(DISTINCT user_id) FROM truth) AS truth_users,
+           (SELECT count(*) FROM (SELECT DISTINCT user_id FROM pred) p WHERE user_id IN (SELECT user_id FROM truth)) AS user_hits,
+           (SELECT count(*) FROM pred) AS pred_rows, (SELECT count(*) FROM truth) AS truth_rows,
+           (SELECT count(*) FROM pred WHERE (user_id, sku_id) IN (SELECT (user_id, sku_id) FROM truth)) AS pair_hits""",
+    f"""SELECT *, {_div_sql('user_hits', 'pred_users')} AS user_precision, {_div_sql('user_hits', 'truth_users')} AS user_recall,
+               {_div_sql('pair_hits', 'pred_rows')} AS pair_precision, {_div_sql('pair_hits', 'truth_rows')} AS pair_recall
+        FROM c"""))
+def q_report_metrics(spark, sf_dir):
+    return mt.score_sets(_submission(spark, sf_dir), _truth(spark, sf_dir))
+
+
+def _truth(spark, sf_dir):
+    return sel.purchase_labels(fx.actions(spark, sf_dir), P.LABEL_START, P.LABEL_END).select("user_id", "sku_id")
