@@ -39,6 +39,14 @@ def safe_ratio(num, den) -> Column:
     )
 
 
+def safe_ratio_sql(num: str, den: str) -> str:
+    """``safe_ratio`` as a SQL expression string (for wide ``selectExpr`` lists:
+    one JVM parse per column instead of a Py4J call per operator)."""
+    return (f"CASE WHEN {num} IS NULL OR {den} IS NULL THEN 0.0 "
+            f"WHEN {den} = 0 THEN CASE WHEN {num} = 0 THEN 0.0 ELSE 1.0 END "
+            f"ELSE try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)) END")
+
+
 def day_offset(ts, end: str) -> Column:
     """Calendar days between the day of ``ts`` and ``end`` (1 = the day before)."""
     return F.datediff(date_lit(end), F.to_date(_c(ts)))

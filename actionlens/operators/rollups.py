@@ -7,14 +7,14 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionlens.functions.expr import flag_positive, safe_ratio
+from actionlens.functions.expr import flag_positive, safe_ratio_sql
 from actionlens.operators.windows import PAIR_KEYS, type_counts
 from actionlens.params import NON_PURCHASE_TYPES, PURCHASE, TYPES
 
 
 def with_ratios(df: DataFrame, prefix: str) -> DataFrame:
-    return df.select("*", *[safe_ratio(f"{prefix}_action_{PURCHASE}", f"{prefix}_action_{k}")
-                            .alias(f"{prefix}_ratio_{k}") for k in NON_PURCHASE_TYPES])
+    return df.selectExpr("*", *[f"{safe_ratio_sql(f'{prefix}_action_{PURCHASE}', f'{prefix}_action_{k}')}"
+                                f" AS {prefix}_ratio_{k}" for k in NON_PURCHASE_TYPES])
 
 
 def rollup(rows: DataFrame, key: str, prefix: str | None = None) -> DataFrame:

@@ -18,10 +18,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionlens.functions.expr import day_offset, decay_weight, safe_ratio, ts_lit
+from actionlens.functions.expr import day_offset, decay_weight, safe_ratio_sql, ts_lit
 from actionlens.params import NON_PURCHASE_TYPES, PURCHASE, TYPES
 
 PAIR_KEYS = ("user_id", "sku_id", "cate", "brand")
@@ -43,7 +43,8 @@ def lookback(actions: DataFrame, end: str, days: int) -> DataFrame:
 def type_counts(actions: DataFrame, keys: Sequence[str], types: Sequence[int] = TYPES,
                 prefix: str = "action") -> DataFrame:
     """Counts of each behaviour type per key (one-hot + sum)."""
-    aggs = [F.count_if(F.col("type") == k).alias(f"{prefix}_{k}") for k in types]
+    aggs = [F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS {prefix}_{k}")
+            for k in types]
     return actions.groupBy(*keys).agg(*aggs)
 
 
@@ -51,27 +52,33 @@ def day_counts(actions: DataFrame, keys: Sequence[str], end: str, max_days: int,
                types: Sequence[int] = TYPES) -> DataFrame:
     """keys + off + n_1..n_6: behaviour counts per key and day before ``end``."""
     rows = lookback(actions, end, max_days).withColumn("off", day_offset("time", end))
-    aggs = [F.count_if(F.col("type") == k).alias(f"n_{k}") for k in types]
+    # sum(CASE ...) rather than count_if: Spark 4.1 rewrites count_if with
+    # uniquely named common sub-expressions, which defeats exchange reuse
+    # when several grains read this aggregate.
+    aggs = [F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS n_{k}") for k in types]
     return rows.groupBy(*keys, "off").agg(*aggs)
 
 
 def _window_sums(daily: DataFrame, keys: Sequence[str], windows: Sequence[int],
-                 types: Sequence[int], name) -> DataFrame:
-    aggs = []
-    for n in windows:
-        for k in types:
-            aggs.append(F.sum(F.when(F.col("off") <= n, F.col(f"n_{k}")).otherwise(F.lit(0)))
-                        .cast("bigint").alias(name(n, k)))
+                 types: Sequence[int], name, first_off: bool = False) -> DataFrame:
+    aggs = [F.expr(f"CAST(sum(CASE WHEN off <= {n} THEN n_{k} ELSE 0 END) AS BIGINT) AS {name(n, k)}")
+            for n in windows for k in types]
+    if first_off:
+        aggs.append(F.expr("min(off) AS _first_off"))
     return daily.groupBy(*keys).agg(*aggs)
 
 
 def pair_window_counts(actions: DataFrame, end: str, windows: Sequence[int],
                        keys: Sequence[str] = PAIR_KEYS, types: Sequence[int] = TYPES,
-                       daily: DataFrame | None = None) -> DataFrame:
-    """One row per key seen in the longest window; ``w{N}_action_{k}`` counts."""
+                       daily: DataFrame | None = None, first_off: bool = False) -> DataFrame:
+    """One row per key seen in the longest window; ``w{N}_action_{k}`` counts.
+
+    ``first_off`` adds ``_first_off`` (earliest day offset of the key), for
+    callers that pass a ``daily`` table spanning more days than ``windows``.
+    """
     if daily is None:
         daily = day_counts(actions, keys, end, max(windows), types)
-    return _window_sums(daily, keys, windows, types, lambda n, k: f"w{n}_action_{k}")
+    return _window_sums(daily, keys, windows, types, lambda n, k: f"w{n}_action_{k}", first_off)
 
 
 def pair_window_counts_rescan(actions: DataFrame, end: str, windows: Sequence[int],
@@ -91,9 +98,9 @@ def pair_window_counts_rescan(actions: DataFrame, end: str, windows: Sequence[in
     return out.na.fill(fill)
 
 
-def ratio_columns(prefix: str, types: Sequence[int] = NON_PURCHASE_TYPES) -> list[Column]:
-    """purchases / behaviour k for each k (safe ratio)."""
-    return [safe_ratio(f"{prefix}_{PURCHASE}", f"{prefix}_{k}").alias(f"{prefix}_ratio_{k}")
+def ratio_columns(prefix: str, types: Sequence[int] = NON_PURCHASE_TYPES) -> list[str]:
+    """purchases / behaviour k for each k (safe ratio), as SQL expressions."""
+    return [f"{safe_ratio_sql(f'{prefix}_{PURCHASE}', f'{prefix}_{k}')} AS {prefix}_ratio_{k}"
             for k in types]
 
 
@@ -109,20 +116,19 @@ def accumulated_ratios(actions: DataFrame, key: str, end: str, windows: Sequence
     if daily is None:
         daily = day_counts(actions, [key], end, max(windows))
     sums = _window_sums(daily, [key], windows, TYPES, lambda n, k: f"{prefix}_w{n}_action_{k}")
-    cols = [F.col(key)]
+    cols = [key]
     for n in windows:
         p = f"{prefix}_w{n}_action"
-        cols.append(F.col(f"{p}_{PURCHASE}"))
+        cols.append(f"{p}_{PURCHASE}")
         cols.extend(ratio_columns(p))
-    return sums.select(*cols)
+    return sums.selectExpr(*cols)
 
 
 def decayed_counts(actions: DataFrame, end: str, days: int,
                    keys: Sequence[str] = PAIR_KEYS, types: Sequence[int] = TYPES) -> DataFrame:
     """Time-decayed behaviour sums: weight exp(-whole days before ``end``)."""
     rows = lookback(actions, end, days).withColumn("wt", decay_weight("time", end))
-    aggs = [F.sum(F.when(F.col("type") == k, F.col("wt")).otherwise(F.lit(0.0)))
-            .alias(f"decay_action_{k}") for k in types]
+    aggs = [F.expr(f"sum(CASE WHEN type = {k} THEN wt ELSE 0.0 END) AS decay_action_{k}") for k in types]
     return rows.groupBy(*keys).agg(*aggs)
 
 

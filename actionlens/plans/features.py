@@ -27,9 +27,16 @@ from actionlens.operators.selection import purchase_labels
 def feature_set(actions: DataFrame, end: str, pair_windows: Sequence[int] = P.PAIR_WINDOWS,
                 acc_windows: Sequence[int] = P.ACC_WINDOWS) -> DataFrame:
     longest_pair = max(pair_windows)
-    daily = win.day_counts(actions, win.PAIR_KEYS, end, max(longest_pair, max(acc_windows)))
-    pair = win.pair_window_counts(actions, end, pair_windows,
-                                  daily=daily.where(F.col("off") <= longest_pair))
+    # The three grains read one day-level aggregate.  Stating the join keys'
+    # non-null filter up front keeps the three branches identical, so the
+    # planner reuses the one shuffle (ReusedExchange) instead of rescanning.
+    keyed = actions.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull())
+    daily = win.day_counts(keyed, win.PAIR_KEYS, end, max(longest_pair, max(acc_windows)))
+    # Pair rows are the pairs active in the longest pair window.  The test is
+    # on an aggregate (earliest offset), so it cannot be pushed below the
+    # shared day-level aggregate and the branches stay identical.
+    pair = (win.pair_window_counts(actions, end, pair_windows, daily=daily, first_off=True)
+            .where(F.col("_first_off") <= longest_pair).drop("_first_off"))
     user = win.accumulated_ratios(actions, "user_id", end, acc_windows, "user", daily=daily)
     sku = win.accumulated_ratios(actions, "sku_id", end, acc_windows, "sku", daily=daily)
     fill = [c for c in user.columns + sku.columns if c not in ("user_id", "sku_id")]
