@@ -29,8 +29,8 @@ def user_dimension(users: DataFrame, base_date: str, age_map: Mapping[str, int]
                  F.when(days >= 0, days).alias("reg_days"))
     # One row per age rank: the group key is the image of a fixed mapping
     # (at most len(age_map) + 1 rows), so broadcasting it is size-bounded.
-    means = u.groupBy("age").agg(F.avg("reg_days").alias("reg_mean"))
-    j = u.join(F.broadcast(means), u.age.eqNullSafe(means.age), "left").drop(means.age)
+    means = u.groupBy(F.col("age").alias("_age")).agg(F.avg("reg_days").alias("reg_mean"))
+    j = u.join(F.broadcast(means), F.col("age").eqNullSafe(F.col("_age")), "left").drop("_age")
     reg = F.coalesce(F.col("reg_days").cast("double"), F.col("reg_mean")).cast("int")
     return j.select("user_id", "age", "sex", "user_lv_cd", reg.alias("user_reg_tm")).withColumn(
         "user_lv_reg", F.try_divide(F.col("user_reg_tm").cast("double"), F.col("user_lv_cd").cast("double")))
