@@ -682,3 +682,51 @@ def q_report_metrics(spark, sf_dir):
 
 def _truth(spark, sf_dir):
     return sel.purchase_labels(fx.actions(spark, sf_dir), P.LABEL_START, P.LABEL_END).select("user_id", "sku_id")
+
+
+# --------------------------------------------------------------------------
+# Model stage (rows-only checks: not SQL-expressible)
+# --------------------------------------------------------------------------
+
+from actionlens.plans import model as ml  # noqa: E402
+
+# Training features end five days before the scored candidates; its labels
+# are the purchases of those five days.  The back-test predicts the period
+# before the training one.
+TRAIN_END, TRAIN_LABEL_END = "2024-01-20", "2024-01-25"
+BACK_END, BACK_LABEL_END = "2024-01-15", "2024-01-20"
+GBT_ROUNDS = 200
+
+
+def _fit(spark, sf_dir, estimator):
+    data, cols = ml.prepare(_train(spark, sf_dir, TRAIN_END, TRAIN_END, TRAIN_LABEL_END))
+    return estimator.fit(ml.pin(data)), cols
+
+
+@register("gbt_scores")
+def q_gbt_scores(spark, sf_dir):
+    model, cols = _fit(spark, sf_dir, ml.gbt(GBT_ROUNDS))
+    cand = ft.candidate_set(fx.actions(spark, sf_dir), *_dims(spark, sf_dir), END, P.COMMENT_CUTOFF)
+    return ml.probability_scores(model, cand, cols)
+
+
+@register("rf_scores")
+def q_rf_scores(spark, sf_dir):
+    model, cols = _fit(spark, sf_dir, ml.forest())
+    cand = ft.candidate_set(fx.actions(spark, sf_dir), *_dims(spark, sf_dir), END, P.COMMENT_CUTOFF)
+    return ml.regression_scores(model, cand, cols)
+
+
+@register("logloss")
+def q_logloss(spark, sf_dir):
+    return ml.holdout_logloss(_train(spark, sf_dir, TRAIN_END, TRAIN_END, TRAIN_LABEL_END), GBT_ROUNDS)
+
+
+@register("backtest")
+def q_backtest(spark, sf_dir):
+    model, cols = _fit(spark, sf_dir, ml.gbt(GBT_ROUNDS))
+    back = _train(spark, sf_dir, BACK_END, BACK_END, BACK_LABEL_END)
+    scored = ml.probability_scores(model, back, cols)
+    pred = sel.submission(scored, threshold=P.SCORE_THRESHOLD, order="desc")
+    truth = sel.purchase_labels(fx.actions(spark, sf_dir), BACK_END, BACK_LABEL_END).select("user_id", "sku_id")
+    return mt.score_rows(pred.select("user_id", "sku_id"), truth)
