@@ -730,3 +730,84 @@ def q_backtest(spark, sf_dir):
     pred = sel.submission(scored, threshold=P.SCORE_THRESHOLD, order="desc")
     truth = sel.purchase_labels(fx.actions(spark, sf_dir), BACK_END, BACK_LABEL_END).select("user_id", "sku_id")
     return mt.score_rows(pred.select("user_id", "sku_id"), truth)
+
+
+# --------------------------------------------------------------------------
+# Single-window feature block (breadth + rank + product + rollups)
+# --------------------------------------------------------------------------
+
+def _window_block_sql():
+    cnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"action_{k}"))
+    roll = []
+    for key, prefix in (("cate", "cate"), ("brand", "brand"), ("user_id", "user"), ("sku_id", "sku")):
+        c = ", ".join(S.type_count_cols(P.TYPES, lambda k, p=prefix: f"{p}_action_{k}"))
+        roll.append((f"{prefix}_g", f"SELECT {key}, {c} FROM r GROUP BY {key}"))
+        roll.append((f"{prefix}_r", f"SELECT *, {_ratio_sel(prefix)} FROM {prefix}_g"))
+    acnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"a_{k}"))
+    asum = ", ".join(f"CAST(sum(a_{k}) AS BIGINT) AS age_action_{k}" for k in P.TYPES)
+    roll += [("pu", f"SELECT user_id, {acnt} FROM r GROUP BY user_id"),
+             ("age_g", f"SELECT ud.age, {asum} FROM pu JOIN ud ON ud.user_id = pu.user_id "
+                       f"WHERE ud.age IS NOT NULL GROUP BY ud.age"),
+             ("age_r", f"SELECT *, {_ratio_sel('age')} FROM age_g")]
+    rank = ("brank", """SELECT brand, CAST(row_number() OVER (ORDER BY purchases, brand) - 1 AS INTEGER) AS brand_rank
+                        FROM (SELECT brand, count(*) FILTER (WHERE type = 4) AS purchases FROM actions
+                              WHERE time < """ + S.ts(END) + " GROUP BY brand)")
+    rk = ("rk", """SELECT user_id, sku_id, cate, brand,
+                  CAST(row_number() OVER (PARTITION BY user_id ORDER BY sku_total DESC, sku_id, cate, brand) - 1 AS INTEGER) AS sku_total_rank
+           FROM pt""")
+    cb = ("cb", """SELECT p.user_id, p.cate, p.n AS diff_cate_total, u.diff_cate,
+                  CAST(p.n AS DOUBLE) / CAST(u.diff_cate AS DOUBLE) AS diff_cate_ratio,
+                  CAST(ub.diff_sku AS DOUBLE) / CAST(u.diff_cate AS DOUBLE) AS sku_cate_ratio
+           FROM (SELECT user_id, cate, count(*) AS n FROM pt GROUP BY 1, 2) p
+           JOIN (SELECT user_id, count(DISTINCT cate) AS diff_cate FROM pt GROUP BY 1) u ON u.user_id = p.user_id
+           JOIN ub ON ub.user_id = p.user_id""")
+    bb = ("bb", """SELECT p.user_id, p.brand, p.n AS diff_brand_total, u.diff_brand,
+                  CAST(p.n AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS diff_brand_ratio,
+                  CAST(ub.diff_sku AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS sku_brand_ratio,
+                  CAST(c.diff_cate AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS cate_brand_ratio
+           FROM (SELECT user_id, brand, count(*) AS n FROM pt GROUP BY 1, 2) p
+           JOIN (SELECT user_id, count(DISTINCT brand) AS diff_brand FROM pt GROUP BY 1) u ON u.user_id = p.user_id
+           JOIN (SELECT user_id, count(DISTINCT cate) AS diff_cate FROM pt GROUP BY 1) c ON c.user_id = p.user_id
+           JOIN ub ON ub.user_id = p.user_id""")
+    pcols = [c.split(" AS ")[-1] for c in PRODUCT_ONEHOT_COLS.split(", ")[3:]]
+    age_cols = [f"age_action_{k}" for k in P.TYPES] + [f"age_ratio_{k}" for k in P.NON_PURCHASE_TYPES]
+    roll_cols = []
+    for prefix in ("cate", "brand", "user", "sku"):
+        roll_cols += [f"{prefix}_r.{prefix}_action_{k}" for k in P.TYPES]
+        roll_cols += [f"{prefix}_r.{prefix}_ratio_{k}" for k in P.NON_PURCHASE_TYPES]
+    body = f"""
+        SELECT c.*, pt.sku_total, rk.sku_total_rank,
+               CAST(CASE WHEN rk.sku_total_rank = 0 THEN 1 ELSE 0 END AS INTEGER) AS sku_action_max,
+               CAST(pt.sku_total AS DOUBLE) / CAST(ub.action_total AS DOUBLE) AS sku_action_ratio,
+               ub.action_total, ub.diff_sku,
+               cb.diff_cate_total, cb.diff_cate, cb.diff_cate_ratio, cb.sku_cate_ratio,
+               bb.diff_brand_total, bb.diff_brand, bb.diff_brand_ratio, bb.sku_brand_ratio, bb.cate_brand_ratio,
+               coalesce(brank.brand_rank, 0) AS brand_rank,
+               {', '.join(f'coalesce(po.{c}, 0) AS {c}' for c in pcols)},
+               coalesce(ud.age, 0) AS age,
+               {', '.join(roll_cols)},
+               {', '.join(f'coalesce(age_r.{c}, 0) AS {c}' for c in age_cols)}
+        FROM c
+        JOIN pt ON pt.user_id = c.user_id AND pt.sku_id = c.sku_id AND pt.cate = c.cate AND pt.brand = c.brand
+        JOIN rk ON rk.user_id = c.user_id AND rk.sku_id = c.sku_id AND rk.cate = c.cate AND rk.brand = c.brand
+        JOIN ub ON ub.user_id = c.user_id
+        JOIN cb ON cb.user_id = c.user_id AND cb.cate = c.cate
+        JOIN bb ON bb.user_id = c.user_id AND bb.brand = c.brand
+        LEFT JOIN brank ON brank.brand = c.brand
+        LEFT JOIN po ON po.sku_id = c.sku_id
+        LEFT JOIN ud ON ud.user_id = c.user_id
+        JOIN cate_r ON cate_r.cate = c.cate
+        JOIN brand_r ON brand_r.brand = c.brand
+        JOIN user_r ON user_r.user_id = c.user_id
+        JOIN sku_r ON sku_r.sku_id = c.sku_id
+        LEFT JOIN age_r ON age_r.age = ud.age"""
+    return S.with_views(["actions", "users", "products"], [
+        *BREADTH_CTES, *USER_DIM_SQL_CTES,
+        ("c", f"SELECT user_id, sku_id, cate, brand, {cnt} FROM r GROUP BY user_id, sku_id, cate, brand"),
+        rank, rk, cb, bb, ("po", f"SELECT {PRODUCT_ONEHOT_COLS} FROM products"), *roll], body)
+
+
+@register("window_block", _window_block_sql())
+def q_window_block(spark, sf_dir):
+    return ft.window_block(fx.actions(spark, sf_dir), _user_dim(spark, sf_dir), fx.products(spark, sf_dir),
+                           END, BLOCK_DAYS)
