@@ -811,3 +811,34 @@ def _window_block_sql():
 def q_window_block(spark, sf_dir):
     return ft.window_block(fx.actions(spark, sf_dir), _user_dim(spark, sf_dir), fx.products(spark, sf_dir),
                            END, BLOCK_DAYS)
+
+
+# --------------------------------------------------------------------------
+# Incremental ingestion (Structured Streaming, file source)
+# --------------------------------------------------------------------------
+
+from actionlens.streaming import ingest  # noqa: E402
+
+
+def _events_to_actions(spark, sf_dir):
+    def conv(batch):
+        return fx.actions_from_events(batch, spark.read.parquet(f"{sf_dir}/part.parquet"))
+    return conv
+
+
+@register("streaming_day_counts", S.with_views(["actions"], [], f"""
+    SELECT user_id, sku_id, cate, brand, CAST(time AS DATE) AS day,
+           {', '.join(f'count(*) FILTER (WHERE type = {k}) AS n_{k}' for k in P.TYPES)}
+    FROM actions GROUP BY user_id, sku_id, cate, brand, CAST(time AS DATE)"""))
+def q_streaming_day_counts(spark, sf_dir):
+    import uuid
+    from actionlens.session import ensure_checkpoint_dir
+    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/ingest-{uuid.uuid4().hex}"
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    # The driver folder holds one file per table; a glob selects the events
+    # file(s), as a landing folder of log files would.
+    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{sf_dir}/event[s]*.parquet")
+    q = ingest.ingest_day_counts(spark, src, _events_to_actions(spark, sf_dir), f"{base}/sink", f"{base}/ckpt")
+    q.awaitTermination()
+    return ingest.read_day_counts(spark, f"{base}/sink").drop("batch")

@@ -28,8 +28,12 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     part side at run time only when its shuffle output is small, and falls
     back to a sort-merge join otherwise.
     """
-    e = _read(spark, sf_dir, "events")
-    p = _read(spark, sf_dir, "part").select(
+    return actions_from_events(_read(spark, sf_dir, "events"), _read(spark, sf_dir, "part"))
+
+
+def actions_from_events(e: DataFrame, part: DataFrame) -> DataFrame:
+    """The ``actions`` mapping for any events frame (batch or micro-batch)."""
+    p = part.select(
         F.col("p_partkey"), F.col("p_type").alias("cate"), F.col("p_brand").alias("brand"))
     code = None
     for name, v in EVENT_TYPE_CODES.items():
