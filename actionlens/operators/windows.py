@@ -77,7 +77,12 @@ def pair_window_counts(actions: DataFrame, end: str, windows: Sequence[int],
     callers that pass a ``daily`` table spanning more days than ``windows``.
     """
     if daily is None:
-        daily = day_counts(actions, keys, end, max(windows), types)
+        # Standalone: one aggregate straight off the log (one shuffle); the
+        # day-level table only pays off when several grains share it.
+        rows = lookback(actions, end, max(windows)).withColumn("off", day_offset("time", end))
+        aggs = [F.expr(f"CAST(sum(CASE WHEN type = {k} AND off <= {n} THEN 1 ELSE 0 END) AS BIGINT)"
+                       f" AS w{n}_action_{k}") for n in windows for k in types]
+        return rows.groupBy(*keys).agg(*aggs)
     return _window_sums(daily, keys, windows, types, lambda n, k: f"w{n}_action_{k}", first_off)
 
 

@@ -82,9 +82,14 @@ def q_pair_window_counts(spark, sf_dir):
     return win.pair_window_counts(fx.actions(spark, sf_dir), END, P.PAIR_WINDOWS)
 
 
-@register("pair_window_counts_rescan", _pair_window_sql(P.SHORT_WINDOWS))
+@register("pair_window_counts_rescan", _pair_window_sql(P.PAIR_WINDOWS))
 def q_pair_window_counts_rescan(spark, sf_dir):
-    return win.pair_window_counts_rescan(fx.actions(spark, sf_dir), END, P.SHORT_WINDOWS)
+    return win.pair_window_counts_rescan(fx.actions(spark, sf_dir), END, P.PAIR_WINDOWS)
+
+
+@register("pair_window_counts_short", _pair_window_sql(P.SHORT_WINDOWS))
+def q_pair_window_counts_short(spark, sf_dir):
+    return win.pair_window_counts(fx.actions(spark, sf_dir), END, P.SHORT_WINDOWS)
 
 
 def _acc_ratio_sql(key: str, prefix: str, windows=P.ACC_WINDOWS, end=END) -> str:
