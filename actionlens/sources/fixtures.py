@@ -16,8 +16,21 @@ from pyspark.sql import functions as F
 EVENT_TYPE_CODES = {"view": 1, "signup": 2, "error": 3, "purchase": 4, "click": 6}
 
 
+_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+
+
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The parquet relation of a driver table, resolved once per session.
+
+    Resolving a relation lists the files and reads their footers on the
+    driver; a query touches the same table several times, so the resolved
+    (lazy, data-free) relation is reused.
+    """
+    path = f"{sf_dir}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _RELATIONS:
+        _RELATIONS[key] = spark.read.parquet(path)
+    return _RELATIONS[key]
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
