@@ -50,11 +50,13 @@ def sku_rank_in_user(pairs: DataFrame) -> DataFrame:
     Ties go to the smaller sku id.  Also the top flag and the product's share
     of the user's actions.
     """
-    ranked = rank_within(pairs, ["user_id"],
+    # Totals are joined before ranking, so the pinned (checkpointed) table
+    # carries them and nothing downstream goes back to the log.
+    totals = user_breadth(pairs).select("user_id", "action_total")
+    ranked = rank_within(pairs.join(totals, "user_id"), ["user_id"],
                          [F.col("sku_total").desc(), F.col("sku_id"), F.col("cate"), F.col("brand")],
                          name="sku_total_rank")
-    totals = user_breadth(pairs).select("user_id", "action_total")
-    return (ranked.join(totals, "user_id")
+    return (ranked
             .withColumn("sku_action_max", F.when(F.col("sku_total_rank") == 0, 1).otherwise(0).cast("int"))
             .withColumn("sku_action_ratio", _ratio("sku_total", "action_total"))
             .drop("action_total"))
