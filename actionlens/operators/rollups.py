@@ -26,6 +26,16 @@ def rollup(rows: DataFrame, key: str, prefix: str | None = None) -> DataFrame:
     return with_ratios(type_counts(rows, [key], TYPES, prefix=f"{prefix}_action"), prefix)
 
 
+def rollup_from_counts(counts: DataFrame, key: str, prefix: str | None = None,
+                       src: str = "action") -> DataFrame:
+    """Rollup of an already aggregated table with ``{src}_1..6`` count columns
+    (sums of sums: the finer grain is reused, the log is not read again)."""
+    prefix = prefix or key.replace("_id", "")
+    agg = counts.groupBy(key).agg(*[F.expr(f"CAST(sum({src}_{k}) AS BIGINT) AS {prefix}_action_{k}")
+                                    for k in TYPES])
+    return with_ratios(agg, prefix)
+
+
 def rollup_by_user_attr(rows: DataFrame, users: DataFrame, attr: str, prefix: str | None = None,
                         keep_null: bool = False) -> DataFrame:
     """Rollup over a user attribute (age, sex, level).

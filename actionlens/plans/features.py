@@ -22,6 +22,7 @@ from actionlens.operators import dims
 from actionlens.operators import rollups as ru
 from actionlens.operators import windows as win
 from actionlens.operators.selection import purchase_labels
+from actionlens.session import ensure_checkpoint_dir
 
 
 def feature_set(actions: DataFrame, end: str, pair_windows: Sequence[int] = P.PAIR_WINDOWS,
@@ -74,19 +75,34 @@ def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame,
 
 def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
                  days: int) -> DataFrame:
-    """Pair features of one look-back window with breadth, rank and rollups."""
+    """Pair features of one look-back window with breadth, rank and rollups.
+
+    The window's rows are reduced once to the pair grain (behaviour counts +
+    total) and that table is pinned in the shared checkpoint folder: breadth,
+    rank and every rollup read it, and each consumer prunes different
+    columns, so without pinning every consumer would rescan the log.
+    """
     rows = win.lookback(actions, end, days)
-    counts = win.type_counts(rows, win.PAIR_KEYS)
-    totals = br.pair_totals(rows)
+    counts = rows.groupBy(*win.PAIR_KEYS).agg(
+        *[F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS action_{k}") for k in P.TYPES],
+        F.count(F.lit(1)).alias("sku_total"))
+    ensure_checkpoint_dir(actions.sparkSession)
+    counts = counts.checkpoint(eager=True)
+    totals = counts.select(*win.PAIR_KEYS, "sku_total")
     ranked = br.sku_rank_in_user(totals).drop("sku_total")
     ub = br.user_breadth(totals)
     cb = br.group_breadth(totals, "cate")
-    bb = br.group_breadth(totals, "brand").drop("diff_cate")
+    bb = br.group_breadth(totals, "brand")
     brank = br.brand_popularity_rank(actions.where(F.col("time") < F.lit(end).cast("timestamp_ntz"))) \
         .drop("purchases")
     prod = dims.product_onehot(products).drop("cate", "brand")
     ages = user_dim.select("user_id", "age")
-    out = (counts.join(totals, list(win.PAIR_KEYS))
+    per_user = counts.groupBy("user_id").agg(
+        *[F.expr(f"CAST(sum(action_{k}) AS BIGINT) AS a_{k}") for k in P.TYPES])
+    age_roll = ru.with_ratios(
+        per_user.join(ages, "user_id").where(F.col("age").isNotNull()).groupBy("age").agg(
+            *[F.expr(f"CAST(sum(a_{k}) AS BIGINT) AS age_action_{k}") for k in P.TYPES]), "age")
+    out = (counts
            .join(ranked, list(win.PAIR_KEYS))
            .join(ub, "user_id")
            .join(cb, ["user_id", "cate"])
@@ -94,9 +110,9 @@ def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, e
            .join(brank, "brand", "left")
            .join(prod, "sku_id", "left")
            .join(ages, "user_id", "left")
-           .join(ru.rollup(rows, "cate"), "cate", "left")
-           .join(ru.rollup(rows, "brand"), "brand", "left")
-           .join(ru.rollup(rows, "user_id", "user"), "user_id", "left")
-           .join(ru.rollup(rows, "sku_id", "sku"), "sku_id", "left")
-           .join(ru.rollup_by_user_attr(rows, user_dim, "age"), "age", "left"))
+           .join(ru.rollup_from_counts(counts, "cate"), "cate", "left")
+           .join(ru.rollup_from_counts(counts, "brand"), "brand", "left")
+           .join(ru.rollup_from_counts(counts, "user_id", "user"), "user_id", "left")
+           .join(ru.rollup_from_counts(counts, "sku_id", "sku"), "sku_id", "left")
+           .join(age_roll, "age", "left"))
     return out.na.fill(0)
