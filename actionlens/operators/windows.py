@@ -49,9 +49,14 @@ def type_counts(actions: DataFrame, keys: Sequence[str], types: Sequence[int] =
 
 
 def day_counts(actions: DataFrame, keys: Sequence[str], end: str, max_days: int,
-               types: Sequence[int] = TYPES) -> DataFrame:
-    """keys + off + n_1..n_6: behaviour counts per key and day before ``end``."""
-    rows = lookback(actions, end, max_days).withColumn("off", day_offset("time", end))
+               types: Sequence[int] = TYPES, until: str | None = None) -> DataFrame:
+    """keys + off + n_1..n_6: behaviour counts per key and day before ``end``.
+
+    ``until`` extends the scanned range past ``end`` (those days get
+    ``off <= 0``), so a later period can be read from the same aggregate.
+    """
+    rows = time_range(actions, shift_date(end, -max_days), until or end) \
+        .withColumn("off", day_offset("time", end))
     # sum(CASE ...) rather than count_if: Spark 4.1 rewrites count_if with
     # uniquely named common sub-expressions, which defeats exchange reuse
     # when several grains read this aggregate.
@@ -59,13 +64,16 @@ def day_counts(actions: DataFrame, keys: Sequence[str], end: str, max_days: int,
     return rows.groupBy(*keys, "off").agg(*aggs)
 
 
-def _window_sums(daily: DataFrame, keys: Sequence[str], windows: Sequence[int],
-                 types: Sequence[int], name, first_off: bool = False) -> DataFrame:
-    aggs = [F.expr(f"CAST(sum(CASE WHEN off <= {n} THEN n_{k} ELSE 0 END) AS BIGINT) AS {name(n, k)}")
+def window_sums(daily: DataFrame, keys: Sequence[str], windows: Sequence[int],
+                types: Sequence[int], name, first_off: bool = False, extra: Sequence = ()) -> DataFrame:
+    """Window counts per key from a ``day_counts`` table (plus ``extra`` aggregates)."""
+    # ``off >= 1``: a day table may also hold days at or after ``end`` (the
+    # label period, see plans.features.train_set); windows never count them.
+    aggs = [F.expr(f"CAST(sum(CASE WHEN off BETWEEN 1 AND {n} THEN n_{k} ELSE 0 END) AS BIGINT) AS {name(n, k)}")
             for n in windows for k in types]
     if first_off:
-        aggs.append(F.expr("min(off) AS _first_off"))
-    return daily.groupBy(*keys).agg(*aggs)
+        aggs.append(F.expr("min(CASE WHEN off >= 1 THEN off END) AS _first_off"))
+    return daily.groupBy(*keys).agg(*aggs, *extra)
 
 
 def pair_window_counts(actions: DataFrame, end: str, windows: Sequence[int],
@@ -83,7 +91,7 @@ def pair_window_counts(actions: DataFrame, end: str, windows: Sequence[int],
         aggs = [F.expr(f"CAST(sum(CASE WHEN type = {k} AND off <= {n} THEN 1 ELSE 0 END) AS BIGINT)"
                        f" AS w{n}_action_{k}") for n in windows for k in types]
         return rows.groupBy(*keys).agg(*aggs)
-    return _window_sums(daily, keys, windows, types, lambda n, k: f"w{n}_action_{k}", first_off)
+    return window_sums(daily, keys, windows, types, lambda n, k: f"w{n}_action_{k}", first_off)
 
 
 def pair_window_counts_rescan(actions: DataFrame, end: str, windows: Sequence[int],
@@ -120,7 +128,7 @@ def accumulated_ratios(actions: DataFrame, key: str, end: str, windows: Sequence
     """
     if daily is None:
         daily = day_counts(actions, [key], end, max(windows))
-    sums = _window_sums(daily, [key], windows, TYPES, lambda n, k: f"{prefix}_w{n}_action_{k}")
+    sums = window_sums(daily, [key], windows, TYPES, lambda n, k: f"{prefix}_w{n}_action_{k}")
     cols = [key]
     for n in windows:
         p = f"{prefix}_w{n}_action"

@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,56 +22,87 @@ from actionlens.operators import breadth as br
 from actionlens.operators import dims
 from actionlens.operators import rollups as ru
 from actionlens.operators import windows as win
-from actionlens.operators.selection import purchase_labels
 from actionlens.session import ensure_checkpoint_dir
 
 
-def feature_set(actions: DataFrame, end: str, pair_windows: Sequence[int] = P.PAIR_WINDOWS,
-                acc_windows: Sequence[int] = P.ACC_WINDOWS) -> DataFrame:
-    longest_pair = max(pair_windows)
-    # The three grains read one day-level aggregate.  Stating the join keys'
-    # non-null filter up front keeps the three branches identical, so the
-    # planner reuses the one shuffle (ReusedExchange) instead of rescanning.
+def _day_table(actions: DataFrame, end: str, days: int, until: str | None = None) -> DataFrame:
+    # The grains read one day-level aggregate.  Stating the join keys'
+    # non-null filter up front keeps the branches identical, so the planner
+    # reuses the one shuffle (ReusedExchange) instead of rescanning the log.
     keyed = actions.where(F.col("user_id").isNotNull() & F.col("sku_id").isNotNull())
-    daily = win.day_counts(keyed, win.PAIR_KEYS, end, max(longest_pair, max(acc_windows)))
+    return win.day_counts(keyed, win.PAIR_KEYS, end, days, until=until)
+
+
+def _grains(actions: DataFrame, end: str, pair_windows, acc_windows, label_window=None):
+    """(pair, user, sku) tables from one day-level aggregate.
+
+    With ``label_window = (start, end)`` the day table also covers the label
+    days and the pair table gets ``label`` (any purchase on those days) from
+    the same aggregate: no second scan and no join on the pair key.
+    """
+    longest_pair = max(pair_windows)
+    until = label_window[1] if label_window and label_window[1] > end else None
+    daily = _day_table(actions, end, max(longest_pair, max(acc_windows)), until)
+    extra = []
+    if label_window:
+        lo = (date.fromisoformat(end) - date.fromisoformat(label_window[1])).days + 1
+        hi = (date.fromisoformat(end) - date.fromisoformat(label_window[0])).days
+        extra.append(F.expr(f"CAST(max(CASE WHEN off BETWEEN {lo} AND {hi} AND n_{P.PURCHASE} > 0 "
+                            f"THEN 1 ELSE 0 END) AS INT) AS label"))
     # Pair rows are the pairs active in the longest pair window.  The test is
     # on an aggregate (earliest offset), so it cannot be pushed below the
     # shared day-level aggregate and the branches stay identical.
-    pair = (win.pair_window_counts(actions, end, pair_windows, daily=daily, first_off=True)
+    pair = (win.window_sums(daily, win.PAIR_KEYS, pair_windows, P.TYPES, lambda n, k: f"w{n}_action_{k}",
+                            first_off=True, extra=extra)
             .where(F.col("_first_off") <= longest_pair).drop("_first_off"))
     user = win.accumulated_ratios(actions, "user_id", end, acc_windows, "user", daily=daily)
     sku = win.accumulated_ratios(actions, "sku_id", end, acc_windows, "sku", daily=daily)
+    return pair, user, sku
+
+
+def feature_set(actions: DataFrame, end: str, pair_windows: Sequence[int] = P.PAIR_WINDOWS,
+                acc_windows: Sequence[int] = P.ACC_WINDOWS) -> DataFrame:
+    pair, user, sku = _grains(actions, end, pair_windows, acc_windows)
     fill = [c for c in user.columns + sku.columns if c not in ("user_id", "sku_id")]
     return pair.join(user, "user_id", "left").join(sku, "sku_id", "left").na.fill(0, fill)
 
 
-def _with_dimensions(fs: DataFrame, user_dim: DataFrame, products: DataFrame,
-                     comments: DataFrame, comment_end: str) -> DataFrame:
+def _user_side(user: DataFrame, user_dim: DataFrame) -> DataFrame:
+    return user.join(user_dim, "user_id", "left")
+
+
+def _sku_side(sku: DataFrame, products: DataFrame, comments: DataFrame, comment_end: str) -> DataFrame:
     prod = dims.product_onehot(products).drop("cate", "brand")
     com = dims.comment_features(comments, comment_end)
-    return (fs.join(user_dim, "user_id", "left")
-            .join(prod, "sku_id", "left")
-            .join(com, "sku_id", "left"))
+    return sku.join(prod, "sku_id", "left").join(com, "sku_id", "left")
 
 
 def train_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, comments: DataFrame,
               end: str, label_start: str, label_end: str, comment_end: str,
               pair_windows: Sequence[int] = P.PAIR_WINDOWS,
               acc_windows: Sequence[int] = P.ACC_WINDOWS) -> DataFrame:
-    fs = _with_dimensions(feature_set(actions, end, pair_windows, acc_windows),
-                          user_dim, products, comments, comment_end)
-    labels = purchase_labels(actions, label_start, label_end)
-    return fs.join(labels, ["user_id", "sku_id"], "left").na.fill(0)
+    """Feature set + user / product / review dimensions + label.
+
+    Dimensions are joined to the narrow per-user and per-sku tables first,
+    so the wide pair table is shuffled at most twice (by user, by sku) —
+    and not at all when AQE finds those sides small enough to broadcast.
+    """
+    pair, user, sku = _grains(actions, end, pair_windows, acc_windows, (label_start, label_end))
+    return (pair.join(_user_side(user, user_dim), "user_id", "left")
+            .join(_sku_side(sku, products, comments, comment_end), "sku_id", "left")
+            .na.fill(0))
 
 
 def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, comments: DataFrame,
                   end: str, comment_end: str, cate: str | None = P.TARGET_CATE,
                   pair_windows: Sequence[int] = P.PAIR_WINDOWS,
                   acc_windows: Sequence[int] = P.ACC_WINDOWS) -> DataFrame:
-    fs = feature_set(actions, end, pair_windows, acc_windows)
+    pair, user, sku = _grains(actions, end, pair_windows, acc_windows)
     if cate is not None:
-        fs = fs.where(F.col("cate") == cate)
-    return _with_dimensions(fs, user_dim, products, comments, comment_end).na.fill(0)
+        pair = pair.where(F.col("cate") == cate)
+    return (pair.join(_user_side(user, user_dim), "user_id", "left")
+            .join(_sku_side(sku, products, comments, comment_end), "sku_id", "left")
+            .na.fill(0))
 
 
 def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
