@@ -90,3 +90,17 @@ def holdout_logloss(train: DataFrame, max_iter: int = 200, test_percent: int = 2
                                 F.count_if(F.col("is_test") == 1).alias("test_rows"))
     return counts.select("train_rows", "test_rows",
                          F.lit(round(tr, 9)).alias("train_logloss"), F.lit(round(te, 9)).alias("test_logloss"))
+
+
+def save_model(model, path: str) -> None:
+    model.write().overwrite().save(path)
+
+
+def load_gbt(path: str):
+    from pyspark.ml.classification import GBTClassificationModel
+    return GBTClassificationModel.load(path)
+
+
+def load_forest(path: str):
+    from pyspark.ml.regression import RandomForestRegressionModel
+    return RandomForestRegressionModel.load(path)

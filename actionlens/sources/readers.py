@@ -87,3 +87,19 @@ def memoised(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     """
     df.write.mode("ignore").parquet(path)
     return spark.read.parquet(path)
+
+
+def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
+    """A deterministic preview: the first ``n`` rows under ``order``
+    (``orderBy().limit()`` plans as a per-task top-n, merged once)."""
+    return df.orderBy(*order).limit(n)
+
+
+def write_columns(df: DataFrame, cols: Sequence[str], path: str, mode: str = "append",
+                  fmt: str = "csv", header: bool = False) -> None:
+    """Column-pruned sink: only ``cols`` are read and written."""
+    w = df.select(*cols).write.mode(mode)
+    if fmt == "csv":
+        w.option("header", header).csv(path)
+    else:
+        w.format(fmt).save(path)

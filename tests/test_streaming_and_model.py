@@ -38,3 +38,28 @@ def test_hash_split_is_stable(spark):
     a = hash_split(df).where("is_test = 1").count()
     b = hash_split(df.repartition(7)).where("is_test = 1").count()
     assert a == b and 300 < a < 500
+
+
+def test_model_save_load_and_class_weight(spark, tmp_path):
+    from actionlens.plans import catalog as C
+    train = C._train(spark, SF_SMALL, C.TRAIN_END, C.TRAIN_END, C.TRAIN_LABEL_END)
+    data, cols = ml.prepare(train)
+    data = ml.pin(ml.with_class_weight(data, 20.0))
+    model = ml.gbt(max_iter=3, weight_col="weight").fit(data)
+    path = str(tmp_path / "gbt")
+    ml.save_model(model, path)
+    again = ml.load_gbt(path)
+    a = ml.probability_scores(model, train, cols)
+    b = ml.probability_scores(again, train, cols)
+    assert a.exceptAll(b).count() == 0
+
+
+def test_first_rows_and_column_sink(spark, tmp_path):
+    from actionlens.sources.readers import first_rows, write_columns
+    a = fx.actions(spark, SF_SMALL)
+    head = first_rows(a, 100, ["time", "user_id", "sku_id", "type"]).collect()
+    assert len(head) == 100 and head == sorted(head, key=lambda r: (r.time, r.user_id, r.sku_id, r.type))
+    out = str(tmp_path / "pruned")
+    write_columns(a, ["user_id", "sku_id", "type", "cate", "brand"], out)
+    write_columns(a, ["user_id", "sku_id", "type", "cate", "brand"], out)   # append twice
+    assert spark.read.csv(out).count() == 2 * a.count()
