@@ -22,10 +22,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from actionlens.functions.expr import day_offset, safe_ratio
+from datetime import date
+
+from actionlens.functions.expr import day_offset, safe_ratio, ts_lit
 from actionlens.operators.selection import in_product_subset, purchase_labels
-from actionlens.operators.windows import lookback
-from actionlens.params import NON_PURCHASE_TYPES
+from actionlens.operators.windows import lookback, shift_date
+from actionlens.params import NON_PURCHASE_TYPES, PURCHASE
 
 
 def positives(actions: DataFrame, products: DataFrame | None, start: str, end: str,
@@ -95,3 +97,88 @@ def conversion_rows(actions: DataFrame, pos: DataFrame, end: str, days: int) ->
                          F.sum("dh").over(run).cast("bigint").alias("window_hit_rows"),
                          F.col("d").cast("bigint").alias("day_rows"),
                          F.col("dh").cast("bigint").alias("day_hit_rows"))
+
+
+# ---------------------------------------------------------------------------
+# One-scan form: every curve from one (user, sku) aggregate.
+# ---------------------------------------------------------------------------
+
+def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days: int,
+                label_start: str, label_end: str, cate: str | None = None,
+                types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
+    """One row per (user, sku) seen in ``[end - days, max(end, label_end))``:
+
+    * ``m_{t}``   bit d-1 set when the pair has behaviour t on day ``off = d``
+                  (1 <= d <= days; a BIGINT, so days <= 62),
+    * ``r_{d}``   rows of the pair on day d (all behaviours),
+    * ``hit``     1 when the pair bought (in ``cate``) during the label window
+                  and its sku is in the product subset.
+
+    The log is scanned once (the label days are read by the same scan) and
+    reduced by one two-phase aggregate; the product test is a sku-keyed join.
+    """
+    if days > 62:
+        raise ValueError("day masks hold at most 62 days")
+    lo = (date.fromisoformat(end) - date.fromisoformat(label_end)).days + 1
+    hi = (date.fromisoformat(end) - date.fromisoformat(label_start)).days
+    upper = max(end, label_end)
+    rows = (actions.where((F.col("time") >= ts_lit(shift_date(end, -days))) & (F.col("time") < ts_lit(upper)))
+            .withColumn("off", day_offset("time", end)))
+    cate_test = f" AND cate = '{cate}'" if cate is not None else ""
+    aggs = [F.expr(f"bit_or(CASE WHEN type = {t} AND off BETWEEN 1 AND {days} "
+                   f"THEN shiftleft(CAST(1 AS BIGINT), off - 1) ELSE CAST(0 AS BIGINT) END) AS m_{t}") for t in types]
+    aggs += [F.expr(f"CAST(sum(CASE WHEN off = {d} THEN 1 ELSE 0 END) AS BIGINT) AS r_{d}") for d in range(1, days + 1)]
+    aggs.append(F.expr(f"max(CASE WHEN type = {PURCHASE} AND off BETWEEN {lo} AND {hi}{cate_test} "
+                       f"THEN 1 ELSE 0 END) AS bought"))
+    pairs = rows.groupBy("user_id", "sku_id").agg(*aggs)
+    if products is not None:
+        skus = products.select("sku_id").distinct().withColumn("_in", F.lit(1))
+        pairs = pairs.join(skus, "sku_id", "left")
+        in_subset = F.col("_in") == 1
+    else:
+        pairs = pairs.withColumn("_in", F.lit(1))
+        in_subset = F.lit(True)
+    return pairs.withColumn("hit", F.when((F.col("bought") == 1) & in_subset, 1).otherwise(0)) \
+                .drop("_in", "bought")
+
+
+def _per_type(table: DataFrame, types: Sequence[int]) -> DataFrame:
+    return table.select("hit", F.explode(F.array(*[
+        F.struct(F.lit(t).alias("type"), F.col(f"m_{t}").alias("m")) for t in types])).alias("x")) \
+        .select("hit", "x.type", "x.m").where(F.col("m") != 0)
+
+
+def cumulative_from_table(table: DataFrame, days: int, types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
+    # A pair is in window N iff its earliest day <= N; earliest day = 1 +
+    # index of the lowest set bit = bit_count(m XOR (m - 1)).
+    first = _per_type(table, types).select("type", "hit", F.expr("bit_count(m ^ (m - 1))").alias("n_days"))
+    hist = first.groupBy("type", "n_days").agg(F.count(F.lit(1)).alias("p"), F.sum("hit").alias("h"))
+    filled = F.broadcast(_grid(table.sparkSession, days, types)).join(hist, ["n_days", "type"], "left")
+    run = Window.partitionBy("type").orderBy("n_days").rowsBetween(Window.unboundedPreceding, 0)
+    counts = filled.select("n_days", "type",
+                           F.sum(F.coalesce("p", F.lit(0))).over(run).alias("pairs"),
+                           F.sum(F.coalesce("h", F.lit(0))).over(run).alias("hits"))
+    return _finish(counts, _grid(table.sparkSession, days, types), ["n_days", "type"])
+
+
+def daily_from_table(table: DataFrame, days: int, types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
+    on_days = _per_type(table, types).select(
+        "type", "hit", F.explode(F.expr(f"filter(sequence(1, {days}), d -> (shiftright(m, d - 1) & 1) = 1)"))
+        .alias("n_days"))
+    counts = on_days.groupBy("n_days", "type").agg(F.count(F.lit(1)).alias("pairs"), F.sum("hit").alias("hits"))
+    return _finish(counts, _grid(table.sparkSession, days, types), ["n_days", "type"])
+
+
+def rows_from_table(table: DataFrame, days: int) -> DataFrame:
+    sums = table.agg(*[F.sum(f"r_{d}").alias(f"d_{d}") for d in range(1, days + 1)],
+                     *[F.sum(F.col(f"r_{d}") * F.col("hit")).alias(f"h_{d}") for d in range(1, days + 1)])
+    per_day = sums.select(F.explode(F.array(*[
+        F.struct(F.lit(d).alias("n_days"), F.coalesce(F.col(f"d_{d}"), F.lit(0)).alias("d"),
+                 F.coalesce(F.col(f"h_{d}"), F.lit(0)).alias("dh")) for d in range(1, days + 1)])).alias("x")) \
+        .select("x.*")
+    run = Window.orderBy("n_days").rowsBetween(Window.unboundedPreceding, 0)   # <= days rows
+    return per_day.select(F.col("n_days").cast("int").alias("n_days"),
+                          F.sum("d").over(run).cast("bigint").alias("window_rows"),
+                          F.sum("dh").over(run).cast("bigint").alias("window_hit_rows"),
+                          F.col("d").cast("bigint").alias("day_rows"),
+                          F.col("dh").cast("bigint").alias("day_hit_rows"))

@@ -503,16 +503,16 @@ def _daily_sql(cate):
         f"SELECT n_days, type, pairs, hits, {S.safe_ratio('hits', 'pairs')} AS rate FROM c")
 
 
-def _curve_inputs(spark, sf_dir, cate):
-    a = fx.actions(spark, sf_dir)
-    return a, cv.positives(a, fx.products(spark, sf_dir), P.LABEL_START, P.LABEL_END, cate)
+def _curve_table(spark, sf_dir, cate):
+    return cv.curve_table(fx.actions(spark, sf_dir), fx.products(spark, sf_dir), END, P.CURVE_DAYS,
+                          P.LABEL_START, P.LABEL_END, cate)
 
 
 for _suffix, _cate in (("", None), ("_target", P.TARGET_CATE)):
     register(f"conversion_cumulative{_suffix}", _cum_sql(_cate))(
-        lambda spark, sf_dir, _c=_cate: cv.conversion_cumulative(*_curve_inputs(spark, sf_dir, _c), END, P.CURVE_DAYS))
+        lambda spark, sf_dir, _c=_cate: cv.cumulative_from_table(_curve_table(spark, sf_dir, _c), P.CURVE_DAYS))
     register(f"conversion_daily{_suffix}", _daily_sql(_cate))(
-        lambda spark, sf_dir, _c=_cate: cv.conversion_daily(*_curve_inputs(spark, sf_dir, _c), END, P.CURVE_DAYS))
+        lambda spark, sf_dir, _c=_cate: cv.daily_from_table(_curve_table(spark, sf_dir, _c), P.CURVE_DAYS))
 
 
 @register("conversion_rows", S.with_views(["actions", "products"], [
@@ -527,7 +527,7 @@ for _suffix, _cate in (("", None), ("_target", P.TARGET_CATE)):
            CAST(coalesce(d.day_hit_rows, 0) AS BIGINT) AS day_hit_rows
     FROM g LEFT JOIN d ON d.n_days = g.n_days"""))
 def q_conversion_rows(spark, sf_dir):
-    return cv.conversion_rows(*_curve_inputs(spark, sf_dir, None), END, P.CURVE_DAYS)
+    return cv.rows_from_table(_curve_table(spark, sf_dir, None), P.CURVE_DAYS)
 
 
 # --------------------------------------------------------------------------

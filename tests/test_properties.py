@@ -40,3 +40,20 @@ def test_anti_and_semi_partition_the_input(spark):
     dropped = cand.join(buyers, "user_id", "left_semi")
     assert kept.count() + dropped.count() == cand.count()
     assert kept.unionByName(dropped).exceptAll(cand).count() == 0
+
+
+def test_one_scan_curves_equal_join_form(spark):
+    a = fx.actions(spark, SF_MID)
+    prods = fx.products(spark, SF_MID)
+    for cate in (None, P.TARGET_CATE):
+        pos = cv.positives(a, prods, P.LABEL_START, P.LABEL_END, cate)
+        table = cv.curve_table(a, prods, P.FEATURE_END, P.CURVE_DAYS, P.LABEL_START, P.LABEL_END, cate)
+        pairs = [(cv.conversion_cumulative(a, pos, P.FEATURE_END, P.CURVE_DAYS),
+                  cv.cumulative_from_table(table, P.CURVE_DAYS)),
+                 (cv.conversion_daily(a, pos, P.FEATURE_END, P.CURVE_DAYS),
+                  cv.daily_from_table(table, P.CURVE_DAYS)),
+                 (cv.conversion_rows(a, pos, P.FEATURE_END, P.CURVE_DAYS),
+                  cv.rows_from_table(table, P.CURVE_DAYS))]
+        for joined, one_scan in pairs:
+            assert joined.exceptAll(one_scan.select(*joined.columns)).count() == 0
+            assert one_scan.select(*joined.columns).exceptAll(joined).count() == 0
