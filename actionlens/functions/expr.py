@@ -25,25 +25,28 @@ def ts_lit(d: str) -> Column:
     return F.lit(d).cast("timestamp_ntz")
 
 
-def safe_ratio(num, den) -> Column:
+def safe_ratio(num, den, x_over_zero: float = 1.0) -> Column:
     """Purchase ratio with the pipeline's repair rules.
 
-    missing operand -> 0, 0/0 -> 0, x/0 -> 1 (an infinite ratio is capped at
-    1), otherwise true division.  Never raises under ANSI mode.
+    missing operand -> 0, 0/0 -> 0, x/0 -> ``x_over_zero`` (1: the infinite
+    ratio capped at 1, as the first generation does; ``float("inf")`` keeps
+    it infinite, as the second does), otherwise true division.  Never raises
+    under ANSI mode.
     """
     n, d = _c(num), _c(den)
     return (
         F.when(n.isNull() | d.isNull(), F.lit(0.0))
-        .when(d == 0, F.when(n == 0, F.lit(0.0)).otherwise(F.lit(1.0)))
+        .when(d == 0, F.when(n == 0, F.lit(0.0)).otherwise(F.lit(float(x_over_zero))))
         .otherwise(F.try_divide(n.cast("double"), d.cast("double")))
     )
 
 
-def safe_ratio_sql(num: str, den: str) -> str:
+def safe_ratio_sql(num: str, den: str, x_over_zero: float = 1.0) -> str:
     """``safe_ratio`` as a SQL expression string (for wide ``selectExpr`` lists:
     one JVM parse per column instead of a Py4J call per operator)."""
+    xz = "CAST('Infinity' AS DOUBLE)" if x_over_zero == float("inf") else repr(float(x_over_zero))
     return (f"CASE WHEN {num} IS NULL OR {den} IS NULL THEN 0.0 "
-            f"WHEN {den} = 0 THEN CASE WHEN {num} = 0 THEN 0.0 ELSE 1.0 END "
+            f"WHEN {den} = 0 THEN CASE WHEN {num} = 0 THEN 0.0 ELSE {xz} END "
             f"ELSE try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)) END")
 
 

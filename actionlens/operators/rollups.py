@@ -12,18 +12,24 @@ from actionlens.operators.windows import PAIR_KEYS, type_counts
 from actionlens.params import NON_PURCHASE_TYPES, PURCHASE, TYPES
 
 
-def with_ratios(df: DataFrame, prefix: str) -> DataFrame:
-    return df.selectExpr("*", *[f"{safe_ratio_sql(f'{prefix}_action_{PURCHASE}', f'{prefix}_action_{k}')}"
-                                f" AS {prefix}_ratio_{k}" for k in NON_PURCHASE_TYPES])
+def with_ratios(df: DataFrame, prefix: str, ratio_types: Sequence[int] = NON_PURCHASE_TYPES,
+                x_over_zero: float = 1.0) -> DataFrame:
+    """Add ``{prefix}_ratio_{k}`` = purchases / behaviour k for each k."""
+    return df.selectExpr("*", *[f"{safe_ratio_sql(f'{prefix}_action_{PURCHASE}', f'{prefix}_action_{k}', x_over_zero)}"
+                                f" AS {prefix}_ratio_{k}" for k in ratio_types])
 
 
-def rollup(rows: DataFrame, key: str, prefix: str | None = None) -> DataFrame:
+def rollup(rows: DataFrame, key: str, prefix: str | None = None,
+           ratio_types: Sequence[int] = NON_PURCHASE_TYPES, x_over_zero: float = 1.0) -> DataFrame:
     """Counts of each behaviour per ``key`` plus purchase ratios.
 
     A two-phase aggregate straight off the (already window-filtered) rows.
+    The second generation's form is ``ratio_types=(2, 5)`` with
+    ``x_over_zero=float("inf")``.
     """
     prefix = prefix or key.replace("_id", "")
-    return with_ratios(type_counts(rows, [key], TYPES, prefix=f"{prefix}_action"), prefix)
+    return with_ratios(type_counts(rows, [key], TYPES, prefix=f"{prefix}_action"), prefix,
+                       ratio_types, x_over_zero)
 
 
 def rollup_from_counts(counts: DataFrame, key: str, prefix: str | None = None,

@@ -145,3 +145,16 @@ def test_gbk_csv_with_chinese_age(spark, tmp_path):
     rows = {r.user_id: r for r in df.select("*", age_rank("age").alias("rank")).collect()}
     assert rows[1].rank == 1 and rows[2].rank == 7 and rows[3].rank == 5
     assert rows[3].sex is None and rows[3].user_reg_tm is None
+
+
+def test_ratio_variant_keeps_infinity(spark):
+    from actionlens.operators.rollups import rollup
+    t = dt.datetime
+    rows = [(1, 10, t(2024, 1, 24), None, 4, "A", "b"), (1, 10, t(2024, 1, 24), None, 2, "A", "b"),
+            (2, 11, t(2024, 1, 24), None, 4, "B", "b")]
+    df = _actions(spark, rows)
+    g2 = {r.cate: r for r in rollup(df, "cate", ratio_types=(2, 5), x_over_zero=float("inf")).collect()}
+    assert g2["A"].cate_ratio_2 == 1.0 and g2["A"].cate_ratio_5 == float("inf")
+    assert "cate_ratio_1" not in g2["A"].asDict()
+    g1 = {r.cate: r for r in rollup(df, "cate").collect()}
+    assert g1["B"].cate_ratio_2 == 1.0 and g1["B"].cate_ratio_1 == 1.0
