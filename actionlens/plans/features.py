@@ -33,7 +33,8 @@ def _day_table(actions: DataFrame, end: str, days: int, until: str | None = None
     return win.day_counts(keyed, win.PAIR_KEYS, end, days, until=until)
 
 
-def _grains(actions: DataFrame, end: str, pair_windows, acc_windows, label_window=None):
+def _grains(actions: DataFrame, end: str, pair_windows, acc_windows, label_window=None,
+            pair_cate: str | None = None):
     """(pair, user, sku) tables from one day-level aggregate.
 
     With ``label_window = (start, end)`` the day table also covers the label
@@ -49,12 +50,17 @@ def _grains(actions: DataFrame, end: str, pair_windows, acc_windows, label_windo
         hi = (date.fromisoformat(end) - date.fromisoformat(label_window[0])).days
         extra.append(F.expr(f"CAST(max(CASE WHEN off BETWEEN {lo} AND {hi} AND n_{P.PURCHASE} > 0 "
                             f"THEN 1 ELSE 0 END) AS INT) AS label"))
-    # Pair rows are the pairs active in the longest pair window.  The test is
-    # on an aggregate (earliest offset), so it cannot be pushed below the
-    # shared day-level aggregate and the branches stay identical.
+    # Pair rows are the pairs active in the longest pair window (and, for a
+    # candidate set, in one category).  Both tests are on aggregates, so they
+    # are not pushed below the shared day-level aggregate: the three grains
+    # keep one plan and read the log once.
+    keep = F.col("_first_off") <= longest_pair
+    if pair_cate is not None:
+        extra.append(F.expr(f"max(CASE WHEN cate = '{pair_cate}' THEN 1 ELSE 0 END) AS _in_cate"))
+        keep = keep & (F.col("_in_cate") == 1)
     pair = (win.window_sums(daily, win.PAIR_KEYS, pair_windows, P.TYPES, lambda n, k: f"w{n}_action_{k}",
                             first_off=True, extra=extra)
-            .where(F.col("_first_off") <= longest_pair).drop("_first_off"))
+            .where(keep).drop("_first_off", "_in_cate"))
     user = win.accumulated_ratios(actions, "user_id", end, acc_windows, "user", daily=daily)
     sku = win.accumulated_ratios(actions, "sku_id", end, acc_windows, "sku", daily=daily)
     return pair, user, sku
@@ -97,9 +103,7 @@ def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame,
                   end: str, comment_end: str, cate: str | None = P.TARGET_CATE,
                   pair_windows: Sequence[int] = P.PAIR_WINDOWS,
                   acc_windows: Sequence[int] = P.ACC_WINDOWS) -> DataFrame:
-    pair, user, sku = _grains(actions, end, pair_windows, acc_windows)
-    if cate is not None:
-        pair = pair.where(F.col("cate") == cate)
+    pair, user, sku = _grains(actions, end, pair_windows, acc_windows, pair_cate=cate)
     return (pair.join(_user_side(user, user_dim), "user_id", "left")
             .join(_sku_side(sku, products, comments, comment_end), "sku_id", "left")
             .na.fill(0))
