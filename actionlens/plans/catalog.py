@@ -13,9 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actionlens import params as P
+from actionlens.functions import expr as X
+from actionlens.operators import breadth as br
+from actionlens.operators import curves as cv
+from actionlens.operators import dims
+from actionlens.operators import metrics as mt
+from actionlens.operators import profile as pf
+from actionlens.operators import rollups as ru
+from actionlens.operators import selection as sel
 from actionlens.operators import windows as win
+from actionlens.operators.ranking import top1_per_key
+from actionlens.plans import features as ft
+from actionlens.plans import model as ml
 from actionlens.plans import sqlgen as S
 from actionlens.sources import fixtures as fx
+from actionlens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -136,9 +148,6 @@ def q_decayed_counts(spark, sf_dir):
 # Labels, buyers, semi / anti joins, selection
 # --------------------------------------------------------------------------
 
-from actionlens.functions import expr as X  # noqa: E402
-from actionlens.operators import dims, selection as sel  # noqa: E402
-from actionlens.operators.ranking import top1_per_key  # noqa: E402
 
 CAND_DAYS = 7
 SCORE_DAYS = 21
@@ -325,7 +334,6 @@ def q_hash_split(spark, sf_dir):
 # Rollups, breadth, ranks
 # --------------------------------------------------------------------------
 
-from actionlens.operators import breadth as br, rollups as ru  # noqa: E402
 
 BLOCK_DAYS = 7
 BLOCK_ROWS_SQL = f"SELECT * FROM actions WHERE {S.lookback_where(END, BLOCK_DAYS)}"
@@ -464,7 +472,6 @@ def q_model_popularity_rank(spark, sf_dir):
 # Conversion curves
 # --------------------------------------------------------------------------
 
-from actionlens.operators import curves as cv  # noqa: E402
 
 
 def _pos_sql(cate):
@@ -534,8 +541,6 @@ def q_conversion_rows(spark, sf_dir):
 # Profiles, feature tables, metrics
 # --------------------------------------------------------------------------
 
-from actionlens.operators import metrics as mt, profile as pf  # noqa: E402
-from actionlens.plans import features as ft  # noqa: E402
 
 DESCRIBE_COLS = ("comment_num", "bad_rate")
 
@@ -693,7 +698,6 @@ def _truth(spark, sf_dir):
 # Model stage (rows-only checks: not SQL-expressible)
 # --------------------------------------------------------------------------
 
-from actionlens.plans import model as ml  # noqa: E402
 
 # Training features end five days before the scored candidates; its labels
 # are the purchases of those five days.  The back-test predicts the period
@@ -822,7 +826,6 @@ def q_window_block(spark, sf_dir):
 # Incremental ingestion (Structured Streaming, file source)
 # --------------------------------------------------------------------------
 
-from actionlens.streaming import ingest  # noqa: E402
 
 
 def _events_to_actions(spark, sf_dir):
