@@ -28,11 +28,18 @@ def _f(p: Column, r: Column, a: float, b: float, c: float) -> Column:
     return F.when(den == 0, F.lit(0.0)).otherwise(F.lit(a) * r * p / den)
 
 
+# F11 = 6PR / (5R + P) on users, F12 = 5PR / (2R + 3P) on
+# pairs, score = 0.4 F11 + 0.6 F12.
+F11_WEIGHTS = (6.0, 5.0, 1.0)
+F12_WEIGHTS = (5.0, 2.0, 3.0)
+SCORE_WEIGHTS = (0.4, 0.6)
+
+
 def _scores(df: DataFrame, digits: int) -> DataFrame:
-    f11 = _f(F.col("user_precision"), F.col("user_recall"), 6.0, 5.0, 1.0)
-    f12 = _f(F.col("pair_precision"), F.col("pair_recall"), 5.0, 2.0, 3.0)
+    f11 = _f(F.col("user_precision"), F.col("user_recall"), *F11_WEIGHTS)
+    f12 = _f(F.col("pair_precision"), F.col("pair_recall"), *F12_WEIGHTS)
     out = df.withColumn("f11", f11).withColumn("f12", f12) \
-            .withColumn("score", F.lit(0.4) * F.col("f11") + F.lit(0.6) * F.col("f12"))
+            .withColumn("score", F.lit(SCORE_WEIGHTS[0]) * F.col("f11") + F.lit(SCORE_WEIGHTS[1]) * F.col("f12"))
     dbl = ["user_precision", "user_recall", "pair_precision", "pair_recall", "f11", "f12", "score"]
     return out.select(*[F.round(c, digits).alias(c) if c in dbl else F.col(c) for c in out.columns])
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-# Behaviour type codes of the action log.
+# Fixed values (must equal the original analysis for equal results):
+# behaviour type codes of the action log, look-back windows, the score
+# threshold and the submission size.
 BROWSE, ADD_CART, DEL_CART, PURCHASE, FOLLOW, CLICK = 1, 2, 3, 4, 5, 6
 TYPES = (1, 2, 3, 4, 5, 6)
 NON_PURCHASE_TYPES = (1, 2, 3, 5, 6)
