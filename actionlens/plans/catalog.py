@@ -713,7 +713,7 @@ _MODELS: dict = {}
 def _fit(spark, sf_dir, estimator):
     """Fit once per session, data folder and estimator parameters (the
     pipeline's memoised stage, S10/S12): scoring and the back-test share it."""
-    key = (id(spark), sf_dir, type(estimator).__name__,
+    key = (spark.sparkContext.applicationId, sf_dir, type(estimator).__name__,
            tuple(sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items())))
     if key not in _MODELS:
         data, cols = ml.prepare(_train(spark, sf_dir, TRAIN_END, TRAIN_END, TRAIN_LABEL_END))

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 EVENT_TYPE_CODES = {"view": 1, "signup": 2, "error": 3, "purchase": 4, "click": 6}
 
 
-_RELATIONS: dict[tuple[int, str], DataFrame] = {}
+_RELATIONS: dict[tuple[str, str], DataFrame] = {}
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,7 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     (lazy, data-free) relation is reused.
     """
     path = f"{sf_dir}/{name}.parquet"
-    key = (id(spark), path)
+    key = (spark.sparkContext.applicationId, path)
     if key not in _RELATIONS:
         _RELATIONS[key] = spark.read.parquet(path)
     return _RELATIONS[key]
