@@ -103,3 +103,32 @@ def write_columns(df: DataFrame, cols: Sequence[str], path: str, mode: str = "ap
         w.option("header", header).csv(path)
     else:
         w.format(fmt).save(path)
+
+
+def write_log_by_day(actions: DataFrame, path: str, mode: str = "overwrite",
+                     num_partitions: int | None = None) -> None:
+    """Store the action log as Parquet partitioned by day.
+
+    Rows are range-partitioned on (day, user_id, sku_id) first: a hot day is
+    split across many tasks (no single writer per day) and files come out
+    clustered by user, which keeps per-file min/max statistics selective.
+    """
+    from pyspark.sql import functions as F
+    n = num_partitions or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    (actions.withColumn("day", F.to_date("time"))
+     .repartitionByRange(n, "day", "user_id", "sku_id")
+     .write.mode(mode).partitionBy("day").parquet(path))
+
+
+def read_log(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """Read a day-partitioned log; ``[start, end)`` prunes day folders and is
+    also pushed to the Parquet reader as a time filter."""
+    from pyspark.sql import functions as F
+    df = spark.read.parquet(path)
+    if start is not None:
+        df = df.where((F.col("day") >= F.lit(start).cast("date"))
+                      & (F.col("time") >= F.lit(start).cast("timestamp_ntz")))
+    if end is not None:
+        df = df.where((F.col("day") < F.lit(end).cast("date"))
+                      & (F.col("time") < F.lit(end).cast("timestamp_ntz")))
+    return df.drop("day")

@@ -158,3 +158,18 @@ def test_ratio_variant_keeps_infinity(spark):
     assert "cate_ratio_1" not in g2["A"].asDict()
     g1 = {r.cate: r for r in rollup(df, "cate").collect()}
     assert g1["B"].cate_ratio_2 == 1.0 and g1["B"].cate_ratio_1 == 1.0
+
+
+def test_day_partitioned_log_prunes(spark, tmp_path):
+    from actionlens.sources import fixtures as fx
+    from actionlens.sources.readers import read_log, write_log_by_day
+    from tests.conftest import SF_SMALL
+    a = fx.actions(spark, SF_SMALL)
+    out = str(tmp_path / "log")
+    write_log_by_day(a, out)
+    got = read_log(spark, out, "2024-01-10", "2024-01-20")
+    want = win.time_range(a, "2024-01-10", "2024-01-20")
+    assert got.count() == want.count()
+    assert got.select(*want.columns).exceptAll(want).count() == 0
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-20" in plan
