@@ -49,7 +49,8 @@ def type_counts(actions: DataFrame, keys: Sequence[str], types: Sequence[int] =
 
 
 def day_counts(actions: DataFrame, keys: Sequence[str], end: str, max_days: int,
-               types: Sequence[int] = TYPES, until: str | None = None) -> DataFrame:
+               types: Sequence[int] = TYPES, until: str | None = None,
+               with_total: bool = False) -> DataFrame:
     """keys + off + n_1..n_6: behaviour counts per key and day before ``end``.
 
     ``until`` extends the scanned range past ``end`` (those days get
@@ -61,6 +62,8 @@ def day_counts(actions: DataFrame, keys: Sequence[str], end: str, max_days: int,
     # uniquely named common sub-expressions, which defeats exchange reuse
     # when several grains read this aggregate.
     aggs = [F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS n_{k}") for k in types]
+    if with_total:
+        aggs.append(F.count(F.lit(1)).alias("n_all"))
     return rows.groupBy(*keys, "off").agg(*aggs)
 
 

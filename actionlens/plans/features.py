@@ -110,7 +110,7 @@ def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame,
 
 
 def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
-                 days: int) -> DataFrame:
+                 days: int, daily: DataFrame | None = None) -> DataFrame:
     """Pair features of one look-back window with breadth, rank and rollups.
 
     The window's rows are reduced once to the pair grain (behaviour counts +
@@ -118,10 +118,16 @@ def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, e
     rank and every rollup read it, and each consumer prunes different
     columns, so without pinning every consumer would rescan the log.
     """
-    rows = win.lookback(actions, end, days)
-    counts = rows.groupBy(*win.PAIR_KEYS).agg(
-        *[F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS action_{k}") for k in P.TYPES],
-        F.count(F.lit(1)).alias("sku_total"))
+    if daily is None:
+        rows = win.lookback(actions, end, days)
+        counts = rows.groupBy(*win.PAIR_KEYS).agg(
+            *[F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS action_{k}")
+              for k in P.TYPES],
+            F.count(F.lit(1)).alias("sku_total"))
+    else:   # a day table from win.day_counts(..., with_total=True) covering >= days
+        counts = daily.where(F.col("off").between(1, days)).groupBy(*win.PAIR_KEYS).agg(
+            *[F.expr(f"CAST(sum(n_{k}) AS BIGINT) AS action_{k}") for k in P.TYPES],
+            F.expr("CAST(sum(n_all) AS BIGINT) AS sku_total"))
     ensure_checkpoint_dir(actions.sparkSession)
     counts = counts.checkpoint(eager=True)
     totals = counts.select(*win.PAIR_KEYS, "sku_total")
@@ -152,3 +158,23 @@ def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, e
            .join(ru.rollup_from_counts(counts, "sku_id", "sku"), "sku_id", "left")
            .join(age_roll, "age", "left"))
     return out.na.fill(0)
+
+
+def window_block_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
+                     windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
+    """The later generation's merged set: one ``window_block`` per window,
+    columns prefixed ``w{N}_``, left-joined onto the longest window's pairs
+    (pairs absent from a shorter window get zeros).
+
+    The log is reduced once to a pinned day-level table; every window's
+    block is derived from it (no per-window rescan of the log).
+    """
+    ensure_checkpoint_dir(actions.sparkSession)
+    daily = win.day_counts(actions, win.PAIR_KEYS, end, max(windows), with_total=True).checkpoint(eager=True)
+    keys = list(win.PAIR_KEYS)
+    out = None
+    for n in sorted(windows, reverse=True):
+        b = window_block(actions, user_dim, products, end, n, daily=daily)
+        b = b.select(*keys, *[F.col(c).alias(f"w{n}_{c}") for c in b.columns if c not in keys])
+        out = b if out is None else out.join(b, keys, "left")
+    return out.na.fill(0)

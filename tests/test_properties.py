@@ -57,3 +57,21 @@ def test_one_scan_curves_equal_join_form(spark):
         for joined, one_scan in pairs:
             assert joined.exceptAll(one_scan.select(*joined.columns)).count() == 0
             assert one_scan.select(*joined.columns).exceptAll(joined).count() == 0
+
+
+def test_window_block_set_matches_single_blocks(spark):
+    from actionlens.plans import catalog as C, features as ft
+    from tests.conftest import SF_SMALL
+    a = fx.actions(spark, SF_SMALL)
+    ud, prods = C._user_dim(spark, SF_SMALL), fx.products(spark, SF_SMALL)
+    merged = ft.window_block_set(a, ud, prods, P.FEATURE_END, (1, 3))
+    keys = ["user_id", "sku_id", "cate", "brand"]
+    three = ft.window_block(a, ud, prods, P.FEATURE_END, 3)
+    got3 = merged.select(*keys, *[F.col(f"w3_{c}").alias(c) for c in three.columns if c not in keys])
+    assert got3.exceptAll(three.select(*got3.columns)).count() == 0
+    assert merged.count() == three.count()
+    one = ft.window_block(a, ud, prods, P.FEATURE_END, 1)
+    got1 = merged.where("w1_sku_total > 0").select(
+        *keys, *[F.col(f"w1_{c}").alias(c) for c in one.columns if c not in keys])
+    assert got1.exceptAll(one.select(*got1.columns)).count() == 0
+    assert got1.count() == one.count()
