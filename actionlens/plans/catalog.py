@@ -306,8 +306,20 @@ SUBMISSION_SQL = f"""SELECT user_id, sku_id, score FROM (
     ORDER BY score DESC, user_id ASC LIMIT {P.SUBMISSION_K}"""
 
 
-def _submission(spark, sf_dir):
-    return sel.submission(_scores(spark, sf_dir), fx.products(spark, sf_dir), _buyers(spark, sf_dir),
+def _activity(spark, sf_dir):
+    """Scores, past buyers and truth from one pinned (user, sku) aggregate:
+    each consumer prunes different columns, so without pinning each would
+    rescan the log."""
+    from actionlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    act = sel.pair_activity(fx.actions(spark, sf_dir), END, SCORE_DAYS, P.HISTORY_START,
+                            P.LABEL_START, P.LABEL_END, P.TARGET_CATE)
+    return act.checkpoint(eager=True)
+
+
+def _submission(spark, sf_dir, activity=None):
+    act = activity if activity is not None else _activity(spark, sf_dir)
+    return sel.submission(sel.scores_of(act), fx.products(spark, sf_dir), sel.buyers_of(act),
                           threshold=P.SCORE_THRESHOLD, k=P.SUBMISSION_K)
 
 
@@ -675,7 +687,8 @@ def _div_sql(a, b):
                {_div_sql('pair_hits', 'pred_rows')} AS pair_precision, {_div_sql('pair_hits', 'truth_rows')} AS pair_recall
         FROM c"""))
 def q_score_metrics(spark, sf_dir):
-    return mt.score_rows(_submission(spark, sf_dir), _truth(spark, sf_dir))
+    act = _activity(spark, sf_dir)
+    return mt.score_rows(_submission(spark, sf_dir, act), sel.truth_of(act))
 
 
 @register("report_metrics", _metric_sql("""
@@ -687,7 +700,8 @@ def q_score_metrics(spark, sf_dir):
                {_div_sql('pair_hits', 'pred_rows')} AS pair_precision, {_div_sql('pair_hits', 'truth_rows')} AS pair_recall
         FROM c"""))
 def q_report_metrics(spark, sf_dir):
-    return mt.score_sets(_submission(spark, sf_dir), _truth(spark, sf_dir))
+    act = _activity(spark, sf_dir)
+    return mt.score_sets(_submission(spark, sf_dir, act), sel.truth_of(act))
 
 
 def _truth(spark, sf_dir):

@@ -19,6 +19,9 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # Pinned intermediates (DataFrame.checkpoint) are removed from the shared
+    # checkpoint folder once no DataFrame refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
