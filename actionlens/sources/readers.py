@@ -46,7 +46,7 @@ COMMENTS_SCHEMA = T.StructType([
 
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
              encoding: str = "UTF-8", date_format: str = "yyyy-MM-dd",
-             ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
+             ts_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]") -> DataFrame:
     """Headered CSV with a declared schema (no inference pass).
 
     Legacy encodings such as GBK need ``spark.sql.legacy.javaCharsets=true``
@@ -66,8 +66,14 @@ def union_periods(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
+# Fixed value: log timestamps are text 'YYYY-MM-DD HH:MM:SS'; fractions of a
+# second are kept when present, so a written log reads back unchanged.
+TS_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    (df.write.mode(mode).option("header", True)
+     .option("timestampNTZFormat", TS_WRITE_FORMAT).option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
@@ -100,7 +106,7 @@ def write_columns(df: DataFrame, cols: Sequence[str], path: str, mode: str = "ap
     """Column-pruned sink: only ``cols`` are read and written."""
     w = df.select(*cols).write.mode(mode)
     if fmt == "csv":
-        w.option("header", header).csv(path)
+        w.option("header", header).option("timestampNTZFormat", TS_WRITE_FORMAT).csv(path)
     else:
         w.format(fmt).save(path)
 

@@ -173,3 +173,25 @@ def test_day_partitioned_log_prunes(spark, tmp_path):
     assert got.select(*want.columns).exceptAll(want).count() == 0
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(day" in plan and "2024-01-20" in plan
+
+
+def test_csv_period_files_union_and_memoised_stage(spark, tmp_path):
+    from actionlens.sources import fixtures as fx
+    from actionlens.sources.readers import ACTIONS_SCHEMA, memoised, read_csv, union_periods, write_csv
+    from tests.conftest import SF_SMALL
+    a = fx.actions(spark, SF_SMALL)
+    periods = [("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2024-02-01")]
+    paths = []
+    for i, (s, e) in enumerate(periods):
+        p = str(tmp_path / f"actions_{i}")
+        write_csv(win.time_range(a, s, e).select(*ACTIONS_SCHEMA.fieldNames()), p)
+        paths.append(p)
+    back = read_csv(spark, paths, ACTIONS_SCHEMA)
+    assert back.count() == a.count()
+    assert back.exceptAll(a.select(*ACTIONS_SCHEMA.fieldNames())).count() == 0
+    per_file = union_periods([read_csv(spark, p, ACTIONS_SCHEMA) for p in paths])
+    assert per_file.count() == a.count()
+    stage = str(tmp_path / "stage_end=2024-01-25_days=7")
+    first = memoised(spark, win.pair_window_counts(a, "2024-01-25", [7]), stage)
+    again = memoised(spark, win.pair_window_counts(a, "2024-01-25", [1]), stage)   # same path: not rewritten
+    assert first.columns == again.columns and first.count() == again.count()
