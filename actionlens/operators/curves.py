@@ -50,7 +50,9 @@ def _flag_hits(df: DataFrame, pos: DataFrame) -> DataFrame:
 
 
 def _finish(counts: DataFrame, grid: DataFrame, keys: Sequence[str]) -> DataFrame:
-    out = F.broadcast(grid).join(counts, list(keys), "left")
+    # Both sides hold at most days x types rows (keys are bounded by the
+    # parameters), so the build side is broadcast.
+    out = grid.join(F.broadcast(counts), list(keys), "left")
     return out.select(*[F.col(k).cast("int").alias(k) for k in keys],
                       F.coalesce("pairs", F.lit(0)).cast("bigint").alias("pairs"),
                       F.coalesce("hits", F.lit(0)).cast("bigint").alias("hits")) \
@@ -64,7 +66,7 @@ def conversion_cumulative(actions: DataFrame, pos: DataFrame, end: str, days: in
     first = rows.groupBy("user_id", "sku_id", "type").agg(F.min("off").alias("first_off"))
     hist = _flag_hits(first, pos).groupBy("type", F.col("first_off").alias("n_days")).agg(
         F.count(F.lit(1)).alias("p"), F.sum("_hit").alias("h"))
-    filled = F.broadcast(_grid(actions.sparkSession, days, types)).join(hist, ["n_days", "type"], "left")
+    filled = _grid(actions.sparkSession, days, types).join(F.broadcast(hist), ["n_days", "type"], "left")
     # Running sum per type over at most ``days`` rows.
     run = Window.partitionBy("type").orderBy("n_days").rowsBetween(Window.unboundedPreceding, 0)
     counts = filled.select("n_days", "type",
@@ -89,7 +91,7 @@ def conversion_rows(actions: DataFrame, pos: DataFrame, end: str, days: int) ->
     per_pair_day = rows.groupBy("user_id", "sku_id", "n_days").agg(F.count(F.lit(1)).alias("n"))
     per_day = (_flag_hits(per_pair_day, pos)
                .groupBy("n_days").agg(F.sum("n").alias("d"), F.sum(F.col("n") * F.col("_hit")).alias("dh")))
-    filled = F.broadcast(_grid(actions.sparkSession, days, None)).join(per_day, "n_days", "left") \
+    filled = _grid(actions.sparkSession, days, None).join(F.broadcast(per_day), "n_days", "left") \
         .na.fill(0, ["d", "dh"])
     run = Window.orderBy("n_days").rowsBetween(Window.unboundedPreceding, 0)   # <= days rows
     return filled.select(F.col("n_days").cast("int").alias("n_days"),
@@ -153,7 +155,7 @@ def cumulative_from_table(table: DataFrame, days: int, types: Sequence[int] = NO
     # index of the lowest set bit = bit_count(m XOR (m - 1)).
     first = _per_type(table, types).select("type", "hit", F.expr("bit_count(m ^ (m - 1))").alias("n_days"))
     hist = first.groupBy("type", "n_days").agg(F.count(F.lit(1)).alias("p"), F.sum("hit").alias("h"))
-    filled = F.broadcast(_grid(table.sparkSession, days, types)).join(hist, ["n_days", "type"], "left")
+    filled = _grid(table.sparkSession, days, types).join(F.broadcast(hist), ["n_days", "type"], "left")
     run = Window.partitionBy("type").orderBy("n_days").rowsBetween(Window.unboundedPreceding, 0)
     counts = filled.select("n_days", "type",
                            F.sum(F.coalesce("p", F.lit(0))).over(run).alias("pairs"),
