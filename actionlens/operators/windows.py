@@ -130,6 +130,10 @@ def accumulated_ratios(actions: DataFrame, key: str, end: str, windows: Sequence
     ``fillna(0)`` of the per-window form produces.
     """
     if daily is None:
+        # Two levels on purpose: (key, day) rows are far fewer than log rows,
+        # so 6 conditions per log row plus a small second shuffle beat one
+        # aggregate with windows x 6 conditions per log row.  (The pair grain,
+        # whose (pair, day) rows are close to log rows, uses one aggregate.)
         daily = day_counts(actions, [key], end, max(windows))
     sums = window_sums(daily, [key], windows, TYPES, lambda n, k: f"{prefix}_w{n}_action_{k}")
     cols = [key]
