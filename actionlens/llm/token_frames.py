@@ -127,7 +127,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2) -> None
                 if out is None:
                     fs, base = pyarrow.fs.FileSystem.from_uri(folder)
                     fs.create_dir(base, recursive=True)
-                    out = fs.open_output_stream(f"{base}/{name}")
+                    out = fs.open_output_stream(f"{base}/{name}", compression=None)
                     writer = FrameWriter(out, width)
                 at = 0
                 for k, m in enumerate(per_row.tolist()):
