@@ -30,3 +30,23 @@ def pin(df: DataFrame, what: str) -> DataFrame:
 def documents(docs: DataFrame) -> DataFrame:
     """(doc_id long, text string) and nothing else, whatever further columns the input has."""
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def numbered(df: DataFrame, order: list[str], what: str) -> tuple[DataFrame, int]:
+    """``df`` with ``row`` = 0, 1, ... in the given order, and the number of rows.
+
+    A range partitioning sorts the rows over many tasks; a row's number is its place in its
+    partition plus the rows of the partitions before.  Only one count a partition is summed up,
+    so neither a hot key nor the whole table meets in one task.
+    """
+    placed = pin(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()), what)
+    part = F.shiftright("_at", 33)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n")).collect()     # a row a partition
+    first, total = {}, 0
+    for r in sorted(counts):
+        first[r["_part"]], total = total, total + r["_n"]
+    if not total:
+        return placed.withColumn("row", F.lit(0).cast("long")).drop("_at"), 0
+    offsets = placed.sparkSession.createDataFrame(list(first.items()), "_part long, _first long")
+    out = placed.withColumn("_part", part.cast("long")).join(F.broadcast(offsets), "_part")  # a row a partition
+    return out.withColumn("row", F.col("_first") + F.col("_at").bitwiseAND(F.lit((1 << 33) - 1))).drop("_at", "_part", "_first"), total
