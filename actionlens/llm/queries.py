@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from actionlens.llm import token_frames
+from actionlens.llm import packing, sharding, token_frames
 from actionlens.llm.common import shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -18,7 +19,18 @@ def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.read(spark, folder)
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, 1024, END_ID)
+
+
+def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.shards_of(table(spark, sf_dir, "documents"), 24)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 QUERIES = {
     "op1_token_frames": op1_token_frames,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_feistel_shards": op7_feistel_shards,
 }
 ORACLE: dict[str, str] = {}
