@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actionlens.llm import packing, sharding, token_frames
+from actionlens.llm import decontamination, jaccard_join, packing, sharding, token_frames, toxicity
 from actionlens.llm.common import shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -19,6 +19,41 @@ def op1_token_frames(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_frames.read(spark, folder)
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(table(spark, sf_dir, "documents"), k=3, percent=90)
+
+
+OP2_SQL = r"""
+WITH RECURSIVE tokens AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN w ELSE w[i:i + 2] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM tokens WHERE len(w) > 0)
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+numbered AS (SELECT doc_id, dense_rank() OVER (ORDER BY s) AS s FROM shingles),
+shared AS (
+  SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM numbered a JOIN numbered b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 90 * (x.n + y.n - c)
+), both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM documents
+  UNION
+  SELECT reach.doc_id, v FROM reach JOIN both_ways ON u = r
+)
+SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(reach.r)::BIGINT AS component_id
+FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id
+"""
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
+
+
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), TOKENIZER, 1024, END_ID)
 
@@ -30,7 +65,12 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_token_frames": op1_token_frames,
+    "op2_jaccard_join": op2_jaccard_join,
+    "op3_toxicity": op3_toxicity,
+    "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_feistel_shards": op7_feistel_shards,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op2_jaccard_join": OP2_SQL,
+}
