@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actionlens.llm import decontamination, jaccard_join, packing, sharding, token_frames, toxicity
+from actionlens.llm import decontamination, jaccard_join, license_scan, line_crf, packing, quality_knn, sharding, token_frames, toxicity, url_filter
 from actionlens.llm.common import shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -50,6 +50,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+# Fixed rules of the query: host, path prefix, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judged(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("text_hash")
 
@@ -63,13 +71,29 @@ def op7_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op8_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_crf.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).drop("line_labels")
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(table(spark, sf_dir, "documents"))
+
+
+def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_knn.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_token_frames": op1_token_frames,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_toxicity": op3_toxicity,
+    "op4_url_filter": op4_url_filter,
     "op5_decontamination": op5_decontamination,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_feistel_shards": op7_feistel_shards,
+    "op8_line_crf": op8_line_crf,
+    "op9_license_scan": op9_license_scan,
+    "op10_quality_knn": op10_quality_knn,
 }
 ORACLE: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,

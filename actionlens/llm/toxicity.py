@@ -331,3 +331,15 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, held_out, score, predicted of every row."""
     out = scores(docs, train(docs, labels))
     return out.select("doc_id", F.coalesce(remainder(4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+
+def accepted(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows of ``docs``, all columns, whose text scores below the threshold."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            text = batch.column(batch.schema.get_field_index("text")).cast(pa.string())
+            for a, b, score in score_texts(text, model):
+                yield batch.slice(a, b - a).filter(pa.array(score < THRESHOLD))
+
+    return docs.mapInArrow(rows, docs.schema)
