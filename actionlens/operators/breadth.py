@@ -28,17 +28,19 @@ def _ratio(a, b):
 def group_breadth(pairs: DataFrame, attr: str) -> DataFrame:
     """Per (user, attr): distinct skus; per user: distinct attr values; ratios.
 
-    attr is ``cate`` or ``brand``.  Columns: diff_{attr}_total, diff_{attr},
-    diff_{attr}_ratio, sku_{attr}_ratio (and cate_brand_ratio for brand).
-    All are aggregates + user-keyed joins (no per-user window).
+    attr is ``cate`` or ``brand``; a product seen under several values of the
+    other attribute counts once, and NULL is a value like any other.  Columns:
+    diff_{attr}_total, diff_{attr}, diff_{attr}_ratio, sku_{attr}_ratio (and
+    cate_brand_ratio for brand).  All are aggregates + user-keyed joins (no
+    per-user window).
     """
-    per = pairs.groupBy("user_id", attr).agg(F.count(F.lit(1)).alias(f"diff_{attr}_total"))
+    per = pairs.select("user_id", "sku_id", attr).distinct().groupBy("user_id", attr).agg(F.count(F.lit(1)).alias(f"diff_{attr}_total"))
     per_user = per.groupBy("user_id").agg(F.count(F.lit(1)).alias(f"diff_{attr}"))
     out = (per.join(per_user, "user_id").join(user_breadth(pairs).select("user_id", "diff_sku"), "user_id")
            .withColumn(f"diff_{attr}_ratio", _ratio(f"diff_{attr}_total", f"diff_{attr}"))
            .withColumn(f"sku_{attr}_ratio", _ratio("diff_sku", f"diff_{attr}")))
     if attr == "brand":
-        cates = pairs.groupBy("user_id").agg(F.count_distinct("cate").alias("diff_cate"))
+        cates = pairs.select("user_id", "cate").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("diff_cate"))
         out = out.join(cates, "user_id").withColumn("cate_brand_ratio", _ratio("diff_cate", "diff_brand")) \
                  .drop("diff_cate")
     return out.drop("diff_sku")
@@ -73,10 +75,3 @@ def model_popularity_rank(rows: DataFrame) -> DataFrame:
     agg = (rows.select(F.coalesce(F.col("model_id"), F.lit(0)).alias("model_id"))
            .groupBy("model_id").agg(F.count(F.lit(1)).alias("n")))
     return rank_within(agg, [], [F.col("n"), F.col("model_id")], name="model_rank")
-
-
-def share_of_parent(df: DataFrame, value: str, parent: str, name: str) -> DataFrame:
-    """value / sum(value) over the parent key, via aggregate + join."""
-    tot = df.groupBy(parent).agg(F.sum(value).alias("_tot"))
-    return df.join(tot, parent).withColumn(name, _ratio(value, "_tot")).drop("_tot")
-

@@ -29,6 +29,8 @@ from actionlens.operators.selection import in_product_subset, purchase_labels
 from actionlens.operators.windows import lookback, shift_date
 from actionlens.params import NON_PURCHASE_TYPES, PURCHASE
 
+MASK_DAYS = 62          # days a BIGINT mask holds
+
 
 def positives(actions: DataFrame, products: DataFrame | None, start: str, end: str,
               cate: str | None = None) -> DataFrame:
@@ -110,8 +112,8 @@ def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days:
                 types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
     """One row per (user, sku) seen in ``[end - days, max(end, label_end))``:
 
-    * ``m_{t}``   bit d-1 set when the pair has behaviour t on day ``off = d``
-                  (1 <= d <= days; a BIGINT, so days <= 62),
+    * ``m_{t}``   array of BIGINT masks, ``MASK_DAYS`` days each: bit d-1 of the whole is
+                  set when the pair has behaviour t on day ``off = d`` (1 <= d <= days),
     * ``r_{d}``   rows of the pair on day d (all behaviours),
     * ``hit``     1 when the pair bought (in ``cate``) during the label window
                   and its sku is in the product subset.
@@ -119,20 +121,23 @@ def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days:
     The log is scanned once (the label days are read by the same scan) and
     reduced by one two-phase aggregate; the product test is a sku-keyed join.
     """
-    if days > 62:
-        raise ValueError("day masks hold at most 62 days")
     lo = (date.fromisoformat(end) - date.fromisoformat(label_end)).days + 1
     hi = (date.fromisoformat(end) - date.fromisoformat(label_start)).days
-    upper = max(end, label_end)
-    rows = (actions.where((F.col("time") >= ts_lit(shift_date(end, -days))) & (F.col("time") < ts_lit(upper)))
+    lower, upper = min(label_start, shift_date(end, -days)), max(end, label_end)
+    rows = (actions.where((F.col("time") >= ts_lit(lower)) & (F.col("time") < ts_lit(upper)))
             .withColumn("off", day_offset("time", end)))
-    cate_test = f" AND cate = '{cate}'" if cate is not None else ""
-    aggs = [F.expr(f"bit_or(CASE WHEN type = {t} AND off BETWEEN 1 AND {days} "
-                   f"THEN shiftleft(CAST(1 AS BIGINT), off - 1) ELSE CAST(0 AS BIGINT) END) AS m_{t}") for t in types]
+    aggs = [F.expr(f"bit_or(CASE WHEN type = {t} AND off BETWEEN {first + 1} AND {min(first + MASK_DAYS, days)} "
+                   f"THEN shiftleft(CAST(1 AS BIGINT), off - {first + 1}) ELSE CAST(0 AS BIGINT) END) AS m_{t}_{first}")
+            for t in types for first in range(0, days, MASK_DAYS)]
     aggs += [F.expr(f"CAST(sum(CASE WHEN off = {d} THEN 1 ELSE 0 END) AS BIGINT) AS r_{d}") for d in range(1, days + 1)]
-    aggs.append(F.expr(f"max(CASE WHEN type = {PURCHASE} AND off BETWEEN {lo} AND {hi}{cate_test} "
-                       f"THEN 1 ELSE 0 END) AS bought"))
+    bought = (F.col("type") == PURCHASE) & F.col("off").between(lo, hi)
+    if cate is not None:
+        bought = bought & (F.col("cate") == F.lit(cate))
+    aggs.append(F.max(F.when(bought, 1).otherwise(0)).alias("bought"))
     pairs = rows.groupBy("user_id", "sku_id").agg(*aggs)
+    for t in types:
+        parts = [f"m_{t}_{first}" for first in range(0, days, MASK_DAYS)]
+        pairs = pairs.withColumn(f"m_{t}", F.array(*parts)).drop(*parts)
     if products is not None:
         skus = products.select("sku_id").distinct().withColumn("_in", F.lit(1))
         pairs = pairs.join(skus, "sku_id", "left")
@@ -147,13 +152,20 @@ def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days:
 def _per_type(table: DataFrame, types: Sequence[int]) -> DataFrame:
     return table.select("hit", F.explode(F.array(*[
         F.struct(F.lit(t).alias("type"), F.col(f"m_{t}").alias("m")) for t in types])).alias("x")) \
-        .select("hit", "x.type", "x.m").where(F.col("m") != 0)
+        .select("hit", "x.type", F.posexplode("x.m").alias("part", "m")).where(F.col("m") != 0)
+
+
+def _first_days(table: DataFrame, types: Sequence[int]) -> DataFrame:
+    """type, hit, n_days: the earliest day of each pair and behaviour."""
+    masks = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), F.col(f"m_{t}").alias("m")) for t in types]))
+    day = F.array_min(F.transform("x.m", lambda m, i: F.when(m != 0, i * MASK_DAYS + F.bit_count(m.bitwiseXOR(m - 1)))))
+    return table.select("hit", masks.alias("x")).select("x.type", "hit", day.alias("n_days")).where("n_days IS NOT NULL")
 
 
 def cumulative_from_table(table: DataFrame, days: int, types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
     # A pair is in window N iff its earliest day <= N; earliest day = 1 +
     # index of the lowest set bit = bit_count(m XOR (m - 1)).
-    first = _per_type(table, types).select("type", "hit", F.expr("bit_count(m ^ (m - 1))").alias("n_days"))
+    first = _first_days(table, types)
     hist = first.groupBy("type", "n_days").agg(F.count(F.lit(1)).alias("p"), F.sum("hit").alias("h"))
     filled = _grid(table.sparkSession, days, types).join(F.broadcast(hist), ["n_days", "type"], "left")
     run = Window.partitionBy("type").orderBy("n_days").rowsBetween(Window.unboundedPreceding, 0)
@@ -165,8 +177,8 @@ def cumulative_from_table(table: DataFrame, days: int, types: Sequence[int] = NO
 
 def daily_from_table(table: DataFrame, days: int, types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
     on_days = _per_type(table, types).select(
-        "type", "hit", F.explode(F.expr(f"filter(sequence(1, {days}), d -> (shiftright(m, d - 1) & 1) = 1)"))
-        .alias("n_days"))
+        "type", "hit", F.explode(F.expr(f"transform(filter(sequence(1, {MASK_DAYS}), d -> (shiftright(m, d - 1) & 1) = 1), "
+                                        f"d -> d + {MASK_DAYS} * part)")).alias("n_days"))
     counts = on_days.groupBy("n_days", "type").agg(F.count(F.lit(1)).alias("pairs"), F.sum("hit").alias("hits"))
     return _finish(counts, _grid(table.sparkSession, days, types), ["n_days", "type"])
 

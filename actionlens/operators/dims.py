@@ -42,6 +42,15 @@ def product_onehot(products: DataFrame, a1=A1_VALUES, a2=A2_VALUES, a3=A3_VALUES
                            *one_hot("a1", a1, "a1"), *one_hot("a2", a2, "a2"), *one_hot("a3", a3, "a3"))
 
 
+def observed_values(df: DataFrame, col: str, at_most: int = 1000) -> list[int]:
+    """The distinct non-null values of an attribute, sorted; an attribute of more than ``at_most``
+    values is no one-hot domain and raises an error."""
+    got = [r[0] for r in df.select(col).where(F.col(col).isNotNull()).distinct().limit(at_most + 1).collect()]
+    if len(got) > at_most:
+        raise ValueError(f"{col} has more than {at_most} values")
+    return sorted(got)
+
+
 def product_clean(products: DataFrame, cols: Sequence[str] = ("a1", "a2", "a3")) -> DataFrame:
     """Unknown attribute (-1) becomes 0."""
     return products.select(*[F.when(F.col(c) == -1, F.lit(0)).otherwise(F.col(c)).cast("int").alias(c)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from actionlens.operators.ranking import rank_within
+
 STATS = ("count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
@@ -14,27 +17,42 @@ def describe(df: DataFrame, cols: Sequence[str], exact: bool = True, accuracy: i
              digits: int = 6) -> DataFrame:
     """One row per column: count, mean, std (sample), min, q25, q50, q75, max.
 
-    Everything is computed in one aggregate pass.  ``exact`` quartiles use
-    ``percentile`` (linear interpolation, the buffer is a value->count map, so
-    memory follows the number of *distinct* values); ``exact=False`` uses the
-    mergeable ``percentile_approx`` sketch for high-cardinality columns.
+    Moments and ends come from one aggregate pass.  ``exact`` quartiles
+    (linear interpolation) are read off a global range-partitioned sort, so no
+    task holds a column's values (eager: the sorted column is written once);
+    ``exact=False`` uses the mergeable ``percentile_approx`` sketch, with a rank
+    error of at most 1 / ``accuracy``.
     """
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
-        q = (F.percentile(x, [0.25, 0.5, 0.75]) if exact
-             else F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy))
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
-                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 q.alias(f"{c}__q"), F.max(x).alias(f"{c}__max")]
+                 F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max")]
+        if not exact:
+            aggs.append(F.percentile_approx(x, [0.25, 0.5, 0.75], accuracy).alias(f"{c}__q"))
     one = df.agg(*aggs)
+    if exact:
+        for c in cols:
+            one = one.withColumn(f"{c}__q", F.lit(quartiles(df, c)).cast("array<double>"))
     rows = [F.struct(F.lit(c).alias("column"),
                      F.col(f"{c}__count").alias("count"),
                      F.round(f"{c}__mean", digits).alias("mean"),
                      F.round(f"{c}__std", digits).alias("std"),
                      F.round(f"{c}__min", digits).alias("min"),
-                     F.round(F.col(f"{c}__q")[0], digits).alias("q25"),
-                     F.round(F.col(f"{c}__q")[1], digits).alias("q50"),
-                     F.round(F.col(f"{c}__q")[2], digits).alias("q75"),
+                     F.round(F.get(f"{c}__q", F.lit(0)), digits).alias("q25"),
+                     F.round(F.get(f"{c}__q", F.lit(1)), digits).alias("q50"),
+                     F.round(F.get(f"{c}__q", F.lit(2)), digits).alias("q75"),
                      F.round(f"{c}__max", digits).alias("max")) for c in cols]
     return one.select(F.explode(F.array(*rows)).alias("s")).select("s.*")
+
+
+def quartiles(df: DataFrame, col: str) -> list[float]:
+    """Exact quartiles of a column's non-null values from their ranks in a global sort; empty without values."""
+    ranked = rank_within(df.select(F.col(col).cast("double").alias("x")).where("x IS NOT NULL"), [], ["x"], name="r")
+    n = ranked.count()
+    if not n:
+        return []
+    at = [(n - 1) * q for q in (0.25, 0.5, 0.75)]
+    wanted = sorted({i for a in at for i in (math.floor(a), math.ceil(a))})
+    value = {r["r"]: r["x"] for r in ranked.where(F.col("r").isin(wanted)).collect()}      # at most six rows
+    return [value[math.floor(a)] + (value[math.ceil(a)] - value[math.floor(a)]) * (a - math.floor(a)) for a in at]

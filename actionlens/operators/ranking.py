@@ -81,6 +81,13 @@ def top1_per_key(df: DataFrame, key: Sequence[str] | str, score: str, item: str
                     *[F.col(f"_b.{c}").alias(c) for c in extra]))
 
 
+def first_in_order(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """Each key's first row under the declared column order (ascending, NULLs first); an aggregate
+    of structs, so a key with many rows is reduced before the shuffle.  Keeps key and order columns."""
+    best = F.min(F.struct(*[F.col(c).alias(c) for c in order]))
+    return df.groupBy(key).agg(best.alias("_b")).select(key, *[F.col(f"_b.{c}").alias(c) for c in order])
+
+
 def top_k(df: DataFrame, k: int, score: str, tie: Sequence[str] = ("user_id",)) -> DataFrame:
     """The k rows of highest score (ties by ``tie`` ascending).
 

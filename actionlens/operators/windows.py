@@ -36,6 +36,13 @@ def time_range(actions: DataFrame, start: str, end: str, col: str = "time") -> D
     return actions.where((F.col(col) >= ts_lit(start)) & (F.col(col) < ts_lit(end)))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join on ``keys`` where NULL equals NULL (a missing category or brand is a group of its own)."""
+    r = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    on = [left[k].eqNullSafe(r[f"_r_{k}"]) for k in keys]
+    return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def lookback(actions: DataFrame, end: str, days: int) -> DataFrame:
     return time_range(actions, shift_date(end, -days), end)
 
@@ -63,7 +70,7 @@ def day_counts(actions: DataFrame, keys: Sequence[str], end: str, max_days: int,
     # when several grains read this aggregate.
     aggs = [F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS n_{k}") for k in types]
     if with_total:
-        aggs.append(F.count(F.lit(1)).alias("n_all"))
+        aggs += [F.count(F.lit(1)).alias("n_all"), F.expr("CAST(sum(CASE WHEN model_id > 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_model")]
     return rows.groupBy(*keys, "off").agg(*aggs)
 
 
@@ -109,7 +116,7 @@ def pair_window_counts_rescan(actions: DataFrame, end: str, windows: Sequence[in
     out = None
     for n in sorted(windows, reverse=True):
         w = type_counts(lookback(actions, end, n), keys, types, prefix=f"w{n}_action")
-        out = w if out is None else out.join(w, list(keys), "left")
+        out = w if out is None else join_null_safe(out, w, keys)
     fill = {f"w{n}_action_{k}": 0 for n in windows for k in types if n != longest}
     return out.na.fill(fill)
 

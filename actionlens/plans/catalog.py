@@ -22,11 +22,12 @@ from actionlens.operators import profile as pf
 from actionlens.operators import rollups as ru
 from actionlens.operators import selection as sel
 from actionlens.operators import windows as win
-from actionlens.operators.ranking import top1_per_key
+from actionlens.operators.ranking import first_in_order, top1_per_key, top_k
 from actionlens.plans import features as ft
 from actionlens.plans import model as ml
 from actionlens.plans import sqlgen as S
 from actionlens.sources import fixtures as fx
+from actionlens.sources import readers as rd
 from actionlens.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,18 +63,20 @@ def q_time_range_extract(spark, sf_dir):
 
 # Three period files of the log (the fixture log spans one month, so the
 # "months" are ten-day periods), unioned back into one table with its period.
-PERIODS = (("p1", "2024-01-01", "2024-01-11"), ("p2", "2024-01-11", "2024-01-21"),
-           ("p3", "2024-01-21", "2024-02-01"))
+# The first is open to the past and the last to the future, so no action is left out.
+PERIOD_STARTS = (("p2", "2024-01-11"), ("p3", "2024-01-21"))
 
 
-@register("monthly_union", S.with_views(["actions"], [], " UNION ALL ".join(
-    f"SELECT {ACTION_COLS}, '{p}' AS period FROM actions "
-    f"WHERE time >= {S.ts(a)} AND time < {S.ts(b)}" for p, a, b in PERIODS)))
+@register("monthly_union", S.with_views(["actions"], [], f"""
+    SELECT {ACTION_COLS}, 'p1' AS period FROM actions WHERE time < {S.ts("2024-01-11")} OR time IS NULL
+    UNION ALL SELECT {ACTION_COLS}, 'p2' FROM actions WHERE time >= {S.ts("2024-01-11")} AND time < {S.ts("2024-01-21")}
+    UNION ALL SELECT {ACTION_COLS}, 'p3' FROM actions WHERE time >= {S.ts("2024-01-21")}"""))
 def q_monthly_union(spark, sf_dir):
-    from actionlens.sources.readers import union_periods
-    a = fx.actions(spark, sf_dir)
-    return union_periods([win.time_range(a, s, e).withColumn("period", F.lit(p))
-                          for p, s, e in PERIODS])
+    """One scan: the union of the period files, each row with its period."""
+    period = F.lit("p1")
+    for name, start in PERIOD_STARTS:
+        period = F.when(F.col("time") >= X.ts_lit(start), F.lit(name)).otherwise(period)
+    return fx.actions(spark, sf_dir).withColumn("period", period)
 
 
 # --------------------------------------------------------------------------
@@ -120,12 +123,12 @@ def _acc_ratio_sql(key: str, prefix: str, windows=P.ACC_WINDOWS, end=END) -> str
 
 @register("user_window_ratios", _acc_ratio_sql("user_id", "user"))
 def q_user_window_ratios(spark, sf_dir):
-    return win.accumulated_ratios(fx.actions(spark, sf_dir), "user_id", END, P.ACC_WINDOWS, "user")
+    return win.accumulated_ratios(fx.log(spark, sf_dir), "user_id", END, P.ACC_WINDOWS, "user")
 
 
 @register("sku_window_ratios", _acc_ratio_sql("sku_id", "sku"))
 def q_sku_window_ratios(spark, sf_dir):
-    return win.accumulated_ratios(fx.actions(spark, sf_dir), "sku_id", END, P.ACC_WINDOWS, "sku")
+    return win.accumulated_ratios(fx.log(spark, sf_dir), "sku_id", END, P.ACC_WINDOWS, "sku")
 
 
 DECAY_DAYS = 21
@@ -151,7 +154,7 @@ def q_decayed_counts(spark, sf_dir):
 
 CAND_DAYS = 7
 SCORE_DAYS = 21
-# Fixture parameter: three user ids removed from the user dimension.
+# Three user ids that the query ``user_dimension`` removes (P10); no other query does.
 BLOCKED_USERS = (3, 5, 8)
 
 
@@ -159,7 +162,7 @@ BLOCKED_USERS = (3, 5, 8)
     SELECT DISTINCT user_id, sku_id, 1 AS label FROM actions
     WHERE type = 4 AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)}"""))
 def q_purchase_labels(spark, sf_dir):
-    return sel.purchase_labels(fx.actions(spark, sf_dir), P.LABEL_START, P.LABEL_END)
+    return sel.purchase_labels(fx.log(spark, sf_dir), P.LABEL_START, P.LABEL_END)
 
 
 BUYERS_SQL = (f"SELECT DISTINCT user_id FROM actions WHERE type = 4 AND cate = '{P.TARGET_CATE}' "
@@ -172,7 +175,7 @@ def _buyers(spark, sf_dir):
 
 
 def _candidates(spark, sf_dir):
-    return win.lookback(fx.actions(spark, sf_dir), END, CAND_DAYS).select("user_id", "sku_id").distinct()
+    return win.lookback(fx.log(spark, sf_dir), END, CAND_DAYS).select("user_id", "sku_id").distinct()
 
 
 @register("past_buyers", S.with_views(["actions"], [], BUYERS_SQL))
@@ -186,10 +189,10 @@ def q_drop_past_buyers(spark, sf_dir):
     return sel.drop_past_buyers(_candidates(spark, sf_dir), _buyers(spark, sf_dir))
 
 
-@register("product_subset_semi", S.with_views(["actions", "products"], [("c", CAND_SQL)], """
-    SELECT c.user_id, c.sku_id FROM c WHERE EXISTS (SELECT 1 FROM products p WHERE p.sku_id = c.sku_id)"""))
+@register("product_subset_semi", S.with_views(["actions", "target_products"], [("c", CAND_SQL)], """
+    SELECT c.user_id, c.sku_id FROM c WHERE EXISTS (SELECT 1 FROM target_products p WHERE p.sku_id = c.sku_id)"""))
 def q_product_subset_semi(spark, sf_dir):
-    return sel.in_product_subset(_candidates(spark, sf_dir), fx.products(spark, sf_dir))
+    return sel.in_product_subset(_candidates(spark, sf_dir), fx.target_products(spark, sf_dir))
 
 
 def _case_map(col: str, mapping) -> str:
@@ -200,23 +203,23 @@ USER_DIM_SQL_CTES = [
     ("u", f"""SELECT user_id, CAST({_case_map('age', X.SEGMENT_AGE_CODES)} AS INTEGER) AS age, sex, user_lv_cd,
                      CASE WHEN date_diff('day', {S.dt(P.REG_BASE_DATE)}, user_reg_tm) >= 0
                           THEN date_diff('day', {S.dt(P.REG_BASE_DATE)}, user_reg_tm) END AS reg_days
-              FROM users WHERE user_id NOT IN ({', '.join(map(str, BLOCKED_USERS))})"""),
+              FROM users"""),
     ("m", "SELECT age, avg(reg_days) AS reg_mean FROM u GROUP BY age"),
     ("ud", """SELECT u.user_id, u.age, u.sex, u.user_lv_cd,
                      CAST(trunc(coalesce(CAST(u.reg_days AS DOUBLE), m.reg_mean)) AS INTEGER) AS user_reg_tm
               FROM u LEFT JOIN m ON u.age IS NOT DISTINCT FROM m.age"""),
 ]
+BLOCKED_DIM_SQL_CTES = [("u", USER_DIM_SQL_CTES[0][1] + f" WHERE user_id NOT IN ({', '.join(map(str, BLOCKED_USERS))})"), *USER_DIM_SQL_CTES[1:]]
 USER_DIM_COLS = "user_id, age, sex, user_lv_cd, user_reg_tm, CAST(user_reg_tm AS DOUBLE) / CAST(user_lv_cd AS DOUBLE) AS user_lv_reg"
 
 
-def _user_dim(spark, sf_dir):
-    block = spark.createDataFrame([(u,) for u in BLOCKED_USERS], "user_id bigint")
+def _user_dim(spark, sf_dir, block=None):
     return dims.user_dimension(fx.users(spark, sf_dir), P.REG_BASE_DATE, X.SEGMENT_AGE_CODES, block)
 
 
-@register("user_dimension", S.with_views(["users"], USER_DIM_SQL_CTES, f"SELECT {USER_DIM_COLS} FROM ud"))
+@register("user_dimension", S.with_views(["users"], BLOCKED_DIM_SQL_CTES, f"SELECT {USER_DIM_COLS} FROM ud"))
 def q_user_dimension(spark, sf_dir):
-    return _user_dim(spark, sf_dir)
+    return _user_dim(spark, sf_dir, spark.createDataFrame([(u,) for u in BLOCKED_USERS], "user_id bigint"))
 
 
 @register("age_years", S.with_views(["users"], [], f"""
@@ -280,7 +283,7 @@ SCORE_SQL = f"""SELECT user_id, sku_id,
 
 
 def _scores(spark, sf_dir):
-    return win.intent_score(fx.actions(spark, sf_dir), END, SCORE_DAYS)
+    return win.intent_score(fx.log(spark, sf_dir), END, SCORE_DAYS)
 
 
 @register("top1_per_user", S.with_views(["actions"], [("s", SCORE_SQL)], """
@@ -300,7 +303,7 @@ def q_low1_per_user(spark, sf_dir):
 SUBMISSION_SQL = f"""SELECT user_id, sku_id, score FROM (
         SELECT user_id, sku_id, score FROM s
         WHERE score >= {P.SCORE_THRESHOLD}
-          AND sku_id IN (SELECT sku_id FROM products)
+          AND sku_id IN (SELECT sku_id FROM target_products)
           AND user_id NOT IN (SELECT user_id FROM b)
         QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY score DESC, sku_id ASC) = 1)
     ORDER BY score DESC, user_id ASC LIMIT {P.SUBMISSION_K}"""
@@ -319,11 +322,11 @@ def _activity(spark, sf_dir):
 
 def _submission(spark, sf_dir, activity=None):
     act = activity if activity is not None else _activity(spark, sf_dir)
-    return sel.submission(sel.scores_of(act), fx.products(spark, sf_dir), sel.buyers_of(act),
+    return sel.submission(sel.scores_of(act), fx.target_products(spark, sf_dir), sel.buyers_of(act),
                           threshold=P.SCORE_THRESHOLD, k=P.SUBMISSION_K)
 
 
-@register("submission_topk", S.with_views(["actions", "products"], [("s", SCORE_SQL), ("b", BUYERS_SQL)],
+@register("submission_topk", S.with_views(["actions", "target_products"], [("s", SCORE_SQL), ("b", BUYERS_SQL)],
                                           SUBMISSION_SQL))
 def q_submission_topk(spark, sf_dir):
     return _submission(spark, sf_dir)
@@ -338,7 +341,7 @@ PAIRS_SQL = f"SELECT DISTINCT user_id, sku_id FROM actions WHERE {S.lookback_whe
            CAST(CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(sku_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS INTEGER) AS is_test
     FROM pr"""))
 def q_hash_split(spark, sf_dir):
-    pairs = win.lookback(fx.actions(spark, sf_dir), END, max(P.PAIR_WINDOWS)).select("user_id", "sku_id").distinct()
+    pairs = win.lookback(fx.log(spark, sf_dir), END, max(P.PAIR_WINDOWS)).select("user_id", "sku_id").distinct()
     return sel.hash_split(pairs)
 
 
@@ -432,11 +435,11 @@ def q_user_breadth(spark, sf_dir):
 def _group_breadth_sql(attr):
     extra_cte, extra_col, extra_join = [], "", ""
     if attr == "brand":
-        extra_cte = [("uc", "SELECT user_id, count(DISTINCT cate) AS diff_cate FROM pt GROUP BY user_id")]
+        extra_cte = [("uc", "SELECT user_id, count(*) AS diff_cate FROM (SELECT DISTINCT user_id, cate FROM pt) GROUP BY user_id")]
         extra_col = ", CAST(uc.diff_cate AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS cate_brand_ratio"
         extra_join = " JOIN uc ON uc.user_id = p.user_id"
     return S.with_views(["actions"], BREADTH_CTES + extra_cte + [
-        ("per", f"SELECT user_id, {attr}, count(*) AS diff_{attr}_total FROM pt GROUP BY user_id, {attr}"),
+        ("per", f"SELECT user_id, {attr}, count(DISTINCT sku_id) AS diff_{attr}_total FROM pt GROUP BY user_id, {attr}"),
         ("u", f"SELECT user_id, count(*) AS diff_{attr} FROM per GROUP BY user_id")], f"""
         SELECT p.user_id, p.{attr}, p.diff_{attr}_total, u.diff_{attr},
                CAST(p.diff_{attr}_total AS DOUBLE) / CAST(u.diff_{attr} AS DOUBLE) AS diff_{attr}_ratio,
@@ -451,8 +454,8 @@ for _attr in ("cate", "brand"):
 
 @register("sku_rank_in_user", S.with_views(["actions"], BREADTH_CTES, """
     SELECT pt.user_id, pt.sku_id, pt.cate, pt.brand, pt.sku_total,
-           CAST(row_number() OVER (PARTITION BY pt.user_id ORDER BY pt.sku_total DESC, pt.sku_id, pt.cate, pt.brand) - 1 AS INTEGER) AS sku_total_rank,
-           CAST(CASE WHEN row_number() OVER (PARTITION BY pt.user_id ORDER BY pt.sku_total DESC, pt.sku_id, pt.cate, pt.brand) = 1 THEN 1 ELSE 0 END AS INTEGER) AS sku_action_max,
+           CAST(row_number() OVER (PARTITION BY pt.user_id ORDER BY pt.sku_total DESC, pt.sku_id, pt.cate NULLS FIRST, pt.brand NULLS FIRST) - 1 AS INTEGER) AS sku_total_rank,
+           CAST(CASE WHEN row_number() OVER (PARTITION BY pt.user_id ORDER BY pt.sku_total DESC, pt.sku_id, pt.cate NULLS FIRST, pt.brand NULLS FIRST) = 1 THEN 1 ELSE 0 END AS INTEGER) AS sku_action_max,
            CAST(pt.sku_total AS DOUBLE) / CAST(ub.action_total AS DOUBLE) AS sku_action_ratio
     FROM pt JOIN ub ON ub.user_id = pt.user_id"""))
 def q_sku_rank_in_user(spark, sf_dir):
@@ -467,7 +470,7 @@ def _history(spark, sf_dir):
 
 
 @register("brand_popularity_rank", S.with_views(["actions"], [("r", HIST_ROWS_SQL)], """
-    SELECT brand, purchases, CAST(row_number() OVER (ORDER BY purchases, brand) - 1 AS INTEGER) AS brand_rank
+    SELECT brand, purchases, CAST(row_number() OVER (ORDER BY purchases, brand NULLS FIRST) - 1 AS INTEGER) AS brand_rank
     FROM (SELECT brand, count(*) FILTER (WHERE type = 4) AS purchases FROM r GROUP BY brand)"""))
 def q_brand_popularity_rank(spark, sf_dir):
     return br.brand_popularity_rank(_history(spark, sf_dir))
@@ -490,7 +493,7 @@ def _pos_sql(cate):
     extra = f" AND cate = '{cate}'" if cate else ""
     return (f"SELECT DISTINCT user_id, sku_id FROM actions WHERE type = 4{extra} "
             f"AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)} "
-            f"AND sku_id IN (SELECT sku_id FROM products)")
+            f"AND sku_id IN (SELECT sku_id FROM target_products)")
 
 
 CURVE_TYPES = ", ".join(f"({t})" for t in P.NON_PURCHASE_TYPES)
@@ -501,7 +504,7 @@ CURVE_ROWS = (f"SELECT user_id, sku_id, type, {S.off_expr(END)} AS off FROM acti
 
 
 def _cum_sql(cate):
-    return S.with_views(["actions", "products"], [
+    return S.with_views(["actions", "target_products"], [
         ("pos", _pos_sql(cate)), ("r", CURVE_ROWS), ("grid", CURVE_GRID),
         ("pm", f"SELECT user_id, sku_id, type, min(off) AS m FROM r WHERE type IN ({', '.join(map(str, P.NON_PURCHASE_TYPES))}) GROUP BY 1, 2, 3"),
         ("c", """SELECT g.n_days, g.type, count(pm.user_id) AS pairs, count(pos.user_id) AS hits
@@ -512,7 +515,7 @@ def _cum_sql(cate):
 
 
 def _daily_sql(cate):
-    return S.with_views(["actions", "products"], [
+    return S.with_views(["actions", "target_products"], [
         ("pos", _pos_sql(cate)), ("r", CURVE_ROWS), ("grid", CURVE_GRID),
         ("pd", "SELECT DISTINCT user_id, sku_id, type, off FROM r"),
         ("c", """SELECT g.n_days, g.type, count(pd.user_id) AS pairs, count(pos.user_id) AS hits
@@ -523,7 +526,8 @@ def _daily_sql(cate):
 
 
 def _curve_table(spark, sf_dir, cate):
-    return cv.curve_table(fx.actions(spark, sf_dir), fx.products(spark, sf_dir), END, P.CURVE_DAYS,
+    actions = fx.log(spark, sf_dir) if cate is None else fx.actions(spark, sf_dir)
+    return cv.curve_table(actions, fx.target_products(spark, sf_dir), END, P.CURVE_DAYS,
                           P.LABEL_START, P.LABEL_END, cate)
 
 
@@ -534,7 +538,7 @@ for _suffix, _cate in (("", None), ("_target", P.TARGET_CATE)):
         lambda spark, sf_dir, _c=_cate: cv.daily_from_table(_curve_table(spark, sf_dir, _c), P.CURVE_DAYS))
 
 
-@register("conversion_rows", S.with_views(["actions", "products"], [
+@register("conversion_rows", S.with_views(["actions", "target_products"], [
     ("pos", _pos_sql(None)), ("r", CURVE_ROWS),
     ("d", """SELECT CAST(r.off AS INTEGER) AS n_days, count(*) AS day_rows, count(pos.user_id) AS day_hit_rows
              FROM r LEFT JOIN pos ON pos.user_id = r.user_id AND pos.sku_id = r.sku_id GROUP BY 1"""),
@@ -662,7 +666,7 @@ METRIC_CTES = [("s", SCORE_SQL), ("b", BUYERS_SQL), ("pred", SUBMISSION_SQL), ("
 
 
 def _metric_sql(counts: str, prec: str) -> str:
-    return S.with_views(["actions", "products"], METRIC_CTES + [("c", counts), ("pr", prec), ("f", """
+    return S.with_views(["actions", "target_products"], METRIC_CTES + [("c", counts), ("pr", prec), ("f", """
         SELECT *, CASE WHEN 5.0 * user_recall + 1.0 * user_precision = 0 THEN 0.0
                        ELSE 6.0 * user_recall * user_precision / (5.0 * user_recall + 1.0 * user_precision) END AS f11,
                   CASE WHEN 2.0 * pair_recall + 3.0 * pair_precision = 0 THEN 0.0
@@ -704,8 +708,144 @@ def q_report_metrics(spark, sf_dir):
     return mt.score_sets(_submission(spark, sf_dir, act), sel.truth_of(act))
 
 
-def _truth(spark, sf_dir):
-    return sel.purchase_labels(fx.actions(spark, sf_dir), P.LABEL_START, P.LABEL_END).select("user_id", "sku_id")
+# --------------------------------------------------------------------------
+# Sources and sinks (written to the shared folder and read back), previews
+# --------------------------------------------------------------------------
+
+
+def _scratch(spark, name):
+    import uuid
+    from actionlens.session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@register("csv_actions", S.with_views(["actions"], [], f"SELECT {ACTION_COLS} FROM actions"))
+def q_csv_actions(spark, sf_dir):
+    """The log written as one CSV folder a period (append sink), read back as one multi-file scan."""
+    path = _scratch(spark, "csv")
+    a = fx.actions(spark, sf_dir)
+    t = F.col("time")
+    rd.write_csv(a.where((t < X.ts_lit("2024-01-16")) | t.isNull()), path)
+    rd.write_csv(a.where(t >= X.ts_lit("2024-01-16")), path, mode="append")
+    return rd.read_csv(spark, path, rd.ACTIONS_SCHEMA)
+
+
+@register("csv_users_gbk", S.with_views(["users"], [], "SELECT user_id, age || '岁' AS age, sex, user_lv_cd, user_reg_tm FROM users"))
+def q_csv_users_gbk(spark, sf_dir):
+    path = _scratch(spark, "gbk")
+    users = fx.users(spark, sf_dir).withColumn("age", F.concat("age", F.lit("岁")))
+    rd.write_csv(users.select(*rd.USERS_SCHEMA.fieldNames()), path, encoding="GBK")
+    return rd.read_csv(spark, path, rd.USERS_SCHEMA, encoding="GBK")
+
+
+@register("csv_pruned_columns", S.with_views(["actions"], [], "SELECT user_id, sku_id, type FROM actions"))
+def q_csv_pruned_columns(spark, sf_dir):
+    path = _scratch(spark, "pruned")
+    rd.write_columns(fx.actions(spark, sf_dir), ["user_id", "sku_id", "type"], path, header=True)
+    return rd.read_csv(spark, path, rd.T.StructType([f for f in rd.ACTIONS_SCHEMA if f.name in ("user_id", "sku_id", "type")]))
+
+
+@register("split_sink", S.with_views(["actions"], [("lab", f"SELECT DISTINCT user_id, sku_id, 1 AS label FROM actions WHERE type = 4 "
+                                                         f"AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)}"),
+                                                  ("s", SCORE_SQL)], """
+    SELECT s.user_id, s.sku_id, s.score, coalesce(lab.label, 0) AS label FROM s LEFT JOIN lab ON lab.user_id = s.user_id AND lab.sku_id = s.sku_id"""))
+def q_split_sink(spark, sf_dir):
+    """Ids, features and labels written apart, read back and put together by row."""
+    path = _scratch(spark, "split")
+    labels = sel.purchase_labels(fx.log(spark, sf_dir), P.LABEL_START, P.LABEL_END)
+    rd.write_split(_scores(spark, sf_dir).join(labels, ["user_id", "sku_id"], "left").na.fill(0, ["label"]), path, ["user_id", "sku_id"], "label")
+    part = lambda name: spark.read.parquet(f"{path}/{name}")
+    return part("ids").join(part("features"), "row").join(part("labels"), "row").drop("row")
+
+
+@register("memoised_stage", S.with_views(["actions"], [("s", SCORE_SQL)], "SELECT * FROM s"))
+def q_memoised_stage(spark, sf_dir):
+    path = _scratch(spark, "stage")
+    rd.memoised(spark, _scores(spark, sf_dir), path)
+    return rd.memoised(spark, _scores(spark, sf_dir).limit(0), path)      # finished: the stored stage is read
+
+
+@register("preview_actions", S.with_views(["actions"], [], f"""
+    SELECT {ACTION_COLS} FROM actions ORDER BY user_id, time, sku_id, type, cate NULLS FIRST, brand NULLS FIRST LIMIT 20"""))
+def q_preview_actions(spark, sf_dir):
+    """The first 20 rows of the sorted log (S4, O5: a preview is the feature)."""
+    return rd.first_rows(fx.actions(spark, sf_dir), 20, ["user_id", "time", "sku_id", "type", "cate", "brand"])
+
+
+@register("sorted_scores", S.with_views(["actions"], [("s", SCORE_SQL)], "SELECT * FROM s"))
+def q_sorted_scores(spark, sf_dir):
+    """Global sort sink: scores written in descending order (range partitions) and read back."""
+    path = _scratch(spark, "sorted")
+    _scores(spark, sf_dir).orderBy(F.desc("score"), "user_id", "sku_id").write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("date_text", S.with_views(["users"], [], f"""
+    SELECT user_id, try_cast(txt AS DATE) AS day FROM (
+        SELECT user_id, CASE WHEN user_id % 7 = 0 THEN 'unknown' ELSE CAST(user_reg_tm AS VARCHAR) END AS txt FROM users)"""))
+def q_date_text(spark, sf_dir):
+    """Dates from text; bad text becomes NULL (D1, P16)."""
+    txt = F.when(F.col("user_id") % 7 == 0, F.lit("unknown")).otherwise(F.col("user_reg_tm").cast("string"))
+    return fx.users(spark, sf_dir).select("user_id", F.try_to_date(txt, "yyyy-MM-dd").alias("day"))
+
+
+# --------------------------------------------------------------------------
+# Small operators
+# --------------------------------------------------------------------------
+
+
+@register("first_declared_order", S.with_views(["actions"], [], """
+    SELECT user_id, sku_id, time, type FROM actions
+    QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY time, sku_id, type) = 1"""))
+def q_first_declared_order(spark, sf_dir):
+    """W9: each user's first row in a declared order."""
+    return first_in_order(fx.log(spark, sf_dir), "user_id", ["time", "sku_id", "type"])
+
+
+TOP10_SQL = "SELECT * FROM s ORDER BY score DESC, user_id, sku_id LIMIT 10"
+
+
+@register("top10_scores", S.with_views(["actions"], [("s", SCORE_SQL)], TOP10_SQL))
+def q_top10_scores(spark, sf_dir):
+    return top_k(_scores(spark, sf_dir), 10, "score", ("user_id", "sku_id"))
+
+
+for _key in ("cate", "brand"):
+    register(f"model_clicks_{_key}", S.with_views(["actions"], [("r", BLOCK_ROWS_SQL)], f"""
+        SELECT {_key}, count(*) FILTER (WHERE model_id > 0) AS model_clicks FROM r GROUP BY {_key}"""))(
+        lambda spark, sf_dir, _k=_key: ru.model_clicks(_block_rows(spark, sf_dir), [_k]))
+
+
+@register("rollup_age_all", _attr_rollup_sql("age").replace("WHERE ud.age IS NOT NULL ", ""))
+def q_rollup_age_all(spark, sf_dir):
+    """The age rollup with the group of unknown age."""
+    return ru.rollup_by_user_attr(_block_rows(spark, sf_dir), _user_dim(spark, sf_dir), "age", keep_null=True)
+
+
+@register("past_buyers_ever", S.with_views(["actions"], [], "SELECT DISTINCT user_id FROM actions WHERE type = 4 AND time < " + S.ts(END)))
+def q_past_buyers_ever(spark, sf_dir):
+    return sel.past_buyers(fx.log(spark, sf_dir), END, None)
+
+
+@register("product_onehot_observed", S.with_views(["products"], [], "SELECT sku_id, cate, brand, " + ", ".join(
+    f"CAST(coalesce(a{i} = {v}, false) AS INTEGER) AS a{i}_{str(v).replace('-', 'm')}" for i, vs in ((1, (-1, 0, 1, 2)), (2, (0, 1, 2)), (3, (0, 1))) for v in vs) + " FROM products"))
+def q_product_onehot_observed(spark, sf_dir):
+    """C4: the one-hot domain is what the data holds."""
+    products = fx.products(spark, sf_dir)
+    return dims.product_onehot(products, *[dims.observed_values(products, c) for c in ("a1", "a2", "a3")])
+
+
+def _describe_sql(view, cols):
+    return S.with_views([view], [], " UNION ALL ".join(f"""
+    SELECT '{c}' AS col_name, count(x) AS count, round(avg(x), 6) AS mean, round(stddev_samp(x), 6) AS std,
+           round(min(x), 6) AS min, round(quantile_cont(x, 0.25), 6) AS q25, round(quantile_cont(x, 0.5), 6) AS q50,
+           round(quantile_cont(x, 0.75), 6) AS q75, round(max(x), 6) AS max
+    FROM (SELECT CAST({c} AS DOUBLE) AS x FROM {view})""" for c in cols))
+
+
+for _view, _cols in (("actions", ("user_id", "sku_id", "type")), ("users", ("sex", "user_lv_cd")), ("products", ("a1", "a2", "a3"))):
+    register(f"describe_{_view}", _describe_sql(_view, _cols))(
+        lambda spark, sf_dir, _v=_view, _c=_cols: pf.describe(getattr(fx, _v)(spark, sf_dir), _c).withColumnRenamed("column", "col_name"))
 
 
 # --------------------------------------------------------------------------
@@ -768,83 +908,105 @@ def q_backtest(spark, sf_dir):
 # Single-window feature block (breadth + rank + product + rollups)
 # --------------------------------------------------------------------------
 
-def _window_block_sql():
-    cnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"action_{k}"))
-    roll = []
-    for key, prefix in (("cate", "cate"), ("brand", "brand"), ("user_id", "user"), ("sku_id", "sku")):
-        c = ", ".join(S.type_count_cols(P.TYPES, lambda k, p=prefix: f"{p}_action_{k}"))
-        roll.append((f"{prefix}_g", f"SELECT {key}, {c} FROM r GROUP BY {key}"))
-        roll.append((f"{prefix}_r", f"SELECT *, {_ratio_sel(prefix)} FROM {prefix}_g"))
-    acnt = ", ".join(S.type_count_cols(P.TYPES, lambda k: f"a_{k}"))
-    asum = ", ".join(f"CAST(sum(a_{k}) AS BIGINT) AS age_action_{k}" for k in P.TYPES)
-    roll += [("pu", f"SELECT user_id, {acnt} FROM r GROUP BY user_id"),
-             ("age_g", f"SELECT ud.age, {asum} FROM pu JOIN ud ON ud.user_id = pu.user_id "
-                       f"WHERE ud.age IS NOT NULL GROUP BY ud.age"),
-             ("age_r", f"SELECT *, {_ratio_sel('age')} FROM age_g")]
-    rank = ("brank", """SELECT brand, CAST(row_number() OVER (ORDER BY purchases, brand) - 1 AS INTEGER) AS brand_rank
-                        FROM (SELECT brand, count(*) FILTER (WHERE type = 4) AS purchases FROM actions
-                              WHERE time < """ + S.ts(END) + " GROUP BY brand)")
-    rk = ("rk", """SELECT user_id, sku_id, cate, brand,
-                  CAST(row_number() OVER (PARTITION BY user_id ORDER BY sku_total DESC, sku_id, cate, brand) - 1 AS INTEGER) AS sku_total_rank
-           FROM pt""")
-    cb = ("cb", """SELECT p.user_id, p.cate, p.n AS diff_cate_total, u.diff_cate,
-                  CAST(p.n AS DOUBLE) / CAST(u.diff_cate AS DOUBLE) AS diff_cate_ratio,
-                  CAST(ub.diff_sku AS DOUBLE) / CAST(u.diff_cate AS DOUBLE) AS sku_cate_ratio
-           FROM (SELECT user_id, cate, count(*) AS n FROM pt GROUP BY 1, 2) p
-           JOIN (SELECT user_id, count(DISTINCT cate) AS diff_cate FROM pt GROUP BY 1) u ON u.user_id = p.user_id
-           JOIN ub ON ub.user_id = p.user_id""")
-    bb = ("bb", """SELECT p.user_id, p.brand, p.n AS diff_brand_total, u.diff_brand,
-                  CAST(p.n AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS diff_brand_ratio,
-                  CAST(ub.diff_sku AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS sku_brand_ratio,
-                  CAST(c.diff_cate AS DOUBLE) / CAST(u.diff_brand AS DOUBLE) AS cate_brand_ratio
-           FROM (SELECT user_id, brand, count(*) AS n FROM pt GROUP BY 1, 2) p
-           JOIN (SELECT user_id, count(DISTINCT brand) AS diff_brand FROM pt GROUP BY 1) u ON u.user_id = p.user_id
-           JOIN (SELECT user_id, count(DISTINCT cate) AS diff_cate FROM pt GROUP BY 1) c ON c.user_id = p.user_id
-           JOIN ub ON ub.user_id = p.user_id""")
-    pcols = [c.split(" AS ")[-1] for c in PRODUCT_ONEHOT_COLS.split(", ")[3:]]
-    age_cols = [f"age_action_{k}" for k in P.TYPES] + [f"age_ratio_{k}" for k in P.NON_PURCHASE_TYPES]
-    roll_cols = []
-    for prefix in ("cate", "brand", "user", "sku"):
-        roll_cols += [f"{prefix}_r.{prefix}_action_{k}" for k in P.TYPES]
-        roll_cols += [f"{prefix}_r.{prefix}_ratio_{k}" for k in P.NON_PURCHASE_TYPES]
-    body = f"""
-        SELECT c.*, pt.sku_total, rk.sku_total_rank,
-               CAST(CASE WHEN rk.sku_total_rank = 0 THEN 1 ELSE 0 END AS INTEGER) AS sku_action_max,
-               CAST(pt.sku_total AS DOUBLE) / CAST(ub.action_total AS DOUBLE) AS sku_action_ratio,
-               ub.action_total, ub.diff_sku,
-               cb.diff_cate_total, cb.diff_cate, cb.diff_cate_ratio, cb.sku_cate_ratio,
-               bb.diff_brand_total, bb.diff_brand, bb.diff_brand_ratio, bb.sku_brand_ratio, bb.cate_brand_ratio,
-               coalesce(brank.brand_rank, 0) AS brand_rank,
-               {', '.join(f'coalesce(po.{c}, 0) AS {c}' for c in pcols)},
-               coalesce(ud.age, 0) AS age,
-               {', '.join(roll_cols)},
-               {', '.join(f'coalesce(age_r.{c}, 0) AS {c}' for c in age_cols)}
-        FROM c
-        JOIN pt ON pt.user_id = c.user_id AND pt.sku_id = c.sku_id AND pt.cate = c.cate AND pt.brand = c.brand
-        JOIN rk ON rk.user_id = c.user_id AND rk.sku_id = c.sku_id AND rk.cate = c.cate AND rk.brand = c.brand
-        JOIN ub ON ub.user_id = c.user_id
-        JOIN cb ON cb.user_id = c.user_id AND cb.cate = c.cate
-        JOIN bb ON bb.user_id = c.user_id AND bb.brand = c.brand
-        LEFT JOIN brank ON brank.brand = c.brand
-        LEFT JOIN po ON po.sku_id = c.sku_id
-        LEFT JOIN ud ON ud.user_id = c.user_id
-        JOIN cate_r ON cate_r.cate = c.cate
-        JOIN brand_r ON brand_r.brand = c.brand
-        JOIN user_r ON user_r.user_id = c.user_id
-        JOIN sku_r ON sku_r.sku_id = c.sku_id
-        LEFT JOIN age_r ON age_r.age = ud.age"""
-    return S.with_views(["actions", "users", "products"], [
-        *BREADTH_CTES, *USER_DIM_SQL_CTES,
-        ("c", f"SELECT user_id, sku_id, cate, brand, {cnt} FROM r GROUP BY user_id, sku_id, cate, brand"),
-        rank, rk, cb, bb, ("po", f"SELECT {PRODUCT_ONEHOT_COLS} FROM products"), *roll], body)
-
-
-@register("window_block", _window_block_sql())
+def _block_ctes(n: int) -> list[tuple[str, str]]:
+    """CTEs of one window's block; the last is ``blk{n}`` with the block's columns."""
+    t = lambda name: f"{name}{n}"
+    same = lambda x, y, *keys: " AND ".join(f"{x}.{k} IS NOT DISTINCT FROM {y}.{k}" for k in keys)
+    cnt = lambda p: ", ".join(S.type_count_cols(P.TYPES, lambda k: f"{p}action_{k}"))
+    clicks = "count(*) FILTER (WHERE model_id > 0)"
+    ctes = [(t("r"), f"SELECT * FROM actions WHERE {S.lookback_where(END, n)}"),
+            (t("c"), f"SELECT user_id, sku_id, cate, brand, {cnt('')}, count(*) AS sku_total, {clicks} AS model_clicks FROM {t('r')} GROUP BY ALL"),
+            (t("rk"), f"""SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY sku_total DESC, sku_id, cate NULLS FIRST, brand NULLS FIRST) - 1 AS INTEGER) AS sku_total_rank
+                          FROM {t('c')}"""),
+            (t("ub"), f"SELECT user_id, CAST(sum(sku_total) AS BIGINT) AS action_total, count(*) AS diff_sku FROM {t('c')} GROUP BY user_id")]
+    for key, p in (("user_id", "user"), ("sku_id", "sku")):
+        ctes += [(t(f"{p}_g"), f"SELECT {key}, {cnt(p + '_')} FROM {t('r')} GROUP BY {key}"), (t(f"{p}_r"), f"SELECT *, {_ratio_sel(p)} FROM {t(f'{p}_g')}")]
+    for key in ("cate", "brand"):
+        ctes += [(t(f"{key}_g"), f"SELECT {key}, {cnt(key + '_')}, {clicks} AS {key}_model_clicks FROM {t('r')} GROUP BY {key}"),
+                 (t(f"{key}_r"), f"SELECT *, {_ratio_sel(key)} FROM {t(f'{key}_g')}"),
+                 (t(f"{key}_b"), f"""SELECT p.*, u.diff_{key}, CAST(p.diff_{key}_total AS DOUBLE) / u.diff_{key} AS diff_{key}_ratio
+                     FROM (SELECT user_id, {key}, count(DISTINCT sku_id) AS diff_{key}_total FROM {t('c')} GROUP BY ALL) p
+                     JOIN (SELECT user_id, count(*) AS diff_{key} FROM (SELECT DISTINCT user_id, {key} FROM {t('c')}) GROUP BY user_id) u ON u.user_id = p.user_id""")]
+    for attr in ("age", "sex"):
+        sums = ", ".join(f"CAST(sum(g.user_action_{k}) AS BIGINT) AS {attr}_action_{k}" for k in P.TYPES)
+        ctes += [(t(f"{attr}_g"), f"SELECT ud2.{attr}, {sums} FROM {t('user_g')} g JOIN ud2 ON ud2.user_id = g.user_id WHERE ud2.{attr} IS NOT NULL GROUP BY ud2.{attr}"),
+                 (t(f"{attr}_r"), f"SELECT *, {_ratio_sel(attr)} FROM {t(f'{attr}_g')}")]
+    roll = [f"{t(f'{p}_r')}.{c}" for p in ("cate", "brand", "user", "sku") for c in
+            [f"{p}_action_{k}" for k in P.TYPES] + [f"{p}_ratio_{k}" for k in P.NON_PURCHASE_TYPES] + ([f"{p}_model_clicks"] if p in ("cate", "brand") else [])]
+    roll += [f"coalesce({t(f'{a}_r')}.{c}, 0) AS {c}" for a in ("age", "sex") for c in
+             [f"{a}_action_{k}" for k in P.TYPES] + [f"{a}_ratio_{k}" for k in P.NON_PURCHASE_TYPES]]
+    onehot = [c.split(" AS ")[-1] for c in PRODUCT_ONEHOT_COLS.split(", ")[3:]]
+    user = [f"coalesce(ud2.{c}, 0) AS {c}" for c in ("age", "sex", "user_lv_cd", "user_reg_tm", "user_lv_reg")]
+    ctes.append((f"blk{n}", f"""
+        SELECT k.*, CAST(CASE WHEN k.sku_total_rank = 0 THEN 1 ELSE 0 END AS INTEGER) AS sku_action_max, ub.action_total, ub.diff_sku,
+               CAST(k.sku_total AS DOUBLE) / CAST(ub.action_total AS DOUBLE) AS sku_action_ratio,
+               cb.diff_cate_total, cb.diff_cate, cb.diff_cate_ratio, CAST(ub.diff_sku AS DOUBLE) / cb.diff_cate AS sku_cate_ratio,
+               bb.diff_brand_total, bb.diff_brand, bb.diff_brand_ratio, CAST(ub.diff_sku AS DOUBLE) / bb.diff_brand AS sku_brand_ratio,
+               CAST(cb.diff_cate AS DOUBLE) / bb.diff_brand AS cate_brand_ratio, coalesce(brank.brand_rank, 0) AS brand_rank,
+               {', '.join(f'coalesce(po.{c}, 0) AS {c}' for c in onehot)}, {', '.join(user)}, {', '.join(roll)}
+        FROM {t('rk')} k JOIN {t('ub')} ub ON ub.user_id = k.user_id
+        JOIN {t('cate_b')} cb ON {same('cb', 'k', 'user_id', 'cate')} JOIN {t('brand_b')} bb ON {same('bb', 'k', 'user_id', 'brand')}
+        LEFT JOIN brank ON {same('brank', 'k', 'brand')}
+        LEFT JOIN po ON po.sku_id = k.sku_id AND po.cate = k.cate AND po.brand = k.brand
+        LEFT JOIN ud2 ON ud2.user_id = k.user_id
+        JOIN {t('cate_r')} ON {same(t('cate_r'), 'k', 'cate')} JOIN {t('brand_r')} ON {same(t('brand_r'), 'k', 'brand')}
+        JOIN {t('user_r')} ON {t('user_r')}.user_id = k.user_id JOIN {t('sku_r')} ON {t('sku_r')}.sku_id = k.sku_id
+        LEFT JOIN {t('age_r')} ON {t('age_r')}.age = ud2.age LEFT JOIN {t('sex_r')} ON {t('sex_r')}.sex = ud2.sex"""))
+    return ctes
+
+
+BLOCK_COMMON = [*USER_DIM_SQL_CTES, ("ud2", f"SELECT {USER_DIM_COLS} FROM ud"), ("po", f"SELECT {PRODUCT_ONEHOT_COLS} FROM products"),
+                ("brank", f"""SELECT brand, CAST(row_number() OVER (ORDER BY purchases, brand NULLS FIRST) - 1 AS INTEGER) AS brand_rank
+                    FROM (SELECT brand, count(*) FILTER (WHERE type = 4) AS purchases FROM actions WHERE time < {S.ts(END)} GROUP BY brand)""")]
+
+
+@register("window_block", S.with_views(["actions", "users", "products"], BLOCK_COMMON + _block_ctes(BLOCK_DAYS), f"SELECT * FROM blk{BLOCK_DAYS}"))
 def q_window_block(spark, sf_dir):
     return ft.window_block(fx.actions(spark, sf_dir), _user_dim(spark, sf_dir), fx.products(spark, sf_dir),
                            END, BLOCK_DAYS)
 
 
+def _block_columns() -> list[str]:
+    """Columns of a block besides its keys."""
+    ratio = lambda p: [f"{p}_action_{k}" for k in P.TYPES] + [f"{p}_ratio_{k}" for k in P.NON_PURCHASE_TYPES]
+    onehot = [c.split(" AS ")[-1] for c in PRODUCT_ONEHOT_COLS.split(", ")[3:]]
+    return ([f"action_{k}" for k in P.TYPES] + ["sku_total", "model_clicks", "sku_total_rank", "sku_action_max", "action_total", "diff_sku", "sku_action_ratio"]
+            + [c for a in ("cate", "brand") for c in (f"diff_{a}_total", f"diff_{a}", f"diff_{a}_ratio", f"sku_{a}_ratio", f"{a}_model_clicks")]
+            + ["cate_brand_ratio", "brand_rank", *onehot, "age", "sex", "user_lv_cd", "user_reg_tm", "user_lv_reg"]
+            + [c for p in ("cate", "brand", "user", "sku", "age", "sex") for c in ratio(p)])
+
+
+def _block_set_sql(tail: str = "", extra: str = "", ctes=()) -> str:
+    longest = max(P.SHORT_WINDOWS)
+    cols = [f"coalesce(blk{n}.{c}, 0) AS w{n}_{c}" for n in P.SHORT_WINDOWS for c in _block_columns()]
+    joins = " ".join(f"LEFT JOIN blk{n} ON " + " AND ".join(f"blk{n}.{k} IS NOT DISTINCT FROM blk{longest}.{k}" for k in win.PAIR_KEYS)
+                     for n in P.SHORT_WINDOWS if n != longest)
+    keys = ", ".join(f"blk{longest}.{k}" for k in win.PAIR_KEYS)
+    return S.with_views(["actions", "users", "products"], BLOCK_COMMON + [c for n in P.SHORT_WINDOWS for c in _block_ctes(n)] + list(ctes),
+                        f"SELECT {keys}, {', '.join(cols)}{extra} FROM blk{longest} {joins} {tail}")
+
+
+def _block_args(spark, sf_dir):
+    return fx.actions(spark, sf_dir), _user_dim(spark, sf_dir), fx.products(spark, sf_dir), END
+
+
+@register("window_block_set", _block_set_sql())
+def q_window_block_set(spark, sf_dir):
+    return ft.window_block_set(*_block_args(spark, sf_dir))
+
+
+@register("block_train_set", _block_set_sql(
+    f"LEFT JOIN lab ON lab.user_id = blk{max(P.SHORT_WINDOWS)}.user_id AND lab.sku_id = blk{max(P.SHORT_WINDOWS)}.sku_id", ", coalesce(lab.label, 0) AS label",
+    [("lab", f"SELECT DISTINCT user_id, sku_id, 1 AS label FROM actions WHERE type = 4 AND time >= {S.ts(P.LABEL_START)} AND time < {S.ts(P.LABEL_END)}")]))
+def q_block_train_set(spark, sf_dir):
+    return ft.block_train_set(*_block_args(spark, sf_dir), P.LABEL_START, P.LABEL_END)
+
+
+@register("block_candidate_set", _block_set_sql(f"WHERE blk{max(P.SHORT_WINDOWS)}.cate = '{P.TARGET_CATE}'"))
+def q_block_candidate_set(spark, sf_dir):
+    return ft.block_candidate_set(*_block_args(spark, sf_dir))
+
+
 # --------------------------------------------------------------------------
 # Incremental ingestion (Structured Streaming, file source)
 # --------------------------------------------------------------------------
@@ -868,8 +1030,7 @@ def q_streaming_day_counts(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     # The driver folder holds one file per table; a glob selects the events
     # file(s), as a landing folder of log files would.
-    src = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1) \
-        .parquet(f"{sf_dir}/event[s]*.parquet")
+    src = spark.readStream.schema(events.schema).parquet(f"{sf_dir}/event[s]*.parquet")
     q = ingest.ingest_day_counts(spark, src, _events_to_actions(spark, sf_dir), f"{base}/sink", f"{base}/ckpt")
     q.awaitTermination()
     return ingest.read_day_counts(spark, f"{base}/sink").drop("batch")

@@ -21,6 +21,7 @@ from actionlens import params as P
 from actionlens.operators import breadth as br
 from actionlens.operators import dims
 from actionlens.operators import rollups as ru
+from actionlens.operators import selection as sel
 from actionlens.operators import windows as win
 from actionlens.session import ensure_checkpoint_dir
 
@@ -43,24 +44,31 @@ def _grains(actions: DataFrame, end: str, pair_windows, acc_windows, label_windo
     """
     longest_pair = max(pair_windows)
     until = label_window[1] if label_window and label_window[1] > end else None
-    daily = _day_table(actions, end, max(longest_pair, max(acc_windows)), until)
-    extra = []
+    longest = max(longest_pair, max(acc_windows))
     if label_window:
+        longest = max(longest, (date.fromisoformat(end) - date.fromisoformat(label_window[0])).days)
+    daily = _day_table(actions, end, longest, until)
+    extra, label = [], None
+    if label_window:
+        # The label belongs to (user, sku): a purchase under any category or brand.
         lo = (date.fromisoformat(end) - date.fromisoformat(label_window[1])).days + 1
         hi = (date.fromisoformat(end) - date.fromisoformat(label_window[0])).days
-        extra.append(F.expr(f"CAST(max(CASE WHEN off BETWEEN {lo} AND {hi} AND n_{P.PURCHASE} > 0 "
-                            f"THEN 1 ELSE 0 END) AS INT) AS label"))
+        label = daily.groupBy("user_id", "sku_id").agg(
+            F.expr(f"CAST(max(CASE WHEN off BETWEEN {lo} AND {hi} AND n_{P.PURCHASE} > 0 THEN 1 ELSE 0 END) AS INT) AS label")) \
+            .where("label = 1")
     # Pair rows are the pairs active in the longest pair window (and, for a
     # candidate set, in one category).  Both tests are on aggregates, so they
     # are not pushed below the shared day-level aggregate: the three grains
     # keep one plan and read the log once.
     keep = F.col("_first_off") <= longest_pair
     if pair_cate is not None:
-        extra.append(F.expr(f"max(CASE WHEN cate = '{pair_cate}' THEN 1 ELSE 0 END) AS _in_cate"))
+        extra.append(F.max(F.when(F.col("cate") == F.lit(pair_cate), 1).otherwise(0)).alias("_in_cate"))
         keep = keep & (F.col("_in_cate") == 1)
     pair = (win.window_sums(daily, win.PAIR_KEYS, pair_windows, P.TYPES, lambda n, k: f"w{n}_action_{k}",
                             first_off=True, extra=extra)
             .where(keep).drop("_first_off", "_in_cate"))
+    if label is not None:
+        pair = pair.join(label, ["user_id", "sku_id"], "left")      # nulls become 0 with the other features
     user = win.accumulated_ratios(actions, "user_id", end, acc_windows, "user", daily=daily)
     sku = win.accumulated_ratios(actions, "sku_id", end, acc_windows, "sku", daily=daily)
     return pair, user, sku
@@ -109,72 +117,96 @@ def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame,
             .na.fill(0))
 
 
+BROADCAST_ROWS = 100_000        # a side table of at most so many rows is broadcast
+
+
+def _side(df: DataFrame) -> DataFrame:
+    """A side table, written once; broadcast only if its checked row count allows it."""
+    df = df.checkpoint(eager=True)
+    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+
+
+def _attribute_rollup(per_user: DataFrame, attr: str) -> DataFrame:
+    """Rollup of the per-user counts by a user attribute (bounded values; users without it are left out)."""
+    agg = per_user.where(F.col(attr).isNotNull()).groupBy(attr).agg(
+        *[F.expr(f"CAST(sum(user_action_{k}) AS BIGINT) AS {attr}_action_{k}") for k in P.TYPES])
+    return ru.with_ratios(agg, attr)
+
+
 def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
-                 days: int, daily: DataFrame | None = None) -> DataFrame:
-    """Pair features of one look-back window with breadth, rank and rollups.
+                 days: int, daily: DataFrame | None = None, brand_rank: DataFrame | None = None) -> DataFrame:
+    """Pair features of one look-back window: behaviour counts, breadth, rank, product attributes,
+    user columns, model clicks and rollups by category, brand, user, product, age and sex.
 
-    The window's rows are reduced once to the pair grain (behaviour counts +
-    total) and that table is pinned in the shared checkpoint folder: breadth,
-    rank and every rollup read it, and each consumer prunes different
-    columns, so without pinning every consumer would rescan the log.
+    Eager: the window's pair table, its ranked form and the side tables are pinned in the shared
+    checkpoint folder, so the log is read once.  The pair table meets one user table, one product
+    table, two breadth tables and the (checked, broadcast) category and brand tables.
     """
-    if daily is None:
-        rows = win.lookback(actions, end, days)
-        counts = rows.groupBy(*win.PAIR_KEYS).agg(
-            *[F.expr(f"CAST(sum(CASE WHEN type = {k} THEN 1 ELSE 0 END) AS BIGINT) AS action_{k}")
-              for k in P.TYPES],
-            F.count(F.lit(1)).alias("sku_total"))
-    else:   # a day table from win.day_counts(..., with_total=True) covering >= days
-        counts = daily.where(F.col("off").between(1, days)).groupBy(*win.PAIR_KEYS).agg(
-            *[F.expr(f"CAST(sum(n_{k}) AS BIGINT) AS action_{k}") for k in P.TYPES],
-            F.expr("CAST(sum(n_all) AS BIGINT) AS sku_total"))
     ensure_checkpoint_dir(actions.sparkSession)
-    counts = counts.checkpoint(eager=True)
-    totals = counts.select(*win.PAIR_KEYS, "sku_total")
-    ranked = br.sku_rank_in_user(totals).drop("sku_total")
-    ub = br.user_breadth(totals)
-    cb = br.group_breadth(totals, "cate")
-    bb = br.group_breadth(totals, "brand")
-    brank = br.brand_popularity_rank(actions.where(F.col("time") < F.lit(end).cast("timestamp_ntz"))) \
-        .drop("purchases")
-    prod = dims.product_onehot(products).drop("cate", "brand")
-    ages = user_dim.select("user_id", "age")
-    per_user = counts.groupBy("user_id").agg(
-        *[F.expr(f"CAST(sum(action_{k}) AS BIGINT) AS a_{k}") for k in P.TYPES])
-    age_roll = ru.with_ratios(
-        per_user.join(ages, "user_id").where(F.col("age").isNotNull()).groupBy("age").agg(
-            *[F.expr(f"CAST(sum(a_{k}) AS BIGINT) AS age_action_{k}") for k in P.TYPES]), "age")
-    out = (counts
-           .join(ranked, list(win.PAIR_KEYS))
-           .join(ub, "user_id")
-           .join(cb, ["user_id", "cate"])
-           .join(bb, ["user_id", "brand"])
-           .join(brank, "brand", "left")
-           .join(prod, "sku_id", "left")
-           .join(ages, "user_id", "left")
-           .join(ru.rollup_from_counts(counts, "cate"), "cate", "left")
-           .join(ru.rollup_from_counts(counts, "brand"), "brand", "left")
-           .join(ru.rollup_from_counts(counts, "user_id", "user"), "user_id", "left")
-           .join(ru.rollup_from_counts(counts, "sku_id", "sku"), "sku_id", "left")
-           .join(age_roll, "age", "left"))
+    if brand_rank is None:
+        brand_rank = brand_rank_before(actions, end)
+    if daily is None:
+        daily = win.day_counts(actions, win.PAIR_KEYS, end, days, with_total=True)
+    counts = daily.where(F.col("off").between(1, days)).groupBy(*win.PAIR_KEYS).agg(
+        *[F.expr(f"CAST(sum(n_{k}) AS BIGINT) AS action_{k}") for k in P.TYPES],
+        F.expr("CAST(sum(n_all) AS BIGINT) AS sku_total"), F.expr("CAST(sum(n_model) AS BIGINT) AS model_clicks"))
+    # The ranked table is written by rank_within and is what everything below reads.
+    ranked = br.rank_within(counts, ["user_id"], [F.col("sku_total").desc(), F.col("sku_id"), F.col("cate"), F.col("brand")],
+                            name="sku_total_rank").checkpoint(eager=True)
+    total = lambda p: [F.expr(f"CAST(sum(action_{k}) AS BIGINT) AS {p}_action_{k}") for k in P.TYPES]
+    clicks = lambda p: F.expr(f"CAST(sum(model_clicks) AS BIGINT) AS {p}_model_clicks")
+
+    user = ru.with_ratios(ranked.groupBy("user_id").agg(
+        *total("user"), F.expr("CAST(sum(sku_total) AS BIGINT) AS action_total"), F.count(F.lit(1)).alias("diff_sku")), "user")
+    user = user.join(user_dim, "user_id", "left").checkpoint(eager=True)
+    for attr in ("age", "sex"):
+        user = user.join(_side(_attribute_rollup(user, attr)), attr, "left")
+    sku = ru.with_ratios(ranked.groupBy("sku_id").agg(*total("sku")), "sku")
+    cate = _side(ru.with_ratios(ranked.groupBy("cate").agg(*total("cate"), clicks("cate")), "cate"))
+    brand = ru.with_ratios(ranked.groupBy("brand").agg(*total("brand"), clicks("brand")), "brand")
+    brand = _side(win.join_null_safe(brand, brand_rank.select("brand", "brand_rank"), ["brand"]))
+    pairs = ranked.select(*win.PAIR_KEYS, "sku_total")
+
+    out = ranked.withColumn("sku_action_max", F.when(F.col("sku_total_rank") == 0, 1).otherwise(0).cast("int"))
+    out = out.join(user, "user_id", "left").withColumn("sku_action_ratio", F.col("sku_total").cast("double") / F.col("action_total").cast("double"))
+    out = win.join_null_safe(out, br.group_breadth(pairs, "cate"), ["user_id", "cate"])
+    out = win.join_null_safe(out, br.group_breadth(pairs, "brand"), ["user_id", "brand"])
+    out = out.join(sku, "sku_id", "left").join(dims.product_onehot(products), ["sku_id", "cate", "brand"], "left")
+    out = win.join_null_safe(win.join_null_safe(out, cate, ["cate"]), brand, ["brand"])
     return out.na.fill(0)
 
 
+def brand_rank_before(actions: DataFrame, end: str) -> DataFrame:
+    """brand, brand_rank over all actions before ``end``."""
+    return br.brand_popularity_rank(actions.where(F.col("time") < F.lit(end).cast("timestamp_ntz"))).drop("purchases")
+
+
 def window_block_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
                      windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
-    """The later generation's merged set: one ``window_block`` per window,
-    columns prefixed ``w{N}_``, left-joined onto the longest window's pairs
-    (pairs absent from a shorter window get zeros).
-
-    The log is reduced once to a pinned day-level table; every window's
-    block is derived from it (no per-window rescan of the log).
+    """The later generation's merged set: one ``window_block`` per window, columns prefixed
+    ``w{N}_``, left-joined onto the longest window's pairs (pairs absent from a shorter window get
+    zeros).  Eager: one pinned day table and one brand rank serve every window.
     """
     ensure_checkpoint_dir(actions.sparkSession)
     daily = win.day_counts(actions, win.PAIR_KEYS, end, max(windows), with_total=True).checkpoint(eager=True)
+    rank = brand_rank_before(actions, end).checkpoint(eager=True)
     keys = list(win.PAIR_KEYS)
     out = None
     for n in sorted(windows, reverse=True):
-        b = window_block(actions, user_dim, products, end, n, daily=daily)
-        b = b.select(*keys, *[F.col(c).alias(f"w{n}_{c}") for c in b.columns if c not in keys])
-        out = b if out is None else out.join(b, keys, "left")
+        b = window_block(actions, user_dim, products, end, n, daily=daily, brand_rank=rank)
+        b = b.select(*keys, *[F.col(c).alias(f"w{n}_{c}") for c in b.columns if c not in keys]).checkpoint(eager=True)
+        out = b if out is None else win.join_null_safe(out, b, keys)
     return out.na.fill(0)
+
+
+def block_train_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str, label_start: str, label_end: str,
+                    windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
+    """The merged set with ``label``: whether the user bought the product in the label window."""
+    labels = sel.purchase_labels(actions, label_start, label_end)
+    return window_block_set(actions, user_dim, products, end, windows).join(labels, ["user_id", "sku_id"], "left").na.fill(0, ["label"])
+
+
+def block_candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str, cate: str = P.TARGET_CATE,
+                        windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
+    """The merged set of the target category's pairs."""
+    return window_block_set(actions, user_dim, products, end, windows).where(F.col("cate") == F.lit(cate))

@@ -19,6 +19,8 @@ JOB_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
+    # GBK and other Java charsets in the CSV reader and writer.
+    "spark.sql.legacy.javaCharsets": "true",
     # Pinned intermediates (DataFrame.checkpoint) are removed from the shared
     # checkpoint folder once no DataFrame refers to them any more.
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
@@ -47,8 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
     On a cluster ``spark.checkpoint.dir`` is set by the deployment and is a
-    shared file system path; it is used as is.  Only when it is unset (local
-    tests) is a scratch folder created.
+    shared file system path; it is used as is.  Where it is unset, a local
+    master gets a scratch folder; any other master is an error, because each
+    executor would write to its own disk.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -56,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="actionlens-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir

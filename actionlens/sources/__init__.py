@@ -1 +1 @@
-from actionlens.sources.fixtures import actions, comments, products, users, tables  # noqa: F401
+from actionlens.sources.fixtures import actions, comments, log, products, target_products, users  # noqa: F401

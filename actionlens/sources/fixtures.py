@@ -16,27 +16,21 @@ from pyspark.sql import functions as F
 EVENT_TYPE_CODES = {"view": 1, "signup": 2, "error": 3, "purchase": 4, "click": 6}
 
 
-_RELATIONS: dict[tuple[str, str], DataFrame] = {}
+# The log records the category and brand at the time of the action, and both may
+# change or be missing: some events of a product carry another brand or category
+# than its part row, or none.
+OTHER_CATE, OTHER_BRAND = "ECONOMY", "Brand#99"
 
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The parquet relation of a driver table, resolved once per session.
-
-    Resolving a relation lists the files and reads their footers on the
-    driver; a query touches the same table several times, so the resolved
-    (lazy, data-free) relation is reused.
-    """
-    path = f"{sf_dir}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _RELATIONS:
-        _RELATIONS[key] = spark.read.parquet(path)
-    return _RELATIONS[key]
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, sku_id, time, model_id, type, cate, brand — one row per event.
 
     The sku comes from the event's JSON key; it is joined to ``part`` for
+    category and brand; an action whose product has no part row keeps a NULL
     category and brand.  The join is a plain equi-join: AQE broadcasts the
     part side at run time only when its shuffle output is small, and falls
     back to a sort-merge join otherwise.
@@ -46,8 +40,7 @@ def actions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def actions_from_events(e: DataFrame, part: DataFrame) -> DataFrame:
     """The ``actions`` mapping for any events frame (batch or micro-batch)."""
-    p = part.select(
-        F.col("p_partkey"), F.col("p_type").alias("cate"), F.col("p_brand").alias("brand"))
+    p = part.select("p_partkey", "p_type", "p_brand")
     code = None
     for name, v in EVENT_TYPE_CODES.items():
         code = F.when(F.col("event_type") == name, F.lit(v)) if code is None \
@@ -59,8 +52,21 @@ def actions_from_events(e: DataFrame, part: DataFrame) -> DataFrame:
         F.when((F.col("event_type") == "click") & (F.col("event_id") % 3 > 0),
                (F.col("event_id") % 20).cast("int")).alias("model_id"),
         code.cast("int").alias("type"),
+        F.col("event_id").alias("_event"),
     )
-    return ev.join(p, ev.sku_id == p.p_partkey, "inner").drop("p_partkey")
+    event = F.col("_event")
+    cate = F.when(event % 19 == 0, F.lit(None)).when(event % 13 == 0, F.lit(OTHER_CATE)).otherwise(F.col("p_type"))
+    brand = F.when(event % 17 == 0, F.lit(None)).when(event % 11 == 0, F.lit(OTHER_BRAND)).otherwise(F.col("p_brand"))
+    return (ev.join(p, ev.sku_id == p.p_partkey, "left")
+            .select("user_id", "sku_id", "time", "model_id", "type", cate.alias("cate"), brand.alias("brand")))
+
+
+def log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The actions without category and brand: user_id, sku_id, time, type (no join with ``part``)."""
+    code = F.create_map(*[x for k, v in EVENT_TYPE_CODES.items() for x in (F.lit(k), F.lit(v))])
+    return _read(spark, sf_dir, "events").select(
+        "user_id", F.get_json_object("props", "$.k").cast("bigint").alias("sku_id"), F.col("ts").alias("time"),
+        F.try_element_at(code, F.col("event_type")).cast("int").alias("type"))
 
 
 def users(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -80,9 +86,8 @@ def users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The target product subset: sku_id, a1, a2, a3, cate, brand."""
-    p = _read(spark, sf_dir, "part")
-    return p.where(F.col("p_size") <= 25).select(
+    """All products: sku_id, a1, a2, a3, cate, brand."""
+    return _read(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("sku_id"),
         (F.col("p_size") % 4 - 1).cast("int").alias("a1"),
         (F.col("p_partkey") % 3).cast("int").alias("a2"),
@@ -92,6 +97,12 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def target_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The target product subset (the feature of the semi-join and the submission)."""
+    chosen = _read(spark, sf_dir, "part").where(F.col("p_size") <= 25).select(F.col("p_partkey").alias("sku_id"))
+    return products(spark, sf_dir).join(chosen, "sku_id", "left_semi")
+
+
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly review snapshots: dt, sku_id, comment_num (0..4), has_bad, bad_rate."""
     li = _read(spark, sf_dir, "lineitem")
@@ -103,30 +114,21 @@ def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.avg(bad.cast("double")).alias("bad_rate")))
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "actions": actions(spark, sf_dir),
-        "users": users(spark, sf_dir),
-        "products": products(spark, sf_dir),
-        "comments": comments(spark, sf_dir),
-    }
-
-
 # DuckDB forms of the same views, used by the SQL oracle and the tests.
 DUCKDB_VIEWS = {
     "actions": """
         SELECT e.user_id AS user_id,
-               CAST(p.p_partkey AS BIGINT) AS sku_id,
+               CAST(json_extract_string(e.props, '$.k') AS BIGINT) AS sku_id,
                e.ts AS time,
                CASE WHEN e.event_type = 'click' AND e.event_id % 3 > 0
                     THEN CAST(e.event_id % 20 AS INTEGER) END AS model_id,
                CAST(CASE e.event_type WHEN 'view' THEN 1 WHEN 'signup' THEN 2
                     WHEN 'error' THEN 3 WHEN 'purchase' THEN 4 WHEN 'click' THEN 6 END
                     AS INTEGER) AS type,
-               p.p_type AS cate,
-               p.p_brand AS brand
+               CASE WHEN e.event_id % 19 = 0 THEN NULL WHEN e.event_id % 13 = 0 THEN 'ECONOMY' ELSE p.p_type END AS cate,
+               CASE WHEN e.event_id % 17 = 0 THEN NULL WHEN e.event_id % 11 = 0 THEN 'Brand#99' ELSE p.p_brand END AS brand
         FROM events e
-        JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)""",
+        LEFT JOIN part p ON p.p_partkey = CAST(json_extract_string(e.props, '$.k') AS BIGINT)""",
     "users": """
         SELECT c.c_custkey AS user_id,
                c.c_mktsegment AS age,
@@ -144,7 +146,9 @@ DUCKDB_VIEWS = {
                CAST(p_partkey % 2 AS INTEGER) AS a3,
                p_type AS cate,
                p_brand AS brand
-        FROM part WHERE p_size <= 25""",
+        FROM part""",
+    "target_products": """
+        SELECT p_partkey AS sku_id FROM part WHERE p_size <= 25""",
     "comments": """
         SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS dt,
                l_partkey AS sku_id,
@@ -155,8 +159,3 @@ DUCKDB_VIEWS = {
         GROUP BY 1, 2""",
 }
 
-
-def duckdb_with(*names: str) -> str:
-    """A WITH clause defining the named views for an oracle query."""
-    parts = [f"{n} AS ({DUCKDB_VIEWS[n]}\n)" for n in names]
-    return "WITH " + ",\n".join(parts) + "\n"

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 ACTIONS_SCHEMA = T.StructType([
@@ -50,10 +51,10 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
     """Headered CSV with a declared schema (no inference pass).
 
     Legacy encodings such as GBK need ``spark.sql.legacy.javaCharsets=true``
-    in Spark 4; bad numbers and dates become NULL (PERMISSIVE mode).
+    in Spark 4 (part of ``session.JOB_CONF``); bad numbers and dates become
+    NULL (PERMISSIVE mode).
     """
-    if encoding.upper() not in ("UTF-8", "UTF8"):
-        spark.conf.set("spark.sql.legacy.javaCharsets", "true")
+    needs_charsets(spark, encoding)
     return (spark.read.schema(schema)
             .option("header", True).option("encoding", encoding)
             .option("dateFormat", date_format).option("timestampNTZFormat", ts_format)
@@ -61,6 +62,12 @@ def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructTy
             .csv(list(paths) if not isinstance(paths, str) else paths))
 
 
+def needs_charsets(spark: SparkSession, encoding: str) -> None:
+    if encoding.upper() not in ("UTF-8", "UTF8", "ISO-8859-1", "US-ASCII") and \
+            spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
+        raise ValueError(f"reading or writing {encoding} needs spark.sql.legacy.javaCharsets=true in the session")
+
+
 def union_periods(frames: Sequence[DataFrame]) -> DataFrame:
     """Union per-period extracts by column name (a multi-file scan does the same)."""
     return reduce(lambda a, b: a.unionByName(b), frames)
@@ -71,8 +78,9 @@ def union_periods(frames: Sequence[DataFrame]) -> DataFrame:
 TS_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    (df.write.mode(mode).option("header", True)
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
+    needs_charsets(df.sparkSession, encoding)
+    (df.write.mode(mode).option("header", True).option("encoding", encoding)
      .option("timestampNTZFormat", TS_WRITE_FORMAT).option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
@@ -85,16 +93,30 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
 
 
 def memoised(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Stage output kept as Parquet: written once (``mode=ignore``), then read.
+    """Stage output kept as Parquet: written once, then read.
 
     ``path`` must carry every parameter of the stage (dates, windows) so two
-    stages never share a file.  The write is a normal distributed job; the
-    read gives a lineage-free DataFrame that survives executor loss.
+    stages never share a file.  Only a finished write (``_SUCCESS``) counts;
+    what a failed one left is written over.  The write is a normal
+    distributed job; the read gives a lineage-free DataFrame that survives
+    executor loss.
     """
-    df.write.mode("ignore").parquet(path)
+    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")     # readers hide files named so
+    if not mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
+        df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 
+def write_split(df: DataFrame, path: str, ids: Sequence[str], label: str, mode: str = "overwrite") -> None:
+    """Split sink: identifiers, features and labels of the same rows in three folders, tied by ``row``."""
+    from actionlens.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
+    rows = df.withColumn("row", F.monotonically_increasing_id()).checkpoint()       # one numbering for all three
+    rows.select("row", *ids).write.mode(mode).parquet(f"{path}/ids")
+    rows.drop(*ids, label).write.mode(mode).parquet(f"{path}/features")
+    rows.select("row", label).write.mode(mode).parquet(f"{path}/labels")
+
+
 def first_rows(df: DataFrame, n: int, order: Sequence[str]) -> DataFrame:
     """A deterministic preview: the first ``n`` rows under ``order``
     (``orderBy().limit()`` plans as a per-task top-n, merged once)."""

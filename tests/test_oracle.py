@@ -6,11 +6,12 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from actionlens.plans import catalog
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
-ORACLE = entry.oracle_sql()
+ORACLE = catalog.ORACLE
 
 
 def _norm(v):
@@ -34,8 +35,9 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(entry.queries()) - set(ORACLE)
-    assert missing <= {"gbt_scores", "rf_scores", "logloss", "backtest", "streaming_day_counts"}
+    missing = set(catalog.QUERIES) - set(ORACLE)
+    assert set(catalog.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
+    assert missing <= {"gbt_scores", "rf_scores", "logloss", "backtest"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
