@@ -269,8 +269,12 @@ class MetricJoin:
         return i
 
     def shared(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        """Sizes of the intersections of sets a with sets b."""
-        pool = np.unique(np.concatenate([self.sets[i] for i in b]))
+        """Sizes of the intersections of sets a with sets b (where a is b, of different sets)."""
+        pool, held = np.unique(np.concatenate([self.sets[i] for i in b]), return_counts=True)
+        if a is b:
+            pool = pool[held > 1]                           # shingles of one set alone add nothing
+        else:
+            pool = np.intersect1d(pool, np.concatenate([self.sets[i] for i in a]))
         out = np.zeros((len(a), len(b)), np.int64)
         for lo in range(0, len(pool), 4096):                # a slice of the shingles at a time bounds the matrices
             part = pool[lo:lo + 4096]
@@ -289,6 +293,8 @@ class MetricJoin:
     def compare(self, a: np.ndarray, b: np.ndarray) -> None:
         both = self.shared(a, b)
         union = self.n[a][:, None] + self.n[b][None, :] - both
+        if a is b:
+            np.fill_diagonal(both, 0)
         for i, j in zip(*np.nonzero(100 * both >= self.percent * union)):
             x, y = self.find(a[i]), self.find(b[j])
             if x != y:
@@ -306,8 +312,10 @@ class MetricJoin:
         cells = [members[away[:, p] <= near + 2 * self.eps + 1e-9] for p in range(len(pivots)) if (away.argmin(1) == p).any()]
         if sum(map(len, cells)) > 2 * len(members) or max(map(len, cells)) > 0.8 * len(members):
             for a in range(0, len(members), 4 * LEAF):      # too close together for cells: all blocks
-                for b in range(a, len(members), 4 * LEAF):
-                    self.compare(members[a:a + 4 * LEAF], members[b:b + 4 * LEAF])
+                one = members[a:a + 4 * LEAF]
+                self.compare(one, one)
+                for b in range(a + 4 * LEAF, len(members), 4 * LEAF):
+                    self.compare(one, members[b:b + 4 * LEAF])
             return self
         for cell in cells:
             self.join(cell)
