@@ -45,7 +45,7 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def rule_of(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> Column:
     """Struct (rule, verdict) of the longest fitting rule, else null; rules: (host, path prefix, verdict)."""
-    out = F.lit(None)
+    out = F.lit(None).cast("struct<rule: string, verdict: string>")
     for h, p, verdict in sorted(rules, key=lambda r: (len(r[0] + r[1]), r)):        # the last test is the outermost
         fits = ((host == h) | host.endswith("." + h)) & path.startswith(p)
         out = F.when(fits, F.struct(F.lit(h + p).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(out)
