@@ -26,8 +26,7 @@ score; equal texts get equal scores; a text of any length is scored whole.
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,8 @@ SPAN = 8                # widest span of a letter triple
 DECAY = 0.7
 LETTERS = 24            # letters of a word compared; a longer word is compared by overlapping parts of this size
 LANDMARKS = 128
-PER_CLASS = 2000
+PER_CLASS = 1200
+PART = 20_000           # words scored at once
 THRESHOLD = 0.3
 
 _CODE = np.full(256, -1, np.int64)                  # letters and digits; of a multi-byte letter its later bytes
@@ -183,7 +183,7 @@ def score_texts(text: pa.Array, model: Model) -> Iterator[tuple[int, int, np.nda
         buf, off = normal(buf, off)
         start, end, row = words(buf, off)
         _, where, which = np.unique(span_hash(buf, start, end), return_index=True, return_inverse=True)
-        margin = margins(buf, start[where], end[where], beta, model.bias)
+        margin = np.concatenate([np.zeros(0), *(margins(buf, start[where[lo:lo + PART]], end[where[lo:lo + PART]], beta, model.bias) for lo in range(0, len(where), PART))])
         x = summary(*_worst(row, margin[which] if len(which) else np.zeros(0), b - a))
         yield a, b, 1 / (1 + np.exp(-(x @ model.logistic)))
 
@@ -215,81 +215,89 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def fit(words_of: list[list[str]], toxic: np.ndarray, rounds: int = 2) -> Model:
+def fit(words_of: Iterable[list[str]], toxic: np.ndarray, rounds: int = 2) -> Model:
     """Fit on documents given as lists of normalised words."""
-    bad, good, seen = Counter(), Counter(), set()
-    for ws, t in zip(words_of, toxic):
+    number: dict[str, int] = {}
+    ids = [np.array([number.setdefault(w, len(number)) for w in ws], np.int32) for ws in words_of]
+    word, size = list(number), len(number)
+    usable = np.array([len(w) > 2 for w in word], bool)
+    good, pairs = np.zeros(size, np.int64), [np.zeros(0, np.int64)]
+    for d, t in zip(ids, toxic):
         if t:
-            for pair in zip(["", *ws], ws):          # a word counts once after each word, so copies of a text add nothing
-                if pair not in seen:
-                    seen.add(pair)
-                    bad[pair[1]] += 1
+            pairs.append(np.unique(np.r_[-1, d[:-1]].astype(np.int64) * size + d) if len(d) else pairs[0])
         else:
-            good.update(set(ws))
+            good[np.unique(d)] += 1
+    # A word counts once after each word, so copies of a text add nothing.
+    bad = np.bincount(np.unique(np.concatenate(pairs)) % size, minlength=size) if size else good
     n_bad, n_good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
-    usable = lambda w: len(w) > 2
     share = n_bad / (n_bad + n_good)
-    often = np.log(20 * (len(bad) + 1)) / -np.log(share)     # chance puts hardly any word that often into toxic texts alone
-    odds = {w: c / (good[w] + 1) for w, c in bad.items() if usable(w)}
-    pos = [w for w in sorted(odds, key=lambda w: (-bad[w], w)) if bad[w] >= often and odds[w] * n_good >= 20 * n_bad][:1500]
-    pos = pos or sorted((w for w in odds if not good[w] and bad[w] > 1), key=lambda w: (-bad[w], w))[:20]
-    if not pos:
+    often = np.log(20 * (np.count_nonzero(bad) + 1)) / -np.log(share)      # chance puts hardly any word that often into toxic texts alone
+    by_count = lambda at, n: at[np.lexsort((at, -n[at]))]
+    pos = by_count(np.flatnonzero(usable & (bad >= often) & (bad * n_good >= 20 * n_bad * (good + 1))), bad)[:1500]
+    if not len(pos):
+        pos = by_count(np.flatnonzero(usable & (bad > 1) & (good == 0)), bad)[:20]
+    if not len(pos):
         return Model(np.zeros(ALPHABET ** 3), -1.0, np.array([0, 0, 0, 0, np.log((n_bad + 0.5) / (n_good + 0.5))]))
-    common = sorted((w for w in good if usable(w)), key=lambda w: (-good[w], w))
-    rest = sorted((w for w in good if usable(w)), key=lambda w: hash_of(w))
-    neg = list(dict.fromkeys(common[:1500] + rest[:4500]))
-    beta, bias = None, 0.0
+    clean = np.flatnonzero(usable & (good > 0))
+    some = clean[np.argsort([hash_of(word[i]) for i in clean], kind="stable")[:4500]] if len(clean) > 4500 else clean
+    neg = np.setdiff1d(np.union1d(by_count(clean, good)[:1500], some), pos)
     for _ in range(rounds):
-        vocab = pos + neg
-        w_i, f_i, v_i = features(vocab)
-        lm = _landmarks(pos, neg)
-        place = {w: i for i, w in enumerate(vocab)}
-        ids = np.array([place[w] for w in lm])
-        used = np.unique(f_i[np.isin(w_i, ids)])                     # other features meet no landmark
-        col = np.minimum(np.searchsorted(used, f_i), len(used) - 1)
-        keep = used[col] == f_i
-        w_i, v_i, col = w_i[keep], v_i[keep], col[keep]
-        cut = np.searchsorted(w_i, np.arange(len(vocab) + 1))
-
-        def rows(lo: int, hi: int) -> np.ndarray:
-            x = np.zeros((hi - lo, len(used)), np.float32)
-            part = slice(cut[lo], cut[hi])
-            x[w_i[part] - lo, col[part]] = v_i[part]
-            return x
-
-        dense = np.concatenate([rows(i, i + 1) for i in ids])
-        gram = np.concatenate([rows(lo, min(lo + 512, len(vocab))) @ dense.T for lo in range(0, len(vocab), 512)]).astype(float)
-        value, vector = np.linalg.eigh(gram[ids] + 1e-6 * np.eye(len(lm)))
-        white = vector / np.sqrt(np.maximum(value, 1e-6))
-        x = np.c_[gram @ white, np.ones(len(vocab))]
-        y = np.r_[np.ones(len(pos)), -np.ones(len(neg))]
-        weight = np.r_[np.full(len(pos), 0.5 / len(pos)), np.full(len(neg), 0.5 / len(neg))] * len(vocab)
-        w = _svm(x, y, weight)
-        beta = np.zeros(ALPHABET ** 3)
-        np.add.at(beta, used, (white @ w[:-1]) @ dense)
-        bias = float(w[-1])
-        everything = sorted({w for w in (*bad, *good) if usable(w)})
-        m = dict(zip(everything, _margin_list(everything, beta.astype(np.float32), bias)))
-        worst = Counter(max((w for w in set(ws) if usable(w)), key=lambda w: m[w], default="") for ws, t in zip(words_of, toxic) if t)
-        more = [w for w, c in worst.most_common(500) if w and c > 1 and m[w] > 0 and not good[w]]
-        hard = sorted((w for w in good if usable(w)), key=lambda w: -m[w])[:1500]
-        pos, neg = list(dict.fromkeys(pos + more)), list(dict.fromkeys([w for w in neg + hard if w not in set(pos + more)]))
-    every = sorted({w for ws in words_of for w in ws})
-    m = dict(zip(every, _margin_list(every, beta.astype(np.float32), bias)))
-    of = np.repeat(np.arange(len(words_of)), [len(ws) for ws in words_of])
-    x = summary(*_worst(of, np.array([m[w] for ws in words_of for w in ws]), len(words_of)))
+        vocab = [word[i] for i in (*pos, *neg)]
+        beta, bias = _fit_words(vocab, len(pos))
+        margin = np.array(_margin_list(word, beta, bias))
+        ranked = np.where(usable, margin, -np.inf)
+        worst = np.bincount([d[ranked[d].argmax()] for d, t in zip(ids, toxic) if t and len(d)], minlength=size)
+        more = by_count(np.flatnonzero((worst > 1) & (margin > 0) & (good == 0)), worst)[:500]
+        hard = clean[np.argsort(-margin[clean], kind="stable")[:1500]]
+        pos = np.r_[pos, np.setdiff1d(more, pos)]
+        neg = np.setdiff1d(np.union1d(neg, hard), pos)
+    of = np.repeat(np.arange(len(ids)), [len(d) for d in ids])
+    x = summary(*_worst(of, margin[np.concatenate(ids)] if len(ids) else margin, len(ids)))
     return Model(beta, bias, _logistic(x, toxic.astype(float)))
 
 
+def _fit_words(vocab: list[str], positive: int) -> tuple[np.ndarray, float]:
+    """Weights of the letter triples and the bias of the SVM on words, of which the first ``positive`` are toxic."""
+    w_i, f_i, v_i = features(vocab)
+    place = {w: i for i, w in enumerate(vocab)}
+    ids = np.array([place[w] for w in _landmarks(vocab[:positive], vocab[positive:])])
+    used = np.unique(f_i[np.isin(w_i, ids)])                     # other features meet no landmark
+    col = np.minimum(np.searchsorted(used, f_i), len(used) - 1)
+    keep = used[col] == f_i
+    w_i, v_i, col = w_i[keep], v_i[keep], col[keep]
+    cut = np.searchsorted(w_i, np.arange(len(vocab) + 1))
+
+    def rows(lo: int, hi: int) -> np.ndarray:
+        x = np.zeros((hi - lo, len(used)), np.float32)
+        part = slice(cut[lo], cut[hi])
+        x[w_i[part] - lo, col[part]] = v_i[part]
+        return x
+
+    dense = np.concatenate([rows(i, i + 1) for i in ids])
+    gram = np.concatenate([rows(lo, min(lo + 512, len(vocab))) @ dense.T for lo in range(0, len(vocab), 512)]).astype(float)
+    value, vector = np.linalg.eigh(gram[ids] + 1e-6 * np.eye(len(ids)))
+    white = vector / np.sqrt(np.maximum(value, 1e-6))
+    x = np.c_[gram @ white, np.ones(len(vocab))]
+    y = np.r_[np.ones(positive), -np.ones(len(vocab) - positive)]
+    weight = np.where(y > 0, 0.5 / positive, 0.5 / max(1, len(vocab) - positive)) * len(vocab)
+    w = _svm(x, y, weight)
+    beta = np.zeros(ALPHABET ** 3, np.float32)
+    np.add.at(beta, used, (white @ w[:-1]) @ dense)
+    return beta, float(w[-1])
+
+
 def hash_of(word: str) -> int:
     b = np.frombuffer(word.encode(), np.uint8)
     return int(span_hash(b, np.array([0]), np.array([len(b)]))[0])
 
 
 def _margin_list(words_: list[str], beta: np.ndarray, bias: float) -> list[float]:
-    blob = [w.encode() for w in words_]
-    end = np.cumsum([len(b) for b in blob]).astype(np.int64)
-    return margins(np.frombuffer(b"".join(blob), np.uint8), np.r_[0, end[:-1]].astype(np.int64), end, beta, bias).tolist() if blob else []
+    out: list[float] = []
+    for lo in range(0, len(words_), PART):
+        blob = [w.encode() for w in words_[lo:lo + PART]]
+        end = np.cumsum([len(b) for b in blob]).astype(np.int64)
+        out += margins(np.frombuffer(b"".join(blob), np.uint8), np.r_[0, end[:-1]].astype(np.int64), end, beta, bias).tolist()
+    return out
 
 
 def _landmarks(pos: list[str], neg: list[str]) -> list[str]:
@@ -304,16 +312,13 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, mod: i
         for batch in batches:
             for a, b, buf, off in slices(batch.column("text")):
                 buf, off = normal(buf, off)
-                start, end, row = words(buf, off)
-                lists: list[list[str]] = [[] for _ in range(b - a)]
-                for s, e, r in zip(start.tolist(), end.tolist(), row.tolist()):
-                    lists[r].append(buf[s:e].tobytes().decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("label").slice(a, b - a), pa.array(lists, pa.list_(pa.string()))],
+                texts = [buf[i:j].tobytes().decode("utf-8", "replace") for i, j in zip(off, off[1:])]
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), batch.column("label").slice(a, b - a), pa.array(texts, pa.string())],
                                                  names=["doc_id", "label", "words"])
 
-    got = sample(docs, labels, "toxic", mod, held_out, per_class).select("doc_id", "label", "text").mapInArrow(rows, "doc_id long, label int, words array<string>").toPandas()
+    got = sample(docs, labels, "toxic", mod, held_out, per_class).select("doc_id", "label", "text").mapInArrow(rows, "doc_id long, label int, words string").toPandas()
     got = got.sort_values("doc_id", kind="stable")
-    return fit([list(w) for w in got["words"]], got["label"].to_numpy(np.int64))
+    return fit((w.split() for w in got["words"]), got["label"].to_numpy(np.int64))
 
 
 def scores(docs: DataFrame, model: Model) -> DataFrame:
