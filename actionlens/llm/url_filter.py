@@ -5,7 +5,8 @@ where the path begins with the prefix, and of several that fit the longest wins.
 URLs that no rule fits are judged by boosted trees on lexical features: lengths,
 path depth, digit ratios, entropy of the host's letters, parameters, hyphens,
 labels, and for each of the host's suffixes the smoothed share of blocked URLs
-among the labelled ones.
+among the labelled ones (held back from half of the hosts in fitting, as unseen
+hosts have none).
 
 The trees are fitted on a bounded sample of labelled URLs (``per_class`` of each
 label, first by hash).  Where no labelled table is given, ``seed_labels`` labels
@@ -96,17 +97,25 @@ class Trees:
             self.base = counts[1] / sum(counts.values())
             rows = self._with_rates(self._known, own=True)
             weighted = rows.withColumn("weight", F.when(F.col("block") == 1, 0.5 / counts[1]).otherwise(0.5 / counts[0]) * sum(counts.values()))
-            self.model = GBTClassifier(featuresCol="x", labelCol="block", weightCol="weight", maxDepth=4, maxIter=20, stepSize=0.2, seed=7).fit(self._assembled(weighted))
+            self.model = GBTClassifier(featuresCol="x", labelCol="block", weightCol="weight", maxDepth=4, maxIter=20, stepSize=0.2, featureSubsetStrategy="0.5", seed=7).fit(self._assembled(weighted))
 
     def _with_rates(self, rows: DataFrame, own: bool = False) -> DataFrame:
-        """Smoothed share of blocked URLs among the labelled ones with the same suffix; ``own``: without the row itself."""
+        """Smoothed share of blocked URLs among the labelled ones with the same suffix.  ``own``: for a
+        labelled URL among those of the other half only, so that no rate knows the row's own label, and
+        unknown for every other host, so that the trees learn to do without it as well."""
+        half = lambda flip: F.pmod(F.xxhash64("url") + flip, F.lit(2))
+        if own:
+            rows = rows.withColumn("_half", half(1))
         for n in (1, 2, 3):
-            rates = self._known.groupBy(f"suffix{n}").agg(F.count("*").alias(f"n{n}"), F.sum("block").alias(f"b{n}"))
-            rows = rows.join(F.broadcast(rates), f"suffix{n}", "left")          # at most 2 x per_class suffixes
-            less = F.lit(1) if own else F.lit(0)
-            seen, bad = F.coalesce(f"n{n}", less) - less, F.coalesce(f"b{n}", F.col("block") if own else F.lit(0)) - (F.col("block") if own else F.lit(0))
-            rows = rows.withColumn(f"rate{n}", (bad + SMOOTH * self.base) / (seen + SMOOTH)).drop(f"n{n}", f"b{n}")
-        return rows
+            key = [f"suffix{n}", *(["_half"] if own else [])]
+            known = self._known.withColumn("_half", half(0)) if own else self._known
+            rates = known.groupBy(*key).agg(F.count("*").alias("_n"), F.sum("block").alias("_b"))
+            rows = rows.join(F.broadcast(rates), key, "left")          # at most 2 x per_class suffixes
+            rate = (F.coalesce("_b", F.lit(0)) + SMOOTH * self.base) / (F.coalesce("_n", F.lit(0)) + SMOOTH)
+            if own:
+                rate = F.when(F.pmod(F.xxhash64("host"), F.lit(2)) == 0, rate).otherwise(F.lit(self.base))
+            rows = rows.withColumn(f"rate{n}", rate).drop("_n", "_b")
+        return rows.drop("_half")
 
     @staticmethod
     def _assembled(rows: DataFrame) -> DataFrame:

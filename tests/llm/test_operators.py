@@ -338,9 +338,9 @@ def test_url_rules_and_trees(spark):
 
 
 def test_url_trees_learn_from_labels(spark):
-    rows = [(f"http://{h}{i % 9}.example.net/en/{i}", int(b)) for i in range(200) for h, b in (("plain", False), ("x9-7q-22", True))]
+    rows = [(f"http://{h}{i % 9}.example.net/en/{10 ** (i % 13)}", int(b)) for i in range(400) for h, b in (("plain", False), ("x9-7q-22", True))]
     labelled = spark.createDataFrame(rows, "url string, block int")
-    pages = spark.createDataFrame([(1, "http://plainer.example.net/en/5"), (2, "http://x8-7q-31.example.net/en/5")], "page_id long, url string")
+    pages = spark.createDataFrame([(1, "http://plainer.example.net/en/5"), (2, "http://x8-7q-31.example.net/en/55")], "page_id long, url string")
     assert {r.page_id: r.verdict for r in url_filter.judged(pages, [], labelled).collect()} == {1: "allow", 2: "block"}
 
 
