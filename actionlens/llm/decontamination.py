@@ -8,9 +8,10 @@ is emitted only if two fixed-size bitmaps of the test hashes have it (their size
 does not depend on either table), so the join sees few rows besides hits.
 
 Around each hit the document and the item are laid over each other on the hit's
-diagonal, and the best stretch (a match counts 1, a substitution -4, so at least
-80 % of its words agree) is kept.  A document is contaminated by an item where
-that stretch has ``min_words`` words, or is the whole item if it is shorter.
+diagonal.  The item is there as a whole if at least 80 % of its words agree;
+else the best stretch (a match counts 1, a substitution -4, so again 80 % agree)
+is kept.  A document is contaminated by an item where that stretch has
+``min_words`` words, or is the whole item.
 
 Words are split at white space, A-Z lower-cased, ASCII punctuation at their ends
 cut off.  Null and empty texts have no words and no matches; repeated rows are
@@ -132,9 +133,11 @@ def _hits(docs: DataFrame, low: bytes, high: bytes) -> DataFrame:
 
 
 def best_stretch(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
-    """(first, end, matches) in item words of the best stretch on a diagonal (doc position - item position)."""
+    """(first, end, matches) in item words of the whole item or the best stretch on a diagonal (doc position - item position)."""
     lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     same = doc[lo + diagonal:hi + diagonal] == item[lo:hi]
+    if hi - lo == len(item) and 5 * same.sum() >= 4 * len(item):
+        return 0, len(item), int(same.sum())               # the whole item, substitutions and all
     best, score, first, out = 0, 0, 0, (lo, lo, 0)
     for i, s in enumerate(same.tolist()):
         if score <= 0:
