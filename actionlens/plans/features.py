@@ -53,8 +53,11 @@ def _grains(actions: DataFrame, end: str, pair_windows, acc_windows, label_windo
         # The label belongs to (user, sku): a purchase under any category or brand.
         lo = (date.fromisoformat(end) - date.fromisoformat(label_window[1])).days + 1
         hi = (date.fromisoformat(end) - date.fromisoformat(label_window[0])).days
+        # Naming every count keeps this branch's day aggregate the same as the others', so its
+        # shuffle is reused and the log is read once.
+        any_count = " + ".join(f"n_{k}" for k in P.TYPES)
         label = daily.groupBy("user_id", "sku_id").agg(
-            F.expr(f"CAST(max(CASE WHEN off BETWEEN {lo} AND {hi} AND n_{P.PURCHASE} > 0 THEN 1 ELSE 0 END) AS INT) AS label")) \
+            F.expr(f"CAST(max(CASE WHEN off BETWEEN {lo} AND {hi} AND n_{P.PURCHASE} > 0 AND {any_count} >= 0 THEN 1 ELSE 0 END) AS INT) AS label")) \
             .where("label = 1")
     # Pair rows are the pairs active in the longest pair window (and, for a
     # candidate set, in one category).  Both tests are on aggregates, so they

@@ -35,7 +35,23 @@ def test_time_bounds_and_columns_reach_the_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts,2024-01-04T00:00)" in plan and "LessThan(ts,2024-01-25T00:00)" in plan
     schema = re.search(r"ReadSchema: struct<([^>]*)>", plan.split("events.parquet")[1]).group(1)
-    assert "value" not in schema and "event_id" not in schema
+    assert "value" not in schema        # (event_id decides the recorded brand and category)
+    plan = entry.queries()["user_window_ratios"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    schema = re.search(r"ReadSchema: struct<([^>]*)>", plan.split("events.parquet")[1]).group(1)
+    assert "value" not in schema and "event_id" not in schema and "part.parquet" not in plan
+
+
+def test_blocks_do_not_shuffle_pairs_on_category_or_attribute(spark):
+    """Broadcasts by size off: only the checked side tables are broadcast, and no exchange is on category, age or sex alone."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = _final_plan(spark, "window_block")
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*), \d+\)", plan)
+    assert not [k for k in keys if re.fullmatch(r"(coalesce\()?(cate|brand|age|sex)#.*", k) and "user_id" not in k]
 
 
 def test_argmax_per_user_is_an_aggregate_not_a_window(spark):

@@ -32,7 +32,7 @@ def test_rank_and_features_under_a_hot_user(spark, tmp_path):
                                                                "sku_total", "sku_total_rank")
     want = con.execute(f"""
         SELECT user_id, sku_id, cate, brand, count(*) AS sku_total,
-               row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, sku_id, cate, brand) - 1 AS r
+               row_number() OVER (PARTITION BY user_id ORDER BY count(*) DESC, sku_id, cate NULLS FIRST, brand NULLS FIRST) - 1 AS r
         FROM actions WHERE time >= TIMESTAMP '2024-01-18' AND time < TIMESTAMP '{end}'
         GROUP BY user_id, sku_id, cate, brand""").fetchall()
     got = {(r.user_id, r.sku_id, r.cate, r.brand): (r.sku_total, r.sku_total_rank) for r in ranked.collect()}
