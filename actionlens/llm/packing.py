@@ -12,8 +12,8 @@ round began; where several want the same gap, rank decides: longer pieces
 first, then lower numbers.  A run larger than its gap run takes what there is
 and sweeps on to the next gap.  Gaps are updated after the sweep, and the next
 round begins.  When a round places nothing, new sequences are opened: one for
-every piece over half the capacity, or, if none is left, as many as the total
-length left needs, for the longest pieces.
+every piece over half the capacity, or, if none is left, half as many as the
+total length left needs, for the longest pieces.
 
 The sweeps run on the run table (bounded by the capacity, not by the data);
 numbering the pieces, and giving each its sequence and offset from the rounds'
@@ -111,7 +111,7 @@ def best_fit_rounds(lengths: list[tuple[int, int]], capacity: int) -> list[tuple
                     runs[-1] = [seq + take, n - take]
         if not placed:
             large = sum(run[2] for run in todo if 2 * run[0] > capacity)
-            left = large or -(-sum(run[0] * run[2] for run in todo) // capacity)
+            left = large or -(-sum(run[0] * run[2] for run in todo) // (2 * capacity))
             for run in todo:
                 take = min(left, run[2])
                 if take:
