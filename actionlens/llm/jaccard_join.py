@@ -10,8 +10,10 @@ one class, so copies cost nothing beyond their own row.
    two linked sets meet in at least one region.  Plain document pivots cannot
    do this step: all but a few documents lie at distance ~1 from any pivot, and
    windows would replicate everything everywhere.
-2. *Pivot distances.*  A set's counts in 64 hash classes of shingles are its
-   distances to 64 pivots.  By the triangle inequality two sets differ in at
+2. *Pivot distances.*  A set's counts in hash classes of shingles are its
+   distances to as many pivots: 64, or for large sets the power of two from n / 8
+   on (a class splits in two at the next power, so sets of unlike size are
+   compared on the coarser classes).  By the triangle inequality two sets differ in at
    least the sum of their differences there; members of a region that this
    proves unlinked are separated.  A large region is split into Voronoi cells
    around leaders (radius R), and a member is replicated to every cell whose
@@ -43,15 +45,15 @@ from actionlens.llm.common import documents, pin
 from actionlens.llm.components import connected_components
 from actionlens.llm.textops import distinct_per_row, lowered, mix, shingle_hash, slices, span_hash, words
 
-CLASSES = 64            # hash classes whose counts are the pivot distances (one byte each, cut at 255: still a lower bound)
+CLASSES = 64            # least number of hash classes whose counts are the pivot distances (one byte each, cut at 255: still a lower bound)
+LEVELS = 10             # 64 to 65,536 classes
 FREQUENT = 1 << 16      # ranked shingles sent to the tasks (8 bytes each)
 SEEN = 3                # times a shingle is met in one slice of text to be counted as frequent
 LEAF = 64               # members compared directly
 RUN = 2048              # members of a region compared directly by pivot distances
 BLOCK = 2048            # classes of a cluster joined in one task
 
-PROFILE = "doc_id long, n long, k1 long, k2 long, " + ", ".join(f"v{i} long" for i in range(CLASSES // 8)) + ", shingle long, seen long"
-_VECTOR = [f"v{i}" for i in range(CLASSES // 8)]
+PROFILE = "doc_id long, n long, k1 long, k2 long, vec binary, shingle long, seen long"
 
 
 class Sets:
@@ -70,30 +72,37 @@ class Sets:
         total = np.r_[np.uint64(0), np.cumsum(h)]
         return mix(total[self.first + self.n] - total[self.first] + self.n.astype(np.uint64)).view(np.int64)
 
-    def vectors(self) -> np.ndarray:
-        """(rows, CLASSES) uint8 counts by hash class."""
-        cell = self.row * CLASSES + (mix(self.hash ^ np.uint64(0xA4093822299F31D0)) >> np.uint64(58)).astype(np.int64)
-        return np.minimum(np.bincount(cell, minlength=self.rows * CLASSES), 255).astype(np.uint8).reshape(self.rows, CLASSES)
+    def vectors(self) -> list[bytes]:
+        """Counts by hash class (uint8), as many classes as the size asks for."""
+        classes = CLASSES << level(self.n)
+        begin = np.cumsum(classes) - classes
+        bits = np.log2(classes).astype(np.uint64)
+        cell = begin[self.row] + (mix(self.hash ^ np.uint64(0xA4093822299F31D0)) >> (np.uint64(64) - bits[self.row])).astype(np.int64)
+        flat = np.minimum(np.bincount(cell, minlength=int(classes.sum())), 255).astype(np.uint8)
+        return [flat[i:i + c].tobytes() for i, c in zip(begin, classes)]
+
+
+def level(n: np.ndarray) -> np.ndarray:
+    """0 for 64 classes, 1 for 128, ...: at most eight shingles a class on average."""
+    return np.clip(np.ceil(np.log2(np.maximum(n, 1) / (8 * CLASSES))), 0, LEVELS).astype(np.int64)
 
 
 def _profile(docs: DataFrame, k: int) -> DataFrame:
     """A row a document (size, class key, pivot distances), and rows (shingle, seen) for shingles met often in a slice."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kinds = [pa.int64()] * (6 + CLASSES // 8)
         names = [c.split()[0] for c in PROFILE.split(", ")]
         for batch in batches:
             for a, b, buf, off in slices(batch.column("text")):
                 s = Sets(buf, off, k)
-                vec = s.vectors().view(np.int64)
                 none = pa.nulls(b - a, pa.int64())
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(a, b - a), pa.array(s.n), pa.array(s.k1), pa.array(s.k2),
-                                                  *(pa.array(np.ascontiguousarray(vec[:, i])) for i in range(vec.shape[1])), none, none], names=names)
+                                                  pa.array(s.vectors(), pa.binary()), none, none], names=names)
                 h, seen = np.unique(s.hash, return_counts=True)
                 h, seen = h[seen >= SEEN].view(np.int64), seen[seen >= SEEN]
                 if len(h):
                     none = pa.nulls(len(h), pa.int64())
-                    yield pa.RecordBatch.from_arrays([none] * (len(kinds) - 2) + [pa.array(h), pa.array(seen)], names=names)
+                    yield pa.RecordBatch.from_arrays([none] * 4 + [pa.nulls(len(h), pa.binary()), pa.array(h), pa.array(seen)], names=names)
 
     return documents(docs).mapInArrow(rows, PROFILE)
 
@@ -193,13 +202,22 @@ class Forest:
         return [(x, r) for x in self.up if (r := self.find(x)) != x]
 
 
-def _join_region(n: np.ndarray, vec: np.ndarray, key: list, percent: int, forest: Forest) -> None:
+def _join_region(n: np.ndarray, vec: list[bytes], key: list, percent: int, forest: Forest) -> None:
     """Unite the members of a region that pivot distances do not prove unlinked."""
-    order = np.argsort(n, kind="stable")
-    n, vec, key = n[order], vec[order].astype(np.int16), [key[i] for i in order]
+    lev = level(n)
+    for at in np.unique(lev):
+        own, next_ = np.flatnonzero(lev == at), np.flatnonzero(lev == at + 1)       # partners differ by one level at most
+        mine = np.concatenate([own[np.argsort(n[own], kind="stable")], next_[np.argsort(n[next_], kind="stable")]])
+        rows = [np.frombuffer(vec[i], np.uint8).reshape(-1, 1 << int(lev[i] - at)).sum(1, dtype=np.int16) for i in mine]
+        if len(rows) > 1:
+            _join_level(n[mine], np.stack(rows), [key[i] for i in mine], len(own), percent, forest)
+
+
+def _join_level(n: np.ndarray, vec: np.ndarray, key: list, own: int, percent: int, forest: Forest) -> None:
+    """Members in ascending size; the first ``own`` are compared with all, the rest among themselves at their own level."""
     m = len(n)
     if m <= RUN:
-        for i in range(m):
+        for i in range(own):
             hi = int(np.searchsorted(n, n[i] * 100 // percent, "right"))        # partners are at most n / t long
             if hi > i + 1:
                 apart = np.abs(vec[i + 1:hi] - vec[i]).sum(1)
@@ -223,7 +241,7 @@ def _clusters(members: DataFrame, percent: int) -> DataFrame:
         forest = Forest()
         for t in _by_runs(batches, "shingle"):
             h, k1, n = (t.column(c).to_numpy() for c in ("shingle", "k1", "n"))
-            vec = np.ascontiguousarray(np.stack([t.column(c).to_numpy() for c in _VECTOR], 1)).view(np.uint8)
+            vec = t.column("vec").to_pylist()
             start = _runs(h)
             for a, b in zip(start, np.r_[start[1:], len(h)]):
                 _join_region(n[a:b], vec[a:b], k1[a:b].tolist(), percent, forest)
@@ -340,14 +358,14 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     spark = docs.sparkSession
     node = F.concat_ws(":", F.lpad(F.hex("k1"), 16, "0"), F.lpad(F.hex("k2"), 16, "0"))
     profile = pin(_profile(docs, k), "join-profile")
-    rows = profile.where(F.col("n").isNotNull()).select("doc_id", "n", "k1", "k2", *_VECTOR)
+    rows = profile.where(F.col("n").isNotNull()).select("doc_id", "n", "k1", "k2", "vec")
     counted = profile.where(F.col("shingle").isNotNull()).groupBy("shingle").agg(F.sum("seen").alias("seen"))
     top = counted.orderBy(F.desc("seen"), "shingle").limit(FREQUENT).collect()
     frequent = np.array([r["shingle"] for r in reversed(top)], np.int64)
 
-    classes = pin(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), *(F.max(c).alias(c) for c in _VECTOR)), "join-classes")
+    classes = pin(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("vec").alias("vec")), "join-classes")
     shared = pin(_shared(_regions(docs, k, percent, frequent)), "join-regions")
-    members = shared.join(classes.select("k1", "n", *_VECTOR), "k1")
+    members = shared.join(classes.select("k1", "n", "vec"), "k1")
     cluster_of = pin(connected_components(_clusters(members, percent)).select(F.col("node").alias("k1"), F.col("root").alias("cluster")), "join-clusters")
 
     inside = pin(classes.join(cluster_of, "k1").select("k1", "k2", "first_doc", "cluster"), "join-inside")

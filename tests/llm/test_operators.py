@@ -183,7 +183,7 @@ def test_recursive_join_and_regions_lose_no_link(percent, monkeypatch):
     monkeypatch.setattr(jaccard_join, "LEAF", 4)
     monkeypatch.setattr(jaccard_join, "RUN", 16)
     rng = np.random.default_rng(percent)
-    base = [rng.integers(0, 2**63, rng.integers(30, 120), dtype=np.uint64) for _ in range(12)]
+    base = [rng.integers(0, 2**63, rng.choice([50, 100, 500, 540, 1020, 1100]), dtype=np.uint64) for _ in range(12)]
     sets = []
     for _ in range(150):
         s = base[rng.integers(12)].copy()
@@ -194,7 +194,8 @@ def test_recursive_join_and_regions_lose_no_link(percent, monkeypatch):
     found = jaccard_join.MetricJoin(sets, percent).join()
     assert [int(found.find(i)) for i in range(len(sets))] == want
     n = np.array([len(s) for s in sets])
-    vec = np.stack([np.bincount((textops.mix(s) >> np.uint64(58)).astype(int), minlength=64) for s in sets]).astype(np.uint8)
+    bits = 6 + jaccard_join.level(n)
+    vec = [np.bincount((textops.mix(s) >> np.uint64(64 - b)).astype(int), minlength=1 << b).astype(np.uint8).tobytes() for s, b in zip(sets, bits.tolist())]
     forest = jaccard_join.Forest()
     jaccard_join._join_region(n, vec, list(range(len(sets))), percent, forest)
     assert all(forest.find(i) == forest.find(w) for i, w in enumerate(want))
