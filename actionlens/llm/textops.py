@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE_BYTES = 4 << 20      # text handled at once; one longer document is handled alone
+SLICE_BYTES = 2 << 20      # text handled at once; one longer document is handled alone
 LONG_WORD = 64             # longer words are hashed one by one
 
 _rng = np.random.Generator(np.random.PCG64(20240131))

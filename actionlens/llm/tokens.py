@@ -21,8 +21,8 @@ from tokenizers import Tokenizer
 
 from actionlens.llm.textops import segments, slices, span_hash
 
-ENCODE_BYTES = 6 << 20
-MEMO_PIECES = 600_000       # distinct pieces a worker remembers; then it starts anew
+ENCODE_BYTES = 3 << 20
+MEMO_PIECES = 300_000       # distinct pieces a worker remembers; then it starts anew
 _SPACED = np.uint64(0x5851F42D4C957F2D)
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
