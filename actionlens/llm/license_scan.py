@@ -4,9 +4,10 @@ Candidate blocks are the words around a *cue* (a word that few licence notices
 lack and prose rarely has).  A block is compressed by itself and with each
 licence template as zstandard raw dictionary; a template that the block repeats
 shrinks it.  Templates are ranked by the bytes they save, relative to what the
-template costs by itself, and the best few are confirmed by their exact wording
+template costs by itself, and all are confirmed by their exact wording
 differences: template and block are aligned word by word, and the template must
-be there but for a stated share of its words.  The differences are reported.
+be there but for a stated share of its words.  Every place of every template
+counts; of places that overlap the best is reported, with its differences.
 
 Words are split at white space, A-Z lower-cased and ASCII punctuation at their
 ends cut off for the alignment.  Null and empty texts have no block; repeated
@@ -17,6 +18,9 @@ template, so no notice is cut.
 
 from __future__ import annotations
 
+import math
+from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -46,7 +50,6 @@ TEMPLATES = {
 }
 CUES = ("license", "licensed", "licence", "licenced", "rights", "copyright", "released")
 BEFORE, AFTER, BLOCK_WORDS = 16, 32, 256
-TOP = 3                 # templates of a block whose wording is compared
 COVERAGE = 0.85         # least share of a template's words that must be there, in order
 FOUND = "doc_id long, license string, start_word long, end_word long, coverage double, saved_bytes int, differences string"
 
@@ -64,6 +67,8 @@ class Scanner:
     def __init__(self, templates: dict[str, str]) -> None:
         self.names = list(templates)
         self.words = [plain(t) for t in templates.values()]
+        self._bags = [Counter(w) for w in self.words]
+        self._enough = [len(w) if len(w) < 7 else math.ceil(COVERAGE * len(w)) for w in self.words]    # a few words must all be there
         self._alone = zstandard.ZstdCompressor(level=9)
         self._given = []
         for t in templates.values():
@@ -76,38 +81,55 @@ class Scanner:
         """(relative saving, template, bytes saved), best first."""
         low = " ".join(block).encode()
         alone = len(self._alone.compress(low))
-        out = [((alone - len(z.compress(low))) / own, i, alone - len(z.compress(low))) for i, (z, own) in enumerate(self._given)]
-        return sorted(out, key=lambda x: (-x[0], x[1]))
-
-    def confirm(self, block: list[str], template: int) -> tuple[float, int, int, str]:
-        """(share of the template's words present in order and close together, first, end, differences)."""
-        want = self.words[template]
-        best = (0.0, 0, 0, "")
-        anchors = [i for i, w in enumerate(block) if w == want[0]] or [max(0, i - 1) for i, w in enumerate(block) if len(want) > 1 and w == want[1]]
-        for at in anchors:
-            part = block[at:at + len(want) + max(2, len(want) // 4)]
-            ops = SequenceMatcher(None, want, part, autojunk=False).get_opcodes()
-            same = sum(i2 - i1 for op, i1, i2, _, _ in ops if op == "equal")
-            end = max((j2 for op, _, _, _, j2 in ops if op == "equal"), default=0)
-            if same / len(want) > best[0]:
-                diff = [f"{op}: {' '.join(want[i1:i2])} -> {' '.join(part[j1:j2])}" for op, i1, i2, j1, j2 in ops if op != "equal" and j1 < end]
-                best = (same / len(want), at, at + end, "; ".join(diff))
-        return best
+        saved = [alone - len(z.compress(low)) for z, _ in self._given]
+        return sorted(((x / own, i, x) for i, (x, (_, own)) in enumerate(zip(saved, self._given))), key=lambda x: (-x[0], x[1]))
+
+    def confirm(self, block: list[str], template: int) -> list[tuple[float, int, int, str]]:
+        """(share of the template's words present in order and close together, first, end, differences) of every place with enough of them."""
+        want, enough = self.words[template], self._enough[template]
+        spare, out = max(2, len(want) // 4), {}
+        head = {w: k for k, w in reversed(list(enumerate(want[:len(want) - enough + 1])))}     # one of these must be there
+        for at in sorted({max(0, i - head[w]) for i, w in enumerate(block) if w in head}):
+            part = block[at:at + len(want) + spare]
+            if sum((Counter(part) & self._bags[template]).values()) < enough:
+                continue
+            best = None
+            for near in (part, part[:len(want)]):       # without the spare words, which may begin a repeat
+                ops = SequenceMatcher(None, want, near, autojunk=False).get_opcodes()
+                equal = [op for op in ops if op[0] == "equal"]
+                same = sum(i2 - i1 for _, i1, i2, _, _ in equal)
+                if same >= enough and (best is None or same > best[0]):
+                    end = equal[-1][4]
+                    diff = [f"{op}: {' '.join(want[i1:i2])} -> {' '.join(near[j1:j2])}" for op, i1, i2, j1, j2 in ops if op != "equal" and j1 < end]
+                    best = (same, equal[0][3], end, "; ".join(diff))
+            if best:
+                same, first, end, diff = best
+                out.setdefault((same / len(want), at + first, at + end), diff)
+        return [(*place, diff) for place, diff in out.items()]
+
+    def candidates(self, block: list[str]) -> list[tuple[str, int, int, float, int, str]]:
+        """Every place of every template: (name, first, end, coverage, saved bytes, differences).
+
+        The saved bytes only rank: in a block of several notices a short one may save nothing and yet be there."""
+        return [(self.names[i], first, end, cover, saved, diff) for _, i, saved in self.rank(block) for cover, first, end, diff in self.confirm(block, i)]
 
     def scan(self, block: list[str]) -> list[tuple[str, int, int, float, int, str]]:
         """Confirmed notices of a block: (name, first, end, coverage, saved bytes, differences); of overlapping ones the best."""
-        hits = []
-        for _, i, saved in [r for r in self.rank(block) if r[2] > 0][:TOP]:
-            cover, first, end, diff = self.confirm(block, i)
-            short = len(self.words[i]) < 7          # a few words must all be there
-            if cover >= (1.0 if short else COVERAGE):
-                hits.append((self.names[i], first, end, cover, saved, diff))
-        hits.sort(key=lambda h: (-h[3], h[5] != "", -(h[2] - h[1]), -h[4]))
-        out: list = []
-        for h in hits:
-            if all(h[2] <= o[1] or h[1] >= o[2] for o in out):
-                out.append(h)
-        return out
+        return resolved(self.candidates(block))
+
+
+def resolved(hits: list[tuple[str, int, int, float, int, str]]) -> list[tuple[str, int, int, float, int, str]]:
+    """Of overlapping notices the best."""
+    out: list = []
+    starts: list[int] = []                      # of the kept ones, which do not overlap, in order
+    ends: list[int] = []
+    for h in sorted(hits, key=lambda h: (-h[3], h[5] != "", -(h[2] - h[1]), -h[4], h[1], h[0])):
+        i = bisect_left(starts, h[2])           # the last kept one that begins before this one's end
+        if not i or ends[i - 1] <= h[1]:
+            starts.insert(i, h[1])
+            ends.insert(i, h[2])
+            out.append(h)
+    return out
 
 
 def blocks(cue: np.ndarray, n: int) -> list[tuple[int, int]]:
@@ -145,15 +167,13 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, cues: tup
                 cue = np.flatnonzero(np.isin(span_hash(low, s, e), wanted) & (e > s)) if len(s) else s
                 first = np.searchsorted(row, np.arange(len(off)))
                 for r in np.unique(row[cue]).tolist():
-                    seen = set()
+                    hits = []
                     for lo, hi in blocks(cue[row[cue] == r] - first[r], int(first[r + 1] - first[r])):
                         text = [low[start[i]:end[i]].tobytes().decode("utf-8", "replace") for i in range(first[r] + lo, first[r] + hi)]
                         at = [k for k, w in enumerate(text) if plain(w)]
-                        for name, i, j, cover, saved, diff in scanner.scan([" ".join(plain(text[k])) for k in at]):
-                            place = (name, lo + at[i], lo + at[j - 1] + 1)
-                            if place not in seen:
-                                seen.add(place)
-                                out.append((ids[a + r], *place, cover, saved, diff))
+                        for name, i, j, *rest in scanner.candidates([" ".join(plain(text[k])) for k in at]):
+                            hits.append((name, lo + at[i], lo + at[j - 1] + 1, *rest))
+                    out += [(ids[a + r], *h) for h in resolved(hits)]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.string()]
             cols = list(zip(*out)) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[f.split()[0] for f in FOUND.split(", ")])

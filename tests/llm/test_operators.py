@@ -503,3 +503,25 @@ def test_licenses(spark, odd):
     assert docs[0][1].split()[r.start_word:r.end_word] == "Licensed under the Apache License, Version 2.0.".split() and r.differences == ""
     assert "licence" in at[(6, "BSD-3-Clause")].differences and at[(6, "BSD-3-Clause")].coverage < 1
     assert license_scan.licenses(frame.limit(0)).count() == 0
+
+
+def test_licenses_of_one_block_are_all_found():
+    scanner = license_scan.Scanner(license_scan.TEMPLATES)
+    names = ["GPL-3.0", "MIT", "proprietary", "CC-BY-NC-4.0", "MPL-2.0", "GPL-2.0", "proprietary", "MIT"]
+    for n in range(2, len(names) + 1):
+        for gap in ("", "and here are some fifteen other words that say nothing at all about it today so"):
+            block = license_scan.plain(f" {gap} ".join(license_scan.TEMPLATES[x] for x in names[:n]))
+            got = scanner.scan(block)
+            assert [h[0] for h in sorted(got, key=lambda h: h[1])] == names[:n] and all(h[3] == 1 for h in got)
+    block = license_scan.plain("licensed under cc by-nc 4.0 " + "filler " * 15 + "all rights reserved")
+    assert {h[0] for h in scanner.scan(block)} == {"CC-BY-NC-4.0", "proprietary"}
+
+
+def test_licenses_repeated_and_changed(spark):
+    bsd = license_scan.TEMPLATES["BSD-3-Clause"]
+    docs = [(1, " ".join(["All rights reserved."] * 5)), (2, " ".join(["All rights reserved. Released under the MIT License."] * 60)),
+            (3, f"{bsd.replace('Use of', 'Usage of')} {bsd.replace('found in', 'seen in')} {bsd}"),
+            (4, " ".join(license_scan.TEMPLATES["GPL-3.0"] + " " + "word " * (i % 7) for i in range(100)))]
+    got = license_scan.licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.license) for r in got) == {(1, "proprietary"): 5, (2, "proprietary"): 60, (2, "MIT"): 60, (3, "BSD-3-Clause"): 3, (4, "GPL-3.0"): 100}
+    assert sorted(r.coverage for r in got if r.doc_id == 3) == [0.947368, 0.947368, 1.0] and all(r.coverage == 1 for r in got if r.doc_id == 4)
