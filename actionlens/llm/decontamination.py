@@ -8,10 +8,10 @@ is emitted only if two fixed-size bitmaps of the test hashes have it (their size
 does not depend on either table), so the join sees few rows besides hits.
 
 Around each hit the document and the item are laid over each other on the hit's
-diagonal.  The item is there as a whole if at least 80 % of its words agree;
-else the best stretch (a match counts 1, a substitution -4, so again 80 % agree)
-is kept.  A document is contaminated by an item where that stretch has
-``min_words`` words, or is the whole item.
+diagonal.  A document is contaminated by an item that is there as a whole, with at
+least 80 % of its words equal, or by a stretch of at least ``min_words`` words that
+begins and ends with an equal word and has at least 80 % of them equal.  Of these
+stretches the best is reported (a match counts 1, a substitution -4).
 
 Words are split at white space, A-Z lower-cased, ASCII punctuation at their ends
 cut off.  Null and empty texts have no words and no matches; repeated rows are
@@ -132,20 +132,27 @@ def _hits(docs: DataFrame, low: bytes, high: bytes) -> DataFrame:
     return own.mapInArrow(rows, "doc_id long, text_hash long, doc_words binary, hits array<struct<seed: long, doc_at: long>>")
 
 
-def best_stretch(doc: np.ndarray, item: np.ndarray, diagonal: int) -> tuple[int, int, int]:
-    """(first, end, matches) in item words of the whole item or the best stretch on a diagonal (doc position - item position)."""
+def best_stretch(doc: np.ndarray, item: np.ndarray, diagonal: int, least: int = 1) -> tuple[int, int, int]:
+    """(first, end, matches) in item words of the whole item, or of the best stretch of at least ``least`` words
+    on a diagonal (doc position - item position); (x, x, 0) if there is none."""
     lo, hi = max(0, -diagonal), min(len(item), len(doc) - diagonal)
     same = doc[lo + diagonal:hi + diagonal] == item[lo:hi]
     if hi - lo == len(item) and 5 * same.sum() >= 4 * len(item):
         return 0, len(item), int(same.sum())               # the whole item, substitutions and all
-    best, score, first, out = 0, 0, 0, (lo, lo, 0)
-    for i, s in enumerate(same.tolist()):
-        if score <= 0:
-            score, first = 0, i
-        score += 1 if s else -4
-        if score > best:
-            best, out = score, (lo + first, lo + i + 1, int(same[first:i + 1].sum()))
-    return out
+    least = max(1, least)
+    if len(same) < least:
+        return lo, lo, 0
+    matches = np.r_[0, np.cumsum(same)]
+    score = 5 * matches - 4 * np.arange(len(same) + 1)     # words [i, j) count score[j] - score[i]; 80 % agree if that is not negative
+    none = 5 * len(same) + 1
+    begin = np.where(same, score[:-1], none)[:len(same) - least + 1]            # a stretch begins and ends with a match
+    low = np.minimum.accumulate(begin)
+    gain = np.where(same[least - 1:] & (low < none), score[least:] - low, -1)   # by its end
+    j = int(np.argmax(gain))
+    if gain[j] < 0:
+        return lo, lo, 0
+    first, end = int(np.flatnonzero(begin[:j + 1] == low[j])[-1]), j + least
+    return lo + first, lo + end, int(matches[end] - matches[first])
 
 
 def contaminated(docs: DataFrame, tests: DataFrame, min_words: int = 13) -> DataFrame:
@@ -172,8 +179,8 @@ def contaminated(docs: DataFrame, tests: DataFrame, min_words: int = 13) -> Data
             out = []
             for r in f.itertuples():
                 doc, item = np.frombuffer(r.doc_words, np.uint64), np.frombuffer(r.item_words, np.uint64)
-                first, end, same = best_stretch(doc, item, r.diagonal)
-                if end - first >= min(min_words, len(item)):
+                first, end, same = best_stretch(doc, item, r.diagonal, min(min_words, len(item)))
+                if same:
                     out.append((r.row, r.item_id, first + r.diagonal, end + r.diagonal, first, same, same / (end - first)))
             yield pd.DataFrame(out, columns=["row", "item_id", "start_word", "end_word", "item_start", "matched", "identity"])
 

@@ -374,6 +374,32 @@ def test_decontamination_finds_substituted_passages(spark, odd):
     assert {r.doc_id for r in decontamination.decontaminated(frame, tests).collect()} == {i for i in range(120)} - {d for d, _ in want}
 
 
+def test_stretches_with_substitutions_near_the_ends_are_found(spark):
+    def brute(same, least):
+        scores = [sum(1 if s else -4 for s in same[i:j]) for i in range(len(same)) for j in range(i + least, len(same) + 1) if same[i] and same[j - 1]]
+        return max([x for x in scores if x >= 0], default=None)
+
+    rng = np.random.default_rng(11)
+    for _ in range(3000):
+        n, least = int(rng.integers(1, 40)), int(rng.integers(1, 20))
+        item = np.arange(1, n + 20, dtype=np.uint64)                # longer than the document, so never there as a whole
+        same = rng.random(n) < rng.choice([0.3, 0.8, 0.95])
+        first, end, matched = decontamination.best_stretch(np.where(same, item[:n], np.uint64(0)), item, 0, least)
+        want = brute(same.tolist(), least)
+        assert (want is None) == (matched == 0)
+        if want is not None:
+            assert end - first >= least and same[first] and same[end - 1] and matched == same[first:end].sum() and 5 * matched - 4 * (end - first) == want
+
+    passages = ["=" * 12 + "x===", "========x====", "===x========x==", "==x=x========", "======x==x==x==", "=" * 13]       # parts of a longer item
+    clean = ["=" * 11 + "xx", "=" * 12]
+    item = [f"item{i}" for i in range(60)]
+    docs = [(i, " ".join([*(f"a{i}n{k}" for k in range(30)), *(item[20 + k] if c == "=" else "changed" for k, c in enumerate(p)), *(f"b{i}n{k}" for k in range(30))]))
+            for i, p in enumerate(passages + clean)]
+    tests = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    got = decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), tests).collect()
+    assert {(r.doc_id, r.start_word, r.end_word - r.start_word, r.item_start, r.matched) for r in got} == {(i, 30, len(p), 20, p.count("=")) for i, p in enumerate(passages)}
+
+
 def test_decontamination_odd_rows(spark, odd):
     tests = spark.createDataFrame([(1, PROSE), (None, "words that fill nothing at all in this odd table of rows")], "item_id long, text string")
     assert Counter(r.doc_id for r in decontamination.contaminated(odd, tests).collect()) == {1: 1, 4: 2, 5: 1}
