@@ -52,7 +52,7 @@ def pieces(docs: DataFrame, tokenizer: str, capacity: int = 1024, end_id: int =
     """A row a piece: doc_id, piece, start, length, ids_crc32 (and ids)."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, encode_special_tokens=False)
         for batch in batches:
             doc = batch.column("doc_id").to_pylist()
             for a, _, flat, per_row in enc.encode(batch.column("text")):

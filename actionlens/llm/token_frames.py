@@ -114,7 +114,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2) -> None
     """Encode every document (plus ``end_id``) and write the files and the manifest to ``folder`` (a shared URI)."""
 
     def files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, encode_special_tokens=False)
         width = 2 if max(enc.vocab_size, end_id + 1) <= 1 << 16 else 4
         part = TaskContext.get().partitionId()
         name = f"ids-{part:06d}-{uuid.uuid4().hex}.zst"

@@ -7,7 +7,8 @@ tokenizer's model once per worker, and ids are gathered with numpy.  The cut is
 exact for the byte-level pre-tokenizer: a space between two non-space
 characters always starts a pre-token, and a lone line feed is one.  Texts where
 white space touches white space that could merge with it (runs, leading or
-trailing spaces) are encoded whole.
+trailing spaces) are encoded whole, and so are texts that hold the string of an
+added token (``<|endoftext|>``), which the library finds before it splits.
 """
 
 from __future__ import annotations
@@ -34,14 +35,16 @@ _maybe_before[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), *range(0x80, 0x8B),
 _maybe_after = np.zeros(256, bool)
 _maybe_after[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20), 0xC2, 0xE1, 0xE2, 0xE3]] = True
 
-_encoders: dict[str, "PieceEncoder"] = {}
+_encoders: dict[tuple[str, bool], "PieceEncoder"] = {}
 
 
-def encoder(path: str) -> "PieceEncoder":
-    """The worker's encoder for a tokenizer file."""
-    if path not in _encoders:
-        _encoders[path] = PieceEncoder(path)
-    return _encoders[path]
+def encoder(path: str, encode_special_tokens: bool = True) -> "PieceEncoder":
+    """The worker's encoder for a tokenizer file; ``encode_special_tokens`` as in the library: True takes the
+    strings of special tokens in a text as ordinary text, False (the library's default) gives their ids."""
+    key = (path, encode_special_tokens)
+    if key not in _encoders:
+        _encoders[key] = PieceEncoder(path, encode_special_tokens)
+    return _encoders[key]
 
 
 def _byte_letters() -> dict[int, int]:
@@ -52,10 +55,12 @@ def _byte_letters() -> dict[int, int]:
 
 
 class PieceEncoder:
-    def __init__(self, path: str) -> None:
+    def __init__(self, path: str, encode_special_tokens: bool = True) -> None:
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True       # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = encode_special_tokens
         self.vocab_size = self.tokenizer.get_vocab_size()
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and not (t.special and encode_special_tokens)]
+        self._added = regex.compile(b"|".join(regex.escape(t.encode()) for t in added)) if added else None
         self._model, self._letters = self.tokenizer.model, _byte_letters()
         self._memo: dict[int, bytes] = {}
         self._other: dict[str, bytes] = {}
@@ -96,6 +101,11 @@ class PieceEncoder:
         meets = (at > off[row_of]) & _maybe_before[before] | (at < off[row_of + 1] - 1) & _maybe_after[after] if len(at) else alone
         odd = np.zeros(rows, bool)
         odd[row_of[edge | alone | np.where(line[at], meets, _maybe_before[before] & _maybe_after[after])]] = True
+        if self._added:
+            found = [m.span() for m in self._added.finditer(buf, overlapped=True)]
+            for first, end in found:                    # one that spans two texts is in neither
+                r = int(np.searchsorted(off, first, "right")) - 1
+                odd[r] |= end <= off[r + 1]
 
         start, end, row = segments(space | line, off)
         spaced = (start > off[row]) & (buf[start - 1] == 0x20)

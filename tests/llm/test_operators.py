@@ -71,6 +71,24 @@ def test_piecewise_encoding_is_the_tokenizers():
     assert got == [_ids(t)[:-1] for t in texts]
 
 
+def test_added_tokens_in_texts_get_the_librarys_ids(spark):
+    plain = Tokenizer.from_file(TOKENIZER)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "one<|endoftext|><|endoftext|> two.", "x <|endof", "text|> y", "<|endoftext|", "no such string, here.", None, "é <|endoftext|>\n z", PROSE]
+    want = [plain.encode(t or "", add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 275]
+    got = []
+    for a, b, flat, per in tokens.encoder(TOKENIZER, encode_special_tokens=False).encode(pa.array(texts)):
+        at = np.r_[0, np.cumsum(per)]
+        got += [flat[at[i]:at[i + 1]].tolist() for i in range(b - a)]
+    assert got == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    folder = shared_folder(spark, "test-frames")
+    token_frames.write(docs, folder, TOKENIZER)
+    wanted = {i: (len(x) + 1, zlib.crc32(np.array(x + [2], "<u4").tobytes())) for i, x in enumerate(want)}
+    assert {r.doc_id: (r.n_tokens, r.ids_crc32) for r in token_frames.read(spark, folder).collect()} == wanted
+    assert {r.doc_id: r.ids for r in packing.pack_documents(docs, TOKENIZER, 1024, 2, with_ids=True).collect()} == {i: x + [2] for i, x in enumerate(want)}
+
+
 def test_words_and_hashes():
     texts = ["a b", "", None, " b\ta\x0bc\r\n", "x" * 100, "x" * 100 + " b"]
     seen = {}
