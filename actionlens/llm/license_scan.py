@@ -11,9 +11,10 @@ counts; of places that overlap the best is reported, with its differences.
 
 Words are split at white space, A-Z lower-cased and ASCII punctuation at their
 ends cut off for the alignment.  Null and empty texts have no block; repeated
-rows are reported each; texts of any length are scanned whole; a block holds at
-most ``BLOCK_WORDS`` words, and neighbouring blocks overlap by the longest
-template, so no notice is cut.
+rows are reported each; texts of any length are scanned whole.  Templates are put
+into classes by their length; in each the words around a cue, a block's size and
+the overlap of neighbouring blocks follow from the longest template and the words
+a notice may have more, so no notice is cut.
 """
 
 from __future__ import annotations
@@ -48,8 +49,48 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     "proprietary": "All rights reserved.",
 }
+# The same licences' standard headers, and the texts of the short ones.
+TEXTS = {
+    "MIT": """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files
+        (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge,
+        publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so,
+        subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or
+        substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING
+        BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+        AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR
+        OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "Apache-2.0": """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.
+        You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in
+        writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND,
+        either express or implied. See the License for the specific language governing permissions and limitations under the License.""",
+    "GPL-3.0": """This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as
+        published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version. This program is
+        distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+        FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU
+        General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.""",
+    "GPL-2.0": """This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as
+        published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is
+        distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or
+        FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU
+        General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth
+        Floor, Boston, MA 02110-1301 USA.""",
+    "BSD-3-Clause": """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following
+        conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following
+        disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following
+        disclaimer in the documentation and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor
+        the names of its contributors may be used to endorse or promote products derived from this software without specific prior written
+        permission. THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES,
+        INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO
+        EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL
+        DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS
+        INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR
+        OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE.""",
+    "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
+        with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
+}
 CUES = ("license", "licensed", "licence", "licenced", "rights", "copyright", "released")
-BEFORE, AFTER, BLOCK_WORDS = 16, 32, 256
+BLOCK_SPANS = 8         # a block holds at most so many notices of the longest kind
+CLASS_WORDS = 32        # templates of up to 32, 256, 2048, ... words are looked for in blocks of their own size
 COVERAGE = 0.85         # least share of a template's words that must be there, in order
 FOUND = "doc_id long, license string, start_word long, end_word long, coverage double, saved_bytes int, differences string"
 
@@ -63,16 +104,23 @@ def plain(text: str) -> list[str]:
     return [w for w in (x.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for x in low.split()) if w]
 
 
+def _spare(want: list[str]) -> int:
+    """Words that a notice may have more than its template."""
+    return max(2, len(want) // 4)
+
+
 class Scanner:
-    def __init__(self, templates: dict[str, str]) -> None:
-        self.names = list(templates)
-        self.words = [plain(t) for t in templates.values()]
+    def __init__(self, templates: dict[str, str] | list[tuple[str, str]]) -> None:
+        pairs = list(templates.items()) if isinstance(templates, dict) else templates
+        self.names = [name for name, _ in pairs]
+        self.words = [plain(t) for _, t in pairs]
+        self.span = max(len(w) + _spare(w) for w in self.words)       # words that a notice may take up
         self._bags = [Counter(w) for w in self.words]
         self._enough = [len(w) if len(w) < 7 else math.ceil(COVERAGE * len(w)) for w in self.words]    # a few words must all be there
         self._alone = zstandard.ZstdCompressor(level=9)
         self._given = []
-        for t in templates.values():
-            low = " ".join(plain(t)).encode()
+        for w in self.words:
+            low = " ".join(w).encode()
             own = len(self._alone.compress(low))
             d = zstandard.ZstdCompressionDict(low, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             self._given.append((zstandard.ZstdCompressor(level=9, dict_data=d), own))
@@ -87,11 +135,13 @@ class Scanner:
     def confirm(self, block: list[str], template: int) -> list[tuple[float, int, int, str]]:
         """(share of the template's words present in order and close together, first, end, differences) of every place with enough of them."""
         want, enough = self.words[template], self._enough[template]
-        spare, out = max(2, len(want) // 4), {}
+        spare, out, done = _spare(want), {}, 0
+        if sum((Counter(block) & self._bags[template]).values()) < enough:
+            return []
         head = {w: k for k, w in reversed(list(enumerate(want[:len(want) - enough + 1])))}     # one of these must be there
         for at in sorted({max(0, i - head[w]) for i, w in enumerate(block) if w in head}):
             part = block[at:at + len(want) + spare]
-            if sum((Counter(part) & self._bags[template]).values()) < enough:
+            if at < done or sum((Counter(part) & self._bags[template]).values()) < enough:
                 continue
             best = None
             for near in (part, part[:len(want)]):       # without the spare words, which may begin a repeat
@@ -102,55 +152,71 @@ class Scanner:
                     end = equal[-1][4]
                     diff = [f"{op}: {' '.join(want[i1:i2])} -> {' '.join(near[j1:j2])}" for op, i1, i2, j1, j2 in ops if op != "equal" and j1 < end]
                     best = (same, equal[0][3], end, "; ".join(diff))
+                if same == len(want):
+                    break
             if best:
                 same, first, end, diff = best
                 out.setdefault((same / len(want), at + first, at + end), diff)
+                if not diff and same == len(want):      # no better place begins inside an exact one
+                    done = at + end
         return [(*place, diff) for place, diff in out.items()]
 
-    def candidates(self, block: list[str]) -> list[tuple[str, int, int, float, int, str]]:
-        """Every place of every template: (name, first, end, coverage, saved bytes, differences).
+    def candidates(self, block: list[str]) -> list[tuple[str, int, int, float, int, str, int]]:
+        """Every place of every template: (name, first, end, coverage, saved bytes, differences, words that agree less those that don't).
 
         The saved bytes only rank: in a block of several notices a short one may save nothing and yet be there."""
-        return [(self.names[i], first, end, cover, saved, diff) for _, i, saved in self.rank(block) for cover, first, end, diff in self.confirm(block, i)]
+        return [(self.names[i], first, end, cover, saved, diff, round((3 * cover - 1) * len(self.words[i])) - (end - first)) for _, i, saved in self.rank(block) for cover, first, end, diff in self.confirm(block, i)]
 
     def scan(self, block: list[str]) -> list[tuple[str, int, int, float, int, str]]:
         """Confirmed notices of a block: (name, first, end, coverage, saved bytes, differences); of overlapping ones the best."""
         return resolved(self.candidates(block))
 
 
-def resolved(hits: list[tuple[str, int, int, float, int, str]]) -> list[tuple[str, int, int, float, int, str]]:
-    """Of overlapping notices the best."""
+def resolved(hits: list[tuple[str, int, int, float, int, str, int]]) -> list[tuple[str, int, int, float, int, str]]:
+    """Of overlapping notices the best: most words that agree less those missing or in between, so a text is not taken for a notice in it."""
     out: list = []
     starts: list[int] = []                      # of the kept ones, which do not overlap, in order
     ends: list[int] = []
-    for h in sorted(hits, key=lambda h: (-h[3], h[5] != "", -(h[2] - h[1]), -h[4], h[1], h[0])):
+    for h in sorted(hits, key=lambda h: (-h[6], -h[3], h[5] != "", -(h[2] - h[1]), -h[4], h[1], h[0])):
         i = bisect_left(starts, h[2])           # the last kept one that begins before this one's end
         if not i or ends[i - 1] <= h[1]:
             starts.insert(i, h[1])
             ends.insert(i, h[2])
-            out.append(h)
+            out.append(h[:6])
     return out
 
 
-def blocks(cue: np.ndarray, n: int) -> list[tuple[int, int]]:
-    """Word ranges around the cues of a document of n words; ranges that touch are one, long ones are cut with overlap."""
+def blocks(cue: np.ndarray, n: int, span: int) -> list[tuple[int, int]]:
+    """Word ranges around the cues of a document of n words; ranges that touch are one, long ones are cut
+    with an overlap of ``span`` words, so every ``span`` words with a cue are in a block as a whole."""
     merged: list[list[int]] = []
     for c in cue.tolist():
-        lo, hi = max(0, c - BEFORE), min(n, c + AFTER)
+        lo, hi = max(0, c - span), min(n, c + span)
         if merged and lo <= merged[-1][1]:
             merged[-1][1] = hi
         else:
             merged.append([lo, hi])
-    step = BLOCK_WORDS - BEFORE - AFTER
-    return [(a, min(hi, a + BLOCK_WORDS)) for lo, hi in merged for a in range(lo, max(lo + 1, hi - (BEFORE + AFTER)), step)]
+    size = BLOCK_SPANS * span
+    return [(a, min(hi, a + size)) for lo, hi in merged for a in range(lo, max(lo + 1, hi - span), size - span)]
+
+
+def scanners(templates: dict[str, str] | None) -> list[Scanner]:
+    """A scanner for each size class of the templates."""
+    pairs = list(templates.items()) if templates is not None else [*TEMPLATES.items(), *TEXTS.items()]
+    classes: dict[int, list[tuple[str, str]]] = {}
+    for name, text in pairs:
+        size = CLASS_WORDS
+        while size < len(plain(text)):
+            size *= 8
+        classes.setdefault(size, []).append((name, text))
+    return [Scanner(classes[size]) for size in sorted(classes)]
 
 
 def licenses(docs: DataFrame, templates: dict[str, str] | None = None, cues: tuple[str, ...] = CUES) -> DataFrame:
     """A row for each notice found: doc_id, license, its words [start_word, end_word), coverage, bytes saved, differences."""
-    templates = TEMPLATES if templates is None else templates
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(templates)
+        scan = scanners(templates)
         flat = np.frombuffer("".join(cues).encode(), np.uint8)
         size = np.array([len(c) for c in cues])
         wanted = span_hash(flat, np.cumsum(size) - size, np.cumsum(size))
@@ -161,18 +227,31 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, cues: tup
                 low = lowered(buf)
                 start, end, row = words(low, off)
                 s, e = start, end
-                for _ in range(3):
-                    s = s + ((s < e) & _PUNCT[low[np.minimum(s, len(low) - 1)]])
-                    e = e - ((s < e) & _PUNCT[low[e - 1]])
-                cue = np.flatnonzero(np.isin(span_hash(low, s, e), wanted) & (e > s)) if len(s) else s
-                first = np.searchsorted(row, np.arange(len(off)))
-                for r in np.unique(row[cue]).tolist():
-                    hits = []
-                    for lo, hi in blocks(cue[row[cue] == r] - first[r], int(first[r + 1] - first[r])):
-                        text = [low[start[i]:end[i]].tobytes().decode("utf-8", "replace") for i in range(first[r] + lo, first[r] + hi)]
-                        at = [k for k, w in enumerate(text) if plain(w)]
-                        for name, i, j, *rest in scanner.candidates([" ".join(plain(text[k])) for k in at]):
-                            hits.append((name, lo + at[i], lo + at[j - 1] + 1, *rest))
+                while True:
+                    front = (s < e) & _PUNCT[low[np.minimum(s, len(low) - 1)]] if len(s) else s > e
+                    if not front.any():
+                        break
+                    s = s + front
+                while True:
+                    back = (s < e) & _PUNCT[low[e - 1]] if len(s) else s > e
+                    if not back.any():
+                        break
+                    e = e - back
+                at = np.flatnonzero(s < e)              # words, without those of punctuation alone
+                own, first = row[at], np.searchsorted(row, np.arange(len(off)))
+                cue = np.flatnonzero(np.isin(span_hash(low, s[at], e[at]), wanted)) if len(at) else at
+                begin = np.searchsorted(own, np.arange(len(off)))
+                for r in np.unique(own[cue]).tolist():
+                    hits, mine = [], cue[own[cue] == r] - begin[r]
+                    for scanner in scan:
+                        for lo, hi in blocks(mine, int(begin[r + 1] - begin[r]), scanner.span):
+                            where, text = [], []
+                            for i in at[begin[r] + lo:begin[r] + hi].tolist():
+                                for w in plain(low[start[i]:end[i]].tobytes().decode("utf-8", "replace")):
+                                    where.append(i - int(first[r]))
+                                    text.append(w)
+                            for name, i, j, *rest in scanner.candidates(text):
+                                hits.append((name, where[i], where[j - 1] + 1, *rest))
                     out += [(ids[a + r], *h) for h in resolved(hits)]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.string()]
             cols = list(zip(*out)) if out else [[]] * len(kinds)

@@ -569,3 +569,24 @@ def test_licenses_repeated_and_changed(spark):
     got = license_scan.licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert Counter((r.doc_id, r.license) for r in got) == {(1, "proprietary"): 5, (2, "proprietary"): 60, (2, "MIT"): 60, (3, "BSD-3-Clause"): 3, (4, "GPL-3.0"): 100}
     assert sorted(r.coverage for r in got if r.doc_id == 3) == [0.947368, 0.947368, 1.0] and all(r.coverage == 1 for r in got if r.doc_id == 4)
+
+
+def test_licenses_long_texts_across_block_edges(spark):
+    rng = np.random.default_rng(3)
+    docs, want = [], Counter()
+    for i, (name, text) in enumerate(license_scan.TEXTS.items()):
+        for j in range(3):
+            noise = " ".join(["licence"] + [f"w{k}" for k in rng.integers(0, 500, 400 + 613 * j)] + ["rights"] * (j * 1700))     # cues make one long range of blocks
+            lines = " ".join(w if k % 9 else f"* {w}" for k, w in enumerate(text.split()))                                     # comment marks between the words
+            docs.append((10 * i + j, f"{noise} {lines} and {text.replace('License', 'Licence', 1).replace('copy', 'duplicate', 1)} {noise}"))
+            want[10 * i + j, name] = 2
+    edge = [f"t{k}" for k in range(200)]
+    edge[100] = "rights"
+    cut = spark.createDataFrame([(k, " ".join(["rights"] * k + edge + ["x"] * 300)) for k in (0, 700, 1500, 1599, 1700, 1800, 1999)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.start_word, r.end_word) for r in license_scan.licenses(cut, {"own": " ".join(edge)}).collect()) == [(k, k, k + 200) for k in (0, 700, 1500, 1599, 1700, 1800, 1999)]
+    got = license_scan.licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.license) for r in got) == want
+    for r in got:
+        words = docs[[d for d, _ in docs].index(r.doc_id)][1].split()
+        if r.coverage == 1:
+            assert license_scan.plain(" ".join(words[r.start_word:r.end_word])) == license_scan.plain(license_scan.TEXTS[r.license])
