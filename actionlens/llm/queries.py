@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from actionlens.llm import decontamination, jaccard_join, license_scan, line_crf, packing, quality_knn, sharding, token_frames, toxicity, url_filter
-from actionlens.llm.common import shared_folder, table
+from actionlens.llm import (conversation_repair, decontamination, jaccard_join, license_scan, line_crf, line_dedup, packing, periodic_runs, quality_knn, sharding, token_frames,
+                            toxicity, url_filter)
+from actionlens.llm.common import documents, shared_folder, table
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 END_ID = 2
@@ -83,6 +86,78 @@ def op10_quality_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_knn.judged(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def damaged_turns(conversations: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text) with the faults that op11 plants, by the checksum of conv_id and turn."""
+    known = conversations.select("conv_id", "turn", F.coalesce("role", F.lit(" ")).alias("role"), F.coalesce("text", F.lit(" ")).alias("text"))
+    mark = F.concat(F.coalesce(F.col("conv_id").cast("string"), F.lit(" ")), F.lit(":"), F.coalesce(F.col("turn").cast("string"), F.lit(" ")))
+    coded = known.withColumn("code", F.crc32(mark) % 20).where("code <> 0")
+    text = F.when(F.col("code") == 1, "").when(F.col("code") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    times = F.when(F.col("code") == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return coded.select("conv_id", "turn", F.when(F.col("code") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), F.explode(times).alias("copy")).drop("copy")
+
+
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), F.col("role").cast("string").alias("role"),
+                                                        F.col("text").cast("string").alias("text"))
+    report = conversation_repair.Repair(damaged_turns(rows)).report().withColumnRenamed("conv_id", "r_conv")
+    met = rows.select("conv_id").distinct().join(report, F.col("conv_id").eqNullSafe(F.col("r_conv")), "left")
+    numbers = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return met.select("conv_id", *numbers, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.deduplicated(table(spark, sf_dir, "documents"), min_chars=40, min_docs=5)
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+OP12_SQL = r"""
+WITH lines AS (
+  SELECT doc_id, n, unnest(range(len(parts))) AS pos, unnest(parts) AS line
+  FROM (SELECT doc_id, row_number() OVER () AS n, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines
+), often AS (
+  SELECT key, max(doc_id) AS keeper FROM (SELECT DISTINCT key, doc_id FROM keyed WHERE length(key) >= 40) GROUP BY key HAVING count(*) >= 5
+), marked AS (
+  SELECT k.*, keeper IS NOT NULL AND k.doc_id IS DISTINCT FROM keeper AS dropped FROM keyed k LEFT JOIN often o ON o.key = k.key
+)
+SELECT doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (dropped)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM marked GROUP BY n, doc_id
+"""
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once a row, also inside a lambda."""
+    return F.transform(F.array(value), use)[0]
+
+
+def looped_documents(docs: DataFrame) -> DataFrame:
+    """(doc_id, text) with the periodic ends that op13 plants, by the checksum of doc_id."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    g = F.floor(h / 10)
+
+    def looped(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = g % n
+        p = 1 + F.floor((n - a) / (3 + g % 8))
+        return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda i: F.get(words, F.when(i < a, i).otherwise(a + (i - a) % p).cast("int"))), " "))
+
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    return documents(docs).select("doc_id", F.when(h % 10 == 0, _bound(words, looped)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(looped_documents(table(spark, sf_dir, "documents")), min_length=12, min_periods=2)
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    digest = F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256)
+    best = found.select("doc_id", "runs", "collapsed", digest.alias("runs_sha256"), longest.alias("best"))
+    start, length, period = -F.col("best.start"), F.col("best.length"), -F.col("best.period")
+    return best.select("doc_id", F.size("runs").cast("long").alias("n_runs"), start.alias("start"), length.alias("length"), period.alias("period"),
+                       F.floor(length * 1000 / period).cast("long").alias("exponent_milli"), "runs_sha256", F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_token_frames": op1_token_frames,
     "op2_jaccard_join": op2_jaccard_join,
@@ -94,7 +169,11 @@ QUERIES = {
     "op8_line_crf": op8_line_crf,
     "op9_license_scan": op9_license_scan,
     "op10_quality_knn": op10_quality_knn,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_line_dedup": op12_line_dedup,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 ORACLE: dict[str, str] = {
     "op2_jaccard_join": OP2_SQL,
+    "op12_line_dedup": OP12_SQL,
 }
