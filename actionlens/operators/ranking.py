@@ -29,12 +29,13 @@ def _col(c) -> Column:
 
 
 def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[Column | str],
-                name: str = "rank", num_partitions: int | None = None) -> DataFrame:
+                name: str = "rank", num_partitions: int | None = None, kind: str = "int") -> DataFrame:
     """Add ``name`` = 0-based row position inside each group under ``order_cols``.
 
     ``order_cols`` must make the order total (include a unique tie-break),
     otherwise positions of tied rows are arbitrary.  With no ``group_cols``
-    the rank is global.  Group keys must be non-null.
+    the rank is global.  Group keys must be non-null.  ``kind`` is the rank's
+    type: ``bigint`` where a group may hold more than 2**31 rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
@@ -57,7 +58,7 @@ def rank_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence[C
     before = Window.partitionBy(*groups).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_part.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
     out = (indexed.join(offsets.select(*groups, "_pid", "_first", "_off"), [*groups, "_pid"])
-           .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast("int"))
+           .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first")).cast(kind))
            .drop("_pid", "_mid", "_first", "_off"))
     return out.drop("_grp") if "_grp" in out.columns else out
 

@@ -24,7 +24,6 @@ from actionlens.operators import selection as sel
 from actionlens.operators import windows as win
 from actionlens.operators.ranking import first_in_order, top1_per_key, top_k
 from actionlens.plans import features as ft
-from actionlens.plans import model as ml
 from actionlens.plans import sqlgen as S
 from actionlens.sources import fixtures as fx
 from actionlens.sources import readers as rd
@@ -848,86 +847,6 @@ for _view, _cols in (("actions", ("user_id", "sku_id", "type")), ("users", ("sex
         lambda spark, sf_dir, _v=_view, _c=_cols: pf.describe(getattr(fx, _v)(spark, sf_dir), _c).withColumnRenamed("column", "col_name"))
 
 
-# --------------------------------------------------------------------------
-# Model stage (rows-only checks: not SQL-expressible)
-# --------------------------------------------------------------------------
-
-
-# Training features end five days before the scored candidates; its labels
-# are the purchases of those five days.  The back-test predicts the period
-# before the training one.
-TRAIN_END, TRAIN_LABEL_END = "2024-01-20", "2024-01-25"
-BACK_END, BACK_LABEL_END = "2024-01-15", "2024-01-20"
-GBT_ROUNDS = 200
-
-
-_MODELS: dict = {}
-
-
-def _fit(spark, sf_dir, estimator):
-    """Fit on the training part of the 80/20 split, once per session, data folder and estimator
-    parameters (the pipeline's memoised stage, S10/S12): scoring and the back-test share it."""
-    key = (spark.sparkContext.applicationId, sf_dir, type(estimator).__name__,
-           tuple(sorted((p.name, str(v)) for p, v in estimator.extractParamMap().items())))
-    if key not in _MODELS:
-        data, cols = ml.prepare(sel.hash_split(_train(spark, sf_dir, TRAIN_END, TRAIN_END, TRAIN_LABEL_END)).where("is_test = 0"))
-        _MODELS[key] = (estimator.fit(ml.pin(data)), cols)
-    return _MODELS[key]
-
-
-@register("gbt_scores")
-def q_gbt_scores(spark, sf_dir):
-    model, cols = _fit(spark, sf_dir, ml.gbt(GBT_ROUNDS))
-    cand = ft.candidate_set(fx.actions(spark, sf_dir), *_dims(spark, sf_dir), END, P.COMMENT_CUTOFF)
-    return ml.probability_scores(model, cand, cols)
-
-
-@register("rf_scores")
-def q_rf_scores(spark, sf_dir):
-    model, cols = _fit(spark, sf_dir, ml.forest())
-    cand = ft.candidate_set(fx.actions(spark, sf_dir), *_dims(spark, sf_dir), END, P.COMMENT_CUTOFF)
-    return ml.regression_scores(model, cand, cols)
-
-
-@register("logloss")
-def q_logloss(spark, sf_dir):
-    return ml.holdout_logloss(_train(spark, sf_dir, TRAIN_END, TRAIN_END, TRAIN_LABEL_END), GBT_ROUNDS)
-
-
-@register("backtest")
-def q_backtest(spark, sf_dir):
-    """Score a labelled period, pick each user's first pair over the threshold by descending score,
-    and compare with the labelled pairs of that same set."""
-    model, cols = _fit(spark, sf_dir, ml.gbt(GBT_ROUNDS))
-    back = ml.pin(_train(spark, sf_dir, BACK_END, BACK_END, BACK_LABEL_END))
-    pred = sel.submission(ml.probability_scores(model, back, cols), threshold=P.SCORE_THRESHOLD, order="desc")
-    truth = back.where("label = 1").select("user_id", "sku_id").distinct()
-    return mt.score_rows(pred.select("user_id", "sku_id"), truth)
-
-
-def _labelled_pairs_sql(end, label_end):
-    """Pairs of the longest pair window before ``end`` with the label of (user, sku)."""
-    return (f"SELECT p.user_id, p.sku_id, coalesce(l.label, 0) AS label FROM "
-            f"(SELECT DISTINCT user_id, sku_id, cate, brand FROM actions WHERE {S.lookback_where(end, max(P.PAIR_WINDOWS))}) p "
-            f"LEFT JOIN (SELECT DISTINCT user_id, sku_id, 1 AS label FROM actions WHERE type = 4 AND time >= {S.ts(end)} AND time < {S.ts(label_end)}) l "
-            f"ON l.user_id = p.user_id AND l.sku_id = p.sku_id")
-
-
-@register("train_split", S.with_views(["actions"], [("t", _labelled_pairs_sql(TRAIN_END, TRAIN_LABEL_END)), ("x", """
-    SELECT label, CAST(CAST(('0x' || substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(sku_id AS VARCHAR)), 1, 8)) AS BIGINT) % 100 < 20 AS INTEGER) AS is_test FROM t""")],
-    "SELECT is_test, count(*) AS n_rows, CAST(sum(label) AS BIGINT) AS positives FROM x GROUP BY is_test"))
-def q_train_split(spark, sf_dir):
-    """Rows and positives of both parts of the split that the model stage fits on (ML1)."""
-    train = _train(spark, sf_dir, TRAIN_END, TRAIN_END, TRAIN_LABEL_END).select("user_id", "sku_id", "label")
-    return sel.hash_split(train).groupBy("is_test").agg(F.count(F.lit(1)).alias("n_rows"), F.sum("label").cast("bigint").alias("positives"))
-
-
-@register("backtest_truth", S.with_views(["actions"], [("t", _labelled_pairs_sql(BACK_END, BACK_LABEL_END))], "SELECT DISTINCT user_id, sku_id FROM t WHERE label = 1"))
-def q_backtest_truth(spark, sf_dir):
-    """The labelled pairs the back-test is held against (E3)."""
-    return _train(spark, sf_dir, BACK_END, BACK_END, BACK_LABEL_END).where("label = 1").select("user_id", "sku_id").distinct()
-
-
 # --------------------------------------------------------------------------
 # Single-window feature block (breadth + rank + product + rollups)
 # --------------------------------------------------------------------------

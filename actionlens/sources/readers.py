@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -92,18 +92,30 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
-def memoised(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+def hadoop_path(spark: SparkSession, path: str):
+    """(path, file system) of the cluster's Hadoop client, for marks that readers hide."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where, where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def is_finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to the folder has ended: its ``_SUCCESS`` mark is there."""
+    mark, fs = hadoop_path(spark, f"{path}/_SUCCESS")
+    return fs.exists(mark)
+
+
+def memoised(spark: SparkSession, df: DataFrame | Callable[[], DataFrame], path: str) -> DataFrame:
     """Stage output kept as Parquet: written once, then read.
 
     ``path`` must carry every parameter of the stage (dates, windows) so two
     stages never share a file.  Only a finished write (``_SUCCESS``) counts;
     what a failed one left is written over.  The write is a normal
     distributed job; the read gives a lineage-free DataFrame that survives
-    executor loss.
+    executor loss.  A stage given as a function is only planned when it has
+    to be written.
     """
-    mark = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")     # readers hide files named so
-    if not mark.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(mark):
-        df.write.mode("overwrite").parquet(path)
+    if not is_finished(spark, path):
+        (df() if callable(df) else df).write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
 
 

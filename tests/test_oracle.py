@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from actionlens.plans import catalog
+from actionlens.plans import catalog, catalog_model  # noqa: F401
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
@@ -37,7 +37,7 @@ def duck():
 def test_every_query_has_an_oracle():
     missing = set(catalog.QUERIES) - set(ORACLE)
     assert set(catalog.QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert missing <= {"gbt_scores", "rf_scores", "logloss", "backtest"}
+    assert missing <= {"gbt_scores", "gbt_weighted_scores", "rf_scores", "logloss", "logloss_rounds", "backtest", "model_submission", "weighted_submission", "forest_submission"}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

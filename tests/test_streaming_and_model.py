@@ -1,9 +1,8 @@
-"""Streaming ingestion equals the batch day counts; the model stage runs."""
+"""Streaming ingestion equals the batch day counts; split and sinks."""
 
 from pyspark.sql import functions as F
 
 from actionlens.operators import windows as win
-from actionlens.plans import model as ml
 from actionlens.sources import fixtures as fx
 from tests.conftest import SF_SMALL
 
@@ -18,20 +17,6 @@ def test_streaming_day_counts_equal_batch(spark):
     assert want.exceptAll(got.select(*want.columns)).count() == 0
 
 
-def test_gbt_and_forest_small(spark):
-    from actionlens.plans import catalog as C
-    train = C._train(spark, SF_SMALL, C.TRAIN_END, C.TRAIN_END, C.TRAIN_LABEL_END)
-    data, cols = ml.prepare(train)
-    data = ml.pin(data)
-    assert data.where("label = 1").count() > 0
-    model = ml.gbt(max_iter=5).fit(data)
-    scores = ml.probability_scores(model, train, cols)
-    assert scores.count() == train.count()
-    assert scores.where("score < 0 OR score > 1").count() == 0
-    rf = ml.forest().setNumTrees(5).fit(data)
-    assert ml.regression_scores(rf, train, cols).count() == train.count()
-
-
 def test_hash_split_is_stable(spark):
     from actionlens.operators.selection import hash_split
     df = spark.range(0, 2000).select(F.col("id").alias("user_id"), (F.col("id") * 7).alias("sku_id"))
@@ -40,20 +25,6 @@ def test_hash_split_is_stable(spark):
     assert a == b and 300 < a < 500
 
 
-def test_model_save_load_and_class_weight(spark, tmp_path):
-    from actionlens.plans import catalog as C
-    train = C._train(spark, SF_SMALL, C.TRAIN_END, C.TRAIN_END, C.TRAIN_LABEL_END)
-    data, cols = ml.prepare(train)
-    data = ml.pin(ml.with_class_weight(data, 20.0))
-    model = ml.gbt(max_iter=3, weight_col="weight").fit(data)
-    path = str(tmp_path / "gbt")
-    ml.save_model(model, path)
-    again = ml.load_gbt(path)
-    a = ml.probability_scores(model, train, cols)
-    b = ml.probability_scores(again, train, cols)
-    assert a.exceptAll(b).count() == 0
-
-
 def test_first_rows_and_column_sink(spark, tmp_path):
     from actionlens.sources.readers import first_rows, write_columns
     a = fx.actions(spark, SF_SMALL)
