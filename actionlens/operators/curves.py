@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from datetime import date
@@ -112,8 +112,8 @@ def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days:
                 types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
     """One row per (user, sku) seen in ``[end - days, max(end, label_end))``:
 
-    * ``m_{t}``   array of BIGINT masks, ``MASK_DAYS`` days each: bit d-1 of the whole is
-                  set when the pair has behaviour t on day ``off = d`` (1 <= d <= days),
+    * ``m_{t}_{f}`` BIGINT masks of the days f+1 .. f+``MASK_DAYS``: bit d-f-1 is set when the
+                  pair has behaviour t on day ``off = d`` (1 <= d <= days),
     * ``r_{d}``   rows of the pair on day d (all behaviours),
     * ``hit``     1 when the pair bought (in ``cate``) during the label window
                   and its sku is in the product subset.
@@ -135,9 +135,6 @@ def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days:
         bought = bought & (F.col("cate") == F.lit(cate))
     aggs.append(F.max(F.when(bought, 1).otherwise(0)).alias("bought"))
     pairs = rows.groupBy("user_id", "sku_id").agg(*aggs)
-    for t in types:
-        parts = [f"m_{t}_{first}" for first in range(0, days, MASK_DAYS)]
-        pairs = pairs.withColumn(f"m_{t}", F.array(*parts)).drop(*parts)
     if products is not None:
         skus = products.select("sku_id").distinct().withColumn("_in", F.lit(1))
         pairs = pairs.join(skus, "sku_id", "left")
@@ -149,17 +146,19 @@ def curve_table(actions: DataFrame, products: DataFrame | None, end: str, days:
                 .drop("_in", "bought")
 
 
-def _per_type(table: DataFrame, types: Sequence[int]) -> DataFrame:
-    return table.select("hit", F.explode(F.array(*[
-        F.struct(F.lit(t).alias("type"), F.col(f"m_{t}").alias("m")) for t in types])).alias("x")) \
-        .select("hit", "x.type", F.posexplode("x.m").alias("part", "m")).where(F.col("m") != 0)
+def _mask_starts(table: DataFrame) -> list[int]:
+    """First days (0-based) of the masks that the table has for each behaviour."""
+    return sorted({int(c.rsplit("_", 1)[1]) for c in table.columns if c.startswith("m_")})
 
 
 def _first_days(table: DataFrame, types: Sequence[int]) -> DataFrame:
     """type, hit, n_days: the earliest day of each pair and behaviour."""
-    masks = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), F.col(f"m_{t}").alias("m")) for t in types]))
-    day = F.array_min(F.transform("x.m", lambda m, i: F.when(m != 0, i * MASK_DAYS + F.bit_count(m.bitwiseXOR(m - 1)))))
-    return table.select("hit", masks.alias("x")).select("x.type", "hit", day.alias("n_days")).where("n_days IS NOT NULL")
+    def earliest(t: int) -> Column:
+        masks = [(first, F.col(f"m_{t}_{first}")) for first in _mask_starts(table)]
+        return F.coalesce(*[F.when(m != 0, first + F.bit_count(m.bitwiseXOR(m - 1))) for first, m in masks])
+
+    each = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), earliest(t).alias("n_days")) for t in types]))
+    return table.select("hit", each.alias("x")).select("x.type", "hit", "x.n_days").where("n_days IS NOT NULL")
 
 
 def cumulative_from_table(table: DataFrame, days: int, types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
@@ -176,9 +175,11 @@ def cumulative_from_table(table: DataFrame, days: int, types: Sequence[int] = NO
 
 
 def daily_from_table(table: DataFrame, days: int, types: Sequence[int] = NON_PURCHASE_TYPES) -> DataFrame:
-    on_days = _per_type(table, types).select(
-        "type", "hit", F.explode(F.expr(f"transform(filter(sequence(1, {MASK_DAYS}), d -> (shiftright(m, d - 1) & 1) = 1), "
-                                        f"d -> d + {MASK_DAYS} * part)")).alias("n_days"))
+    masks = F.explode(F.array(*[F.struct(F.lit(t).alias("type"), F.lit(first).alias("first"), F.lit(min(MASK_DAYS, days - first)).alias("n"), F.col(f"m_{t}_{first}").alias("m"))
+                                for t in types for first in _mask_starts(table)]))
+    active = table.select("hit", masks.alias("x")).select("hit", "x.*").where("m <> 0")
+    on_days = active.select("type", "hit", "first", "m", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("d")) \
+        .where("(shiftright(m, d - 1) & 1) = 1").select("type", "hit", (F.col("first") + F.col("d")).alias("n_days"))
     counts = on_days.groupBy("n_days", "type").agg(F.count(F.lit(1)).alias("pairs"), F.sum("hit").alias("hits"))
     return _finish(counts, _grid(table.sparkSession, days, types), ["n_days", "type"])
 

@@ -70,6 +70,25 @@ def asof_snapshot(comments: DataFrame, end: str, key: str = "sku_id", time_col:
             .select(key, *[F.col(f"_s.{c}").alias(c) for c in [time_col, *rest]]))
 
 
+def asof_cutoffs(comments: DataFrame, ends: Sequence[str], key: str = "sku_id", time_col: str = "dt") -> DataFrame:
+    """``asof_snapshot`` for a list of cut-offs from one read: (cutoff, key, time_col, ...).
+
+    A snapshot is the latest of its key up to the key's next one, so it serves the cut-offs between the
+    two.  Each (key, stretch between two neighbouring cut-offs) keeps its latest snapshot (an aggregate,
+    combined in every task); a merge over the at most ``len(ends)`` stretches of a key then carries the
+    last snapshot on to the cut-offs of stretches without one.
+    """
+    cutoffs = sorted(set(ends))
+    rest = [c for c in comments.columns if c not in (key, time_col)]
+    # Stretch 0 ends before the first cut-off, stretch 1 before the second, ...
+    stretch = F.lit(len(cutoffs)) - sum((F.col(time_col) < date_lit(e)).cast("int") for e in cutoffs)
+    best = F.max(F.struct(F.col(time_col).alias(time_col), *[F.col(c).alias(c) for c in rest]))
+    latest = comments.where(F.col(time_col) < date_lit(cutoffs[-1])).withColumn("_stretch", stretch).groupBy(key, "_stretch").agg(best.alias("_s"))
+    of_key = latest.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("_stretch", "_s"))).alias("_m"))     # at most len(ends) entries
+    carried = F.explode(F.array(*[F.struct(date_lit(e).alias("cutoff"), F.coalesce(*[F.try_element_at("_m", F.lit(j)) for j in range(i, -1, -1)]).alias("_s")) for i, e in enumerate(cutoffs)]))
+    return of_key.select(key, carried.alias("_c")).where("_c._s IS NOT NULL").select("_c.cutoff", key, *[F.col(f"_c._s.{c}").alias(c) for c in [time_col, *rest]])
+
+
 def snapshot_range(comments: DataFrame, end: str, time_col: str = "dt") -> DataFrame:
     """All rows dated in ``[d, end)`` where d is the latest snapshot date before ``end``.
 

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -45,27 +46,107 @@ COMMENTS_SCHEMA = T.StructType([
 ])
 
 
+MODERN_ENCODINGS = ("UTF-8", "UTF8", "ISO-8859-1", "US-ASCII")
+CHARSETS = "spark.sql.legacy.javaCharsets"
+
+
+def reading_session(spark: SparkSession, encoding: str) -> SparkSession:
+    """The session that reads ``encoding``: for a legacy one such as GBK, which Spark 4 decodes only under a
+    setting, one of its own that has it (and the caller's other settings); the caller's stays as it is."""
+    if encoding.upper() in MODERN_ENCODINGS or spark.conf.get(CHARSETS, "false").lower() == "true":
+        return spark
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            own.conf.set(key, value)
+    own.conf.set(CHARSETS, "true")
+    return own
+
+
+@contextmanager
+def writing_session(spark: SparkSession, encoding: str) -> Iterator[None]:
+    """While a write in a legacy encoding runs, the session has the setting it needs."""
+    if encoding.upper() in MODERN_ENCODINGS:
+        yield
+        return
+    before = spark.conf.get(CHARSETS, None)
+    spark.conf.set(CHARSETS, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CHARSETS)
+        else:
+            spark.conf.set(CHARSETS, before)
+
+
+def _csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, encoding: str, header: bool = True, **options) -> DataFrame:
+    return (reading_session(spark, encoding).read.schema(schema).options(header=header, encoding=encoding, mode="PERMISSIVE", **options)
+            .csv(list(paths) if not isinstance(paths, str) else paths))
+
+
 def read_csv(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType,
              encoding: str = "UTF-8", date_format: str = "yyyy-MM-dd",
              ts_format: str = "yyyy-MM-dd HH:mm:ss[.SSSSSS]") -> DataFrame:
-    """Headered CSV with a declared schema (no inference pass).
+    """Headered CSV with a declared schema (no inference pass), in any encoding and any session.
 
-    Legacy encodings such as GBK need ``spark.sql.legacy.javaCharsets=true``
-    in Spark 4 (part of ``session.JOB_CONF``); bad numbers and dates become
-    NULL (PERMISSIVE mode).
+    Bad numbers and dates become NULL (PERMISSIVE mode); ``read_checked`` tells them apart.
     """
-    needs_charsets(spark, encoding)
-    return (spark.read.schema(schema)
-            .option("header", True).option("encoding", encoding)
-            .option("dateFormat", date_format).option("timestampNTZFormat", ts_format)
-            .option("mode", "PERMISSIVE")
-            .csv(list(paths) if not isinstance(paths, str) else paths))
+    return _csv(spark, paths, schema, encoding, dateFormat=date_format, timestampNTZFormat=ts_format)
+
+
+BAD_LINE = "number of fields"
+
+
+def coerced(df: DataFrame, schema: T.StructType, reasons: str | None = None) -> DataFrame:
+    """Every column of ``schema`` brought to its declared type; text that is none becomes NULL.
+
+    Numbers may carry white space, a sign, a fraction of zeros for whole numbers, and an exponent.
+    ``reasons`` names an array column that lists what failed: ``<column>: not a <type>``.  Columns
+    outside the schema stay as they are.
+    """
+    typed, failed = {}, []
+    for field in schema:
+        raw = F.trim(F.col(field.name).cast("string"))
+        kind = field.dataType.simpleString()
+        if isinstance(field.dataType, (T.IntegerType, T.LongType, T.ShortType, T.ByteType)):
+            number = raw.try_cast("decimal(38,9)")
+            value = F.when(number == F.floor(number), number).try_cast(kind)
+        else:
+            value = raw.try_cast(kind)
+        if isinstance(field.dataType, T.StringType):
+            value = F.col(field.name).cast("string")
+        typed[field.name] = value.alias(field.name)
+        failed.append(F.when((raw != "") & value.isNull(), F.lit(f"{field.name}: not a {kind}")))
+    rest = [F.col(c) for c in df.columns if c not in typed]
+    extra = [F.array_compact(F.array(*failed)).alias(reasons)] if reasons else []
+    return df.select(*typed.values(), *rest, *extra)
+
+
+def read_checked(spark: SparkSession, paths: str | Sequence[str], schema: T.StructType, encoding: str = "UTF-8", header: bool = True) -> DataFrame:
+    """The columns of ``schema``, ``raw_line`` and ``reasons`` of every line of CSV files.
+
+    ``reasons`` is empty for a good line; otherwise it lists each field that is not of its declared
+    type, or that the line has too few or too many fields (its fields then count as read, the missing
+    ones as NULL).  An empty field is NULL and no fault.
+    """
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema] + [T.StructField("raw_line", T.StringType())])
+    lines = _csv(spark, paths, text, encoding, header, columnNameOfCorruptRecord="raw_line")
+    whole = F.when(F.col("raw_line").isNotNull(), F.array(F.lit(BAD_LINE))).otherwise(F.array().cast("array<string>"))
+    return coerced(lines, schema, "faults").select(*schema.fieldNames(), "raw_line", F.concat(whole, "faults").alias("reasons"))
+
 
+def quarantine(checked: DataFrame, path: str) -> DataFrame:
+    """Good rows of a ``read_checked`` table; the others are written to ``path`` with their reasons."""
+    columns = [c for c in checked.columns if c not in ("raw_line", "reasons")]
+    checked.where(F.size("reasons") > 0).select(*columns, "raw_line", "reasons").write.mode("overwrite").parquet(path)
+    return checked.where(F.size("reasons") == 0).select(*columns)
 
-def needs_charsets(spark: SparkSession, encoding: str) -> None:
-    if encoding.upper() not in ("UTF-8", "UTF8", "ISO-8859-1", "US-ASCII") and \
-            spark.conf.get("spark.sql.legacy.javaCharsets", "false").lower() != "true":
-        raise ValueError(f"reading or writing {encoding} needs spark.sql.legacy.javaCharsets=true in the session")
+
+def reason_counts(checked: DataFrame) -> DataFrame:
+    """reason, n_rows: how many lines each fault was found in ('good': without any)."""
+    each = F.when(F.size("reasons") > 0, F.array_distinct("reasons")).otherwise(F.array(F.lit("good")))
+    return checked.select(F.explode(each).alias("reason")).groupBy("reason").agg(F.count("*").alias("n_rows"))
 
 
 def union_periods(frames: Sequence[DataFrame]) -> DataFrame:
@@ -79,17 +160,9 @@ TS_WRITE_FORMAT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", encoding: str = "UTF-8") -> None:
-    needs_charsets(df.sparkSession, encoding)
-    (df.write.mode(mode).option("header", True).option("encoding", encoding)
-     .option("timestampNTZFormat", TS_WRITE_FORMAT).option("dateFormat", "yyyy-MM-dd").csv(path))
-
-
-def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
-                  partition_by: Sequence[str] = ()) -> None:
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    with writing_session(df.sparkSession, encoding):
+        (df.write.mode(mode).option("header", True).option("encoding", encoding)
+         .option("timestampNTZFormat", TS_WRITE_FORMAT).option("dateFormat", "yyyy-MM-dd").csv(path))
 
 
 def hadoop_path(spark: SparkSession, path: str):
@@ -145,6 +218,11 @@ def write_columns(df: DataFrame, cols: Sequence[str], path: str, mode: str = "ap
         w.format(fmt).save(path)
 
 
+def _by_day(actions: DataFrame, num_partitions: int | None) -> DataFrame:
+    n = num_partitions or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return actions.withColumn("day", F.to_date("time")).repartitionByRange(n, "day", "user_id", "sku_id")
+
+
 def write_log_by_day(actions: DataFrame, path: str, mode: str = "overwrite",
                      num_partitions: int | None = None) -> None:
     """Store the action log as Parquet partitioned by day.
@@ -153,17 +231,21 @@ def write_log_by_day(actions: DataFrame, path: str, mode: str = "overwrite",
     split across many tasks (no single writer per day) and files come out
     clustered by user, which keeps per-file min/max statistics selective.
     """
-    from pyspark.sql import functions as F
-    n = num_partitions or int(actions.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    (actions.withColumn("day", F.to_date("time"))
-     .repartitionByRange(n, "day", "user_id", "sku_id")
-     .write.mode(mode).partitionBy("day").parquet(path))
+    _by_day(actions, num_partitions).write.mode(mode).partitionBy("day").parquet(path)
+
+
+def replace_days(actions: DataFrame, path: str, num_partitions: int | None = None) -> None:
+    """Write the days that ``actions`` holds anew (late files); the log's other days stay untouched.
+
+    Dynamic partition overwrite: only folders of days that occur are replaced, when all tasks are done.
+    ``actions`` must not read the log it replaces.
+    """
+    _by_day(actions, num_partitions).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(path)
 
 
 def read_log(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
     """Read a day-partitioned log; ``[start, end)`` prunes day folders and is
     also pushed to the Parquet reader as a time filter."""
-    from pyspark.sql import functions as F
     df = spark.read.parquet(path)
     if start is not None:
         df = df.where((F.col("day") >= F.lit(start).cast("date"))

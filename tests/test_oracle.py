@@ -6,7 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from actionlens.plans import catalog, catalog_model  # noqa: F401
+from actionlens.plans import catalog, catalog_model, catalog_store  # noqa: F401
 from tests.conftest import SF_SMALL
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
