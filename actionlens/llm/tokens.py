@@ -23,7 +23,7 @@ from tokenizers import Tokenizer
 from actionlens.llm.textops import segments, slices, span_hash
 
 ENCODE_BYTES = 3 << 20
-MEMO_PIECES = 300_000       # distinct pieces a worker remembers; then it starts anew
+MEMO_PIECES = 160_000       # distinct pieces of a generation; a worker remembers two of them
 _SPACED = np.uint64(0x5851F42D4C957F2D)
 # Fixed value: the byte-level pre-tokenizer's pattern.
 PRE_TOKENS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
@@ -62,7 +62,8 @@ class PieceEncoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and not (t.special and encode_special_tokens)]
         self._added = regex.compile(b"|".join(regex.escape(t.encode()) for t in added)) if added else None
         self._model, self._letters = self.tokenizer.model, _byte_letters()
-        self._memo: dict[int, bytes] = {}
+        self._memo: dict[int, bytes] = {}         # pieces met lately,
+        self._older: dict[int, bytes] = {}        # and those of the generation before
         self._other: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
@@ -124,13 +125,16 @@ class PieceEncoder:
         key[spaced] ^= _SPACED
         distinct, where, which = np.unique(key, return_index=True, return_inverse=True)
         if len(self._memo) > MEMO_PIECES:
-            self._memo.clear()
-        memo, ids = self._memo, []
+            self._older, self._memo = self._memo, {}
+        memo, older, ids = self._memo, self._older, []
         for k, w in zip(distinct.tolist(), where.tolist()):
             got = memo.get(k)
             if got is None:
-                piece = buf[start[w]:end[w]].tobytes().decode("utf-8", "replace")
-                got = memo[k] = self._piece(" " + piece if spaced[w] else piece)
+                got = older.get(k)
+                if got is None:
+                    piece = buf[start[w]:end[w]].tobytes().decode("utf-8", "replace")
+                    got = self._piece(" " + piece if spaced[w] else piece)
+                memo[k] = got
             ids.append(got)
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
