@@ -62,6 +62,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     bitmap as runs (first line, number of lines) of kept lines."""
     lines = pin(occurrences(docs, min_chars), "line-keys")
     often = lines.where("first").groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.max("doc_id").alias("keeper")).where(F.col("n_docs") >= min_docs)
+    often = pin(often, "repeated-lines")            # so both sides of the join are dealt anew, and the rows of a hot line can be split
     dropped = lines.join(often, KEY).where(~F.col("doc_id").eqNullSafe(F.col("keeper")))
     places = dropped.groupBy("doc_id", "text_hash", "n_lines").agg(F.sort_array(F.collect_set("pos")).alias("gone"))    # at most a text's lines
     starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 1))
