@@ -13,7 +13,7 @@ of documents), and its ``NEIGHBOURS`` nearest vote with their similarity, each
 label weighing in total as among all labelled documents.  The labelled vectors are
 broadcast: at most ``2 * per_class`` vectors of ``AXES`` numbers.
 
-Learning uses text alone.  A null or empty text, or one whose vector is zero,
+The fit uses text alone.  A null or empty text, or one whose vector is zero,
 gets score 0; equal texts get equal scores; of equally similar neighbours those
 of smaller doc_id vote; a text of any length is used whole; with no labelled
 document every score is 0.5.
@@ -36,6 +36,7 @@ AXES = 48
 NEIGHBOURS = 25
 PER_CLASS = 2000
 THRESHOLD = 0.5
+DIGITS = 9              # to which vectors and similarities are rounded
 BLOCK = 512
 
 _CLASS = np.full(256, 14, np.int64)
@@ -108,17 +109,20 @@ def axes_of(x: np.ndarray, seed: int = 7) -> np.ndarray:
 class Model:
     def __init__(self, idf: np.ndarray, axes: np.ndarray, known: np.ndarray, label: np.ndarray, good: float = 0.5) -> None:
         """``good``: share of label 1 among all labelled documents, which the sample need not have."""
-        self.idf, self.axes, self.known, self.label = idf.astype(np.float32), axes, known, label
+        self.idf, self.axes, self.known, self.label = idf.astype(np.float32), axes.astype(np.float64), np.round(known.astype(np.float64), DIGITS), label
         share = label.mean() if len(label) else 0.5
         self.weight = np.where(label == 1, good / max(share, 1e-9), (1 - good) / max(1 - share, 1e-9))
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if not len(self.label):
             return np.full(len(x), 0.5)
-        x = unit(x @ self.axes)
-        near = x @ self.known.T
+        # Rounded, so that equal texts score alike wherever they stand in a block; of equally near
+        # neighbours the first ones (smaller doc_id) vote.
+        x = np.round(unit(x.astype(np.float64) @ self.axes), DIGITS)
+        near = np.round(x @ self.known.T, DIGITS)
         k = min(NEIGHBOURS, len(self.label))
-        top = np.argpartition(-near, k - 1, axis=1)[:, :k] if k < len(self.label) else np.tile(np.arange(k), (len(x), 1))
+        order = np.arange(len(self.label)) * (0.1 ** (DIGITS + 1) / max(len(self.label), 1)) - near
+        top = np.sort(np.argpartition(order, k - 1, axis=1)[:, :k], axis=1) if k < len(self.label) else np.tile(np.arange(k), (len(x), 1))
         vote = np.maximum(np.take_along_axis(near, top, 1), 0) ** 4 * self.weight[top]
         total = vote.sum(1)
         return np.where(total > 0, (vote * self.label[top]).sum(1) / np.maximum(total, 1e-30), 0.0)

@@ -8,8 +8,8 @@ separates the words that make a sentence toxic from the others.  A sentence
 scores as its worst word, and a document by its two worst words and their
 number, mapped to 0..1 by a logistic fit.
 
-Labels are per document, so the words are found as in multiple-instance
-learning: words seen far more often in toxic than in clean sentences start as
+Labels are per document, so the words are found by a multiple-instance
+fit: words seen far more often in toxic than in clean sentences start as
 positive, and after each fit the worst words of the toxic documents join them
 while every word of clean documents stays negative.
 
@@ -19,7 +19,7 @@ own norm; no landmark is visited.  ASCII punctuation is dropped and words of
 single letters in a row are joined before words are split, so ``i.d.i.o.t`` and
 ``i d i o t`` are words too.
 
-Learning uses a bounded sample (``per_class`` documents of each label, first by
+The fit uses a bounded sample (``per_class`` documents of each label, first by
 hash) and text alone.  Null and empty texts have no words and get the lowest
 score; equal texts get equal scores; a text of any length is scored whole.
 """
