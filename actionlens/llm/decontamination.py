@@ -3,7 +3,8 @@
 A spaced seed is a mask over consecutive words: positions marked 1 are hashed,
 the others ignored, so a window whose ignored words were substituted still has
 the same hash.  Every window of every test item and training document is hashed
-under each of the fixed masks, and equal hashes are joined.  A training window
+under each of the fixed masks (lighter ones as well for items of up to 15 words, so
+that every allowed substitution leaves a seed), and equal hashes are joined.  A training window
 is emitted only if two fixed-size bitmaps of the test hashes have it (their size
 does not depend on either table), so the join sees few rows besides hits.
 
@@ -34,6 +35,9 @@ from actionlens.llm.textops import lowered, mix, slices, span_hash, words
 
 # Fixed masks, weight 6: substitutions in any third, fourth or second word leave at least one of them intact.
 MASKS = ("111111", "1110111", "11011011", "1100110011", "10101010101", "111000111", "1101000111")
+# Lighter masks for items too short for those, by the item's number of words; without them some substitutions leave no seed.
+LIGHT_MASKS = {n: ("1" * n,) for n in range(1, 5)} | {5: ("1111", "10111", "11011", "11101")} | {n: ("11111", "101111", "110111", "111011", "111101") for n in range(6, 16)}
+ALL_MASKS = MASKS + tuple(dict.fromkeys(m for own in LIGHT_MASKS.values() for m in own))
 FILTER_BITS = 1 << 24
 MATCHES = "doc_id long, text_hash long, item_id long, start_word long, end_word long, item_start int, matched int, identity double"
 
@@ -59,9 +63,10 @@ def word_hashes(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return span_hash(buf, start[some], end[some]), row[some]
 
 
-def seeds(word: np.ndarray, row: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def seeds(word: np.ndarray, row: np.ndarray, masks: tuple[str, ...] = MASKS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(hash, first word of the window) for each mask."""
-    for m, mask in enumerate(MASKS):
+    for mask in masks:
+        m = ALL_MASKS.index(mask)
         at = [i for i, c in enumerate(mask) if c == "1"]
         n = len(word) - len(mask) + 1
         if n > 0:
@@ -84,7 +89,11 @@ def _items(tests: DataFrame) -> DataFrame:
             for a, b, buf, off in slices(batch.column("text")):
                 word, row = word_hashes(buf, off)
                 hits: list[list[dict]] = [[] for _ in range(b - a)]
-                for h, at in seeds(word, row):
+                size = np.bincount(row, minlength=b - a)
+                for mask, (h, at) in ((m, found) for m in ALL_MASKS for found in seeds(word, row, (m,))):
+                    if mask not in MASKS:
+                        own = np.isin(size[row[at]], [n for n, light in LIGHT_MASKS.items() if mask in light])
+                        h, at = h[own], at[own]
                     first = np.searchsorted(row, row[at])
                     for x, p, f in zip(h.view(np.int64).tolist(), at.tolist(), first.tolist()):
                         hits[row[p]].append({"seed": x, "item_at": p - f})
@@ -97,7 +106,7 @@ def _items(tests: DataFrame) -> DataFrame:
     return own.mapInArrow(rows, "item_id long, item_words binary, seeds array<struct<seed: long, item_at: int>>")
 
 
-def _hits(docs: DataFrame, low: bytes, high: bytes) -> DataFrame:
+def _hits(docs: DataFrame, low: bytes, high: bytes, masks: tuple[str, ...]) -> DataFrame:
     """Documents with a window that both bitmaps have: doc_id, text_hash, words, hits."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,7 +115,7 @@ def _hits(docs: DataFrame, low: bytes, high: bytes) -> DataFrame:
             for a, _, buf, off in slices(batch.column("text")):
                 word, row = word_hashes(buf, off)
                 found = []
-                for h, at in seeds(word, row):
+                for h, at in seeds(word, row, masks):
                     lo, hi = _bits(h)
                     ok = a_map[lo]
                     ok[ok] = b_map[hi[ok]]
@@ -170,7 +179,9 @@ def contaminated(docs: DataFrame, tests: DataFrame, min_words: int = 13) -> Data
                 if r["m"] >> i & 1:
                     set_bits[r["w"] * 64 + i] = True
         maps.append(np.packbits(set_bits).tobytes())
-    hits = pin(_hits(docs, *maps).withColumn("row", F.monotonically_increasing_id()), "seed-hits")
+    short = items.select((F.octet_length("item_words") / 8).cast("int").alias("n")).where(F.col("n").isin(*LIGHT_MASKS)).distinct().collect()     # lengths up to 15
+    masks = MASKS + tuple(dict.fromkeys(m for r in sorted(short) for m in LIGHT_MASKS[r["n"]]))
+    hits = pin(_hits(docs, *maps, masks).withColumn("row", F.monotonically_increasing_id()), "seed-hits")
     lined = (hits.select("row", F.explode("hits").alias("h")).select("row", "h.seed", "h.doc_at")
              .join(seed_rows, "seed").select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct())
 
@@ -192,5 +203,5 @@ def contaminated(docs: DataFrame, tests: DataFrame, min_words: int = 13) -> Data
 
 def decontaminated(docs: DataFrame, tests: DataFrame, min_words: int = 13) -> DataFrame:
     """The rows of ``docs`` (all columns) that no test item contaminates; found by doc_id and text, so rows without a doc_id are told apart."""
-    bad = pin(contaminated(docs, tests, min_words).select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_h")).distinct(), "contaminated")
-    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(F.col("_d")) & (F.xxhash64(docs["text"].cast("string")) == F.col("_h")), "left_anti")
+    bad = pin(contaminated(docs, tests, min_words).select(F.col("doc_id").alias("bad_doc"), F.col("text_hash").alias("bad_text")).distinct(), "contaminated")
+    return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["bad_doc"]) & (F.xxhash64(docs["text"].cast("string")) == bad["bad_text"]), "left_anti")
