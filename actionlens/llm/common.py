@@ -24,7 +24,17 @@ def pin(df: DataFrame, what: str) -> DataFrame:
     executor costs nothing, and consumers that prune columns read only those."""
     path = shared_folder(df.sparkSession, what)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned = df.sparkSession.read.schema(df.schema).parquet(path)
+    pinned._pin_path = path
+    return pinned
+
+
+def unpin(*pinned: DataFrame) -> None:
+    """Deletes pinned tables that nothing reads any more (their successors are written)."""
+    for df in pinned:
+        sc = df.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(df._pin_path)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(docs: DataFrame) -> DataFrame:

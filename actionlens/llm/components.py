@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionlens.llm.common import pin
+from actionlens.llm.common import pin, unpin
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -14,15 +14,22 @@ def _least(pairs: DataFrame) -> DataFrame:
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
+    """Written; ``edges`` are read no more."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    return both.join(_least(both), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+    least = _least(both)
+    out = pin(both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct(), "edges")
+    unpin(least, edges)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
+    """Written; ``edges`` are read no more."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u > v").distinct()
     least = _least(down)
     moved = down.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
+    out = pin(moved.unionByName(least.select("u", F.col("m").alias("v"))).where("u <> v").distinct(), "edges")
+    unpin(least, edges)
+    return out
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -37,5 +44,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if now == before:
             break
         before = now
-        state = pin(_small_star(pin(_large_star(state), "edges")), "edges")
+        state = _small_star(_large_star(state))
     return state.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(state.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

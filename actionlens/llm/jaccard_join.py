@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from actionlens.llm.common import documents, pin
+from actionlens.llm.common import documents, pin, unpin
 from actionlens.llm.components import connected_components
 from actionlens.llm.textops import distinct_per_row, lowered, mix, shingle_hash, slices, span_hash, words
 
@@ -132,11 +132,11 @@ def _regions(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Dat
                 n = np.bincount(row, minlength=s.rows)
                 nth = np.arange(len(row)) - (np.cumsum(n) - n)[row]
                 chosen = nth < kept_shingles(s.n, percent)[row]
-                yield pa.RecordBatch.from_arrays([pa.array(h[chosen].view(np.int64)), pa.array(s.k1[row[chosen]])], names=["shingle", "k1"])
+                yield pa.RecordBatch.from_arrays([pa.array(h[chosen].view(np.int64)), pa.array(s.k1[row[chosen]]), pa.array(s.n[row[chosen]].astype(np.int64))], names=["shingle", "k1", "n"])
 
     order = np.argsort(frequent.view(np.uint64))
     by_hash, place = frequent.view(np.uint64)[order], order[...]     # place: the rarest of the frequent ones first
-    return documents(docs).mapInArrow(rows, "shingle long, k1 long")
+    return documents(docs).mapInArrow(rows, "shingle long, k1 long, n long")
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -162,20 +162,23 @@ def _by_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
-def _shared(regions: DataFrame) -> DataFrame:
-    """Regions with at least two classes."""
+def _shared(regions: DataFrame, percent: int) -> DataFrame:
+    """(shingle, k1) of the classes that have another one of their region near enough in size.
+
+    A region is sorted by size, so a class without a neighbour within the ratio of a link has no
+    partner at all, and the pivot distances are only fetched for the others.
+    """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _by_runs(batches, "shingle"):
-            h, k1 = t.column("shingle").to_numpy(), t.column("k1").to_numpy()
+            h, k1, n = (t.column(c).to_numpy() for c in ("shingle", "k1", "n"))
             new = np.r_[True, (h[1:] != h[:-1]) | (k1[1:] != k1[:-1])]
-            h, k1 = h[new], k1[new]
-            start = _runs(h)
-            size = np.diff(np.r_[start, len(h)])
-            many = np.repeat(size > 1, size)
-            yield pa.RecordBatch.from_arrays([pa.array(h[many]), pa.array(k1[many])], names=["shingle", "k1"])
+            h, k1, n = h[new], k1[new], n[new]
+            near = (h[1:] == h[:-1]) & (100 * n[:-1] >= percent * n[1:])
+            some = np.r_[near, False] | np.r_[False, near]
+            yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(k1[some])], names=["shingle", "k1"])
 
-    return regions.repartition("shingle").sortWithinPartitions("shingle", "k1").mapInArrow(rows, "shingle long, k1 long")
+    return regions.repartition("shingle").sortWithinPartitions("shingle", "n", "k1").mapInArrow(rows, "shingle long, k1 long")
 
 
 class Forest:
@@ -355,7 +358,8 @@ def _link_clusters(sets: DataFrame, percent: int) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id of every row (k-word shingles; linked when 100 * shared >= percent * union)."""
-    spark = docs.sparkSession
+    if percent < 50:
+        raise ValueError("sets of one region are compared over one level of sizes: links need a similarity of 0.5 at least")
     node = F.concat_ws(":", F.lpad(F.hex("k1"), 16, "0"), F.lpad(F.hex("k2"), 16, "0"))
     profile = pin(_profile(docs, k), "join-profile")
     rows = profile.where(F.col("n").isNotNull()).select("doc_id", "n", "k1", "k2", "vec")
@@ -364,9 +368,10 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     frequent = np.array([r["shingle"] for r in reversed(top)], np.int64)
 
     classes = pin(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("vec").alias("vec")), "join-classes")
-    shared = pin(_shared(_regions(docs, k, percent, frequent)), "join-regions")
+    shared = pin(_shared(_regions(docs, k, percent, frequent), percent), "join-regions")
     members = shared.join(classes.select("k1", "n", "vec"), "k1")
     cluster_of = pin(connected_components(_clusters(members, percent)).select(F.col("node").alias("k1"), F.col("root").alias("cluster")), "join-clusters")
+    unpin(shared)
 
     inside = pin(classes.join(cluster_of, "k1").select("k1", "k2", "first_doc", "cluster"), "join-inside")
     size = inside.groupBy("cluster").agg(F.count("*").alias("m"))

@@ -18,9 +18,12 @@ from actionlens.llm.common import pin, table
 from actionlens.llm.queries import END_ID, TOKENIZER
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """``docs`` with a key of its own for every row, the same each time it is read."""
-    return pin(docs.withColumn("_row", F.monotonically_increasing_id()), "stage-rows")
+def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a key of its own for every row, the same each time it is read, and the key's name (none of the input's)."""
+    key = "row_key"
+    while key.lower() in {c.lower() for c in docs.columns}:
+        key += "_"
+    return pin(docs.withColumn(key, F.monotonically_increasing_id()), "stage-rows"), key
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,12 +43,12 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without words are in no group and stay.
     """
-    rows = _keyed(docs)
-    groups = jaccard_join.near_duplicates(rows.select(F.col("_row").alias("doc_id"), "text"), k=5, percent=80)
-    named = rows.select("_row", "doc_id").join(groups.select(F.col("doc_id").alias("_row"), "component_id", "n_shingles"), "_row")
-    first = (named.where("n_shingles > 0").groupBy("component_id").agg(F.min_by("_row", F.struct(F.col("doc_id").isNull(), "doc_id", "_row")).alias("_row")).select("_row")
-             .unionByName(named.where("n_shingles = 0").select("_row")))
-    return rows.join(first, "_row", "left_semi").select(*docs.columns)
+    rows, key = _keyed(docs)
+    groups = jaccard_join.near_duplicates(rows.select(F.col(key).alias("doc_id"), "text"), k=5, percent=80)
+    named = rows.select(key, "doc_id").join(groups.select(F.col("doc_id").alias(key), "component_id", "n_shingles"), key)
+    first = (named.where("n_shingles > 0").groupBy("component_id").agg(F.min_by(key, F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias(key)).select(key)
+             .unionByName(named.where("n_shingles = 0").select(key)))
+    return rows.join(first, key, "left_semi").select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -318,6 +318,18 @@ def test_neighbours_are_exact():
         assert s == pytest.approx(sum(v * label[i] for v, i in zip(votes, near)) / sum(votes), abs=1e-4)
 
 
+def test_equal_texts_score_alike_in_any_place(spark, labels):
+    rng = np.random.default_rng(3)
+    known = quality_knn.Model(np.ones(quality_knn.TERMS), rng.standard_normal((quality_knn.TERMS, 8)), quality_knn.unit(rng.standard_normal((300, 8))), rng.integers(0, 2, 300))
+    x = rng.random((200, quality_knn.TERMS)).astype(np.float32)
+    x[::7] = x[0]
+    whole = known.score(x)
+    assert len(set(whole[::7])) == 1 and all(known.score(x[a:a + 13]).tolist() == whole[a:a + 13].tolist() for a in range(0, 200, 13))
+    # Of equally near neighbours the first ones vote.
+    same = quality_knn.Model(np.ones(quality_knn.TERMS), known.axes, np.repeat(known.known[:1], 300, axis=0), np.r_[np.ones(quality_knn.NEIGHBOURS), np.zeros(300 - quality_knn.NEIGHBOURS)].astype(int))
+    assert set(same.score(np.abs(x[:20]))) <= {0.0, 1.0}
+
+
 @pytest.mark.parametrize("judged", [toxicity.judged, quality_knn.judged])
 def test_classifiers_take_odd_rows(spark, odd, labels, judged):
     got = judged(odd, labels).collect()
@@ -590,3 +602,36 @@ def test_licenses_long_texts_across_block_edges(spark):
         words = docs[[d for d, _ in docs].index(r.doc_id)][1].split()
         if r.coverage == 1:
             assert license_scan.plain(" ".join(words[r.start_word:r.end_word])) == license_scan.plain(license_scan.TEXTS[r.license])
+
+
+# ---- what an operator must not lose --------------------------------------------------------------------------
+
+
+def test_every_allowed_substitution_leaves_a_seed():
+    """All substitutions with at least 80 % of an item's words equal, for every length that has lighter masks, and some beyond."""
+    for n in range(1, 19):
+        masks = decontamination.MASKS + decontamination.LIGHT_MASKS.get(n, ())
+        for k in range(n // 5 + 1):
+            for gone in itertools.combinations(range(n), k):
+                assert any(all(not (c == "1" and i + at in gone) for i, c in enumerate(m)) for m in masks for at in range(n - len(m) + 1)), (n, gone)
+
+
+def test_short_items_are_found(spark):
+    tests = spark.createDataFrame([(1, "Quartz"), (2, "blue whale sings"), (3, "one two three four five"), (4, "never odd or even again"), (5, "")], "item_id long, text string")
+    docs = [(1, "a piece of quartz, found"), (2, "the Blue whale sings loud"), (3, "count one two 3 four five now"), (4, "blue whales sing"), (5, "never odd nor even"), (6, None), (7, "")]
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), tests).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3)}
+
+
+def test_join_of_sets_far_apart_in_size_is_refused(spark):
+    with pytest.raises(ValueError):
+        jaccard_join.near_duplicates(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"), 3, 40)
+
+
+def test_pieces_of_two_generations_are_remembered(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 50)
+    enc, texts = tokens.PieceEncoder(TOKENIZER), [" ".join(f"w{i}x{j} common" for j in range(40)) + " end" for i in range(6)]
+    for t in texts:
+        (_, _, flat, _), = enc.encode(pa.array([t]))
+        assert flat.tolist() == _ids(t)[:-1]
+    assert len(enc._memo) <= 50 + 90 and len(enc._older) <= 50 + 90 and enc._older

@@ -34,9 +34,10 @@ def test_stages_are_applied_in_order(spark):
 
 @pytest.mark.parametrize("rows", [ODD, []])
 def test_stages_take_odd_rows(spark, rows):
-    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("clash")).drop("_row").withColumn("lang", F.lit(None).cast("string")).withColumn("row", F.lit(1))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("_row", F.lit("clash")).withColumn("row_key", F.lit("clash")).withColumn("bad_doc", F.lit(3)).withColumn("lang", F.lit(None).cast("string")).withColumn("row", F.lit(1))
     for _, stage in cp.STAGES[:-1]:
-        assert stage(spark, docs, SF_SMALL).columns == docs.columns
+        got = stage(spark, docs, SF_SMALL)
+        assert got.columns == docs.columns and got.where("_row <> 'clash' OR row_key <> 'clash'").count() == 0
     one = Counter(r.doc_id for r in cp.one_of_each_group(spark, docs, SF_SMALL).collect())
     if rows:
         assert one[1] == 1 and one[4] == 0 and one[2] == one[3] == one[6] == 1 and one[None] == 1 and one[9] == 2
