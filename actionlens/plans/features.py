@@ -123,10 +123,10 @@ def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame,
 BROADCAST_ROWS = 100_000        # a side table of at most so many rows is broadcast
 
 
-def _side(df: DataFrame) -> DataFrame:
-    """A side table, written once; broadcast only if its checked row count allows it."""
-    df = df.checkpoint(eager=True)
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+def _small(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
+    """Whether a table by each column has at most ``BROADCAST_ROWS`` rows (counted within 5 %); one job for all."""
+    got = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).head()
+    return {c: got[c] <= BROADCAST_ROWS * 0.8 for c in columns}
 
 
 def _attribute_rollup(per_user: DataFrame, attr: str) -> DataFrame:
@@ -137,13 +137,15 @@ def _attribute_rollup(per_user: DataFrame, attr: str) -> DataFrame:
 
 
 def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
-                 days: int, daily: DataFrame | None = None, brand_rank: DataFrame | None = None) -> DataFrame:
+                 days: int, daily: DataFrame | None = None, brand_rank: DataFrame | None = None, cate: str | None = None) -> DataFrame:
     """Pair features of one look-back window: behaviour counts, breadth, rank, product attributes,
     user columns, model clicks and rollups by category, brand, user, product, age and sex.
 
-    Eager: the window's pair table, its ranked form and the side tables are pinned in the shared
-    checkpoint folder, so the log is read once.  The pair table meets one user table, one product
-    table, two breadth tables and the (checked, broadcast) category and brand tables.
+    With ``cate`` only that category's pairs are returned (features still come from all actions); the
+    filter stands before the joins.  Eager: the window's ranked pair table is pinned in the shared
+    checkpoint folder, and everything else is derived from it lazily.  The pair table meets one user
+    table, one product table, two breadth tables and the category and brand tables, which are
+    broadcast where the number of their keys, counted once, allows it.
     """
     ensure_checkpoint_dir(actions.sparkSession)
     if brand_rank is None:
@@ -153,29 +155,32 @@ def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, e
     counts = daily.where(F.col("off").between(1, days)).groupBy(*win.PAIR_KEYS).agg(
         *[F.expr(f"CAST(sum(n_{k}) AS BIGINT) AS action_{k}") for k in P.TYPES],
         F.expr("CAST(sum(n_all) AS BIGINT) AS sku_total"), F.expr("CAST(sum(n_model) AS BIGINT) AS model_clicks"))
-    # The ranked table is written by rank_within and is what everything below reads.
     ranked = br.rank_within(counts, ["user_id"], [F.col("sku_total").desc(), F.col("sku_id"), F.col("cate"), F.col("brand")],
                             name="sku_total_rank").checkpoint(eager=True)
+    small = _small(ranked, ["cate", "brand"]) | _small(user_dim, ["age", "sex"])
+    side = lambda df, key: F.broadcast(df) if small[key] else df
     total = lambda p: [F.expr(f"CAST(sum(action_{k}) AS BIGINT) AS {p}_action_{k}") for k in P.TYPES]
     clicks = lambda p: F.expr(f"CAST(sum(model_clicks) AS BIGINT) AS {p}_model_clicks")
 
-    user = ru.with_ratios(ranked.groupBy("user_id").agg(
+    per_user = ru.with_ratios(ranked.groupBy("user_id").agg(
         *total("user"), F.expr("CAST(sum(sku_total) AS BIGINT) AS action_total"), F.count(F.lit(1)).alias("diff_sku")), "user")
-    user = user.join(user_dim, "user_id", "left").checkpoint(eager=True)
+    per_user = per_user.join(user_dim, "user_id", "left")
+    user = per_user
     for attr in ("age", "sex"):
-        user = user.join(_side(_attribute_rollup(user, attr)), attr, "left")
+        user = user.join(side(_attribute_rollup(per_user, attr), attr), attr, "left")
     sku = ru.with_ratios(ranked.groupBy("sku_id").agg(*total("sku")), "sku")
-    cate = _side(ru.with_ratios(ranked.groupBy("cate").agg(*total("cate"), clicks("cate")), "cate"))
+    of_cate = side(ru.with_ratios(ranked.groupBy("cate").agg(*total("cate"), clicks("cate")), "cate"), "cate")
     brand = ru.with_ratios(ranked.groupBy("brand").agg(*total("brand"), clicks("brand")), "brand")
-    brand = _side(win.join_null_safe(brand, brand_rank.select("brand", "brand_rank"), ["brand"]))
+    brand = side(win.join_null_safe(brand, brand_rank.select("brand", "brand_rank"), ["brand"]), "brand")
     pairs = ranked.select(*win.PAIR_KEYS, "sku_total")
 
-    out = ranked.withColumn("sku_action_max", F.when(F.col("sku_total_rank") == 0, 1).otherwise(0).cast("int"))
+    out = ranked if cate is None else ranked.where(F.col("cate") == F.lit(cate))
+    out = out.withColumn("sku_action_max", F.when(F.col("sku_total_rank") == 0, 1).otherwise(0).cast("int"))
     out = out.join(user, "user_id", "left").withColumn("sku_action_ratio", F.col("sku_total").cast("double") / F.col("action_total").cast("double"))
     out = win.join_null_safe(out, br.group_breadth(pairs, "cate"), ["user_id", "cate"])
     out = win.join_null_safe(out, br.group_breadth(pairs, "brand"), ["user_id", "brand"])
     out = out.join(sku, "sku_id", "left").join(dims.product_onehot(products), ["sku_id", "cate", "brand"], "left")
-    out = win.join_null_safe(win.join_null_safe(out, cate, ["cate"]), brand, ["brand"])
+    out = win.join_null_safe(win.join_null_safe(out, of_cate, ["cate"]), brand, ["brand"])
     return out.na.fill(0)
 
 
@@ -184,19 +189,26 @@ def brand_rank_before(actions: DataFrame, end: str) -> DataFrame:
     return br.brand_popularity_rank(actions.where(F.col("time") < F.lit(end).cast("timestamp_ntz"))).drop("purchases")
 
 
+def _block_days(actions: DataFrame, end: str, windows: Sequence[int], until: str | None = None) -> DataFrame:
+    """The pinned day table that all windows (and the labels up to ``until``) are read from."""
+    ensure_checkpoint_dir(actions.sparkSession)
+    return win.day_counts(actions, win.PAIR_KEYS, end, max(windows), until=until, with_total=True).checkpoint(eager=True)
+
+
 def window_block_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
-                     windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
+                     windows: Sequence[int] = P.SHORT_WINDOWS, cate: str | None = None, daily: DataFrame | None = None) -> DataFrame:
     """The later generation's merged set: one ``window_block`` per window, columns prefixed
     ``w{N}_``, left-joined onto the longest window's pairs (pairs absent from a shorter window get
-    zeros).  Eager: one pinned day table and one brand rank serve every window.
+    zeros).  Eager: one pinned day table and one brand rank serve every window; with ``cate`` every
+    window's pairs are cut to that category before they meet a side table or are written.
     """
-    ensure_checkpoint_dir(actions.sparkSession)
-    daily = win.day_counts(actions, win.PAIR_KEYS, end, max(windows), with_total=True).checkpoint(eager=True)
+    daily = daily if daily is not None else _block_days(actions, end, windows)
     rank = brand_rank_before(actions, end).checkpoint(eager=True)
+    user_dim = user_dim.checkpoint(eager=True)
     keys = list(win.PAIR_KEYS)
     out = None
     for n in sorted(windows, reverse=True):
-        b = window_block(actions, user_dim, products, end, n, daily=daily, brand_rank=rank)
+        b = window_block(actions, user_dim, products, end, n, daily=daily, brand_rank=rank, cate=cate)
         b = b.select(*keys, *[F.col(c).alias(f"w{n}_{c}") for c in b.columns if c not in keys]).checkpoint(eager=True)
         out = b if out is None else win.join_null_safe(out, b, keys)
     return out.na.fill(0)
@@ -204,12 +216,16 @@ def window_block_set(actions: DataFrame, user_dim: DataFrame, products: DataFram
 
 def block_train_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str, label_start: str, label_end: str,
                     windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
-    """The merged set with ``label``: whether the user bought the product in the label window."""
-    labels = sel.purchase_labels(actions, label_start, label_end)
-    return window_block_set(actions, user_dim, products, end, windows).join(labels, ["user_id", "sku_id"], "left").na.fill(0, ["label"])
+    """The merged set with ``label``: whether the user bought the product in the label window, read from the same day table."""
+    if label_start < end:
+        raise ValueError("labels are read from the days after the features")
+    daily = _block_days(actions, end, windows, until=label_end)
+    first = (date.fromisoformat(label_start) - date.fromisoformat(end)).days
+    labels = daily.where((F.col("off") <= -first) & (F.col(f"n_{P.PURCHASE}") > 0)).select("user_id", "sku_id").distinct().withColumn("label", F.lit(1))
+    return window_block_set(actions, user_dim, products, end, windows, daily=daily).join(labels, ["user_id", "sku_id"], "left").na.fill(0, ["label"])
 
 
 def block_candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str, cate: str = P.TARGET_CATE,
                         windows: Sequence[int] = P.SHORT_WINDOWS) -> DataFrame:
     """The merged set of the target category's pairs."""
-    return window_block_set(actions, user_dim, products, end, windows).where(F.col("cate") == F.lit(cate))
+    return window_block_set(actions, user_dim, products, end, windows, cate=cate)
