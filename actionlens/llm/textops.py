@@ -8,6 +8,7 @@ hash.  White space is the six bytes 0x20 and 0x09-0x0D throughout.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,11 @@ import xxhash
 SLICE_BYTES = 2 << 20      # text handled at once; one longer document is handled alone
 LONG_WORD = 64             # longer words are hashed one by one
 
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.malloc_trim
+except (OSError, AttributeError):       # another C library: it has no such call
+    _libc = None
 _rng = np.random.Generator(np.random.PCG64(20240131))
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
 _MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -43,6 +49,14 @@ def slices(text: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int,
         b = max(a + 1, int(np.searchsorted(off, off[a] + limit, "right")) - 1)
         yield a, b, buf[off[a]:off[b]], off[a:b + 1] - off[a]
         a = b
+    give_back()
+
+
+def give_back() -> None:
+    """Returns freed memory to the system: a worker lives on between tasks, and what it once needed would stay its own."""
+    pa.default_memory_pool().release_unused()
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 
 def lowered(buf: np.ndarray) -> np.ndarray:
