@@ -5,7 +5,7 @@ and re-aggregates them when it reads the file (partial-then-final
 aggregation).  The Structured Streaming form: a file source picks up new log
 files, every micro-batch is reduced to partial counts per
 (user, sku, cate, brand, day) and appended to a Parquet table partitioned by
-day; readers finish the aggregation.  No streaming state is kept (so no
+batch; readers finish the aggregation.  No streaming state is kept (so no
 watermark is needed and no late row is ever dropped), and each batch writes
 its own ``batch=<id>`` folder with overwrite, so a replayed batch after a
 failure replaces its own output instead of duplicating it (exactly-once
