@@ -10,8 +10,11 @@ number, mapped to 0..1 by a logistic fit.
 
 Labels are per document, so the words are found by a multiple-instance
 fit: words seen far more often in toxic than in clean sentences start as
-positive, and after each fit the worst words of the toxic documents join them
-while every word of clean documents stays negative.
+positive, with the most telling words of toxic documents that hold none of those
+(words around a stem that toxic documents share more often than clean ones).
+After each fit the worst words of the toxic documents join them, for a document
+that still scores below 0 its most telling ones, while every word of clean
+documents stays negative.
 
 A landmark expansion is linear in the kernel's features, so scoring a word is a
 sum over its letter triples of one learned weight each, divided by the word's
@@ -20,7 +23,9 @@ single letters in a row are joined before words are split, so ``i.d.i.o.t`` and
 ``i d i o t`` are words too.
 
 The fit uses a bounded sample (``per_class`` documents of each label, first by
-hash) and text alone.  Null and empty texts have no words and get the lowest
+hash) and text alone; of the sample's words it takes at most ``MOST_POSITIVE``
+and, a round, three times ``MOST_NEGATIVE`` (the frequent, some by hash, the
+worst scored).  A margin below ``FLOOR`` counts as ``FLOOR``.  Null and empty texts have no words and get the lowest
 score; equal texts get equal scores; a text of any length is scored whole.
 """
 
@@ -44,6 +49,11 @@ LANDMARKS = 128
 PER_CLASS = 1200
 PART = 20_000           # words scored at once
 THRESHOLD = 0.3
+FLOOR = -0.9            # margins below it tell no more
+MOST_POSITIVE = 4000    # words of each side that a fit takes
+MOST_NEGATIVE = 1500
+STEMS = (4, 5, 6, 7, 8)     # bytes of the stems that telling words share
+TELLING = 4             # times as often in toxic documents as in clean ones
 
 _CODE = np.full(256, -1, np.int64)                  # letters and digits; of a multi-byte letter its later bytes
 _CODE[97:123] = np.arange(26)
@@ -137,14 +147,15 @@ class Model:
 
 
 def margins(buf: np.ndarray, start: np.ndarray, end: np.ndarray, beta: np.ndarray, bias: float) -> np.ndarray:
-    """SVM margin of each word: exact where it could exceed -0.9, else an upper bound."""
+    """SVM margin of each word: exact where it exceeds ``FLOOR``, else some value up to ``FLOOR``."""
     code, of = codes(buf, start, end)
-    total, least = np.zeros(len(code)), np.zeros(len(code))
+    total, least, most = np.zeros(len(code)), np.zeros(len(code)), np.zeros(len(code))
     for part, f, weight in triples(code):
         total[part] += weight * beta[f]
-        least[part] += weight * weight                    # the norm if no triple came twice: a lower bound of it
-    out = total / np.sqrt(np.maximum(least, 1e-12)) + bias
-    near = np.flatnonzero((out > -0.9) & (least > 0))
+        least[part] += weight * weight                    # the squared norm if no triple came twice,
+        most[part] += weight                              # the norm if all triples were one
+    out = total / np.where(total > 0, np.sqrt(np.maximum(least, 1e-12)), np.maximum(most, 1e-12)) + bias      # an upper bound
+    near = np.flatnonzero((out > FLOOR) & (least > 0))
     if len(near):
         keys, values = [], []
         for part, f, weight in triples(code[near]):
@@ -162,7 +173,7 @@ def margins(buf: np.ndarray, start: np.ndarray, end: np.ndarray, beta: np.ndarra
 
 def summary(top1: np.ndarray, top2: np.ndarray, many: np.ndarray, n: np.ndarray) -> np.ndarray:
     """Inputs of the logistic map."""
-    clip = lambda x: np.clip(x, -1.5, 1.5)
+    clip = lambda x: np.clip(x, FLOOR, 1.5)
     return np.stack([clip(top1), clip(top2), np.log1p(many), np.log1p(many) - 0.25 * np.log1p(n / 50), np.ones(len(n))], 1)
 
 
@@ -222,6 +233,7 @@ def fit(words_of: Iterable[list[str]], toxic: np.ndarray, rounds: int = 2) -> Mo
     word, size = list(number), len(number)
     usable = np.array([len(w) > 2 for w in word], bool)
     good, pairs = np.zeros(size, np.int64), [np.zeros(0, np.int64)]
+    value = _telling(ids, word, toxic)
     for d, t in zip(ids, toxic):
         if t:
             pairs.append(np.unique(np.r_[-1, d[:-1]].astype(np.int64) * size + d) if len(d) else pairs[0])
@@ -233,29 +245,68 @@ def fit(words_of: Iterable[list[str]], toxic: np.ndarray, rounds: int = 2) -> Mo
     share = n_bad / (n_bad + n_good)
     often = np.log(20 * (np.count_nonzero(bad) + 1)) / -np.log(share)      # chance puts hardly any word that often into toxic texts alone
     by_count = lambda at, n: at[np.lexsort((at, -n[at]))]
-    pos = by_count(np.flatnonzero(usable & (bad >= often) & (bad * n_good >= 20 * n_bad * (good + 1))), bad)[:1500]
+
+    def telling(left: list[np.ndarray]) -> np.ndarray:
+        """The most telling words of each document, all that are as telling as its best one."""
+        best = [d[(value[d] > 0) & (value[d] == value[d].max())] for d in (np.asarray(d)[usable[d] & (good[d] == 0)] for d in left) if len(d)]
+        return np.unique(np.concatenate([np.zeros(0, np.int64), *best]))
+
+    bags = [d for d, t in zip(ids, toxic) if t and len(d)]
+    pos = by_count(np.flatnonzero(usable & (bad >= often) & (bad * n_good >= 20 * n_bad * (good + 1))), bad)
+    pos = np.r_[pos, np.setdiff1d(telling([d for d in bags if not np.isin(d, pos).any()]), pos)].astype(np.int64)[:MOST_POSITIVE]
     if not len(pos):
         pos = by_count(np.flatnonzero(usable & (bad > 1) & (good == 0)), bad)[:20]
     if not len(pos):
         return Model(np.zeros(ALPHABET ** 3), -1.0, np.array([0, 0, 0, 0, np.log((n_bad + 0.5) / (n_good + 0.5))]))
     clean = np.flatnonzero(usable & (good > 0))
-    some = clean[np.argsort([hash_of(word[i]) for i in clean], kind="stable")[:4500]] if len(clean) > 4500 else clean
-    neg = np.setdiff1d(np.union1d(by_count(clean, good)[:1500], some), pos)
+    some = clean[np.argsort([hash_of(word[i]) for i in clean], kind="stable")[:3 * MOST_NEGATIVE]] if len(clean) > 3 * MOST_NEGATIVE else clean
+    neg = np.setdiff1d(np.union1d(by_count(clean, good)[:MOST_NEGATIVE], some), pos)
     for _ in range(rounds):
         vocab = [word[i] for i in (*pos, *neg)]
         beta, bias = _fit_words(vocab, len(pos))
         margin = np.array(_margin_list(word, beta, bias))
         ranked = np.where(usable, margin, -np.inf)
-        worst = np.bincount([d[ranked[d].argmax()] for d, t in zip(ids, toxic) if t and len(d)], minlength=size)
-        more = by_count(np.flatnonzero((worst > 1) & (margin > 0) & (good == 0)), worst)[:500]
-        hard = clean[np.argsort(-margin[clean], kind="stable")[:1500]]
-        pos = np.r_[pos, np.setdiff1d(more, pos)]
+        worst = np.bincount([d[ranked[d].argmax()] for d in bags], minlength=size)
+        more = np.r_[by_count(np.flatnonzero((worst > 1) & (margin > 0) & (good == 0)), worst), telling([d for d in bags if ranked[d].max() < 0])]
+        hard = clean[np.argsort(-margin[clean], kind="stable")[:MOST_NEGATIVE]]
+        pos = np.r_[pos, np.setdiff1d(more, pos)][:MOST_POSITIVE]
         neg = np.setdiff1d(np.union1d(neg, hard), pos)
     of = np.repeat(np.arange(len(ids)), [len(d) for d in ids])
     x = summary(*_worst(of, margin[np.concatenate(ids)] if len(ids) else margin, len(ids)))
     return Model(beta, bias, _logistic(x, toxic.astype(float)))
 
 
+def _telling(ids: list[np.ndarray], word: list[str], toxic: np.ndarray) -> np.ndarray:
+    """How telling each word is: of its stems (runs of ``STEMS`` bytes) the greatest surplus of toxic documents, 0 where
+    none is in three toxic documents and ``TELLING`` times as common there as in clean ones."""
+    value = np.zeros(len(word))
+    blob = [w.encode() for w in word]
+    buf = np.frombuffer(b"".join(blob), np.uint8)
+    size = np.array([len(b) for b in blob], np.int64)
+    first = np.cumsum(size) - size
+    n_bad, n_good = max(1, int(toxic.sum())), max(1, int((1 - toxic).sum()))
+    doc = np.repeat(np.arange(len(ids)), [len(np.unique(d)) for d in ids])
+    held = np.concatenate([np.zeros(0, np.int64), *(np.unique(d) for d in ids)]).astype(np.int64)
+    at = np.argsort(held, kind="stable")                       # documents by word
+    doc, many = doc[at], np.bincount(held, minlength=len(word))
+    begin = np.cumsum(many) - many
+    for n in STEMS:
+        of = np.repeat(np.arange(len(word)), np.maximum(size - n + 1, 0))
+        if not len(of):
+            continue
+        start = first[of] + np.arange(len(of)) - np.searchsorted(of, of)
+        _, stem = np.unique(span_hash(buf, start, start + n), return_inverse=True)
+        times = many[of]
+        where = np.repeat(begin[of], times) + np.arange(times.sum()) - np.repeat(np.cumsum(times) - times, times)
+        seen = np.unique(np.repeat(stem, times) * len(ids) + doc[where])           # (stem, document)
+        kind = toxic[seen % len(ids)] == 1
+        bad = np.bincount(seen[kind] // len(ids), minlength=stem.max() + 1)
+        good = np.bincount(seen[~kind] // len(ids), minlength=stem.max() + 1)
+        surplus = np.where((bad > 2) & (bad * n_good >= TELLING * n_bad * (good + 1)), bad / n_bad - TELLING * good / n_good, 0)
+        np.maximum.at(value, of, surplus[stem])
+    return value
+
+
 def _fit_words(vocab: list[str], positive: int) -> tuple[np.ndarray, float]:
     """Weights of the letter triples and the bias of the SVM on words, of which the first ``positive`` are toxic."""
     w_i, f_i, v_i = features(vocab)

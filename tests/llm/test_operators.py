@@ -297,6 +297,47 @@ def test_explicit_features_are_the_kernel():
         assert sum(x[0][t] * x[1].get(t, 0) for t in x[0]) == pytest.approx(kernel(a, b))
 
 
+def test_margins_are_exact_above_the_floor():
+    rng = np.random.default_rng(5)
+    beta = np.zeros(toxicity.ALPHABET ** 3, np.float32)
+    some = ["banana", "aaaaaaaaaa", "abcabcabc", "mississippi", "idiot", "zzzxxxzzz", *("".join(rng.choice(list("abcde"), rng.integers(3, 12))) for _ in range(400))]
+    w, f, v = toxicity.features(some)
+    blob = [x.encode() for x in some]
+    end = np.cumsum([len(b) for b in blob])
+    for bias in (-1.0, -0.5, 0.3):
+        beta[f] = rng.normal(0, 1, len(f))
+        true = np.bincount(w, v * beta[f], len(some)) + bias
+        got = toxicity.margins(np.frombuffer(b"".join(blob), np.uint8), np.r_[0, end[:-1]], end, beta, bias)
+        above = true > toxicity.FLOOR
+        assert above.any() and (~above).any()
+        assert got[above] == pytest.approx(true[above], abs=1e-5) and (got[~above] <= toxicity.FLOOR + 1e-5).all()
+
+
+def test_stems_shared_by_toxic_documents_are_telling():
+    """No word repeats; the insults of the second kind share no letters with those of the first."""
+    rng = np.random.default_rng(2)
+    tail = lambda: "".join(rng.choice(list("nrstl"), 4))
+    docs = [["".join(rng.choice(list("eaiou"), 7)) for _ in range(20)] for _ in range(400)]
+    toxic = np.array([i % 5 == 0 for i in range(400)], np.int64)
+    for i in range(0, 400, 5):
+        docs[i] += ["scum", "scum"] if i % 20 else ["bdkp" + tail(), "bdkp" + tail()]
+    model = toxicity.fit(docs, toxic)
+    score = np.concatenate([s for _, _, s in toxicity.score_texts(pa.array([" ".join(d) for d in docs] + ["aeiouae bdkprrss oeaiuea bdkplnns"]), model)])
+    assert ((score[:-1] >= toxicity.THRESHOLD) == (toxic == 1)).all() and score[-1] >= toxicity.THRESHOLD
+
+
+def test_toxic_documents_of_every_language_are_found(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    held = toxicity.judged(docs, labels).where("held_out").join(labels.where("toxic is not null"), "doc_id").join(docs.select("doc_id", "lang"), "doc_id").collect()
+    toxic = [r for r in held if r.toxic == 1]
+    assert sum(r.predicted for r in toxic) >= 0.9 * len(toxic)
+    for lang in {r.lang for r in toxic}:
+        own = [r.predicted for r in toxic if r.lang == lang]
+        assert sum(own) >= 0.8 * len(own), lang
+    clean = [r.predicted for r in held if r.toxic == 0]
+    assert sum(clean) <= 0.02 * len(clean)
+
+
 def test_quality_held_out(spark):
     docs, labels = _corpus(spark)
     got = quality_knn.judged(docs, labels).join(labels, "doc_id").collect()
