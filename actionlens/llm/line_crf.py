@@ -12,8 +12,9 @@ The field is fitted by maximum likelihood (exact forward-backward gradients) on
 a bounded sample of labelled documents: lines of good documents are content,
 but for lines equal to an earlier line of the same document; lines of bad
 documents are boilerplate.  Documents weigh by their label's share of all
-labelled documents, good ones ``KEEP`` times.  Sample documents of more than ``FIT_LINES`` lines
-are not fitted on (all are decoded whole).
+labelled documents, good ones ``KEEP`` times.  A sample document is cut into chains of at most
+``FIT_LINES`` lines; where the sample has more than ``per_chains`` chains a label, the first by a hash
+are fitted on, whatever the length of their document (all documents are decoded whole).
 
 Null and empty texts have no words and fail the base rules; repeated rows are
 judged each; a text of any length is decoded whole; with no labelled document
@@ -35,6 +36,7 @@ from actionlens.llm.textops import segments, shingle_hash, slices, span_hash, wo
 
 PER_CLASS = 1500
 FIT_LINES = 256
+PER_CHAINS = 6000
 CONTENT_SHARE = 0.5
 KEEP = 4                # losing a good document costs so many times keeping a bad one
 FEATURES = 14
@@ -200,22 +202,29 @@ def fit(x: np.ndarray, y: np.ndarray, row: np.ndarray, weight: np.ndarray, steps
     return Field(*params)
 
 
-def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Field:
-    """Fit on a bounded sample of labelled documents."""
+def chains(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, per_chains: int = PER_CHAINS) -> DataFrame:
+    """(doc_id, label, chain, x) of at most ``per_chains`` chains a label of a bounded sample of labelled documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            label = batch.column("label").to_pylist()
             for a, b, buf, off in slices(batch.column("text")):
                 s = Lines(buf, off)
                 cut = np.searchsorted(s.row, np.arange(b - a + 1))
-                keep = [i for i in range(b - a) if 0 < cut[i + 1] - cut[i] <= FIT_LINES]
+                parts = [(a + i, n, lo, min(lo + FIT_LINES, cut[i + 1])) for i in range(b - a) for n, lo in enumerate(range(cut[i], cut[i + 1], FIT_LINES))]
+                of = pa.array([p[0] for p in parts], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a).take(pa.array(keep, pa.int64())), pa.array([label[a + i] for i in keep], pa.int32()),
-                     pa.array([s.x[cut[i]:cut[i + 1]].astype("<f4").tobytes() for i in keep], pa.binary())], names=["doc_id", "label", "x"])
+                    [batch.column("doc_id").take(of), batch.column("label").take(of), pa.array([p[1] for p in parts], pa.int32()),
+                     pa.array([s.x[lo:hi].astype("<f4").tobytes() for _, _, lo, hi in parts], pa.binary())], names=["doc_id", "label", "chain", "x"])
 
     known = sample(docs, labels, "quality", 1, 1, per_class).select("doc_id", "label", "text")
-    got = known.mapInArrow(rows, "doc_id long, label int, x binary").toPandas().sort_values(["doc_id", "x"], kind="stable")
+    cut_up = known.mapInArrow(rows, "doc_id long, label int, chain int, x binary")
+    order = [F.xxhash64("doc_id", "chain"), "doc_id", "chain", "x"]
+    return cut_up.where("label = 0").orderBy(*order).limit(per_chains).unionByName(cut_up.where("label = 1").orderBy(*order).limit(per_chains))
+
+
+def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, per_chains: int = PER_CHAINS) -> Field:
+    """Fit on the chains of a bounded sample of labelled documents."""
+    got = chains(docs, labels, per_class, per_chains).toPandas().sort_values(["doc_id", "chain", "x"], kind="stable")
     x = [np.frombuffer(b, "<f4").reshape(-1, FEATURES).astype(float) for b in got["x"]]
     if not x:
         return fit(np.zeros((0, FEATURES)), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
@@ -224,7 +233,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Fie
     flat = np.concatenate(x)
     y = np.where(flat[:, 1] > 0, 0, label[row])
     share = labels.where(F.col("quality").isin(0, 1)).agg(F.avg("quality")).first()[0]
-    good = label.mean()
+    good = label[~got.duplicated(["doc_id"]).to_numpy() | (got["chain"] == 0).to_numpy()].mean()     # by document
     weight = np.where(label == 1, KEEP * share / max(good, 1e-9), (1 - share) / max(1 - good, 1e-9)) if 0 < good < 1 else np.ones(len(label))
     return fit(flat, y, row, weight)
 

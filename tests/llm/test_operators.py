@@ -565,6 +565,17 @@ def test_line_labels(spark, odd, labels):
     assert line_crf.judged(docs.limit(0), labels).count() == 0 and line_crf.judged(docs, labels.limit(0)).where("kept").count() > 0
 
 
+def test_field_learns_from_long_documents(spark):
+    """Every good document is longer than a chain; all its lines are fitted on."""
+    good, bad = ("Some plain words that end well, number %d of a long text.\n", "<a> | $$ %% ## %d\n")
+    docs = spark.createDataFrame([(i, "".join(kind % (1000 * i + j) for j in range(600))) for i, kind in ((1, good), (2, bad), (3, good), (4, bad))], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    cut = line_crf.chains(docs, labels).collect()
+    assert sorted((r.doc_id, r.chain, len(r.x) // 4 // line_crf.FEATURES) for r in cut) == [(d, c, min(256, 600 - 256 * c)) for d in (1, 2) for c in (0, 1, 2)]
+    assert line_crf.chains(docs, labels, per_chains=2).count() == 4
+    assert {r.doc_id: r.content_words > 0.9 * r.n_words for r in line_crf.decoded(docs, line_crf.train(docs, labels)).collect()} == {1: True, 2: False, 3: True, 4: False}
+
+
 def test_field_gradient_and_viterbi():
     rng = np.random.default_rng(0)
     x, y, row = rng.normal(size=(12, line_crf.FEATURES)), rng.integers(0, 2, 12), np.array([0, 0, 0, 1, 2, 2, 2, 2, 2, 4, 4, 4])
