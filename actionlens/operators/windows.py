@@ -131,7 +131,7 @@ def accumulated_ratios(actions: DataFrame, key: str, end: str, windows: Sequence
                        prefix: str, daily: DataFrame | None = None) -> DataFrame:
     """Per-``key`` purchases and purchase ratios for each window.
 
-    Columns: ``{prefix}_w{N}_action_4`` and ``{prefix}_w{N}_action_4_ratio_{k}``
+    Columns: ``{prefix}_w{N}_action_4`` and ``{prefix}_w{N}_action_ratio_{k}``
     for k in 1,2,3,5,6.  A key present only in longer windows has zeros in
     the shorter ones (0/0 -> 0), which is what the left join plus
     ``fillna(0)`` of the per-window form produces.
