@@ -1,27 +1,31 @@
 """License scan by conditional compression.
 
-Candidate blocks are the words around a *cue* (a word that few licence notices
-lack and prose rarely has).  A block is compressed by itself and with each
-licence template as zstandard raw dictionary; a template that the block repeats
-shrinks it.  Templates are ranked by the bytes they save, relative to what the
-template costs by itself, and all are confirmed by their exact wording
+Every template has *cues*: its longest words, one more than a notice may lack, so
+no notice is without one of them.  A cue in a document says where its template
+would lie; cues that agree on the place give one candidate block, the template's
+length and what a notice may have more or less.  The block is compressed by
+itself and with the template as zstandard raw dictionary.  Templates are ranked
+by the bytes they save, relative to what they save on their own text, and those
+under a floor are out.  The winners are confirmed by their exact wording
 differences: template and block are aligned word by word, and the template must
 be there but for a stated share of its words.  Every place of every template
 counts; of places that overlap the best is reported, with its differences.
 
-Words are split at white space, A-Z lower-cased and ASCII punctuation at their
-ends cut off for the alignment.  Null and empty texts have no block; repeated
-rows are reported each; texts of any length are scanned whole.  Templates are put
-into classes by their length; in each the words around a cue, a block's size and
-the overlap of neighbouring blocks follow from the longest template and the words
-a notice may have more, so no notice is cut.
+A template of fewer than ``SHORT`` words saves a handful of bytes, which one word
+in between can eat up; its blocks are ranked, but the floor does not hold for them.
+
+Words are split at white space (no-break space included), A-Z lower-cased and
+ASCII punctuation at their ends cut off for the alignment.  Null and empty texts
+have no block; repeated rows are reported each; texts of any length are scanned
+whole; a template without a word is an error.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect_left
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 
@@ -88,20 +92,22 @@ TEXTS = {
     "MPL-2.0": """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed
         with this file, You can obtain one at http://mozilla.org/MPL/2.0/.""",
 }
-CUES = ("license", "licensed", "licence", "licenced", "rights", "copyright", "released")
-BLOCK_SPANS = 8         # a block holds at most so many notices of the longest kind
-CLASS_WORDS = 32        # templates of up to 32, 256, 2048, ... words are looked for in blocks of their own size
 COVERAGE = 0.85         # least share of a template's words that must be there, in order
+SHORT = 7               # shorter templates must be there whole, and the floor does not hold for them
+FLOOR = 0.1             # least saving of a block, as a share of what the template saves on its own text
 FOUND = "doc_id long, license string, start_word long, end_word long, coverage double, saved_bytes int, differences string"
 
 _PUNCT = np.zeros(256, bool)
 _PUNCT[[*range(33, 48), *range(58, 65), *range(91, 97), *range(123, 127)]] = True
 
 
+_SPACE = re.compile("[\x20\x09-\x0d\u00a0]+")
+
+
 def plain(text: str) -> list[str]:
     """Words for the alignment."""
     low = text.translate({c: c + 32 for c in range(65, 91)})
-    return [w for w in (x.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for x in low.split()) if w]
+    return [w for w in (x.strip("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~") for x in _SPACE.split(low)) if w]
 
 
 def _spare(want: list[str]) -> int:
@@ -114,23 +120,50 @@ class Scanner:
         pairs = list(templates.items()) if isinstance(templates, dict) else templates
         self.names = [name for name, _ in pairs]
         self.words = [plain(t) for _, t in pairs]
-        self.span = max(len(w) + _spare(w) for w in self.words)       # words that a notice may take up
+        if not all(self.words):
+            raise ValueError("a license template needs at least one word")
         self._bags = [Counter(w) for w in self.words]
-        self._enough = [len(w) if len(w) < 7 else math.ceil(COVERAGE * len(w)) for w in self.words]    # a few words must all be there
+        self._enough = [len(w) if len(w) < SHORT else math.ceil(COVERAGE * len(w)) for w in self.words]
         self._alone = zstandard.ZstdCompressor(level=9)
-        self._given = []
-        for w in self.words:
+        self._given, self._own = [], []
+        self.cues: dict[str, list[tuple[int, int]]] = defaultdict(list)     # word -> (template, position in it)
+        for t, w in enumerate(self.words):
             low = " ".join(w).encode()
-            own = len(self._alone.compress(low))
-            d = zstandard.ZstdCompressionDict(low, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            self._given.append((zstandard.ZstdCompressor(level=9, dict_data=d), own))
+            known = zstandard.ZstdCompressionDict(low, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+            known.precompute_compress(level=9)
+            self._given.append(zstandard.ZstdCompressor(level=9, dict_data=known))
+            self._own.append(max(1, len(self._alone.compress(low)) - len(self._given[t].compress(low))))
+            for p in sorted(range(len(w)), key=lambda p: (-len(w[p]), w[p], p))[:len(w) - self._enough[t] + 1]:
+                self.cues[w[p]].append((t, p))
+
+    def blocks(self, met: list[tuple[int, str]], n: int) -> list[tuple[int, int, int]]:
+        """(template, first word, end) of the candidate blocks of a document of n words; ``met``: (position, cue)."""
+        starts: dict[int, set[int]] = defaultdict(set)
+        for at, cue in met:
+            for t, p in self.cues[cue]:
+                starts[t].add(at - p)
+        out = []
+        for t, places in starts.items():
+            size, less, more = len(self.words[t]), len(self.words[t]) - self._enough[t], _spare(self.words[t])
+            group: list[int] = []
+            for s in [*sorted(places), math.inf]:       # cues of one notice differ by the words it has more or less
+                if group and s - group[0] > less + more:
+                    out.append((t, max(0, group[0] - more - less), min(n, group[-1] + size + more + 2 * less)))
+                    group = []
+                group.append(s)
+        return out
 
-    def rank(self, block: list[str]) -> list[tuple[float, int, int]]:
-        """(relative saving, template, bytes saved), best first."""
+    def saving(self, block: list[str], template: int) -> tuple[float, int]:
+        """(share of what the template saves on its own text, bytes) that knowing the template saves."""
         low = " ".join(block).encode()
-        alone = len(self._alone.compress(low))
-        saved = [alone - len(z.compress(low)) for z, _ in self._given]
-        return sorted(((x / own, i, x) for i, (x, (_, own)) in enumerate(zip(saved, self._given))), key=lambda x: (-x[0], x[1]))
+        saved = len(self._alone.compress(low)) - len(self._given[template].compress(low))
+        return saved / self._own[template], saved
+
+    def winners(self, blocks: list[tuple[int, int, list[str]]]) -> list[tuple[float, int, int, int, list[str]]]:
+        """(relative saving, template, bytes saved, first word, words) of the (template, first word, words) not under the floor, best first."""
+        ranked = [(*self.saving(words, t), t, lo, words) for t, lo, words in blocks]
+        return sorted(((share, t, saved, lo, words) for share, saved, t, lo, words in ranked if share >= FLOOR or len(self.words[t]) < SHORT),
+                      key=lambda x: (-x[0], x[1], x[3]))
 
     def confirm(self, block: list[str], template: int) -> list[tuple[float, int, int, str]]:
         """(share of the template's words present in order and close together, first, end, differences) of every place with enough of them."""
@@ -149,9 +182,14 @@ class Scanner:
                 equal = [op for op in ops if op[0] == "equal"]
                 same = sum(i2 - i1 for _, i1, i2, _, _ in equal)
                 if same >= enough and (best is None or same > best[0]):
-                    end = equal[-1][4]
-                    diff = [f"{op}: {' '.join(want[i1:i2])} -> {' '.join(near[j1:j2])}" for op, i1, i2, j1, j2 in ops if op != "equal" and j1 < end]
-                    best = (same, equal[0][3], end, "; ".join(diff))
+                    begin, end = equal[0][3], equal[-1][4]
+                    diff = []
+                    for op, i1, i2, j1, j2 in ops:
+                        if j2 <= begin:         # words in front of the notice are none of it, but those that took the place of its first
+                            j1 = max(j1, j2 - (i2 - i1))
+                        if op != "equal" and j1 < end and (i1 < i2 or j1 < j2):
+                            diff.append(f"{op}: {' '.join(want[i1:i2])} -> {' '.join(near[j1:j2])}")
+                    best = (same, begin, end, "; ".join(diff))
                 if same == len(want):
                     break
             if best:
@@ -161,15 +199,20 @@ class Scanner:
                     done = at + end
         return [(*place, diff) for place, diff in out.items()]
 
-    def candidates(self, block: list[str]) -> list[tuple[str, int, int, float, int, str, int]]:
-        """Every place of every template: (name, first, end, coverage, saved bytes, differences, words that agree less those that don't).
-
-        The saved bytes only rank: in a block of several notices a short one may save nothing and yet be there."""
-        return [(self.names[i], first, end, cover, saved, diff, round((3 * cover - 1) * len(self.words[i])) - (end - first)) for _, i, saved in self.rank(block) for cover, first, end, diff in self.confirm(block, i)]
+    def candidates(self, blocks: list[tuple[int, int, list[str]]]) -> list[tuple[str, int, int, float, int, str, int]]:
+        """Every place of the winners: (name, first, end, coverage, saved bytes, differences, words that agree less those that don't)."""
+        found: dict[tuple, tuple] = {}
+        for _, t, saved, lo, block in self.winners(blocks):
+            for cover, first, end, diff in self.confirm(block, t):
+                first, end = lo + first, lo + end
+                agree = round((3 * cover - 1) * len(self.words[t])) - (end - first)
+                found.setdefault((t, first, end, cover, diff), (self.names[t], first, end, cover, saved, diff, agree))
+        return list(found.values())
 
-    def scan(self, block: list[str]) -> list[tuple[str, int, int, float, int, str]]:
-        """Confirmed notices of a block: (name, first, end, coverage, saved bytes, differences); of overlapping ones the best."""
-        return resolved(self.candidates(block))
+    def scan(self, words: list[str]) -> list[tuple[str, int, int, float, int, str]]:
+        """Confirmed notices among the words of a text: (name, first, end, coverage, saved bytes, differences); of overlapping ones the best."""
+        met = [(i, w) for i, w in enumerate(words) if w in self.cues]
+        return resolved(self.candidates([(t, lo, words[lo:hi]) for t, lo, hi in self.blocks(met, len(words))]))
 
 
 def resolved(hits: list[tuple[str, int, int, float, int, str, int]]) -> list[tuple[str, int, int, float, int, str]]:
@@ -186,45 +229,24 @@ def resolved(hits: list[tuple[str, int, int, float, int, str, int]]) -> list[tup
     return out
 
 
-def blocks(cue: np.ndarray, n: int, span: int) -> list[tuple[int, int]]:
-    """Word ranges around the cues of a document of n words; ranges that touch are one, long ones are cut
-    with an overlap of ``span`` words, so every ``span`` words with a cue are in a block as a whole."""
-    merged: list[list[int]] = []
-    for c in cue.tolist():
-        lo, hi = max(0, c - span), min(n, c + span)
-        if merged and lo <= merged[-1][1]:
-            merged[-1][1] = hi
-        else:
-            merged.append([lo, hi])
-    size = BLOCK_SPANS * span
-    return [(a, min(hi, a + size)) for lo, hi in merged for a in range(lo, max(lo + 1, hi - span), size - span)]
-
-
-def scanners(templates: dict[str, str] | None) -> list[Scanner]:
-    """A scanner for each size class of the templates."""
-    pairs = list(templates.items()) if templates is not None else [*TEMPLATES.items(), *TEXTS.items()]
-    classes: dict[int, list[tuple[str, str]]] = {}
-    for name, text in pairs:
-        size = CLASS_WORDS
-        while size < len(plain(text)):
-            size *= 8
-        classes.setdefault(size, []).append((name, text))
-    return [Scanner(classes[size]) for size in sorted(classes)]
-
-
-def licenses(docs: DataFrame, templates: dict[str, str] | None = None, cues: tuple[str, ...] = CUES) -> DataFrame:
+def licenses(docs: DataFrame, templates: dict[str, str] | None = None) -> DataFrame:
     """A row for each notice found: doc_id, license, its words [start_word, end_word), coverage, bytes saved, differences."""
+    pairs = list(templates.items()) if templates is not None else [*TEMPLATES.items(), *TEXTS.items()]
+    Scanner(pairs)              # a faulty template is an error here, not in the tasks
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scan = scanners(templates)
+        scanner = Scanner(pairs)
+        cues = sorted(scanner.cues)
         flat = np.frombuffer("".join(cues).encode(), np.uint8)
-        size = np.array([len(c) for c in cues])
+        size = np.array([len(c.encode()) for c in cues], np.int64)
         wanted = span_hash(flat, np.cumsum(size) - size, np.cumsum(size))
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             out = []
             for a, _, buf, off in slices(batch.column("text")):
                 low = lowered(buf)
+                wide = np.flatnonzero((low[:-1] == 0xC2) & (low[1:] == 0xA0))       # no-break spaces
+                low[wide] = low[wide + 1] = 0x20
                 start, end, row = words(low, off)
                 s, e = start, end
                 while True:
@@ -242,17 +264,15 @@ def licenses(docs: DataFrame, templates: dict[str, str] | None = None, cues: tup
                 cue = np.flatnonzero(np.isin(span_hash(low, s[at], e[at]), wanted)) if len(at) else at
                 begin = np.searchsorted(own, np.arange(len(off)))
                 for r in np.unique(own[cue]).tolist():
-                    hits, mine = [], cue[own[cue] == r] - begin[r]
-                    for scanner in scan:
-                        for lo, hi in blocks(mine, int(begin[r + 1] - begin[r]), scanner.span):
-                            where, text = [], []
-                            for i in at[begin[r] + lo:begin[r] + hi].tolist():
-                                for w in plain(low[start[i]:end[i]].tobytes().decode("utf-8", "replace")):
-                                    where.append(i - int(first[r]))
-                                    text.append(w)
-                            for name, i, j, *rest in scanner.candidates(text):
-                                hits.append((name, where[i], where[j - 1] + 1, *rest))
-                    out += [(ids[a + r], *h) for h in resolved(hits)]
+                    place = at[begin[r]:begin[r + 1]]
+
+                    def text(lo: int, hi: int) -> list[str]:
+                        return [low[s[i]:e[i]].tobytes().decode("utf-8", "replace") for i in place[lo:hi].tolist()]
+
+                    met = [(c, text(c, c + 1)[0]) for c in (cue[own[cue] == r] - begin[r]).tolist()]
+                    blocks = scanner.blocks([(c, w) for c, w in met if w in scanner.cues], len(place))
+                    hits = resolved(scanner.candidates([(t, lo, text(lo, hi)) for t, lo, hi in blocks]))
+                    out += [(ids[a + r], name, int(place[i] - first[r]), int(place[j - 1] - first[r]) + 1, *rest) for name, i, j, *rest in hits]
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.string()]
             cols = list(zip(*out)) if out else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=[f.split()[0] for f in FOUND.split(", ")])

@@ -656,6 +656,74 @@ def test_licenses_long_texts_across_block_edges(spark):
             assert license_scan.plain(" ".join(words[r.start_word:r.end_word])) == license_scan.plain(license_scan.TEXTS[r.license])
 
 
+def _damaged(words, enough, rng):
+    """A notice of these words that lacks or changes as many as it may."""
+    out = list(words)
+    for p in rng.choice(len(out), len(out) - enough, replace=False):
+        out[p] = None if rng.random() < 0.3 else "".join(rng.choice(list("abcdefghijkl"), int(rng.integers(2, 9))))
+    return [w for w in out if w]
+
+
+def test_licenses_equal_the_alignment_of_every_template_everywhere(spark):
+    rng = np.random.default_rng(9)
+    pairs = [*license_scan.TEMPLATES.items(), *license_scan.TEXTS.items()]
+    scanner = license_scan.Scanner(pairs)
+    filler = PROSE.lower().replace(".", "").split() + ["licensed", "software", "rights", "merchantability", "documentation", "reserved"]
+    docs, want = [], []
+    for d in range(40):
+        words = []
+        for t in rng.integers(0, len(pairs), 4).tolist():
+            words += rng.choice(filler, int(rng.integers(0, 60))).tolist()
+            words += _damaged(scanner.words[t], scanner._enough[t], rng) if rng.random() < 0.7 else scanner.words[t]
+        docs.append((d, " ".join(words)))
+        everywhere = [(name, first, end, cover, 0, diff, round((3 * cover - 1) * len(scanner.words[t])) - (end - first))
+                      for t, name in enumerate(scanner.names) for cover, first, end, diff in scanner.confirm(words, t)]
+        want += [(d, h[0], h[1], h[2], h[5]) for h in license_scan.resolved(everywhere)]
+    got = license_scan.licenses(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert len(want) > 120
+    assert sorted((r.doc_id, r.license, r.start_word, r.end_word, r.differences) for r in got) == sorted(want)
+
+
+def test_allowed_damage_keeps_a_cue_and_clears_the_floor():
+    rng = np.random.default_rng(4)
+    scanner = license_scan.Scanner([*license_scan.TEMPLATES.items(), *license_scan.TEXTS.items()])
+    for t, words in enumerate(scanner.words):
+        if len(words) < license_scan.SHORT:
+            continue
+        for _ in range(60):
+            left = PROSE.lower().split()[:int(rng.integers(0, 20))]
+            doc = left + _damaged(words, scanner._enough[t], rng) + PROSE.lower().split()
+            met = [(i, w) for i, w in enumerate(doc) if w in scanner.cues]
+            blocks = [(k, lo, doc[lo:hi]) for k, lo, hi in scanner.blocks(met, len(doc))]
+            assert t in {w[1] for w in scanner.winners(blocks)}
+
+
+def test_compression_decides_which_templates_are_aligned(monkeypatch):
+    scanner = license_scan.Scanner([*license_scan.TEMPLATES.items(), *license_scan.TEXTS.items()])
+    aligned = []
+    monkeypatch.setattr(license_scan.Scanner, "confirm", lambda self, block, t: aligned.append(t) or [])
+    long = {t for t, p in scanner.cues["merchantability"]}
+    doc = license_scan.plain(f"{PROSE * 10} merchantability {PROSE * 10}")       # a cue of several templates, and nothing else of them
+    assert len(long) >= 3 and long == {b[0] for b in scanner.blocks([(doc.index("merchantability"), "merchantability")], len(doc))}
+    assert scanner.scan(doc) == [] and not long & set(aligned)
+    aligned.clear()
+    scanner.scan(license_scan.plain(PROSE + license_scan.TEMPLATES["GPL-3.0"] + PROSE))
+    assert scanner.names[aligned[0]] == "GPL-3.0" and not long & set(aligned)     # the most telling first
+    monkeypatch.setattr(license_scan, "FLOOR", -math.inf)
+    aligned.clear()
+    scanner.scan(doc)
+    assert long <= set(aligned)
+
+
+def test_license_templates_without_usual_words(spark):
+    own = " ".join(f"clause{k % 7} item{k}" for k in range(30))
+    docs = spark.createDataFrame([(1, PROSE + own + " " + PROSE), (2, PROSE), (3, PROSE + "all\u00a0rights\u00a0reserved.")], "doc_id long, text string")
+    assert [(r.doc_id, r.license, r.coverage) for r in license_scan.licenses(docs, {"own": own}).collect()] == [(1, "own", 1.0)]
+    assert [(r.doc_id, r.license) for r in license_scan.licenses(docs).collect()] == [(3, "proprietary")]
+    with pytest.raises(ValueError):
+        license_scan.licenses(docs, {"empty": " ... "})
+
+
 # ---- what an operator must not lose --------------------------------------------------------------------------
 
 
