@@ -22,8 +22,11 @@ one class, so copies cost nothing beyond their own row.
 3. *Recursive join.*  Each cluster's sets meet once and are joined exactly:
    documents as pivots, Voronoi cells by Jaccard distance, windows of twice the
    link distance, recursion on the cells, and all pairs compared in the leaves.
-   A cluster of more than ``BLOCK`` classes is dealt out in pairs of blocks, so
-   memory stays bounded.  Only spanning links leave a task, never all pairs.
+   A cluster of more than ``BLOCK`` classes or ``SHINGLES`` shingles is dealt out in
+   pairs of blocks, so memory stays bounded.  Spanning links and each class's number
+   of linked documents leave a task, never all pairs: a task marks its links in a
+   table, so a pair that shares several cells counts once, and links inside
+   a block count in the task of that block alone.
 
 The ranking only decides how much work there is, not the result.  Null and
 empty texts have an empty set and link with nothing; repeated rows and doc_ids
@@ -51,7 +54,8 @@ FREQUENT = 1 << 16      # ranked shingles sent to the tasks (8 bytes each)
 SEEN = 3                # times a shingle is met in one slice of text to be counted as frequent
 LEAF = 64               # members compared directly
 RUN = 2048              # members of a region compared directly by pivot distances
-BLOCK = 2048            # classes of a cluster joined in one task
+BLOCK = 2048            # classes of a cluster joined in one task, on average
+SHINGLES = 1 << 22      # shingles of such a block (8 bytes each), on average
 
 PROFILE = "doc_id long, n long, k1 long, k2 long, vec binary, shingle long, seen long"
 
@@ -277,11 +281,12 @@ def _sets(docs: DataFrame, k: int) -> DataFrame:
 class MetricJoin:
     """Exact links among sets held in one task, by recursive Voronoi partitioning with windows."""
 
-    def __init__(self, sets: list[np.ndarray], percent: int, side: np.ndarray | None = None) -> None:
-        self.sets, self.percent, self.side = sets, percent, side
+    def __init__(self, sets: list[np.ndarray], percent: int) -> None:
+        self.sets, self.percent = sets, percent
         self.n = np.array([len(s) for s in sets], np.int64)
         self.eps = (100 - percent) / 100
         self.up = np.arange(len(sets))
+        self.linked = np.zeros((len(sets), len(sets)), bool)
 
     def find(self, i: int) -> int:
         while self.up[i] != i:
@@ -316,10 +321,19 @@ class MetricJoin:
         union = self.n[a][:, None] + self.n[b][None, :] - both
         if a is b:
             np.fill_diagonal(both, 0)
-        for i, j in zip(*np.nonzero(100 * both >= self.percent * union)):
-            x, y = self.find(a[i]), self.find(b[j])
-            if x != y:
-                self.up[max(x, y)] = min(x, y)
+        link = 100 * both >= self.percent * union
+        self.linked[np.ix_(a, b)] |= link
+        self.linked[np.ix_(b, a)] |= link.T
+        for i in np.flatnonzero(link.any(1)).tolist():
+            for r in np.unique(self.up[b[link[i]]]).tolist():       # most partners are united already
+                x, y = self.find(a[i]), self.find(r)
+                if x != y:
+                    self.up[max(x, y)] = min(x, y)
+
+    def linked_copies(self, copies: np.ndarray, side: np.ndarray) -> np.ndarray:
+        """Documents (``copies`` a set) that each set links to; with two sides, those of the other side."""
+        two = len(np.unique(side)) > 1
+        return np.array([copies[(row & (side != mine)) if two else row].sum() for row, mine in zip(self.linked, side)], np.int64)
 
     def join(self, members: np.ndarray | None = None) -> "MetricJoin":
         members = np.arange(len(self.sets)) if members is None else members
@@ -344,20 +358,24 @@ class MetricJoin:
 
 
 def _link_clusters(sets: DataFrame, percent: int) -> DataFrame:
-    """(node, root) star links of the classes of each (cluster, pair of blocks)."""
+    """Star links (u, v) of the classes of each (cluster, pair of blocks), and the documents that u links to there."""
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         group = group.drop_duplicates("node").sort_values("node")
-        node = group["node"].to_numpy()
+        node, pair = group["node"].to_numpy(), group["bi"].iat[0] != group["bj"].iat[0]
         found = MetricJoin([np.frombuffer(b, np.uint64) for b in group["shingles"]], percent).join()
         root = np.array([found.find(i) for i in range(len(node))], np.int64)
-        return pd.DataFrame({"u": node, "v": node[root]})
+        links = found.linked_copies(group["copies"].to_numpy(), group["b"].to_numpy())
+        if pair and group["b"].nunique() == 1:          # the other block is empty: its links count in its own task
+            links[:] = 0
+        return pd.DataFrame({"u": node, "v": node[root], "links": links})
 
-    return sets.groupBy("cluster", "bi", "bj").applyInPandas(join, "u string, v string")
+    return sets.groupBy("cluster", "bi", "bj").applyInPandas(join, "u string, v string, links long")
 
 
 def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row (k-word shingles; linked when 100 * shared >= percent * union)."""
+    """doc_id, n_shingles, component_id and n_links (other rows linked to it, copies included) of every row
+    (k-word shingles; linked when 100 * shared >= percent * union)."""
     if percent < 50:
         raise ValueError("sets of one region are compared over one level of sizes: links need a similarity of 0.5 at least")
     node = F.concat_ws(":", F.lpad(F.hex("k1"), 16, "0"), F.lpad(F.hex("k2"), 16, "0"))
@@ -367,29 +385,31 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     top = counted.orderBy(F.desc("seen"), "shingle").limit(FREQUENT).collect()
     frequent = np.array([r["shingle"] for r in reversed(top)], np.int64)
 
-    classes = pin(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("vec").alias("vec")), "join-classes")
+    classes = pin(rows.where("n > 0").groupBy("k1", "k2").agg(F.min("doc_id").alias("first_doc"), F.max("n").alias("n"), F.max("vec").alias("vec"), F.count("*").alias("copies")), "join-classes")
     shared = pin(_shared(_regions(docs, k, percent, frequent), percent), "join-regions")
     members = shared.join(classes.select("k1", "n", "vec"), "k1")
     cluster_of = pin(connected_components(_clusters(members, percent)).select(F.col("node").alias("k1"), F.col("root").alias("cluster")), "join-clusters")
     unpin(shared)
 
-    inside = pin(classes.join(cluster_of, "k1").select("k1", "k2", "first_doc", "cluster"), "join-inside")
-    size = inside.groupBy("cluster").agg(F.count("*").alias("m"))
-    blocks = F.ceil(F.col("m") / BLOCK).cast("int")
-    dealt = (inside.join(size, "cluster").withColumn("blocks", blocks).withColumn("b", F.pmod(F.xxhash64("k1", "k2"), "blocks").cast("int"))
+    inside = pin(classes.join(cluster_of, "k1").select("k1", "k2", "n", "copies", "first_doc", "cluster"), "join-inside")
+    size = inside.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / SHINGLES)).cast("int").alias("blocks"))
+    dealt = (inside.join(size, "cluster").withColumn("b", F.pmod(F.xxhash64("k1", "k2"), "blocks").cast("int"))
              .withColumn("o", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("k1", "k2", "cluster", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj")))
+             .select("k1", "k2", "copies", "cluster", "b", F.least("b", "o").alias("bi"), F.greatest("b", "o").alias("bj")))
     wanted = inside.select("first_doc").distinct()
     text = documents(docs)
     fetched = text.join(wanted, text.doc_id.eqNullSafe(wanted.first_doc), "left_semi")
-    sets = dealt.join(_sets(fetched, k), ["k1", "k2"]).select("cluster", "bi", "bj", node.alias("node"), "shingles")
+    sets = dealt.join(_sets(fetched, k), ["k1", "k2"]).select("cluster", "b", "bi", "bj", "copies", node.alias("node"), "shingles")
     links = pin(_link_clusters(sets, percent), "join-links")
-    roots = connected_components(links) if size.where(F.col("m") > BLOCK).limit(1).count() else links.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    known = links.select(F.col("u").alias("node"), F.col("v").alias("root"), "links")
+    if size.where("blocks > 1").limit(1).count():       # else a class is in one task
+        known = connected_components(links).join(links.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links")), "node")
 
-    named = classes.select("k1", "k2", "first_doc", node.alias("node")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    named = classes.select("k1", "k2", "copies", "first_doc", node.alias("node")).join(known, "node", "left").withColumn("root", F.coalesce("root", "node"))
     least = named.groupBy("root").agg(F.min("first_doc").alias("component_id"))
-    component = pin(named.join(least, "root").select("k1", "k2", "component_id"), "join-components")
+    linked = (F.col("copies") - 1 + F.coalesce("links", F.lit(0).cast("long"))).alias("n_links")
+    component = pin(named.join(least, "root").select("k1", "k2", "component_id", linked), "join-components")
     full = rows.where("n > 0").join(component, ["k1", "k2"])
-    empty = rows.where("n = 0").withColumn("component_id", F.col("doc_id"))
-    cols = ["doc_id", F.col("n").alias("n_shingles"), "component_id"]
+    empty = rows.where("n = 0").withColumn("component_id", F.col("doc_id")).withColumn("n_links", F.lit(0).cast("long"))
+    cols = ["doc_id", F.col("n").alias("n_shingles"), "component_id", "n_links"]
     return full.select(*cols).unionByName(empty.select(*cols))

@@ -39,13 +39,14 @@ shared AS (
 ), links AS (
   SELECT u, v FROM shared JOIN sizes x ON x.doc_id = u JOIN sizes y ON y.doc_id = v WHERE 100 * c >= 90 * (x.n + y.n - c)
 ), both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+degree AS (SELECT u, count(*) AS n FROM both_ways GROUP BY u),
 reach AS (
   SELECT doc_id, doc_id AS r FROM documents
   UNION
   SELECT reach.doc_id, v FROM reach JOIN both_ways ON u = r
 )
-SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(reach.r)::BIGINT AS component_id
-FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id GROUP BY d.doc_id
+SELECT d.doc_id, coalesce(any_value(z.n), 0)::BIGINT AS n_shingles, min(reach.r)::BIGINT AS component_id, coalesce(any_value(g.n), 0)::BIGINT AS n_links
+FROM documents d JOIN reach ON reach.doc_id = d.doc_id LEFT JOIN sizes z ON z.doc_id = d.doc_id LEFT JOIN degree g ON g.u = d.doc_id GROUP BY d.doc_id
 """
 
 

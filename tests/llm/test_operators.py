@@ -164,6 +164,15 @@ def _components(sets, percent):
     return [find(i) for i in range(len(sets))]
 
 
+def _links(sets, percent):
+    out = [0] * len(sets)
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        both = len(sets[i] & sets[j])
+        if both and 100 * both >= percent * (len(sets[i]) + len(sets[j]) - both):
+            out[i], out[j] = out[i] + 1, out[j] + 1
+    return out
+
+
 def _near_copies(n, seed):
     rng = np.random.default_rng(seed)
     vocab = [f"w{i}" for i in range(300)]
@@ -183,15 +192,16 @@ def test_jaccard_join_is_exact(spark, k, percent):
     texts = _near_copies(300, k) + [t for _, t in ODD]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     sets = _sets(texts, k)
-    want = [(i, len(sets[i]), c) for i, c in enumerate(_components(sets, percent))]
+    want = [(i, len(sets[i]), c, m) for i, (c, m) in enumerate(zip(_components(sets, percent), _links(sets, percent)))]
+    assert max(m for *_, m in want) > 3
     assert sorted(tuple(r) for r in jaccard_join.near_duplicates(docs, k, percent).collect()) == want
 
 
 def test_jaccard_join_odd_rows(spark, odd):
     got = Counter(tuple(r) for r in jaccard_join.near_duplicates(odd, 3, 90).collect())
     n = {d: len(s) for (d, _), s in zip(ODD, _sets([t for _, t in ODD], 3))}
-    assert got[(4, n[4], 1)] == 2 and got[(1, n[1], 1)] == 1 and got[(2, 0, 2)] == 1 and got[(7, 1, 7)] == 1
-    assert got[(None, n[None], None)] == 1 and sum(got.values()) == len(ODD)
+    assert got[(4, n[4], 1, 3)] == 2 and got[(1, n[1], 1, 3)] == 1 and got[(5, n[5], 1, 3)] == 1 and got[(2, 0, 2, 0)] == 1 and got[(7, 1, 7, 0)] == 1
+    assert got[(None, n[None], None, 0)] == 1 and sum(got.values()) == len(ODD)
     assert jaccard_join.near_duplicates(odd.limit(0)).count() == 0
 
 
@@ -211,6 +221,7 @@ def test_recursive_join_and_regions_lose_no_link(percent, monkeypatch):
     want = _components([set(s.tolist()) for s in sets], percent)
     found = jaccard_join.MetricJoin(sets, percent).join()
     assert [int(found.find(i)) for i in range(len(sets))] == want
+    assert found.linked_copies(np.ones(len(sets), int), np.zeros(len(sets), int)).tolist() == _links([set(s.tolist()) for s in sets], percent)
     n = np.array([len(s) for s in sets])
     bits = 6 + jaccard_join.level(n)
     vec = [np.bincount((textops.mix(s) >> np.uint64(64 - b)).astype(int), minlength=1 << b).astype(np.uint8).tobytes() for s, b in zip(sets, bits.tolist())]
@@ -219,11 +230,15 @@ def test_recursive_join_and_regions_lose_no_link(percent, monkeypatch):
     assert all(forest.find(i) == forest.find(w) for i, w in enumerate(want))
 
 
-def test_blocks_of_a_large_cluster(spark, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "BLOCK", 20)
+@pytest.mark.parametrize("bound,value", [("BLOCK", 20), ("SHINGLES", 500)])
+def test_blocks_of_a_large_cluster(spark, monkeypatch, bound, value):
+    monkeypatch.setattr(jaccard_join, bound, value)
     texts = _near_copies(120, 9)
+    texts += texts[:10]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
-    assert [r.component_id for r in jaccard_join.near_duplicates(docs, 3, 80).orderBy("doc_id").collect()] == _components(_sets(texts, 3), 80)
+    got = jaccard_join.near_duplicates(docs, 3, 80).orderBy("doc_id").collect()
+    sets = _sets(texts, 3)
+    assert [(r.component_id, r.n_links) for r in got] == list(zip(_components(sets, 80), _links(sets, 80)))
 
 
 def test_connected_components(spark):
@@ -236,7 +251,7 @@ def test_jaccard_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
     con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_SMALL}/documents.parquet'")
-    want = sorted(con.execute(f"SELECT doc_id, n_shingles, component_id FROM ({queries.OP2_SQL})").fetchall())
+    want = sorted(con.execute(f"SELECT doc_id, n_shingles, component_id, n_links FROM ({queries.OP2_SQL})").fetchall())
     assert sorted(tuple(r) for r in queries.op2_jaccard_join(spark, SF_SMALL).collect()) == want
 
 
