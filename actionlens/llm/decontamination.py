@@ -183,21 +183,23 @@ def contaminated(docs: DataFrame, tests: DataFrame, min_words: int = 13) -> Data
     masks = MASKS + tuple(dict.fromkeys(m for r in sorted(short) for m in LIGHT_MASKS[r["n"]]))
     hits = pin(_hits(docs, *maps, masks).withColumn("row", F.monotonically_increasing_id()), "seed-hits")
     lined = (hits.select("row", F.explode("hits").alias("h")).select("row", "h.seed", "h.doc_at")
-             .join(seed_rows, "seed").select("row", "item_id", (F.col("doc_at") - F.col("item_at")).alias("diagonal")).distinct())
+             .join(seed_rows, "seed").groupBy("row", "item_id").agg(F.collect_set(F.col("doc_at") - F.col("item_at")).alias("diagonals")))    # fewer than both have words
 
     def verify(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             out = []
             for r in f.itertuples():
                 doc, item = np.frombuffer(r.doc_words, np.uint64), np.frombuffer(r.item_words, np.uint64)
-                first, end, same = best_stretch(doc, item, r.diagonal, min(min_words, len(item)))
+                places = ((*best_stretch(doc, item, d, min(min_words, len(item))), d) for d in map(int, r.diagonals))
+                same, start, first, end, d = max((same, -(first + d), -first, end, d) for first, end, same, d in places)
                 if same:
-                    out.append((r.row, r.item_id, first + r.diagonal, end + r.diagonal, first, same, same / (end - first)))
+                    out.append((r.row, r.item_id, -start, end + d, -first, same, same / (end + first)))
             yield pd.DataFrame(out, columns=["row", "item_id", "start_word", "end_word", "item_start", "matched", "identity"])
 
     joined = lined.join(hits.select("row", "doc_words"), "row").join(items.select("item_id", "item_words"), "item_id")
     found = joined.mapInPandas(verify, "row long, item_id long, start_word long, end_word long, item_start int, matched int, identity double")
-    best = found.groupBy("row", "item_id").agg(F.max_by(F.struct("start_word", "end_word", "item_start", "matched", "identity"), F.struct("matched", -F.col("start_word"))).alias("b"))
+    order = F.struct("matched", -F.col("start_word"), -F.col("item_start"), "end_word")
+    best = found.groupBy("row", "item_id").agg(F.max_by(F.struct("start_word", "end_word", "item_start", "matched", "identity"), order).alias("b"))      # items of one id are one
     return best.join(hits.select("row", "doc_id", "text_hash"), "row").select("doc_id", "text_hash", "item_id", "b.*")
 
 

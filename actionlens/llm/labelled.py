@@ -15,7 +15,8 @@ def remainder(mod: int) -> Column:
 
 def sample(docs: DataFrame, labels: DataFrame, label: str, mod: int, held_out: int, per_class: int) -> DataFrame:
     """(doc_id, label, text) of at most ``per_class`` labelled documents a class outside the held-out
-    remainder: the first by a hash of doc_id.  A doc_id that is repeated counts each row; nulls are no labels."""
+    remainder: the first by a hash of doc_id.  A doc_id that is repeated counts each row; nulls are no labels;
+    of labels of one doc_id that differ the larger holds."""
     known = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("label"))
              .where(F.col("doc_id").isNotNull() & F.col("label").isin(0, 1) & (remainder(mod) != held_out)).groupBy("doc_id").agg(F.max("label").alias("label")))
     picked = None

@@ -158,10 +158,3 @@ def distinct_per_row(h: np.ndarray, row: np.ndarray) -> tuple[np.ndarray, np.nda
         keep = np.r_[True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])]
         h, row = h[keep], row[keep]
     return h, row
-
-
-def list_array(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
-    """List column from flat values and each row's count."""
-    off = np.zeros(len(counts) + 1, np.int64)
-    np.cumsum(counts, out=off[1:])
-    return pa.LargeListArray.from_arrays(pa.array(off), pa.array(values, kind)).cast(pa.list_(kind))

@@ -494,6 +494,19 @@ def test_decontamination_odd_rows(spark, odd):
     assert decontamination.contaminated(odd.limit(0), tests).count() == 0 and decontamination.contaminated(odd, tests.limit(0)).count() == 0
 
 
+def test_items_of_one_id_and_passages_on_many_diagonals(spark):
+    rng = np.random.default_rng(12)
+    item = [f"v{k}" for k in rng.integers(0, 40, 30)]
+    other = [f"u{k}" for k in rng.integers(0, 40, 20)]
+    noise = lambda n: [f"n{k}" for k in rng.integers(0, 900, n)]
+    changed = [*item[:4], "x", *item[5:]]
+    words = noise(50) + changed + noise(7) + item + noise(9) + changed + item[:14] + noise(3) + other
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(noise(200)))], "doc_id long, text string")
+    tests = spark.createDataFrame([(5, " ".join(item), "clash", 1), (5, " ".join(other), "clash", 1), (6, " ".join(other), "clash", 1)], "item_id long, text string, row string, diagonal int")
+    got = sorted((r.doc_id, r.item_id, r.start_word, r.end_word, r.item_start, r.matched, r.identity) for r in decontamination.contaminated(docs, tests).collect())
+    assert got == [(1, 5, 87, 117, 0, 30, 1.0), (1, 6, len(words) - 20, len(words), 0, 20, 1.0)]     # the best place, of both items of an id
+
+
 # ---- 6 packing -----------------------------------------------------------------------------------------------
 
 
