@@ -639,6 +639,8 @@ def test_licenses(spark, odd):
     assert docs[0][1].split()[r.start_word:r.end_word] == "Licensed under the Apache License, Version 2.0.".split() and r.differences == ""
     assert "licence" in at[(6, "BSD-3-Clause")].differences and at[(6, "BSD-3-Clause")].coverage < 1
     assert license_scan.licenses(frame.limit(0)).count() == 0
+    clash = odd.withColumn("license", F.lit(1)).withColumn("coverage", F.lit("x")).withColumn("text", F.when(F.col("doc_id") == 4, F.concat("text", F.lit("All rights reserved."))).otherwise(F.col("text")))
+    assert [(r.doc_id, r.license, r.coverage) for r in license_scan.licenses(clash).collect()] == [(4, "proprietary", 1.0)] * 2
 
 
 def test_licenses_of_one_block_are_all_found():
