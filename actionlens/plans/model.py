@@ -2,19 +2,21 @@
 
 A fitted model is a stage kept in the shared folder (``stored_model``): it is written once as a Spark ML
 pipeline, feature columns included, and read by whatever scores with it, in this session or another.  The
-training table is pinned in the shared checkpoint folder before fitting, because fitting iterates over it.
+training table is dealt over tasks of bounded size and pinned in the shared checkpoint folder, as feature
+vectors, before fitting, because fitting iterates over it.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+import math
 import re
 from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -29,6 +31,7 @@ from actionlens.sources.readers import hadoop_path, is_finished
 
 ID_COLS = ("user_id", "sku_id")
 NON_FEATURES = {"user_id", "sku_id", "label", "cate", "brand", "bucket", "is_test", "weight"}
+TASK_ROWS = 100_000             # rows that one task of a fit reads
 POSITIVE_WEIGHT = 217.0         # fixed value: weight of a purchase in the later generation's fit
 
 
@@ -48,6 +51,18 @@ def pin(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def dealt(df: DataFrame, rows: int = TASK_ROWS) -> DataFrame:
+    """The rows dealt by pair over tasks of about ``rows`` rows, in whole rounds of the cluster's cores.
+
+    How a table was written says nothing about how long a pass over it takes: few large files leave cores
+    idle, one file more than there are cores makes every pass twice as long, and a fit makes hundreds.
+    """
+    cores = max(1, df.sparkSession.sparkContext.defaultParallelism)
+    n = cores * max(1, math.ceil(df.count() / (rows * cores)))
+    keys = [c for c in (*ID_COLS, "cate", "brand") if c in df.columns]
+    return df.repartition(n, *keys).sortWithinPartitions(*keys)
+
+
 def gbt(max_iter: int = 200, depth: int = 4, step: float = 0.05, weight_col: str | None = None,
         seed: int = 0) -> GBTClassifier:
     g = GBTClassifier(featuresCol="features", labelCol="label", maxDepth=depth, maxIter=max_iter,
@@ -72,10 +87,12 @@ def fit(train: DataFrame, estimator, pos_weight: float | None = None, cols: Sequ
     """Assembler and estimator fitted to ``train``; with ``pos_weight`` every positive row weighs so much."""
     if (pos_weight is not None) != estimator.isSet(estimator.weightCol):
         raise ValueError("pos_weight and the estimator's weight column go together")
-    data = train.withColumn("label", F.col("label").cast("double"))
+    data = dealt(train).withColumn("label", F.col("label").cast("double"))
     if pos_weight is not None:
         data = with_class_weight(data, pos_weight)
-    return Pipeline(stages=[assembler(cols or feature_columns(train)), estimator]).fit(pin(data))
+    features = assembler(cols or feature_columns(train))
+    table = pin(features.transform(data).select("features", "label", *(["weight"] if pos_weight is not None else [])))
+    return PipelineModel([features, estimator.fit(table)])
 
 
 # ---- stored models -----------------------------------------------------------------------------------------

@@ -124,3 +124,18 @@ def test_backtest_truth_reads_its_whole_period(spark, tmp_path):
     for name, table in tables.items():
         table.write.parquet(f"{tmp_path}/{name}.parquet")
     assert {tuple(r) for r in M.q_backtest_truth(spark, str(tmp_path)).collect()} == {(1, 10), (2, 10), (3, 11)}
+
+
+def test_a_fit_reads_tasks_of_bounded_size(spark, monkeypatch):
+    """One written partition is dealt over all cores, no task gets many more rows than asked for, and only what a fit reads is pinned."""
+    cores, pinned = spark.sparkContext.defaultParallelism, []
+    rows = spark.range(4000 * cores).selectExpr("id DIV 50 AS user_id", "id % 50 AS sku_id", "id % 7 AS a", "CAST(id % 3 = 0 AS INT) AS label", "'x' AS cate").coalesce(1)
+    monkeypatch.setattr(ml, "TASK_ROWS", 1000)
+    monkeypatch.setattr(ml, "dealt", lambda df, deal=ml.dealt: deal(df, ml.TASK_ROWS))
+    monkeypatch.setattr(ml, "pin", lambda df, pin=ml.pin: pinned.append(pin(df)) or pinned[-1])
+    ml.fit(rows, ml.forest().setNumTrees(2))
+    sizes = pinned[0].rdd.mapPartitions(lambda part: [sum(1 for _ in part)]).collect()
+    assert len(sizes) == 4 * cores and sum(sizes) == 4000 * cores and max(sizes) < 1300
+    assert pinned[0].columns == ["features", "label"]
+    user = spark.createDataFrame([(None, 1, 0.5), (None, 1, 0.5), (2, None, 0.1)], "user_id long, sku_id long, a double")
+    assert sorted(ml.dealt(user).collect(), key=str) == sorted(user.collect(), key=str) and ml.dealt(user.limit(0)).count() == 0
