@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,9 +17,9 @@ def pair_totals(rows: DataFrame) -> DataFrame:
     return rows.groupBy(*PAIR_KEYS).agg(F.count(F.lit(1)).alias("sku_total"))
 
 
-def user_breadth(pairs: DataFrame) -> DataFrame:
+def user_breadth(pairs: DataFrame, by: Sequence[str] = ("user_id",)) -> DataFrame:
     """user_id, action_total (actions), diff_sku (distinct products)."""
-    return pairs.groupBy("user_id").agg(F.sum("sku_total").cast("bigint").alias("action_total"),
+    return pairs.groupBy(*by).agg(F.sum("sku_total").cast("bigint").alias("action_total"),
                                         F.count(F.lit(1)).alias("diff_sku"))
 
 
@@ -25,23 +27,24 @@ def _ratio(a, b):
     return (F.col(a).cast("double") / F.col(b).cast("double"))
 
 
-def group_breadth(pairs: DataFrame, attr: str) -> DataFrame:
+def group_breadth(pairs: DataFrame, attr: str, by: Sequence[str] = ("user_id",)) -> DataFrame:
     """Per (user, attr): distinct skus; per user: distinct attr values; ratios.
 
     attr is ``cate`` or ``brand``; a product seen under several values of the
     other attribute counts once, and NULL is a value like any other.  Columns:
     diff_{attr}_total, diff_{attr}, diff_{attr}_ratio, sku_{attr}_ratio (and
     cate_brand_ratio for brand).  All are aggregates + user-keyed joins (no
-    per-user window).
+    per-user window).  ``by`` names the user and what else tells tables apart that are held in one.
     """
-    per = pairs.select("user_id", "sku_id", attr).distinct().groupBy("user_id", attr).agg(F.count(F.lit(1)).alias(f"diff_{attr}_total"))
-    per_user = per.groupBy("user_id").agg(F.count(F.lit(1)).alias(f"diff_{attr}"))
-    out = (per.join(per_user, "user_id").join(user_breadth(pairs).select("user_id", "diff_sku"), "user_id")
+    by = list(by)
+    per = pairs.select(*by, "sku_id", attr).distinct().groupBy(*by, attr).agg(F.count(F.lit(1)).alias(f"diff_{attr}_total"))
+    per_user = per.groupBy(*by).agg(F.count(F.lit(1)).alias(f"diff_{attr}"))
+    out = (per.join(per_user, by).join(user_breadth(pairs, by).select(*by, "diff_sku"), by)
            .withColumn(f"diff_{attr}_ratio", _ratio(f"diff_{attr}_total", f"diff_{attr}"))
            .withColumn(f"sku_{attr}_ratio", _ratio("diff_sku", f"diff_{attr}")))
     if attr == "brand":
-        cates = pairs.select("user_id", "cate").distinct().groupBy("user_id").agg(F.count(F.lit(1)).alias("diff_cate"))
-        out = out.join(cates, "user_id").withColumn("cate_brand_ratio", _ratio("diff_cate", "diff_brand")) \
+        cates = pairs.select(*by, "cate").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias("diff_cate"))
+        out = out.join(cates, by).withColumn("cate_brand_ratio", _ratio("diff_cate", "diff_brand")) \
                  .drop("diff_cate")
     return out.drop("diff_sku")
 

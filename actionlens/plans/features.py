@@ -11,6 +11,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 from datetime import date
 
@@ -123,67 +124,82 @@ def candidate_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame,
 BROADCAST_ROWS = 100_000        # a side table of at most so many rows is broadcast
 
 
-def _small(df: DataFrame, columns: Sequence[str]) -> dict[str, bool]:
-    """Whether a table by each column has at most ``BROADCAST_ROWS`` rows (counted within 5 %); one job for all."""
+def _small(df: DataFrame, columns: Sequence[str], windows: int = 1) -> dict[str, bool]:
+    """Whether a table by each column and window has at most ``BROADCAST_ROWS`` rows (counted within 5 %); one job for all."""
     got = df.agg(*[F.approx_count_distinct(c).alias(c) for c in columns]).head()
-    return {c: got[c] <= BROADCAST_ROWS * 0.8 for c in columns}
+    return {c: got[c] * windows <= BROADCAST_ROWS * 0.8 for c in columns}
 
 
 def _attribute_rollup(per_user: DataFrame, attr: str) -> DataFrame:
-    """Rollup of the per-user counts by a user attribute (bounded values; users without it are left out)."""
-    agg = per_user.where(F.col(attr).isNotNull()).groupBy(attr).agg(
+    """Rollup of the per-user counts of each window by a user attribute (bounded values; users without it are left out)."""
+    agg = per_user.where(F.col(attr).isNotNull()).groupBy("days", attr).agg(
         *[F.expr(f"CAST(sum(user_action_{k}) AS BIGINT) AS {attr}_action_{k}") for k in P.TYPES])
     return ru.with_ratios(agg, attr)
 
 
-def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
-                 days: int, daily: DataFrame | None = None, brand_rank: DataFrame | None = None, cate: str | None = None) -> DataFrame:
-    """Pair features of one look-back window: behaviour counts, breadth, rank, product attributes,
-    user columns, model clicks and rollups by category, brand, user, product, age and sex.
+def _window_counts(daily: DataFrame, windows: Sequence[int]) -> DataFrame:
+    """keys, days, action_1 .. action_6, sku_total, model_clicks: a row for every window that a pair is seen in, from one aggregate."""
+    names = {f"action_{k}": f"n_{k}" for k in P.TYPES} | {"sku_total": "n_all", "model_clicks": "n_model"}
+    sums = daily.where(F.col("off").between(1, max(windows))).groupBy(*win.PAIR_KEYS).agg(
+        *[F.expr(f"CAST(sum(CASE WHEN off <= {n} THEN {count} ELSE 0 END) AS BIGINT) AS _{n}_{name}") for n in windows for name, count in names.items()])
+    each = F.array(*[F.struct(F.lit(n).alias("days"), *[F.col(f"_{n}_{name}").alias(name) for name in names]) for n in windows])
+    return sums.select(*win.PAIR_KEYS, F.inline(each)).where("sku_total > 0")
 
-    With ``cate`` only that category's pairs are returned (features still come from all actions); the
-    filter stands before the joins.  Eager: the window's ranked pair table is pinned in the shared
-    checkpoint folder, and everything else is derived from it lazily.  The pair table meets one user
-    table, one product table, two breadth tables and the category and brand tables, which are
-    broadcast where the number of their keys, counted once, allows it.
+
+def _blocks(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str, windows: Sequence[int],
+            daily: DataFrame | None = None, brand_rank: DataFrame | None = None, cate: str | None = None) -> DataFrame:
+    """The blocks of all windows in one table, told apart by ``days``: ranked once, each side table and join once for all.
+
+    Eager: the ranked pair table is pinned in the shared checkpoint folder, and everything else is
+    derived from it lazily.  The pair table meets one user table, one product table, two breadth tables
+    and the category and brand tables, which are broadcast where the number of their keys, counted
+    once, allows it.
     """
     ensure_checkpoint_dir(actions.sparkSession)
     if brand_rank is None:
         brand_rank = brand_rank_before(actions, end)
     if daily is None:
-        daily = win.day_counts(actions, win.PAIR_KEYS, end, days, with_total=True)
-    counts = daily.where(F.col("off").between(1, days)).groupBy(*win.PAIR_KEYS).agg(
-        *[F.expr(f"CAST(sum(n_{k}) AS BIGINT) AS action_{k}") for k in P.TYPES],
-        F.expr("CAST(sum(n_all) AS BIGINT) AS sku_total"), F.expr("CAST(sum(n_model) AS BIGINT) AS model_clicks"))
-    ranked = br.rank_within(counts, ["user_id"], [F.col("sku_total").desc(), F.col("sku_id"), F.col("cate"), F.col("brand")],
+        daily = win.day_counts(actions, win.PAIR_KEYS, end, max(windows), with_total=True)
+    ranked = br.rank_within(_window_counts(daily, windows), ["days", "user_id"], [F.col("sku_total").desc(), F.col("sku_id"), F.col("cate"), F.col("brand")],
                             name="sku_total_rank").checkpoint(eager=True)
-    small = _small(ranked, ["cate", "brand"]) | _small(user_dim, ["age", "sex"])
+    small = _small(ranked, ["cate", "brand"], len(windows)) | _small(user_dim, ["age", "sex"], len(windows))
     side = lambda df, key: F.broadcast(df) if small[key] else df
     total = lambda p: [F.expr(f"CAST(sum(action_{k}) AS BIGINT) AS {p}_action_{k}") for k in P.TYPES]
     clicks = lambda p: F.expr(f"CAST(sum(model_clicks) AS BIGINT) AS {p}_model_clicks")
 
-    per_user = ru.with_ratios(ranked.groupBy("user_id").agg(
+    per_user = ru.with_ratios(ranked.groupBy("days", "user_id").agg(
         *total("user"), F.expr("CAST(sum(sku_total) AS BIGINT) AS action_total"), F.count(F.lit(1)).alias("diff_sku")), "user")
     per_user = per_user.join(user_dim, "user_id", "left")
     user = per_user
     for attr in ("age", "sex"):
-        user = user.join(side(_attribute_rollup(per_user, attr), attr), attr, "left")
-    sku = ru.with_ratios(ranked.groupBy("sku_id").agg(*total("sku")), "sku")
-    of_cate = side(ru.with_ratios(ranked.groupBy("cate").agg(*total("cate"), clicks("cate")), "cate"), "cate")
-    brand = ru.with_ratios(ranked.groupBy("brand").agg(*total("brand"), clicks("brand")), "brand")
+        user = user.join(side(_attribute_rollup(per_user, attr), attr), ["days", attr], "left")
+    sku = ru.with_ratios(ranked.groupBy("days", "sku_id").agg(*total("sku")), "sku")
+    of_cate = side(ru.with_ratios(ranked.groupBy("days", "cate").agg(*total("cate"), clicks("cate")), "cate"), "cate")
+    brand = ru.with_ratios(ranked.groupBy("days", "brand").agg(*total("brand"), clicks("brand")), "brand")
     brand = side(win.join_null_safe(brand, brand_rank.select("brand", "brand_rank"), ["brand"]), "brand")
-    pairs = ranked.select(*win.PAIR_KEYS, "sku_total")
+    pairs = ranked.select("days", *win.PAIR_KEYS, "sku_total")
 
     out = ranked if cate is None else ranked.where(F.col("cate") == F.lit(cate))
     out = out.withColumn("sku_action_max", F.when(F.col("sku_total_rank") == 0, 1).otherwise(0).cast("int"))
-    out = out.join(user, "user_id", "left").withColumn("sku_action_ratio", F.col("sku_total").cast("double") / F.col("action_total").cast("double"))
-    out = win.join_null_safe(out, br.group_breadth(pairs, "cate"), ["user_id", "cate"])
-    out = win.join_null_safe(out, br.group_breadth(pairs, "brand"), ["user_id", "brand"])
-    out = out.join(sku, "sku_id", "left").join(dims.product_onehot(products), ["sku_id", "cate", "brand"], "left")
-    out = win.join_null_safe(win.join_null_safe(out, of_cate, ["cate"]), brand, ["brand"])
+    out = out.join(user, ["days", "user_id"], "left").withColumn("sku_action_ratio", F.col("sku_total").cast("double") / F.col("action_total").cast("double"))
+    for attr in ("cate", "brand"):
+        out = win.join_null_safe(out, br.group_breadth(pairs, attr, ["days", "user_id"]), ["days", "user_id", attr])
+    out = out.join(sku, ["days", "sku_id"], "left").join(dims.product_onehot(products), ["sku_id", "cate", "brand"], "left")
+    out = win.join_null_safe(win.join_null_safe(out, of_cate, ["days", "cate"]), brand, ["days", "brand"])
     return out.na.fill(0)
 
 
+def window_block(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
+                 days: int, daily: DataFrame | None = None, brand_rank: DataFrame | None = None, cate: str | None = None) -> DataFrame:
+    """Pair features of one look-back window: behaviour counts, breadth, rank, product attributes,
+    user columns, model clicks and rollups by category, brand, user, product, age and sex.
+
+    With ``cate`` only that category's pairs are returned (features still come from all actions); the
+    filter stands before the joins.
+    """
+    return _blocks(actions, user_dim, products, end, [days], daily, brand_rank, cate).drop("days")
+
+
 def brand_rank_before(actions: DataFrame, end: str) -> DataFrame:
     """brand, brand_rank over all actions before ``end``."""
     return br.brand_popularity_rank(actions.where(F.col("time") < F.lit(end).cast("timestamp_ntz"))).drop("purchases")
@@ -197,19 +213,25 @@ def _block_days(actions: DataFrame, end: str, windows: Sequence[int], until: str
 
 def window_block_set(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: str,
                      windows: Sequence[int] = P.SHORT_WINDOWS, cate: str | None = None, daily: DataFrame | None = None) -> DataFrame:
-    """The later generation's merged set: one ``window_block`` per window, columns prefixed
-    ``w{N}_``, left-joined onto the longest window's pairs (pairs absent from a shorter window get
-    zeros).  Eager: one pinned day table and one brand rank serve every window; with ``cate`` every
-    window's pairs are cut to that category before they meet a side table or are written.
+    """The later generation's merged set: one block per window, columns prefixed ``w{N}_``, left-joined
+    onto the longest window's pairs (pairs absent from a shorter window get zeros).
+
+    Eager: one pinned day table and one brand rank serve every window, and the blocks of all windows are
+    built at once and kept in the shared checkpoint folder by window, so each is read alone; with
+    ``cate`` the pairs are cut to that category before they meet a side table or are written.
     """
+    spark = actions.sparkSession
     daily = daily if daily is not None else _block_days(actions, end, windows)
     rank = brand_rank_before(actions, end).checkpoint(eager=True)
     user_dim = user_dim.checkpoint(eager=True)
-    keys = list(win.PAIR_KEYS)
+    keys, path = list(win.PAIR_KEYS), f"{ensure_checkpoint_dir(spark).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+    built = _blocks(actions, user_dim, products, end, sorted(windows), daily, rank, cate)
+    built.write.partitionBy("days").parquet(path)
+    blocks = spark.read.schema(built.schema).parquet(path)
     out = None
     for n in sorted(windows, reverse=True):
-        b = window_block(actions, user_dim, products, end, n, daily=daily, brand_rank=rank, cate=cate)
-        b = b.select(*keys, *[F.col(c).alias(f"w{n}_{c}") for c in b.columns if c not in keys]).checkpoint(eager=True)
+        b = blocks.where(F.col("days") == n)
+        b = b.select(*keys, *[F.col(c).alias(f"w{n}_{c}") for c in built.columns if c not in (*keys, "days")])
         out = b if out is None else win.join_null_safe(out, b, keys)
     return out.na.fill(0)
 

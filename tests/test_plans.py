@@ -73,3 +73,19 @@ def test_category_filter_stands_before_the_joins_of_a_block(spark):
     assert at and all("LogicalRDD" in lines[i + 1] for i in at)
     whole = ft.window_block(*args).where(f"cate = '{P.TARGET_CATE}'")
     assert cut.count() > 0 and cut.exceptAll(whole.select(*cut.columns)).count() == 0 and whole.select(*cut.columns).exceptAll(cut).count() == 0
+
+
+def test_blocks_of_all_windows_are_ranked_and_joined_once(spark, monkeypatch):
+    """One global sort and one set of side tables serve seven windows, and each window's block is the one built alone."""
+    from actionlens.plans import catalog as C
+    from actionlens.plans import features as ft
+    ranked = []
+    monkeypatch.setattr(ft.br, "rank_within", lambda *a, rank=ft.br.rank_within, **k: ranked.append(a[1]) or rank(*a, **k))
+    args = C._block_args(spark, SF_SMALL)
+    whole = ft.window_block_set(*args)
+    assert [g for g in ranked if "user_id" in g] == [["days", "user_id"]]
+    for n in (2, 7):
+        alone = ft.window_block(*args, n)
+        columns = ["user_id", "sku_id", "cate", "brand", *[c for c in alone.columns if c not in ("user_id", "sku_id", "cate", "brand")]]
+        of_set = whole.where(f"w{n}_sku_total > 0").select(*columns[:4], *[f"w{n}_{c}" for c in columns[4:]])
+        assert alone.count() == of_set.count() > 0 and alone.select(*columns).exceptAll(of_set).count() == 0
