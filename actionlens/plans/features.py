@@ -178,13 +178,14 @@ def _blocks(actions: DataFrame, user_dim: DataFrame, products: DataFrame, end: s
     brand = ru.with_ratios(ranked.groupBy("days", "brand").agg(*total("brand"), clicks("brand")), "brand")
     brand = side(win.join_null_safe(brand, brand_rank.select("brand", "brand_rank"), ["brand"]), "brand")
     pairs = ranked.select("days", *win.PAIR_KEYS, "sku_total")
+    product = dims.product_onehot(products).checkpoint(eager=True)      # a category filter that the planner infers for it stands where it is read, too
 
     out = ranked if cate is None else ranked.where(F.col("cate") == F.lit(cate))
     out = out.withColumn("sku_action_max", F.when(F.col("sku_total_rank") == 0, 1).otherwise(0).cast("int"))
     out = out.join(user, ["days", "user_id"], "left").withColumn("sku_action_ratio", F.col("sku_total").cast("double") / F.col("action_total").cast("double"))
     for attr in ("cate", "brand"):
         out = win.join_null_safe(out, br.group_breadth(pairs, attr, ["days", "user_id"]), ["days", "user_id", attr])
-    out = out.join(sku, ["days", "sku_id"], "left").join(dims.product_onehot(products), ["sku_id", "cate", "brand"], "left")
+    out = out.join(sku, ["days", "sku_id"], "left").join(product, ["sku_id", "cate", "brand"], "left")
     out = win.join_null_safe(win.join_null_safe(out, of_cate, ["days", "cate"]), brand, ["days", "brand"])
     return out.na.fill(0)
 
