@@ -59,9 +59,9 @@ class FrameWriter:
         self._seek, self._docs = [], []
 
     def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        frames = range(0, max(1, len(ids)), FRAME_IDS)
+        frames, ids = range(0, max(1, len(ids)), FRAME_IDS), ids.astype(self._kind, copy=False)
         for k in frames:
-            plain = ids[k:k + FRAME_IDS].astype(self._kind).tobytes()
+            plain = ids[k:k + FRAME_IDS].tobytes()
             packed = self._zstd.compress(plain)
             self._out.write(packed)
             self._seek.append((len(packed), len(plain), xxhash.xxh64_intdigest(plain) & 0xFFFFFFFF))
@@ -129,11 +129,11 @@ def write(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2) -> None
                     fs.create_dir(base, recursive=True)
                     out = fs.open_output_stream(f"{base}/{name}", compression=None)
                     writer = FrameWriter(out, width)
-                at = 0
+                at, ended = 0, np.insert(flat, np.cumsum(per_row), end_id).astype(f"<u{width}")
                 for k, m in enumerate(per_row.tolist()):
                     doc = ids_of[a + k]
-                    writer.add(doc, np.append(flat[at:at + m], np.uint32(end_id)))
-                    at += m
+                    writer.add(doc, ended[at:at + m + 1])
+                    at += m + 1
                     n_docs, n_ids = n_docs + 1, n_ids + m + 1
                     if doc is not None:
                         low, high = doc if low is None else low, doc

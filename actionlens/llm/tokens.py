@@ -62,6 +62,7 @@ class PieceEncoder:
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if t.content and not (t.special and encode_special_tokens)]
         self._added = regex.compile(b"|".join(regex.escape(t.encode()) for t in added)) if added else None
         self._model, self._letters = self.tokenizer.model, _byte_letters()
+        self._space = chr(self._letters[0x20])
         self._memo: dict[int, bytes] = {}         # pieces met lately,
         self._older: dict[int, bytes] = {}        # and those of the generation before
         self._other: dict[str, bytes] = {}
@@ -70,7 +71,10 @@ class PieceEncoder:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def _pre_token(self, text: str) -> bytes:
-        letters = text.encode().decode("latin-1").translate(self._letters)
+        if text.isascii() and text.isprintable():       # all but the space stand for themselves
+            letters = text.replace(" ", self._space)
+        else:
+            letters = text.encode().decode("latin-1").translate(self._letters)
         return array("I", [t.id for t in self._model.tokenize(letters)]).tobytes()
 
     def _piece(self, text: str) -> bytes:
@@ -126,16 +130,16 @@ class PieceEncoder:
         distinct, where, which = np.unique(key, return_index=True, return_inverse=True)
         if len(self._memo) > MEMO_PIECES:
             self._older, self._memo = self._memo, {}
-        memo, older, ids = self._memo, self._older, []
-        for k, w in zip(distinct.tolist(), where.tolist()):
-            got = memo.get(k)
+        memo, older, plain = self._memo, self._older, buf.tobytes()
+        ids = list(map(memo.get, distinct.tolist()))
+        new = [i for i, got in enumerate(ids) if got is None]
+        at_new = where[new]
+        for i, k, first, last, after in zip(new, distinct[new].tolist(), start[at_new].tolist(), end[at_new].tolist(), spaced[at_new].tolist()):
+            got = older.get(k)
             if got is None:
-                got = older.get(k)
-                if got is None:
-                    piece = buf[start[w]:end[w]].tobytes().decode("utf-8", "replace")
-                    got = self._piece(" " + piece if spaced[w] else piece)
-                memo[k] = got
-            ids.append(got)
+                piece = plain[first:last].decode("utf-8", "replace")
+                got = self._piece(" " + piece if after else piece)
+            ids[i] = memo[k] = got
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat = np.frombuffer(b"".join(ids), "<u4")
         begin = np.cumsum(size) - size
