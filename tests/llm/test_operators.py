@@ -785,3 +785,26 @@ def test_pieces_of_two_generations_are_remembered(monkeypatch):
         (_, _, flat, _), = enc.encode(pa.array([t]))
         assert flat.tolist() == _ids(t)[:-1]
     assert len(enc._memo) <= 50 + 90 and len(enc._older) <= 50 + 90 and enc._older
+
+
+def test_new_pieces_share_calls_of_the_model():
+    class Counted:
+        def __init__(self, model):
+            self.model, self.calls = model, 0
+
+        def tokenize(self, text):
+            self.calls += 1
+            return self.model.tokenize(text)
+
+    texts = ["", " ".join(f"{chr(97 + i % 26)}ord{chr(97 + i // 26)} Ünï{chr(97 + i % 26)}{chr(97 + i // 26)}ß" for i in range(600)), None, "a1b2 don't 50% ×÷ À ÿ\x00z नमस्ते 😀, x" + "y" * 3000 + ". ²½"]
+    want = [_ids(t)[:-1] for t in texts]
+    for gap in (True, False):                   # without a letter to part them, one pre-token a call
+        enc = tokens.PieceEncoder(TOKENIZER)
+        enc._model = Counted(enc._model)
+        if not gap:
+            enc._gap_id = None
+        for _ in range(2):                      # the second time all are remembered
+            (_, _, flat, per), = enc.encode(pa.array(texts))
+            at = np.r_[0, np.cumsum(per)]
+            assert [flat[at[i]:at[i + 1]].tolist() for i in range(len(texts))] == want
+        assert (enc._model.calls < 100) if gap else (enc._model.calls > 1000)
