@@ -7,7 +7,9 @@ one class, so copies cost nothing beyond their own row.
 1. *Singleton pivots.*  Shingles are ranked (frequent ones last, the others by
    hash).  A set may lose at most ``n - ceil(t n)`` shingles to a partner, so it
    is replicated to the regions of that many of its first shingles plus one:
-   two linked sets meet in at least one region.  Plain document pivots cannot
+   two linked sets meet in at least one region.  Where they meet first, the rest of
+   both sets must still suffice for a link, so a place far down a set has small
+   partners only; members without a partner that suits are dropped.  Plain document pivots cannot
    do this step: all but a few documents lie at distance ~1 from any pivot, and
    windows would replicate everything everywhere.
 2. *Pivot distances.*  A set's counts in hash classes of shingles are its
@@ -116,8 +118,35 @@ def kept_shingles(n: np.ndarray, percent: int) -> np.ndarray:
     return n - -(-n * percent // 100) + 1
 
 
+def largest_partner(n: np.ndarray, nth: np.ndarray, percent: int) -> np.ndarray:
+    """Largest size of a set that may link with one of n shingles, if the nth (from 0) is the first they share.
+
+    They share n - nth shingles at most, and a link of sizes n and m needs percent * (n + m) / (100 + percent).
+    """
+    return (n - nth) * (100 + percent) // percent - n
+
+
+def reach(n: np.ndarray, nth: np.ndarray, percent: int) -> np.ndarray:
+    """The largest partner's place among the sizes of partners, in 255ths, rounded up."""
+    low, span = _partners(n, percent)
+    return -((largest_partner(n, nth, percent) - low) * -255 // np.maximum(span, 1))
+
+
+def reached(n: np.ndarray, reach: np.ndarray, percent: int) -> np.ndarray:
+    """A largest partner that is not below the real one."""
+    low, span = _partners(n, percent)
+    return low + reach * span // 255
+
+
+def _partners(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least size of a partner, and how much larger the largest is."""
+    low = -(-n * percent // 100)
+    return low, n * 100 // percent - low
+
+
 def _regions(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> DataFrame:
-    """(shingle, k1): the regions of every class (once a slice)."""
+    """(spot, k1, n): the regions of every class (once a slice); a spot is the shingle without its last byte, which
+    holds the ``reach`` instead, so that a row has no further column."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,11 +165,13 @@ def _regions(docs: DataFrame, k: int, percent: int, frequent: np.ndarray) -> Dat
                 n = np.bincount(row, minlength=s.rows)
                 nth = np.arange(len(row)) - (np.cumsum(n) - n)[row]
                 chosen = nth < kept_shingles(s.n, percent)[row]
-                yield pa.RecordBatch.from_arrays([pa.array(h[chosen].view(np.int64)), pa.array(s.k1[row[chosen]]), pa.array(s.n[row[chosen]].astype(np.int64))], names=["shingle", "k1", "n"])
+                h, row, nth = h[chosen], row[chosen], nth[chosen]
+                spot = h.view(np.int64) & ~255 | reach(s.n[row], nth, percent)
+                yield pa.RecordBatch.from_arrays([pa.array(spot), pa.array(s.k1[row]), pa.array(s.n[row])], names=["spot", "k1", "n"])
 
     order = np.argsort(frequent.view(np.uint64))
     by_hash, place = frequent.view(np.uint64)[order], order[...]     # place: the rarest of the frequent ones first
-    return documents(docs).mapInArrow(rows, "shingle long, k1 long, n long")
+    return documents(docs).mapInArrow(rows, "spot long, k1 long, n long")
 
 
 def _runs(key: np.ndarray) -> np.ndarray:
@@ -166,23 +197,38 @@ def _by_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held)
 
 
+def with_partner(region: np.ndarray, n: np.ndarray, most: np.ndarray) -> np.ndarray:
+    """Whether each member (sorted by region number and n) has another one of its region such that neither
+    is larger than the other's ``most``."""
+    if not len(n):
+        return np.zeros(0, bool)
+    base = region.astype(np.int64) * (int(max(n.max(), most.max())) + 1)
+    largest = np.maximum.accumulate(base + most)                        # of the region's members so far, and the next to it
+    before = np.r_[0, largest[:-1]]
+    second = np.maximum.accumulate(np.maximum(base, np.minimum(before, base + most)))
+    last = np.searchsorted(base + n, base + most, "right") - 1          # the last member that is not larger than ``most``
+    own = (last >= np.arange(len(n))) & (largest[last] == base + most)
+    return (last >= 0) & (np.where(own, second[last], largest[last]) >= base + n)
+
+
 def _shared(regions: DataFrame, percent: int) -> DataFrame:
-    """(shingle, k1) of the classes that have another one of their region near enough in size.
+    """(shingle, k1) of the classes that have another one of their region that suits them in size and place.
 
-    A region is sorted by size, so a class without a neighbour within the ratio of a link has no
-    partner at all, and the pivot distances are only fetched for the others.
+    A class without one has no partner there at all, or shares an earlier shingle with it, and the
+    pivot distances are only fetched for the others.
     """
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _by_runs(batches, "shingle"):
-            h, k1, n = (t.column(c).to_numpy() for c in ("shingle", "k1", "n"))
-            new = np.r_[True, (h[1:] != h[:-1]) | (k1[1:] != k1[:-1])]
-            h, k1, n = h[new], k1[new], n[new]
-            near = (h[1:] == h[:-1]) & (100 * n[:-1] >= percent * n[1:])
-            some = np.r_[near, False] | np.r_[False, near]
+            h, k1, n, far = (t.column(c).to_numpy() for c in ("shingle", "k1", "n", "reach"))
+            new = np.r_[True, (h[1:] != h[:-1]) | (k1[1:] != k1[:-1]) | (far[1:] != far[:-1])]
+            h, k1, n, far = h[new], k1[new], n[new], far[new]
+            some = with_partner(np.cumsum(np.r_[False, h[1:] != h[:-1]]), n, reached(n, far, percent))
             yield pa.RecordBatch.from_arrays([pa.array(h[some]), pa.array(k1[some])], names=["shingle", "k1"])
 
-    return regions.repartition("shingle").sortWithinPartitions("shingle", "n", "k1").mapInArrow(rows, "shingle long, k1 long")
+    shingle = F.shiftright("spot", 8)
+    dealt = regions.repartition(shingle).select(shingle.alias("shingle"), "k1", "n", F.col("spot").bitwiseAND(255).alias("reach"))
+    return dealt.sortWithinPartitions("shingle", "n", "k1", "reach").mapInArrow(rows, "shingle long, k1 long")
 
 
 class Forest:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from actionlens.llm import decontamination, jaccard_join, packing, quality_knn, toxicity
-from actionlens.llm.common import pin, table
+from actionlens.llm.common import pin, rows_of_keys, table
 from actionlens.llm.queries import END_ID, TOKENIZER
 
 
@@ -48,7 +48,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     named = rows.select(key, "doc_id").join(groups.select(F.col("doc_id").alias(key), "component_id", "n_shingles"), key)
     first = (named.where("n_shingles > 0").groupBy("component_id").agg(F.min_by(key, F.struct(F.col("doc_id").isNull(), "doc_id", key)).alias(key)).select(key)
              .unionByName(named.where("n_shingles = 0").select(key)))
-    return rows.join(first, key, "left_semi").select(*docs.columns)
+    return rows_of_keys(rows, key, first).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

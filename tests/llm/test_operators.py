@@ -8,6 +8,7 @@ import io
 import itertools
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -19,7 +20,7 @@ import zstandard
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from actionlens.llm import (components, decontamination, jaccard_join, license_scan, line_crf, packing, quality_knn, queries,
+from actionlens.llm import (common, components, decontamination, jaccard_join, license_scan, line_crf, packing, quality_knn, queries,
                             sharding, textops, token_frames, tokens, toxicity, url_filter)
 from actionlens.llm.common import shared_folder
 from tests.conftest import SF_SMALL
@@ -808,3 +809,43 @@ def test_new_pieces_share_calls_of_the_model():
             at = np.r_[0, np.cumsum(per)]
             assert [flat[at[i]:at[i + 1]].tolist() for i in range(len(texts))] == want
         assert (enc._model.calls < 100) if gap else (enc._model.calls > 1000)
+
+
+@pytest.mark.parametrize("percent", [50, 80, 90, 100])
+def test_members_without_a_partner_for_their_place_leave_a_region(percent):
+    rng = np.random.default_rng(percent)
+    for _ in range(300):
+        m = int(rng.integers(1, 30))
+        region, n = np.sort(rng.integers(0, 5, m)), rng.integers(1, 2000, m)
+        n[rng.random(m) < 0.5] = 100
+        n = n[np.lexsort((n, region))]
+        nth = (rng.random(m) * jaccard_join.kept_shingles(n, percent)).astype(int)
+        exact = jaccard_join.largest_partner(n, nth, percent)
+        most = jaccard_join.reached(n, jaccard_join.reach(n, nth, percent), percent)
+        assert (most >= exact).all() and (most <= n * 100 // percent).all()
+        for far in (exact, most):
+            want = [any(i != j and region[i] == region[j] and n[j] <= far[i] and n[i] <= far[j] for j in range(m)) for i in range(m)]
+            assert jaccard_join.with_partner(np.unique(region, return_inverse=True)[1], n, far).tolist() == want
+    # Two sets of 100 share at most 100 - nth shingles if the nth is the first: 89 of 200 in all for 80 %.
+    assert jaccard_join.largest_partner(np.array([100, 100]), np.array([11, 12]), 80).tolist() == [100, 98]
+
+
+def test_rows_of_keys_stay_where_they_are(spark):
+    docs = spark.range(0, 1000, 1, 7).selectExpr("id % 10 AS doc_id", "concat('text ', id) AS text", "array(id) AS more")
+    rows = common.pin(docs.withColumn("key", F.monotonically_increasing_id()), "test-rows")
+    wanted = rows.where("text LIKE '%7' AND key < 40000000000").select("key")
+    got = common.rows_of_keys(rows, "key", wanted)
+    assert got.schema == rows.schema and "Exchange" not in got._jdf.queryExecution().toString()
+    assert Counter(r.text for r in got.collect()) == Counter(r.text for r in rows.join(wanted, "key").collect()) != Counter()
+    assert common.rows_of_keys(rows, "key", wanted.limit(0)).count() == 0
+
+
+def test_pinned_tables_leave_no_shuffle_files(spark):
+    held = lambda: {f.getName() for f in spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(spark._jsc.sc().env().blockManager().diskBlockManager().getAllFiles()) if f.getName().startswith("shuffle_")}
+    before, conf = held(), spark.conf.get(common.SHUFFLE_CLEANUP, None)
+    pinned = common.pin(spark.range(1000).repartition(5), "test-shuffles")
+    until = time.time() + 20
+    while held() - before and time.time() < until:      # they are removed in the background
+        time.sleep(0.2)
+    assert not held() - before
+    assert spark.conf.get(common.SHUFFLE_CLEANUP, None) == conf and pinned.count() == 1000

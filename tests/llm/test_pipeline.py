@@ -47,3 +47,10 @@ def test_stages_take_odd_rows(spark, rows):
 def _sizes(rows):
     from tests.llm.test_operators import _ids
     return [len(_ids(t)) for _, t in rows]
+
+
+def test_the_join_stage_moves_no_texts(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f"), (2, "a b c d e f"), (2, "other words than these are here"), (None, None)], "doc_id long, text string")
+    kept = cp.one_of_each_group(spark, docs, SF_SMALL)
+    assert "Exchange" not in kept._jdf.queryExecution().toString()
+    assert Counter(tuple(r) for r in kept.collect()) == Counter([(1, "a b c d e f"), (2, "other words than these are here"), (None, None)])
