@@ -3,7 +3,8 @@
 A fitted model is a stage kept in the shared folder (``stored_model``): it is written once as a Spark ML
 pipeline, feature columns included, and read by whatever scores with it, in this session or another.  The
 training table is dealt over tasks of bounded size and pinned in the shared checkpoint folder, as feature
-vectors, before fitting, because fitting iterates over it.
+vectors, before fitting, because fitting iterates over it.  Boosted trees over many rows are grown by
+``boosting`` (the same trees from packed histograms), over fewer by Spark ML itself.
 """
 
 from __future__ import annotations
@@ -26,12 +27,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from actionlens.plans import boosting
 from actionlens.session import ensure_checkpoint_dir
 from actionlens.sources.readers import hadoop_path, is_finished
 
 ID_COLS = ("user_id", "sku_id")
 NON_FEATURES = {"user_id", "sku_id", "label", "cate", "brand", "bucket", "is_test", "weight"}
 TASK_ROWS = 100_000             # rows that one task of a fit reads
+HISTOGRAM_ROWS = 250_000        # boosted trees over so many rows or more are grown from packed histograms
 POSITIVE_WEIGHT = 217.0         # fixed value: weight of a purchase in the later generation's fit
 
 
@@ -92,6 +95,8 @@ def fit(train: DataFrame, estimator, pos_weight: float | None = None, cols: Sequ
         data = with_class_weight(data, pos_weight)
     features = assembler(cols or feature_columns(train))
     table = pin(features.transform(data).select("features", "label", *(["weight"] if pos_weight is not None else [])))
+    if boosting.fits(estimator, len(features.getInputCols())) and table.count() >= HISTOGRAM_ROWS:
+        return PipelineModel([features, boosting.fit(table, estimator)])
     return PipelineModel([features, estimator.fit(table)])
 
 
